@@ -54,3 +54,56 @@ def level(x: str) -> str:
 
 def with_views(*views: str) -> str:
     return "WITH " + ",\n".join(views)
+
+
+def _spelling_sql() -> str:
+    from smogline.sources.testdata import NAME_SPELLINGS
+
+    parts = []
+    for ci, names in enumerate(NAME_SPELLINGS):
+        for vi, name in enumerate(names):
+            parts.append(f"WHEN waqi_idx % 5 = {ci} AND event_id % 3 = {vi} THEN '{name}'")
+    return "CASE " + " ".join(parts) + " END"
+
+
+def _slug_sql() -> str:
+    from smogline.sources.testdata import URL_SLUGS
+
+    return "CASE " + " ".join(f"WHEN waqi_idx % 5 = {i} THEN '{s}'" for i, s in enumerate(URL_SLUGS)) + " END"
+
+
+READINGS_DIRTY = f"""
+dirty AS (
+  SELECT event_id, CAST(waqi_idx AS VARCHAR) AS station_id,
+    CASE WHEN event_id % 11 = 0 THEN '-' ELSE CAST(aqi AS VARCHAR) END AS aqi_index,
+    CASE WHEN event_id % 37 = 0 THEN '-'
+         ELSE CAST(8 + waqi_idx % 16 AS VARCHAR) || ',' || CAST(102 + waqi_idx % 8 AS VARCHAR) END AS location,
+    {_spelling_sql()} || ' station ' || CAST(waqi_idx AS VARCHAR) AS station_name,
+    CASE WHEN event_id % 31 = 0 THEN 'https://aqi.example/feed/unknown'
+         ELSE 'https://aqi.example/city/vietnam/' || {_slug_sql()} || '/station-' || CAST(waqi_idx AS VARCHAR) || '/' END AS url,
+    CASE WHEN event_id % 23 = 0 THEN '#NAME?' WHEN event_id % 19 = 0 THEN 'aqi'
+         ELSE coalesce(dominant_pollutant, '-') END AS dominent_pollutant,
+    CASE WHEN event_id % 7 = 0 THEN 'N/A' ELSE CAST(humidity AS VARCHAR) END AS humidity,
+    substr(CAST(CAST(pressure AS INT) AS VARCHAR), 1, 1) || ',' || substr(CAST(CAST(pressure AS INT) AS VARCHAR), 2, 3) AS pressure,
+    CASE WHEN event_id % 13 = 0 THEN '' ELSE CAST(pm10 AS VARCHAR) END AS pm10,
+    CAST(pm25 AS VARCHAR) AS pm25, CAST(temperature AS VARCHAR) AS temperature, CAST(wind AS VARCHAR) AS wind,
+    CASE WHEN event_id % 41 = 0 THEN 'not a time'
+         ELSE strftime(measured_at + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') END AS data_time_s,
+    '+07:00' AS data_time_tz
+  FROM readings
+)"""
+
+
+def num(x: str) -> str:
+    """Oracle form of parse_number: tokens -> null, drop thousands commas, try-cast."""
+    t = f"trim({x})"
+    return f"TRY_CAST(replace(CASE WHEN {t} IN ('-', '', '#NAME?', 'N/A') THEN NULL ELSE {t} END, ',', '') AS DOUBLE)"
+
+
+def keyword_case(x: str, table, lower: bool = False, default: str = "NULL", null_label: str = "NULL") -> str:
+    probe = f"lower({x})" if lower else x
+    arms = []
+    for label, words in table.items():
+        cond = " OR ".join(f"contains({probe}, '{(w.lower() if lower else w)}')" for w in words)
+        arms.append(f"WHEN {cond} THEN '{label}'")
+    return f"CASE WHEN {x} IS NULL THEN {null_label} " + " ".join(arms) + f" ELSE {default} END"

@@ -114,14 +114,9 @@ def readings_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = readings(spark, sf_dir)
     eid = F.col("event_id")
     code = (F.col("waqi_idx") % 5)
-    spelling = None
-    for ci, names in enumerate(NAME_SPELLINGS):
-        for vi, name in enumerate(names):
-            cond = (code == ci) & (eid % 3 == vi)
-            spelling = F.when(cond, F.lit(name)) if spelling is None else spelling.when(cond, F.lit(name))
-    slug = None
-    for ci, s in enumerate(URL_SLUGS):
-        slug = F.when(code == ci, F.lit(s)) if slug is None else slug.when(code == ci, F.lit(s))
+    spellings = F.array(*[F.lit(n) for names in NAME_SPELLINGS for n in names])
+    spelling = F.element_at(spellings, (code * 3 + eid % 3 + 1).cast("int"))
+    slug = F.element_at(F.array(*[F.lit(x) for x in URL_SLUGS]), (code + 1).cast("int"))
     p = F.col("pressure").cast("int").cast("string")
     local = F.date_format(F.col("measured_at") + F.expr("INTERVAL 7 HOURS"), "yyyy-MM-dd HH:mm:ss")
     return r.select(
