@@ -107,3 +107,40 @@ def keyword_case(x: str, table, lower: bool = False, default: str = "NULL", null
         cond = " OR ".join(f"contains({probe}, '{(w.lower() if lower else w)}')" for w in words)
         arms.append(f"WHEN {cond} THEN '{label}'")
     return f"CASE WHEN {x} IS NULL THEN {null_label} " + " ".join(arms) + f" ELSE {default} END"
+
+
+HOURLY_MEASURES_SQL = ["aqi", "pm25", "pm10", "temperature", "humidity", "pressure", "wind"]
+
+
+def hourly_cte(name: str = "h", unit: str = "hour") -> str:
+    avgs = ", ".join(f"{xavg(m)} AS {m}" for m in HOURLY_MEASURES_SQL)
+    return f"""
+{name} AS (SELECT queried_city, date_trunc('{unit}', measured_at) AS measured_at, {avgs}
+      FROM readings GROUP BY 1, 2 HAVING {xavg('aqi')} IS NOT NULL)"""
+
+
+def r6(x: str, digits: int = 6) -> str:
+    return f"round({x} + 1e-9, {digits})"
+
+
+def roll_sql(col: str, n: int, label: str, stats=("mean", "std", "min", "max"), need: int = 1,
+             include_current: bool = False, std_null_as=None, w: str = "w") -> list[str]:
+    frame = f"({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" if include_current \
+        else f"({w} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+    cnt = f"COUNT({col}) OVER {frame}"
+    exprs = {
+        "mean": r6(f"CAST(SUM(CAST({col} AS DECIMAL(18,6))) OVER {frame} AS DOUBLE) / {cnt}"),
+        "std": r6(f"stddev_samp({col}) OVER {frame}"),
+        "min": f"MIN({col}) OVER {frame}",
+        "max": f"MAX({col}) OVER {frame}",
+    }
+    out = []
+    for s in stats:
+        e = f"CASE WHEN {cnt} >= {need} THEN {exprs[s]} END"
+        if s == "std" and std_null_as is not None:
+            e = f"coalesce({e}, {float(std_null_as)})"
+        out.append(f"{e} AS {col}_roll_{s}_{label}")
+    return out
+
+
+TWO_PI = "6.283185307179586"
