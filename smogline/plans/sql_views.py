@@ -143,4 +143,4 @@ def roll_sql(col: str, n: int, label: str, stats=("mean", "std", "min", "max"),
     return out
 
 
-TWO_PI = "6.283185307179586"
+TWO_PI = "CAST(6.283185307179586 AS DOUBLE)"
