@@ -1 +1,76 @@
-"""Queries registered by import."""
+"""Data-quality queries."""
+
+from __future__ import annotations
+
+from smogline.operators import quality
+from smogline.plans.registry import query
+from smogline.plans.sql_views import READINGS, READINGS_DUP, STATIONS, with_views
+from smogline.sources.testdata import readings_dup, stations
+
+NOW = "2024-02-03 00:00:00"
+
+_METRICS_SQL = """
+m AS (SELECT COUNT(*) AS total_rows,
+        COUNT_IF(aqi IS NULL) AS null_aqi, COUNT_IF(measured_at IS NULL) AS null_measured_at,
+        COUNT_IF(dominant_pollutant IS NULL) AS null_dominant_pollutant,
+        COUNT_IF(queried_city IS NULL) AS null_queried_city,
+        COUNT_IF(aqi < 0 OR aqi > 500) AS aqi_out_of_range,
+        list_sort(list_distinct(list(queried_city))) AS cities,
+        list_sort(list_distinct(list(CASE WHEN source NOT IN ('kaggle', 'api') THEN source END))) AS invalid_sources,
+        COUNT_IF(TRY_CAST(ingested_at AS TIMESTAMP) >= TIMESTAMP '2024-02-03 00:00:00' - INTERVAL 48 HOUR) AS fresh_rows
+      FROM readings_dup)"""
+
+
+@query("dq_metrics", with_views(READINGS, READINGS_DUP, _METRICS_SQL) + "\nSELECT * FROM m")
+def q_dq_metrics(spark, sf_dir):
+    return quality.fact_metrics(readings_dup(spark, sf_dir), NOW)
+
+
+def _pct(c):
+    return f"CASE WHEN total_rows > 0 THEN round(null_{c} / total_rows * 100 + 1e-9, 2) ELSE 0.0 END"
+
+
+_EXP = "['cao-bang', 'da-nang', 'gia-lai', 'ha-noi', 'ho-chi-minh-city']"
+_MISS_F = f"list_filter({_EXP}, lambda x: NOT list_contains(m.cities, x))"
+_MISS_D = f"list_filter({_EXP}, lambda x: NOT list_contains(d.cities, x))"
+
+_CHECKS_SQL = with_views(READINGS, READINGS_DUP, STATIONS, _METRICS_SQL, """
+d AS (SELECT COUNT(*) AS total_stations, list_sort(list_distinct(list(queried_city))) AS cities FROM stations)""") + f"""
+SELECT 'row_count' AS "check", 'fact_aqi' AS "table", CAST(NULL AS VARCHAR) AS "column", CAST(total_rows AS DOUBLE) AS value,
+  10.0 AS threshold, total_rows >= 10 AS passed, 'fact_aqi row count: ' || total_rows || ' (min: 10)' AS message FROM m
+""" + "".join(f"""UNION ALL
+SELECT 'null_pct', 'fact_aqi', '{c}', {_pct(c)}, 5.0, {_pct(c)} <= 5.0,
+  'fact_aqi.{c} null%: ' || CAST({_pct(c)} AS VARCHAR) || '% (max: 5.0%)' FROM m
+""" for c in ["aqi", "measured_at", "dominant_pollutant", "queried_city"]) + f"""UNION ALL
+SELECT 'aqi_range', 'fact_aqi', 'aqi', aqi_out_of_range, 0.0, aqi_out_of_range = 0,
+  'AQI out of range [0-500]: ' || aqi_out_of_range || ' records' FROM m
+UNION ALL
+SELECT 'city_coverage', 'fact_aqi', 'queried_city', len({_MISS_F}), 0.0, len({_MISS_F}) = 0,
+  CASE WHEN len({_MISS_F}) = 0 THEN 'All cities present' ELSE 'Missing cities: ' || array_to_string({_MISS_F}, ',') END FROM m
+UNION ALL
+SELECT 'source_validity', 'fact_aqi', 'source', len(invalid_sources), 0.0, len(invalid_sources) = 0,
+  CASE WHEN len(invalid_sources) = 0 THEN 'All sources valid'
+       ELSE 'Invalid sources: ' || array_to_string(invalid_sources, ',') END FROM m
+UNION ALL
+SELECT 'freshness', 'fact_aqi', 'ingested_at', fresh_rows, 1.0, fresh_rows > 0,
+  fresh_rows || ' rows ingested in the freshness window' FROM m
+UNION ALL
+SELECT 'dim_station_row_count', 'dim_station', NULL, total_stations, 1.0, total_stations > 0,
+  'dim_station: ' || total_stations || ' stations' FROM d
+UNION ALL
+SELECT 'dim_station_city_coverage', 'dim_station', 'queried_city', len({_MISS_D}), 0.0, len({_MISS_D}) = 0,
+  CASE WHEN len({_MISS_D}) = 0 THEN 'All cities have stations'
+       ELSE 'Stations missing for cities: ' || array_to_string({_MISS_D}, ',') END FROM d"""
+
+
+@query("dq_checks", _CHECKS_SQL)
+def q_dq_checks(spark, sf_dir):
+    return quality.run_checks(readings_dup(spark, sf_dir), stations(spark, sf_dir), NOW)
+
+
+@query("dq_gate", "WITH c AS (" + _CHECKS_SQL.replace("WITH ", "WITH ", 1) + """)
+SELECT bool_and(passed) AS quality_passed, COUNT_IF(passed) AS checks_passed, COUNT(*) AS checks_total,
+  coalesce(array_to_string(list_sort(list(CASE WHEN NOT passed THEN "check" || '.' || coalesce("column", '') END)), ','), '') AS failed
+FROM c""")
+def q_dq_gate(spark, sf_dir):
+    return quality.summarize(quality.run_checks(readings_dup(spark, sf_dir), stations(spark, sf_dir), NOW))
