@@ -1 +1,188 @@
-"""Queries registered by import."""
+"""Analysis queries: profiles, quantiles, pivots, shares, KPIs (notebook/dashboard tables)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from smogline import constants as K
+from smogline.functions.columns import aqi_level, exact_avg, rounded_avg, weekday_mon0
+from smogline.operators import gold, profile
+from smogline.operators.clean import in_box
+from smogline.plans.q_gold import _DAILY_SQL
+from smogline.plans.registry import query
+from smogline.plans.sql_views import READINGS, STATIONS, YEARLY, level, r6, ravg, with_views, xavg
+from smogline.sources.testdata import readings, stations, yearly_readings
+
+_R_COLS = ["waqi_idx", "measured_at", "queried_city", "aqi", "dominant_pollutant", "pm25", "pm10", "humidity",
+           "temperature", "pressure", "wind", "source"]
+
+
+@query("null_profile", with_views(READINGS) + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", AVG(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) * 100.0 AS missing_pct FROM readings"
+    for c in _R_COLS))
+def q_null_profile(spark, sf_dir):
+    return profile.null_profile(readings(spark, sf_dir).select(*_R_COLS))
+
+
+def _q(x, p):
+    return r6(f"quantile_cont({x}, {p})")
+
+
+_DESC_COLS = ["aqi", "pm25", "pm10", "humidity"]
+
+
+@query("describe", with_views(READINGS) + "\n" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", COUNT({c}) AS count, {xavg(c)} AS mean, {r6(f'stddev_samp({c})')} AS std,
+  CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max, {_q(c, 0.25)} AS p25, {_q(c, 0.5)} AS p50,
+  {_q(c, 0.75)} AS p75 FROM readings""" for c in _DESC_COLS))
+def q_describe(spark, sf_dir):
+    return profile.describe(readings(spark, sf_dir), _DESC_COLS)
+
+
+@query("city_stats", with_views(READINGS) + f"""
+SELECT queried_city, COUNT(aqi) AS count, {xavg('aqi')} AS mean, {r6('stddev_samp(aqi)')} AS std,
+  MIN(aqi) AS min, MAX(aqi) AS max, AVG(CASE WHEN aqi > 100 THEN 1 ELSE 0 END) * 100.0 AS pct_above_100,
+  {_q('aqi', 0.5)} AS median
+FROM readings GROUP BY 1""")
+def q_city_stats(spark, sf_dir):
+    return profile.city_stats(readings(spark, sf_dir))
+
+
+@query("box_stats", with_views(READINGS, f"""
+q AS (SELECT queried_city, {_q('aqi', 0.25)} AS q1, {_q('aqi', 0.5)} AS median, {_q('aqi', 0.75)} AS q3
+      FROM readings GROUP BY 1),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)""") + """
+SELECT f.*, MIN(CASE WHEN aqi BETWEEN lower_fence AND upper_fence THEN aqi END) AS whisker_low,
+  MAX(CASE WHEN aqi BETWEEN lower_fence AND upper_fence THEN aqi END) AS whisker_high,
+  COUNT_IF(aqi IS NOT NULL AND NOT (aqi BETWEEN lower_fence AND upper_fence)) AS n_outliers
+FROM f JOIN readings r USING (queried_city) GROUP BY ALL""")
+def q_box_stats(spark, sf_dir):
+    return profile.box_stats(readings(spark, sf_dir))
+
+
+@query("hour_profile", with_views(READINGS) + f"""
+SELECT queried_city, CAST(hour(measured_at) AS INTEGER) AS hour, {xavg('aqi')} AS avg_aqi, COUNT(aqi) AS n
+FROM readings GROUP BY 1, 2""")
+def q_hour_profile(spark, sf_dir):
+    return profile.profile_by(readings(spark, sf_dir), ["queried_city", F.hour("measured_at").alias("hour")])
+
+
+def _pivot_sql(row_expr: str, row_name: str, col: str, values, src: str) -> str:
+    cols = ", ".join(f"{xavg(f'CASE WHEN {col} = {v!r} THEN aqi END')} AS \"{v}\"" for v in values)
+    return f"SELECT {row_expr} AS {row_name}, {cols} FROM {src} GROUP BY 1"
+
+
+@query("weekday_pivot", with_views(READINGS) + "\n" + _pivot_sql(
+    "CAST((dayofweek(measured_at) + 6) % 7 AS INTEGER)", "weekday", "queried_city", K.EXPECTED_CITIES, "readings"))
+def q_weekday_pivot(spark, sf_dir):
+    r = readings(spark, sf_dir)
+    return profile.pivot_mean(r, weekday_mon0("measured_at").alias("weekday"), "queried_city", K.EXPECTED_CITIES)
+
+
+_MONTHS = list(range(1, 13))
+
+
+@query("month_pivot", with_views(YEARLY, """
+ym AS (SELECT *, CAST(month(measured_at) AS INTEGER) AS m FROM yearly)""") + "\n" + ", ".join(
+    ["SELECT queried_city"] + [f"{xavg(f'CASE WHEN m = {v} THEN aqi END')} AS \"{v}\"" for v in _MONTHS])
+    + " FROM ym GROUP BY 1")
+def q_month_pivot(spark, sf_dir):
+    y = yearly_readings(spark, sf_dir).withColumn("m", F.month("measured_at"))
+    return profile.pivot_mean(y, "queried_city", "m", _MONTHS)
+
+
+@query("pollutant_share", with_views(READINGS, """
+c AS (SELECT queried_city, dominant_pollutant, COUNT(*) AS n FROM readings GROUP BY 1, 2)""") + """
+SELECT *, n / SUM(n) OVER (PARTITION BY queried_city) * 100.0 AS share_pct FROM c""")
+def q_pollutant_share(spark, sf_dir):
+    return profile.share_within(readings(spark, sf_dir), "queried_city", "dominant_pollutant")
+
+
+@query("station_map", with_views(READINGS, STATIONS, f"""
+a AS (SELECT waqi_idx, {xavg('aqi')} AS avg_aqi, COUNT(*) AS n FROM readings GROUP BY 1)""") + """
+SELECT a.waqi_idx, s.station_name, s.lat, s.lon, a.avg_aqi, a.n FROM a JOIN stations s USING (waqi_idx)
+WHERE s.lat BETWEEN 8 AND 24 AND s.lon BETWEEN 102 AND 110""")
+def q_station_map(spark, sf_dir):
+    a = readings(spark, sf_dir).groupBy("waqi_idx").agg(exact_avg("aqi").alias("avg_aqi"),
+                                                          F.count(F.lit(1)).alias("n"))
+    st = in_box(stations(spark, sf_dir))
+    return a.join(st.select("waqi_idx", "station_name", "lat", "lon"), "waqi_idx")
+
+
+_LATEST_COLS = ["aqi", "pm25", "pm10", "dominant_pollutant"]
+
+
+@query("latest_by_city", with_views(READINGS, """
+o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY queried_city ORDER BY measured_at DESC, waqi_idx DESC) AS rn FROM readings)""")
+    + "\nSELECT queried_city, " + ", ".join(
+        f"(SELECT x.{c} FROM (SELECT {c}, ROW_NUMBER() OVER (ORDER BY measured_at DESC, waqi_idx DESC) AS k "
+        f"FROM readings i WHERE i.queried_city = g.queried_city AND i.{c} IS NOT NULL) x WHERE k = 1) AS {c}"
+        for c in _LATEST_COLS) + " FROM (SELECT DISTINCT queried_city FROM readings) g")
+def q_latest_by_city(spark, sf_dir):
+    return profile.latest_non_null(readings(spark, sf_dir), "queried_city", _LATEST_COLS, ["measured_at", "waqi_idx"])
+
+
+_YDAILY = _DAILY_SQL.replace("FROM readings", "FROM yearly").replace("WITH ", "", 1)
+
+
+@query("annual_summary", with_views(YEARLY, _YDAILY, f"""
+an AS (SELECT queried_city, year, {ravg('avg_aqi')} AS avg_aqi, MAX(max_aqi) AS max_aqi,
+         COUNT_IF(pollution_level = 'Good') AS days_good,
+         COUNT_IF(pollution_level IN ('Unhealthy', 'Very Unhealthy', 'Hazardous')) AS days_unhealthy
+       FROM daily GROUP BY 1, 2)""") + """
+SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY year ORDER BY avg_aqi DESC, queried_city) AS INTEGER) AS overall_rank FROM an""")
+def q_annual_summary(spark, sf_dir):
+    d = gold.daily_summary(yearly_readings(spark, sf_dir))
+    an = d.groupBy("queried_city", "year").agg(
+        rounded_avg("avg_aqi").alias("avg_aqi"), F.max("max_aqi").alias("max_aqi"),
+        F.count_if(F.col("pollution_level") == "Good").alias("days_good"),
+        F.count_if(F.col("pollution_level").isin("Unhealthy", "Very Unhealthy", "Hazardous")).alias("days_unhealthy"))
+    w = Window.partitionBy("year").orderBy(F.col("avg_aqi").desc(), F.col("queried_city"))
+    return an.withColumn("overall_rank", F.row_number().over(w))
+
+
+from smogline.plans.q_gold import _MONTHLY_SQL  # noqa: E402
+
+_YEARLY_MONTHLY_SQL = "WITH " + YEARLY.strip() + ",\n" + _MONTHLY_SQL.replace("WITH ", "", 1).replace(
+    "readings AS (", "readings_unused AS (", 1).replace("FROM readings", "FROM yearly")
+
+
+@query("city_ranking_yearly", _YEARLY_MONTHLY_SQL)
+def q_city_ranking_yearly(spark, sf_dir):
+    return gold.monthly_ranking(yearly_readings(spark, sf_dir))
+
+
+@query("level_counts", _DAILY_SQL + """
+SELECT queried_city, pollution_level, COUNT(*) AS n_days FROM daily GROUP BY 1, 2""")
+def q_level_counts(spark, sf_dir):
+    d = gold.daily_summary(readings(spark, sf_dir))
+    return d.groupBy("queried_city", "pollution_level").agg(F.count(F.lit(1)).alias("n_days"))
+
+
+@query("aqi_histogram", with_views(READINGS) + """
+SELECT queried_city, floor(aqi / 25.0) * 25.0 AS bin_start, COUNT(*) AS n FROM readings WHERE aqi IS NOT NULL GROUP BY 1, 2""")
+def q_aqi_histogram(spark, sf_dir):
+    return profile.histogram(readings(spark, sf_dir), "aqi", 25.0, ["queried_city"])
+
+
+@query("aqi_p95", with_views(READINGS) + f"\nSELECT {_q('aqi', 0.95)} AS p95 FROM readings")
+def q_aqi_p95(spark, sf_dir):
+    return profile.exact_quantiles(readings(spark, sf_dir), [], "aqi", [0.95], ["p95"])
+
+
+@query("dashboard_monthly", with_views(READINGS, f"""
+dd AS (SELECT queried_city, CAST(measured_at AS DATE) AS "date", {xavg('aqi')} AS avg_aqi, MAX(aqi) AS max_aqi,
+         {xavg('pm25')} AS avg_pm25 FROM readings GROUP BY 1, 2),
+mo AS (SELECT queried_city, CAST(year("date") AS INTEGER) AS year, CAST(month("date") AS INTEGER) AS month,
+         {xavg('avg_aqi')} AS avg_aqi, MAX(max_aqi) AS max_aqi, {xavg('avg_pm25')} AS avg_pm25 FROM dd GROUP BY 1, 2, 3)""") + f"""
+SELECT *, CAST(DENSE_RANK() OVER (PARTITION BY year, month ORDER BY avg_aqi DESC) AS INTEGER) AS aqi_rank,
+  {level('avg_aqi')} AS pollution_level FROM mo""")
+def q_dashboard_monthly(spark, sf_dir):
+    r = readings(spark, sf_dir).withColumn("date", F.to_date("measured_at"))
+    dd = r.groupBy("queried_city", "date").agg(exact_avg("aqi").alias("avg_aqi"), F.max("aqi").alias("max_aqi"),
+                                               exact_avg("pm25").alias("avg_pm25"))
+    mo = dd.groupBy("queried_city", F.year("date").alias("year"), F.month("date").alias("month")).agg(
+        exact_avg("avg_aqi").alias("avg_aqi"), F.max("max_aqi").alias("max_aqi"), exact_avg("avg_pm25").alias("avg_pm25"))
+    w = Window.partitionBy("year", "month").orderBy(F.col("avg_aqi").desc())
+    return mo.withColumn("aqi_rank", F.dense_rank().over(w)).withColumn("pollution_level", aqi_level("avg_aqi"))

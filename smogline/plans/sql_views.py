@@ -144,3 +144,18 @@ def roll_sql(col: str, n: int, label: str, stats=("mean", "std", "min", "max"),
 
 
 TWO_PI = "CAST(6.283185307179586 AS DOUBLE)"
+
+
+YEARLY = """
+yearly AS (
+  SELECT CAST(o_custkey * 5 + c AS INT) AS waqi_idx, CAST(o_orderdate AS TIMESTAMP) AS measured_at,
+    CASE c WHEN 0 THEN 'ha-noi' WHEN 1 THEN 'ho-chi-minh-city' WHEN 2 THEN 'da-nang'
+           WHEN 3 THEN 'gia-lai' ELSE 'cao-bang' END AS queried_city,
+    o_totalprice / 1000.0 AS aqi,
+    CASE o_orderstatus WHEN 'F' THEN 'pm25' WHEN 'O' THEN 'pm10' ELSE 'o3' END AS dominant_pollutant,
+    (o_totalprice / 1000.0) * CAST(0.7 AS DOUBLE) AS pm25, (o_totalprice / 1000.0) * CAST(0.9 AS DOUBLE) AS pm10,
+    CAST(40 + o_orderkey % 50 AS DOUBLE) AS humidity, CAST(15 + o_orderkey % 20 AS DOUBLE) AS temperature,
+    'kaggle' AS source, o_orderkey AS event_id
+  FROM (SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2
+                  WHEN '4-NOT SPECIFIED' THEN 3 ELSE 4 END AS c FROM orders) o
+)"""

@@ -186,3 +186,37 @@ def api_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("data"),
         ).alias("doc"),
     ).select("doc.status", "doc.data", "queried_city", "year", "month", "day")
+
+
+PRIORITY_CODES = {"1-URGENT": 0, "2-HIGH": 1, "3-MEDIUM": 2, "4-NOT SPECIFIED": 3}  # others -> 4
+STATUS_POLLUTANT = {"F": "pm25", "O": "pm10"}  # others -> o3
+
+
+def yearly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-year daily readings from ``orders`` (1995-2001), for monthly/annual queries.
+
+    city by order priority, aqi = total price / 1000 (inside the 0-500 scale),
+    pollutant by order status; one reading per order at the order date.
+    """
+    o = table(spark, sf_dir, "orders")
+    code = None
+    for name, i in PRIORITY_CODES.items():
+        cond = F.col("o_orderpriority") == name
+        code = F.when(cond, F.lit(i)) if code is None else code.when(cond, F.lit(i))
+    code = code.otherwise(F.lit(4))
+    pol = F.when(F.col("o_orderstatus") == "F", F.lit("pm25")).when(F.col("o_orderstatus") == "O", F.lit("pm10")) \
+        .otherwise(F.lit("o3"))
+    aqi = F.col("o_totalprice") / F.lit(1000.0)
+    return o.select(
+        (F.col("o_custkey") * 5 + code).cast("int").alias("waqi_idx"),
+        F.col("o_orderdate").cast("timestamp").alias("measured_at"),
+        _city_of(code).alias("queried_city"),
+        aqi.alias("aqi"),
+        pol.alias("dominant_pollutant"),
+        (aqi * F.lit(0.7)).alias("pm25"),
+        (aqi * F.lit(0.9)).alias("pm10"),
+        (F.lit(40) + F.col("o_orderkey") % 50).cast("double").alias("humidity"),
+        (F.lit(15) + F.col("o_orderkey") % 20).cast("double").alias("temperature"),
+        F.lit("kaggle").alias("source"),
+        F.col("o_orderkey").alias("event_id"),
+    )
