@@ -1 +1,169 @@
-"""Queries registered by import."""
+"""ML data queries: codes, splits, metrics, baselines, scaling, anomaly reports, models."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from smogline import constants as K
+from smogline.operators import ml
+from smogline.operators import windows as W
+from smogline.plans.registry import query
+from smogline.plans.sql_views import (
+    READINGS, YEARLY, hourly_cte, r6, roll_sql, with_views, xavg,
+)
+from smogline.sources.testdata import readings, yearly_readings
+
+TRAIN_END, VAL_END = "2024-01-20 00:00:00", "2024-01-25 00:00:00"
+WIN = "WINDOW w AS (PARTITION BY queried_city ORDER BY measured_at)"
+
+
+def _features(spark, sf_dir):
+    return W.hourly_features(W.hourly(readings(spark, sf_dir)))
+
+
+def _zscored(spark, sf_dir):
+    h = W.hourly(readings(spark, sf_dir))
+    f = h.withColumns(W.rolling_columns("aqi", [(168, "7d")], W._w("queried_city", "measured_at"), stats=("mean", "std")))
+    return W.zscore_anomalies(f)
+
+
+_Z_SQL = with_views(READINGS, hourly_cte(), f"""
+f AS (SELECT *, {', '.join(roll_sql('aqi', 168, '7d', stats=('mean', 'std')))} FROM h {WIN}),
+z0 AS (SELECT *, {r6("(aqi - aqi_roll_mean_7d) / NULLIF(aqi_roll_std_7d, 0.0)")} AS zscore_7d FROM f),
+z AS (SELECT *, CASE WHEN abs(zscore_7d) > 3.0 THEN 1 ELSE 0 END AS is_anom_zscore FROM z0)""")
+
+
+@query("city_code", with_views(READINGS, hourly_cte(), f"""
+codes AS (SELECT queried_city, CAST(DENSE_RANK() OVER (ORDER BY queried_city) - 1 AS INTEGER) AS city_code
+          FROM (SELECT DISTINCT queried_city FROM h WHERE measured_at < TIMESTAMP '{TRAIN_END}') t)""") + """
+SELECT h.queried_city, coalesce(codes.city_code, -1) AS city_code, COUNT(*) AS n
+FROM h LEFT JOIN codes USING (queried_city) GROUP BY 1, 2""")
+def q_city_code(spark, sf_dir):
+    h = W.hourly(readings(spark, sf_dir))
+    table = ml.fit_codes(h.filter(F.col("measured_at") < F.lit(TRAIN_END).cast("timestamp")), "queried_city")
+    return ml.apply_codes(h, table, "queried_city").groupBy("queried_city", "city_code").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("time_split", with_views(READINGS, hourly_cte()) + f"""
+SELECT CASE WHEN measured_at < TIMESTAMP '{TRAIN_END}' THEN 'train'
+            WHEN measured_at < TIMESTAMP '{VAL_END}' THEN 'val' ELSE 'test' END AS split,
+  COUNT(*) AS n, MIN(measured_at) AS first_at, MAX(measured_at) AS last_at
+FROM h GROUP BY 1""")
+def q_time_split(spark, sf_dir):
+    s = ml.time_split(W.hourly(readings(spark, sf_dir)), TRAIN_END, VAL_END)
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.min("measured_at").alias("first_at"),
+                                  F.max("measured_at").alias("last_at"))
+
+
+_FEAT_SQL = with_views(READINGS, hourly_cte(), f"""
+ft AS (SELECT *, {', '.join(e for n, lab in [(24, '24h'), (168, '7d')] for e in roll_sql('aqi', n, lab, stats=('mean',)))},
+         LEAD(aqi, 24) OVER w AS aqi_target FROM h {WIN}),
+te AS (SELECT * FROM ft WHERE measured_at >= TIMESTAMP '{VAL_END}')""")
+
+
+def _metrics_sql(y: str, p: str) -> str:
+    e = f"CASE WHEN {y} IS NOT NULL AND {p} IS NOT NULL THEN {y} - {p} END"
+    return (f"{r6(f'AVG(abs({e}))')} AS mae, {r6(f'sqrt(AVG(({e}) * ({e})))')} AS rmse, "
+            f"{r6(f'AVG(abs(({e}) / ({y} + 1e-6))) * 100.0')} AS mape, COUNT({e}) AS n")
+
+
+_BASELINES = {"naive": "aqi", "rolling_mean_24h": "aqi_roll_mean_24h", "rolling_mean_7d": "aqi_roll_mean_7d"}
+
+
+@query("baseline_metrics", _FEAT_SQL + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS name, {_metrics_sql('aqi_target', c)} FROM te" for n, c in _BASELINES.items()))
+def q_baseline_metrics(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    te = f.filter(F.col("measured_at") >= F.lit(VAL_END).cast("timestamp"))
+    return ml.baseline_metrics(te, "aqi_target", _BASELINES)
+
+
+@query("city_errors", _FEAT_SQL + f"""
+SELECT queried_city, COUNT(*) AS n, {r6('AVG(abs(aqi_target - aqi))')} AS mae,
+  {r6('sqrt(AVG((aqi_target - aqi) * (aqi_target - aqi)))')} AS rmse, {xavg('aqi_target')} AS mean_target
+FROM te WHERE aqi_target IS NOT NULL AND aqi IS NOT NULL GROUP BY 1""")
+def q_city_errors(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    te = f.filter(F.col("measured_at") >= F.lit(VAL_END).cast("timestamp"))
+    return ml.city_errors(te, "aqi_target", "aqi")
+
+
+_SCALE_COLS = ["aqi", "pm25", "pm10", "temperature", "humidity", "pressure", "wind"]
+
+
+@query("scale_features", with_views(READINGS, hourly_cte(), f"""
+st AS (SELECT {', '.join(f"{xavg(c)} AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _SCALE_COLS)}
+       FROM h WHERE measured_at < TIMESTAMP '{TRAIN_END}')""") + f"""
+SELECT queried_city, measured_at, {', '.join(f"{r6(f'({c} - m_{c}) / NULLIF(s_{c}, 0.0)')} AS {c}_z" for c in _SCALE_COLS)}
+FROM h CROSS JOIN st""")
+def q_scale_features(spark, sf_dir):
+    h = W.hourly(readings(spark, sf_dir))
+    stats = ml.fit_scaler(h.filter(F.col("measured_at") < F.lit(TRAIN_END).cast("timestamp")), _SCALE_COLS)
+    return ml.apply_scaler(h.select("queried_city", "measured_at", *_SCALE_COLS), stats).drop(*_SCALE_COLS)
+
+
+@query("anomaly_kpis", _Z_SQL + """
+SELECT COUNT(*) AS "rows", CAST(SUM(is_anom_zscore) AS BIGINT) AS anomalies, AVG(is_anom_zscore) * 100.0 AS anomaly_rate_pct,
+  COUNT_IF(is_anom_zscore = 1 AND aqi > 150.0) AS severe_anomalies FROM z""")
+def q_anomaly_kpis(spark, sf_dir):
+    return ml.flag_kpis(_zscored(spark, sf_dir), "is_anom_zscore")
+
+
+@query("alerts", _Z_SQL + """
+SELECT queried_city, measured_at, aqi, zscore_7d FROM z WHERE is_anom_zscore = 1 AND aqi > 150.0""")
+def q_alerts(spark, sf_dir):
+    return ml.alerts(_zscored(spark, sf_dir), "is_anom_zscore").select("queried_city", "measured_at", "aqi", "zscore_7d")
+
+
+@query("top_anomalies", _Z_SQL + """
+SELECT queried_city, measured_at, aqi, zscore_7d, abs(zscore_7d) AS score FROM z
+ORDER BY score DESC NULLS LAST, queried_city, measured_at LIMIT 20""")
+def q_top_anomalies(spark, sf_dir):
+    z = _zscored(spark, sf_dir).select("queried_city", "measured_at", "aqi", "zscore_7d",
+                                       F.abs("zscore_7d").alias("score"))
+    return ml.top_k(z, "score", 20, ["queried_city", "measured_at"])
+
+
+@query("top_anomalies_by_city", _Z_SQL + """
+SELECT * FROM (SELECT queried_city, measured_at, aqi, abs(zscore_7d) AS score,
+  CAST(ROW_NUMBER() OVER (PARTITION BY queried_city ORDER BY abs(zscore_7d) DESC NULLS LAST, queried_city, measured_at) AS INTEGER) AS rank
+  FROM z) x WHERE rank <= 5""")
+def q_top_anomalies_by_city(spark, sf_dir):
+    z = _zscored(spark, sf_dir).select("queried_city", "measured_at", "aqi", F.abs("zscore_7d").alias("score"))
+    return ml.top_k(z, "score", 5, ["queried_city", "measured_at"], per="queried_city")
+
+
+def _yearly_daily_z(spark, sf_dir, k: float = 2.0):
+    d = W.daily_means(yearly_readings(spark, sf_dir), measures=["aqi", "pm25"]).select("queried_city", "measured_at", "aqi")
+    d = d.withColumns(W.rolling_columns("aqi", [(7, "7d")], W._w("queried_city", "measured_at"), stats=("mean", "std")))
+    return W.zscore_anomalies(d, k=k)
+
+
+_YZ_SQL = with_views(YEARLY, f"""
+d AS (SELECT queried_city, date_trunc('day', measured_at) AS measured_at, {xavg('aqi')} AS aqi
+      FROM yearly GROUP BY 1, 2 HAVING {xavg('aqi')} IS NOT NULL),
+f AS (SELECT *, {', '.join(roll_sql('aqi', 7, '7d', stats=('mean', 'std')))} FROM d {WIN}),
+z0 AS (SELECT *, {r6("(aqi - aqi_roll_mean_7d) / NULLIF(aqi_roll_std_7d, 0.0)")} AS zscore_7d FROM f),
+z AS (SELECT *, CASE WHEN abs(zscore_7d) > 2.0 THEN 1 ELSE 0 END AS is_anom_zscore FROM z0)""")
+
+
+@query("monthly_anomalies", _YZ_SQL + """,
+c AS (SELECT queried_city, CAST(year(measured_at) AS INTEGER) AS year, CAST(month(measured_at) AS INTEGER) AS month,
+        CAST(SUM(is_anom_zscore) AS BIGINT) AS n FROM z GROUP BY 1, 2, 3),
+cal AS (SELECT DISTINCT queried_city, CAST(year(measured_at) AS INTEGER) AS year, CAST(unnest(range(1, 13)) AS INTEGER) AS month FROM z)
+SELECT cal.queried_city, cal.year, cal.month, coalesce(c.n, 0) AS n_anomalies
+FROM cal LEFT JOIN c USING (queried_city, year, month)""")
+def q_monthly_anomalies(spark, sf_dir):
+    return ml.monthly_counts(_yearly_daily_z(spark, sf_dir), "is_anom_zscore")
+
+
+_SEASONS = {"winter": [11, 12, 1, 2], "summer": [6, 7, 8]}
+
+
+@query("seasonal_anomaly_rate", _YZ_SQL + """
+SELECT CASE WHEN month(measured_at) IN (11, 12, 1, 2) THEN 'winter' ELSE 'summer' END AS season,
+  COUNT(*) AS n, AVG(is_anom_zscore) * 100.0 AS rate_pct
+FROM z WHERE queried_city = 'ha-noi' AND month(measured_at) IN (11, 12, 1, 2, 6, 7, 8) GROUP BY 1""")
+def q_seasonal_anomaly_rate(spark, sf_dir):
+    return ml.seasonal_rate(_yearly_daily_z(spark, sf_dir), "is_anom_zscore", "ha-noi", _SEASONS)
