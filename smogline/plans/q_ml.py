@@ -167,3 +167,99 @@ SELECT CASE WHEN month(measured_at) IN (11, 12, 1, 2) THEN 'winter' ELSE 'summer
 FROM z WHERE queried_city = 'ha-noi' AND month(measured_at) IN (11, 12, 1, 2, 6, 7, 8) GROUP BY 1""")
 def q_seasonal_anomaly_rate(spark, sf_dir):
     return ml.seasonal_rate(_yearly_daily_z(spark, sf_dir), "is_anom_zscore", "ha-noi", _SEASONS)
+
+
+# --- isolation forest (custom job; no SQL oracle: randomised trees) -------------------
+_IF_FEATURES = ["aqi", "pm25", "pm10", "temperature", "humidity", "pressure", "wind"]
+
+
+def _iforest_scored(spark, sf_dir, n_trees: int = 200):
+    from smogline.operators.iforest import isolation_forest
+
+    z = _zscored(spark, sf_dir)
+    h = W.hourly(readings(spark, sf_dir))
+    both = h.join(z.select("queried_city", "measured_at", "zscore_7d", "is_anom_zscore"),
+                  ["queried_city", "measured_at"], "left")
+    return isolation_forest(spark, both, ["queried_city", "measured_at"], _IF_FEATURES, n_trees=n_trees,
+                            contamination=K.ANOMALY_CONTAMINATION)
+
+
+@query("iforest_scores")
+def q_iforest_scores(spark, sf_dir):
+    return _iforest_scored(spark, sf_dir).select("queried_city", "measured_at", "aqi", "iforest_score",
+                                                 "is_anom_iforest")
+
+
+@query("anomaly_agreement")
+def q_anomaly_agreement(spark, sf_dir):
+    return ml.agreement(_iforest_scored(spark, sf_dir), "is_anom_zscore", "is_anom_iforest")
+
+
+@query("iforest_rate")
+def q_iforest_rate(spark, sf_dir):
+    s = _iforest_scored(spark, sf_dir)
+    return s.agg(F.avg("is_anom_iforest").alias("observed_rate"),
+                 F.min(F.when(F.col("is_anom_iforest") == 1, F.col("iforest_score"))).alias("min_flagged_score"))
+
+
+@query("contamination_sweep")
+def q_contamination_sweep(spark, sf_dir):
+    from smogline.operators.iforest import thresholds
+
+    s = _iforest_scored(spark, sf_dir).persist()
+    thr = thresholds(s, K.CONTAMINATION_SWEEP)
+    z = F.coalesce(F.col("is_anom_zscore"), F.lit(0)) == 1
+    aggs = []
+    for r, t in zip(K.CONTAMINATION_SWEEP, thr):
+        hit = F.col("iforest_score") > F.lit(t)
+        aggs += [F.avg(hit.cast("int")).alias(f"f_{len(aggs)}"), F.count_if(hit & z).alias(f"o_{len(aggs)}"),
+                 F.count_if(hit).alias(f"n_{len(aggs)}")]
+    row = s.agg(*aggs)
+    parts = []
+    for i, r in enumerate(K.CONTAMINATION_SWEEP):
+        j = 3 * i
+        parts.append(F.struct(F.lit(r).alias("contamination"), (F.col(f"f_{j}") * 100.0).alias("pct_flagged"),
+                              F.col(f"o_{j}").alias("overlap_with_zscore"),
+                              (F.col(f"o_{j}") / F.greatest(F.col(f"n_{j}"), F.lit(1)) * 100.0).alias("overlap_pct")))
+    return row.select(F.inline(F.array(*parts)))
+
+
+# --- gradient-boosted forecast and contributions (MLlib; no SQL oracle) --------------
+_DROP = ["measured_at", "queried_city", "aqi_target", "year", "month_part", "split", "is_val"]
+
+
+def _gbt(spark, sf_dir):
+    from smogline.operators import forecast
+
+    f = _features(spark, sf_dir)
+    codes = ml.fit_codes(f.filter(F.col("measured_at") < F.lit(TRAIN_END).cast("timestamp")), "queried_city")
+    f = ml.apply_codes(f, codes, "queried_city")
+    rows, feats = ml.training_rows(f, "aqi_target", _DROP)
+    rows = ml.time_split(rows, TRAIN_END, VAL_END).withColumn("is_val", F.col("split") == "val").persist()
+    model = forecast.train_gbt(rows.filter(F.col("split") != "test"), feats, max_iter=40, max_depth=4)
+    return rows, feats, model
+
+
+@query("gbt_forecast")
+def q_gbt_forecast(spark, sf_dir):
+    rows, feats, model = _gbt(spark, sf_dir)
+    pred = model.transform(rows.filter(F.col("split") == "test"))
+    return pred.select("queried_city", "measured_at", "aqi_target", F.col("prediction").alias("predicted_aqi"))
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    rows, feats, model = _gbt(spark, sf_dir)
+    te = model.transform(rows.filter(F.col("split") == "test"))
+    base = ml.baseline_metrics(te, "aqi_target", {**_BASELINES, "gbt": "prediction"})
+    return ml.approval(base, K.MODEL_APPROVAL_MAE)
+
+
+@query("contributions")
+def q_contributions(spark, sf_dir):
+    from smogline.operators import forecast
+
+    rows, feats, model = _gbt(spark, sf_dir)
+    te = rows.filter(F.col("split") == "test")
+    c = forecast.contributions(spark, te, model, feats, ["queried_city", "measured_at"])
+    return forecast.importance(c, ["queried_city"], top=5)
