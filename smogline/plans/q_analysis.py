@@ -186,3 +186,56 @@ def q_dashboard_monthly(spark, sf_dir):
         exact_avg("avg_aqi").alias("avg_aqi"), F.max("max_aqi").alias("max_aqi"), exact_avg("avg_pm25").alias("avg_pm25"))
     w = Window.partitionBy("year", "month").orderBy(F.col("avg_aqi").desc())
     return mo.withColumn("aqi_rank", F.dense_rank().over(w)).withColumn("pollution_level", aqi_level("avg_aqi"))
+
+
+# --- rank correlation and mutual information ------------------------------------------
+_CORR_COLS = ["aqi", "pm25", "pm10", "humidity", "temperature", "pressure", "wind"]
+
+
+def _spearman_sql() -> str:
+    from itertools import combinations
+
+    parts = []
+    for a, b in combinations(_CORR_COLS, 2):
+        parts.append(f"""SELECT '{a}' AS a, '{b}' AS b, {r6('corr(rx, ry)')} AS rho, COUNT(*) AS n FROM (
+  SELECT RANK() OVER (ORDER BY {a}) + (COUNT(*) OVER (PARTITION BY {a}) - 1) / 2.0 AS rx,
+         RANK() OVER (ORDER BY {b}) + (COUNT(*) OVER (PARTITION BY {b}) - 1) / 2.0 AS ry
+  FROM readings WHERE {a} IS NOT NULL AND {b} IS NOT NULL) t""")
+    return with_views(READINGS) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@query("spearman", _spearman_sql())
+def q_spearman(spark, sf_dir):
+    from smogline.operators.stats import spearman
+
+    return spearman(readings(spark, sf_dir), _CORR_COLS)
+
+
+_MI_FEATURES = ["pm10", "humidity", "temperature", "pressure", "wind"]
+
+
+def _mi_sql() -> str:
+    cols = _MI_FEATURES + ["aqi"]
+    probs = [i / 10 for i in range(1, 10)]
+    unp = "\nUNION ALL\n".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS v, aqi AS t FROM readings "
+                               f"WHERE {c} IS NOT NULL AND aqi IS NOT NULL" for c in cols)
+    edges = ", ".join(f"{r6(f'quantile_cont(v, {p})')} AS e{i + 1}" for i, p in enumerate(probs))
+    bx = " + ".join(f"CASE WHEN v > e{i} THEN 1 ELSE 0 END" for i in range(1, 10))
+    by = " + ".join(f"CASE WHEN t > (SELECT e{i} FROM ed WHERE col = 'aqi') THEN 1 ELSE 0 END" for i in range(1, 10))
+    return with_views(READINGS, f"""
+lg AS ({unp}),
+ed AS (SELECT col, {edges} FROM lg GROUP BY col),
+bn AS (SELECT lg.col, {bx} AS bx, {by} AS b_y FROM lg JOIN ed USING (col)),
+j AS (SELECT col, bx, b_y, COUNT(*) AS nxy FROM bn GROUP BY ALL),
+jj AS (SELECT *, SUM(nxy) OVER (PARTITION BY col) AS n, SUM(nxy) OVER (PARTITION BY col, bx) AS nx,
+         SUM(nxy) OVER (PARTITION BY col, b_y) AS ny FROM j),
+mi AS (SELECT col AS feature, {r6('SUM((nxy / n) * ln((nxy * n) / (nx * ny)))')} AS mutual_info
+       FROM jj WHERE col <> 'aqi' GROUP BY 1)""") + """
+SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY mutual_info DESC, feature) AS INTEGER) AS rank FROM mi"""
+
+
+@query("mutual_info", _mi_sql())
+def q_mutual_info(spark, sf_dir):
+    from smogline.operators.stats import binned_mutual_info
+
+    return binned_mutual_info(readings(spark, sf_dir), _MI_FEATURES, "aqi")
