@@ -1 +1,131 @@
-"""Queries registered by import."""
+"""Source/sink and streaming queries: files are written to the shared checkpoint
+folder (``spark.checkpoint.dir``), read back through the library, and compared."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from smogline import schemas
+from smogline.operators import clean, gold
+from smogline.operators import windows as W
+from smogline.plans.q_gold import DAILY_SUMMARY_SQL
+from smogline.plans.registry import ORACLE, query
+from smogline.plans.sql_views import READINGS, STATIONS, hourly_cte, with_views, xavg
+from smogline.session import scratch_path
+from smogline.sources import files
+from smogline.sources.testdata import api_documents, readings, readings_dirty, stations
+from smogline.streaming import ingest
+
+RUN1, RUN2 = "2024-02-01T00:00:00", "2024-02-02T06:00:00"
+
+
+def _write_docs(docs, path):
+    docs.write.mode("append").partitionBy("queried_city", "year", "month", "day").json(path)
+
+
+@query("stream_ingest", with_views(READINGS, """
+SELECT waqi_idx, measured_at, CASE WHEN event_id % 11 = 0 THEN NULL ELSE aqi END AS aqi, dominant_pollutant,
+  pm25, pm10, CAST(NULL AS DOUBLE) AS co, CAST(NULL AS DOUBLE) AS no2, CAST(NULL AS DOUBLE) AS o3,
+  CAST(NULL AS DOUBLE) AS so2, humidity, temperature, pressure, wind, 'api' AS source,
+  CASE WHEN day(measured_at) <= 15 THEN '2024-02-01T00:00:00' ELSE '2024-02-02T06:00:00' END AS ingested_at,
+  queried_city, 'Station ' || CAST(waqi_idx AS VARCHAR) AS station_name,
+  'https://aqi.example/city/vietnam/' || queried_city || '/' AS url,
+  CAST(8 + waqi_idx % 16 AS DOUBLE) AS lat, CAST(102 + waqi_idx % 8 AS DOUBLE) AS lon,
+  CAST(year(measured_at) AS VARCHAR) AS year, lpad(CAST(month(measured_at) AS VARCHAR), 2, '0') AS month
+FROM readings WHERE event_id % 43 <> 0"""))
+def q_stream_ingest(spark, sf_dir):
+    """Two arrivals of documents (the second re-delivers the first half), three runs."""
+    root = scratch_path(spark, "stream-ingest")
+    src, sink, ckpt = f"{root}/bronze", f"{root}/fact_aqi", f"{root}/_checkpoint"
+    docs = api_documents(spark, sf_dir)
+    first = docs.filter(F.col("day").cast("int") <= 15)
+    _write_docs(first, src)
+    ingest.ingest_new(spark, src, sink, ckpt, ingested_at=RUN1)
+    _write_docs(docs.filter(F.col("day").cast("int") > 15).unionByName(first), src)
+    ingest.ingest_new(spark, src, sink, ckpt, ingested_at=RUN2)
+    ingest.ingest_new(spark, src, sink, ckpt, ingested_at="never-used")  # nothing new: no batch runs
+    return spark.read.schema(ingest.SINK_SCHEMA).parquet(sink).select(*clean.FACT_COLUMNS[:16], "queried_city", "station_name", "url",
+                                           "lat", "lon", "year", "month")
+
+
+@query("stream_hourly", with_views(READINGS, """
+f AS (SELECT *, CASE WHEN event_id % 11 = 0 THEN NULL ELSE aqi END AS aqi_api FROM readings WHERE event_id % 43 <> 0),
+wm AS (SELECT MAX(measured_at) - INTERVAL 48 HOUR AS t FROM f)""") + f"""
+SELECT queried_city, date_trunc('hour', measured_at) AS hour_start, {xavg('aqi_api')} AS aqi, {xavg('pm25')} AS pm25,
+  {xavg('pm10')} AS pm10, {xavg('humidity')} AS humidity, {xavg('temperature')} AS temperature, COUNT(*) AS n
+FROM f GROUP BY 1, 2 HAVING date_trunc('hour', measured_at) + INTERVAL 1 HOUR <= (SELECT t FROM wm)""")
+def q_stream_hourly(spark, sf_dir):
+    """Event-time hourly means with a 48 h watermark (append: closed windows only)."""
+    root = scratch_path(spark, "stream-hourly")
+    src = f"{root}/bronze"
+    _write_docs(api_documents(spark, sf_dir), src)
+    ingest.hourly_stream(spark, src, f"{root}/hourly", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/hourly")
+
+
+_CSV_MAP = {"station_id": "Station ID", "aqi_index": "AQI index", "location": "Location",
+            "station_name": "Station name", "url": "Url", "dominent_pollutant": "Dominent pollutant",
+            "humidity": "Humidity", "pressure": "Pressure", "pm10": "PM10", "pm25": "PM2.5",
+            "temperature": "Temperature", "wind": "Wind", "data_time_s": "Data Time S", "data_time_tz": "Data Time Tz"}
+
+
+@query("csv_ingest", ORACLE["clean_station_rows"])
+def q_csv_ingest(spark, sf_dir):
+    """Dirty rows written as a raw station CSV (original headers), read as text, cleaned."""
+    path = scratch_path(spark, "station-csv")
+    d = readings_dirty(spark, sf_dir).withColumnsRenamed(_CSV_MAP)
+    cols = [F.col(f"`{c}`") if c in d.columns else F.lit(None).cast("string").alias(c)
+            for c in schemas.STATION_CSV_COLUMNS]
+    d.select(*cols).write.option("header", True).csv(path)
+    return clean.clean_station_rows(files.read_station_csv(spark, path))
+
+
+@query("scored_parts", with_views(READINGS, hourly_cte()) + """
+SELECT queried_city, strftime(measured_at, '%Y-%m-%d %H:%M:%S') AS measured_at, aqi AS predicted_aqi
+FROM h WHERE hour(measured_at) <> 3""")
+def q_scored_parts(spark, sf_dir):
+    """Scoring output parts with non-numeric predictions mixed in; only numeric rows kept."""
+    path = scratch_path(spark, "scored")
+    h = W.hourly(readings(spark, sf_dir))
+    out = h.select("queried_city", F.date_format("measured_at", "yyyy-MM-dd HH:mm:ss").alias("measured_at"),
+                   F.when(F.hour("measured_at") == 3, F.lit("not-a-number")).otherwise(F.col("aqi").cast("string"))
+                   .alias("predicted_aqi"))
+    out.write.csv(path)
+    return files.read_scored(spark, path, ["queried_city", "measured_at", "predicted_aqi"], "predicted_aqi")
+
+
+@query("gold_rewrite", DAILY_SUMMARY_SQL)
+def q_gold_rewrite(spark, sf_dir):
+    """Daily summary written twice with dynamic partition overwrite: the rerun replaces, never appends."""
+    path = scratch_path(spark, "gold-daily")
+    daily = gold.daily_summary(readings(spark, sf_dir))
+    for _ in range(2):
+        files.write_table(daily, path, ["year", "month"], mode="overwrite", dynamic=True)
+    return spark.read.schema(daily.schema).parquet(path)
+
+
+@query("run_once_load", with_views(STATIONS) + "\nSELECT * FROM stations")
+def q_run_once_load(spark, sf_dir):
+    """A one-time load guarded by a flag: the second call is skipped."""
+    root = scratch_path(spark, "once")
+
+    def load():
+        files.write_table(stations(spark, sf_dir), f"{root}/dim_station", mode="append")
+
+    assert files.run_once(spark, f"{root}/_flag", load)
+    assert not files.run_once(spark, f"{root}/_flag", load)
+    return spark.read.parquet(f"{root}/dim_station")
+
+
+@query("gold_records", with_views(READINGS, hourly_cte()) + """
+SELECT queried_city, strftime(measured_at, '%Y-%m-%dT%H:%M:%S') AS measured_at, aqi AS predicted_aqi,
+  'run-0001' AS run_id, '20240201' AS dt FROM h""")
+def q_gold_records(spark, sf_dir):
+    """Forecast rows as JSON lines under dt=YYYYMMDD with the run id, read back with a schema."""
+    path = scratch_path(spark, "gold-forecast")
+    h = W.hourly(readings(spark, sf_dir)).select(
+        "queried_city", F.date_format("measured_at", "yyyy-MM-dd'T'HH:mm:ss").alias("measured_at"),
+        F.col("aqi").alias("predicted_aqi"))
+    files.write_gold_records(h, path, "run-0001", "20240201")
+    return spark.read.schema("queried_city string, measured_at string, predicted_aqi double, run_id string, dt string") \
+        .json(path)
