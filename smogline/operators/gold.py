@@ -1,9 +1,11 @@
 """Gold summaries: daily city summary, monthly ranking, monthly station summary.
 
 All are hash aggregations with map-side partial aggregation, so a hot city or
-day is reduced inside each map task before the shuffle. The category mode is a
-single aggregate (``mode`` keeps one counter per category), so no self-join of
-the fact is needed; null counts as a category and ties go alphabetical, nulls last.
+day is reduced inside each map task before the shuffle. The category mode is its
+own small table: counts per (group, category) - a codegen hash aggregate reading
+three narrow columns - reduced to the best category per group, then joined to the
+group statistics (AQE broadcasts it, it has one row per group). Null counts as a
+category; ties go alphabetical, nulls last.
 """
 
 from __future__ import annotations
@@ -15,17 +17,13 @@ from pyspark.sql import functions as F
 
 from smogline.functions.columns import aqi_level, month_text, null_last_key, rounded_avg, year_text
 
-_NULL_SENTINEL = "￿"
-
-
-def mode_of(value: str | Column) -> Column:
-    """Most frequent value including null; ties -> smallest text, null last."""
-    return F.nullif(F.mode(null_last_key(value), deterministic=True), F.lit(_NULL_SENTINEL))
-
-
 def grouped_mode(df: DataFrame, keys: Sequence[str], value: str, alias: str | None = None) -> DataFrame:
-    """Mode of ``value`` per group as its own table (one aggregation, no window)."""
-    return df.groupBy(*keys).agg(mode_of(value).alias(alias or value))
+    """Most frequent ``value`` per group (null included; ties -> smallest text, null last)."""
+    keys = list(keys)
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    best = counts.groupBy(*keys).agg(F.min(F.struct(
+        (-F.col("_n")).alias("n"), null_last_key(value).alias("k"), F.col(value).alias("v"))).alias("_b"))
+    return best.select(*keys, F.col("_b.v").alias(alias or value))
 
 
 def level_counts(level: str | Column, labels: Sequence[str], names: Sequence[str]) -> list[Column]:
@@ -46,8 +44,8 @@ def daily_summary(fact: DataFrame, digits: int = 2) -> DataFrame:
         rounded_avg("temperature", digits).alias("avg_temperature"),
         F.count_distinct("waqi_idx").alias("station_count"),
         F.count(F.lit(1)).alias("record_count"),
-        mode_of("dominant_pollutant").alias("dominant_pollutant"),
     )
+    daily = daily.join(grouped_mode(d, ["queried_city", "date"], "dominant_pollutant"), ["queried_city", "date"], "left")
     return daily.select(
         "*",
         aqi_level("max_aqi").alias("pollution_level"),

@@ -25,12 +25,16 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return wide.select(F.inline(F.array(*pairs)))
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
-    """Linear-interpolated quantiles (pandas/SQL ``quantile_cont``) per key, exactly."""
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys..., value, _c): rows per distinct non-null value (map-side partial aggregation)."""
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def quantiles_from_counts(vc: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+                          names: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+    """Linear-interpolated quantiles (pandas/SQL ``quantile_cont``) from a value-count table."""
     keys = list(keys)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    vc = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     wk = Window.partitionBy(*keys) if keys else Window.partitionBy()
     vc = vc.withColumn("_hi", F.sum("_c").over(wk.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)) - 1)
     vc = vc.withColumn("_lo", F.col("_hi") - F.col("_c") + 1).withColumn("_n", F.sum("_c").over(wk))
@@ -50,6 +54,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     return g.select(*keys, *outs)
 
 
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+                    names: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+    """Exact linear-interpolated quantiles per key (via the value-count table)."""
+    return quantiles_from_counts(value_counts(df, keys, value), keys, value, probs, names, digits)
+
+
 def city_stats(df: DataFrame, key: str = "queried_city", value: str = "aqi", threshold: float = 100.0) -> DataFrame:
     """count, mean, median, std, min, max, share above ``threshold`` in % per key."""
     base = df.groupBy(key).agg(
@@ -65,17 +75,22 @@ def city_stats(df: DataFrame, key: str = "queried_city", value: str = "aqi", thr
 
 
 def box_stats(df: DataFrame, key: str = "queried_city", value: str = "aqi") -> DataFrame:
-    """Quartiles, 1.5 IQR fences, whiskers (extreme values inside the fences), outlier count."""
-    q = exact_quantiles(df, [key], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    """Quartiles, 1.5 IQR fences, whiskers (extreme values inside the fences), outlier count.
+
+    Everything comes from the (key, value) -> count table; the raw rows are read once
+    and never joined back.
+    """
+    vc = value_counts(df, [key], value)
+    q = quantiles_from_counts(vc, [key], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr")) \
          .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr"))
     v = F.col(value)
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
-    agg = df.select(key, value).join(q.select(key, "lower_fence", "upper_fence"), key).groupBy(key).agg(
+    agg = vc.join(q.select(key, "lower_fence", "upper_fence"), key).groupBy(key).agg(
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
-        F.count_if(v.isNotNull() & ~inside).alias("n_outliers"),
+        F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).cast("long").alias("n_outliers"),
     )
     return q.join(agg, key, "left")
 

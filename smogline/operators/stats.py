@@ -1,10 +1,11 @@
 """Rank correlation and binned mutual information, distributed.
 
 Spearman with pairwise-complete rows: the data is unpivoted to (pair, x, y) rows
-for the pairs where both values exist; average ranks come from (pair, value) ->
-count tables (pre-aggregated; a running count over distinct values gives
-``rank = rows before + (ties + 1) / 2``) and are joined back on (pair, value);
-``corr`` of the ranks is a plain distributed aggregate. No global sort into one task.
+for the pairs where both values exist and immediately pre-aggregated to a joint
+(pair, x, y) -> count table. Average ranks come from the marginal counts (a
+running count over distinct values gives ``rank = rows before + (ties + 1) / 2``)
+and are joined to the joint table, never to the raw rows; Pearson's r of the
+ranks is assembled from count-weighted, centred sums. No global sort into one task.
 """
 
 from __future__ import annotations
@@ -19,23 +20,28 @@ from smogline.functions.columns import round_half
 from smogline.operators.profile import exact_quantiles
 
 
-def _avg_ranks(long: DataFrame, pair: str, value: str, out: str) -> DataFrame:
-    vc = long.groupBy(pair, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(pair).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    vc = vc.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    return vc.select(pair, value, (F.col("_before") + (F.col("_c") + F.lit(1)) / F.lit(2.0)).alias(out))
+def _avg_ranks(joint: DataFrame, value: str, out: str) -> DataFrame:
+    vc = joint.groupBy("pair", value).agg(F.sum("_c").alias("_m"))
+    w = Window.partitionBy("pair").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    vc = vc.withColumn("_before", F.coalesce(F.sum("_m").over(w), F.lit(0)))
+    return vc.select("pair", value, (F.col("_before") + (F.col("_m") + F.lit(1)) / F.lit(2.0)).alias(out))
 
 
 def spearman(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """Long matrix (a, b, rho) for every unordered pair of ``cols`` (a < b in list order)."""
+    """Long matrix (a, b, rho, n) for every unordered pair of ``cols`` (a < b in list order)."""
     pairs = list(combinations(cols, 2))
     rows = [F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
             for i, (a, b) in enumerate(pairs)]
     long = df.select(F.inline(F.array(*rows))).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    rx = _avg_ranks(long, "pair", "x", "rx")
-    ry = _avg_ranks(long, "pair", "y", "ry")
-    ranked = long.join(rx, ["pair", "x"]).join(ry, ["pair", "y"])
-    rho = ranked.groupBy("pair").agg(round_half(F.corr("rx", "ry"), digits).alias("rho"), F.count(F.lit(1)).alias("n"))
+    joint = long.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = joint.join(_avg_ranks(joint, "x", "rx"), ["pair", "x"]).join(_avg_ranks(joint, "y", "ry"), ["pair", "y"])
+    n = F.sum("_c").over(Window.partitionBy("pair"))
+    ranked = ranked.withColumn("_mid", (n + F.lit(1)) / F.lit(2.0))  # mean of average ranks is (n+1)/2
+    dx, dy, c = F.col("rx") - F.col("_mid"), F.col("ry") - F.col("_mid"), F.col("_c")
+    sums = ranked.groupBy("pair").agg(F.sum(c * dx * dy).alias("sxy"), F.sum(c * dx * dx).alias("sxx"),
+                                      F.sum(c * dy * dy).alias("syy"), F.sum(c).alias("n"))
+    rho = sums.select("pair", round_half(F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx") * F.col("syy"))), digits)
+                      .alias("rho"), "n")
     names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
     return rho.select(F.get(names, F.col("pair")).getField("a").alias("a"),
                       F.get(names, F.col("pair")).getField("b").alias("b"), "rho", "n")
@@ -62,11 +68,13 @@ def binned_mutual_info(df: DataFrame, features: Sequence[str], target: str, bins
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"), F.col(target).cast("double").alias("t"))
         for c in cols])))
     long = long.filter(F.col("v").isNotNull() & F.col("t").isNotNull())
-    edges = exact_quantiles(long, ["column"], "v", probs, names)
-    # the target's own edges: bins - 1 numbers, fetched once and used as literals
-    trow = edges.filter(F.col("column") == target).first()
-    binned = long.join(edges, "column").withColumn("bx", sum((F.col("v") > F.col(n)).cast("int") for n in names))
-    binned = binned.withColumn("by", sum((F.col("t") > F.lit(trow[n])).cast("int") for n in names))
+    # (features + 1) x (bins - 1) edge values: fetched once, applied as literals (no join)
+    edges = {r["column"]: [r[n] for n in names]
+             for r in exact_quantiles(long, ["column"], "v", probs, names).collect()}
+    emap = F.create_map(*[x for c, e in edges.items() for x in (F.lit(c), F.array(*[F.lit(v) for v in e]))])
+    mine = F.element_at(emap, F.col("column"))
+    binned = long.withColumn("bx", sum((F.col("v") > F.get(mine, i)).cast("int") for i in range(len(names))))
+    binned = binned.withColumn("by", sum((F.col("t") > F.lit(v)).cast("int") for v in edges[target]))
     joint = binned.groupBy("column", "bx", "by").agg(F.count(F.lit(1)).alias("nxy"))
     w = Window.partitionBy("column")
     joint = joint.withColumn("n", F.sum("nxy").over(w)) \
