@@ -85,3 +85,16 @@ FORECAST_HORIZON_H = 24
 MODEL_APPROVAL_MAE = 20.0
 ANOMALY_CONTAMINATION = 0.02
 CONTAMINATION_SWEEP = [0.005, 0.01, 0.02, 0.03, 0.05, 0.1]
+
+# --- fixed values: dashboard colour per AQI level --------------------------
+AQI_LEVEL_COLORS = {
+    "Good": "#00E400",
+    "Moderate": "#FFFF00",
+    "Unhealthy for Sensitive Groups": "#FF7E00",
+    "Unhealthy": "#FF0000",
+    "Very Unhealthy": "#8F3F97",
+    "Hazardous": "#7E0023",
+}
+
+# --- fixed values: drift rule (relative change that triggers a refit) -------
+DRIFT_CHANGE_PCT = 50.0

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from smogline.session import broadcast_if_small
 from smogline.functions.columns import aqi_level, month_text, null_last_key, rounded_avg, year_text
 
 def grouped_mode(df: DataFrame, keys: Sequence[str], value: str, alias: str | None = None) -> DataFrame:
@@ -93,7 +94,8 @@ def station_summary(fact: DataFrame, dim: DataFrame, digits: int = 2) -> DataFra
 
     The fact is aggregated to (station, city, month) first and only then joined to
     the dimension, so the join sees stations x months rows instead of readings.
-    Whether that join broadcasts is left to AQE, which measures the real size.
+    The dimension is broadcast only after a row-count check; above the limit the
+    planner keeps a shuffle join.
     """
     f = fact.select("waqi_idx", "queried_city", year_text("measured_at").alias("year"),
                     month_text("measured_at").alias("month"),
@@ -111,7 +113,8 @@ def station_summary(fact: DataFrame, dim: DataFrame, digits: int = 2) -> DataFra
     # the pollutant mode is keyed by (station, month) only, as in the gold job
     mode = grouped_mode(f, ["waqi_idx", "year", "month"], "dominant_pollutant")
     agg = agg.join(mode, ["waqi_idx", "year", "month"], "left")
-    joined = agg.join(dim.select("waqi_idx", "station_name", "lat", "lon"), "waqi_idx", "left")
+    d = broadcast_if_small(dim.select("waqi_idx", "station_name", "lat", "lon"))
+    joined = agg.join(d, "waqi_idx", "left")
     w = Window.partitionBy("queried_city", "year", "month").orderBy(F.col("avg_aqi").desc())
     return joined.withColumn("pollution_level", aqi_level("avg_aqi")).withColumn(
         "rank_in_city", F.dense_rank().over(w))

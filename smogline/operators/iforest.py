@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from smogline.session import checkpoint_dir
+
 _EULER = 0.5772156649015329
 NODE_SCHEMA = "tree_id int, node_id int, feature int, threshold double, left int, right int, size int"
 
@@ -186,5 +188,9 @@ def isolation_forest(spark: SparkSession, df: DataFrame, key_cols: Sequence[str]
     n = data.count()
     psi = min(max_samples, n)
     nodes = fit_forest(sample_for_trees(data, key_cols, feats, n_trees, max_samples, seed), feats, max_samples, seed)
-    scored = flag(score(spark, data, nodes, feats, psi), contamination)
-    return scored.drop(*[c for c in feats if c.endswith("__s")])
+    # scores feed two passes (threshold, flag): write them once to the shared checkpoint
+    # folder, which also cuts the lineage back to the Python stages
+    checkpoint_dir(spark)
+    scored = score(spark, data, nodes, feats, psi).checkpoint(eager=True)
+    data.unpersist()
+    return flag(scored, contamination).drop(*[c for c in feats if c.endswith("__s")])

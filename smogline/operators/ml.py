@@ -153,3 +153,36 @@ def agreement(df: DataFrame, flag_a: str, flag_b: str, a: str = "z", b: str = "i
     cat = F.when((fa == 1) & (fb == 1), "both").when(fa == 1, f"{a}_only").when(fb == 1, f"{b}_only").otherwise("normal")
     c = df.groupBy(cat.alias("category")).agg(F.count(F.lit(1)).alias("n"))
     return c.withColumn("share_pct", F.col("n") / F.sum("n").over(Window.partitionBy()) * F.lit(100.0))
+
+
+# --- M11: input checks before scoring ---------------------------------------------
+def require_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Fail on the driver, before any job, when feature columns are missing."""
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing feature columns: {missing}")
+    return df
+
+
+# --- T5k: repeatable sample ------------------------------------------------------
+def seeded_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
+    """``n`` rows chosen by a seeded hash of the keys: the same rows for any partitioning
+    (TakeOrdered: each task keeps at most ``n`` candidates)."""
+    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+
+
+# --- M21: drift watch ------------------------------------------------------------
+def drift(df: DataFrame, split: str, baseline: str, current: str, metrics: Mapping[str, Column],
+          threshold_pct: float = 50.0, digits: int = 6) -> DataFrame:
+    """Per metric: baseline vs current value (one pass, conditional aggregates), relative
+    change in % and a drift flag when |change| exceeds ``threshold_pct``."""
+    aggs = []
+    for name, expr in metrics.items():
+        aggs.append(F.avg(F.when(F.col(split) == baseline, expr)).alias(f"b_{name}"))
+        aggs.append(F.avg(F.when(F.col(split) == current, expr)).alias(f"c_{name}"))
+    wide = df.agg(*aggs)
+    rows = [F.struct(F.lit(n).alias("metric"), round_half(F.col(f"b_{n}"), digits).alias("baseline"),
+                     round_half(F.col(f"c_{n}"), digits).alias("current")) for n in metrics]
+    long = wide.select(F.inline(F.array(*rows)))
+    change = round_half(F.try_divide(F.col("current") - F.col("baseline"), F.col("baseline")) * F.lit(100.0), digits)
+    return long.withColumn("change_pct", change).withColumn("drift", F.abs(F.col("change_pct")) > threshold_pct)

@@ -22,7 +22,10 @@ CHECK_FIELDS = "check string, table string, column string, value double, thresho
 
 
 def fact_metrics(fact: DataFrame, now: dt.datetime | str, freshness_hours: int = K.DQ_FRESHNESS_HOURS,
-                 null_columns: Sequence[str] = K.DQ_NULL_COLUMNS) -> DataFrame:
+                 null_columns: Sequence[str] = K.DQ_NULL_COLUMNS, sample_rows: int | None = None) -> DataFrame:
+    """One aggregate pass over the whole table (``sample_rows`` bounds the scan instead)."""
+    if sample_rows:
+        fact = fact.limit(sample_rows)
     cutoff = F.lit(now).cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(freshness_hours))
     invalid = F.when(~F.col("source").isin(*K.VALID_SOURCES), F.col("source"))
     return fact.agg(
@@ -32,7 +35,8 @@ def fact_metrics(fact: DataFrame, now: dt.datetime | str, freshness_hours: int =
         F.array_sort(F.collect_set("queried_city")).alias("cities"),
         F.array_sort(F.collect_set(invalid)).alias("invalid_sources"),
         F.count_if(F.try_to_timestamp(F.col("ingested_at")) >= cutoff).alias("fresh_rows"),
-    )
+    ).withColumn("distinct_cities", F.array_join("cities", ",")).withColumn(
+        "invalid_source_list", F.array_join("invalid_sources", ","))
 
 
 def dim_metrics(dim: DataFrame) -> DataFrame:

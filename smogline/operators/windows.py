@@ -156,18 +156,20 @@ def interpolate(df: DataFrame, cols: Sequence[str], key: str = KEY, ts: str = TS
 
 
 def fill_forward_back_median(df: DataFrame, cols: Sequence[str], key: str = KEY, ts: str = TS) -> DataFrame:
-    """Forward fill, then backward fill, then the key's median, each within the key."""
+    """Forward fill, then backward fill, then the key's median, each within the key.
+
+    The median is a window aggregate over the same key partition the fills already
+    use, so it adds no shuffle and no join.
+    """
     w = _w(key, ts)
     before = w.rowsBetween(Window.unboundedPreceding, 0)
     after = w.rowsBetween(0, Window.unboundedFollowing)
-    med = df.groupBy(key).agg(*[F.median(c).alias(f"_med_{c}") for c in cols])
-    out = df.withColumns({
-        c: F.coalesce(F.col(c), F.last(c, ignorenulls=True).over(before), F.first(c, ignorenulls=True).over(after))
+    whole = Window.partitionBy(key)
+    return df.withColumns({
+        c: F.coalesce(F.col(c), F.last(c, ignorenulls=True).over(before), F.first(c, ignorenulls=True).over(after),
+                      F.median(c).over(whole))
         for c in cols
     })
-    out = out.join(med, key, "left")
-    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in cols}).drop(
-        *[f"_med_{c}" for c in cols])
 
 
 def daily_features(fact: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:

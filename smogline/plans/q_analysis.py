@@ -239,3 +239,66 @@ def q_mutual_info(spark, sf_dir):
     from smogline.operators.stats import binned_mutual_info
 
     return binned_mutual_info(readings(spark, sf_dir), _MI_FEATURES, "aqi")
+
+
+@query("city_filter", with_views(READINGS) + f"""
+SELECT queried_city, date_trunc('day', measured_at) AS measured_at, {xavg('aqi')} AS aqi, {xavg('pm25')} AS pm25
+FROM readings WHERE queried_city IN ('ha-noi', 'ho-chi-minh-city') GROUP BY 1, 2""")
+def q_city_filter(spark, sf_dir):
+    from smogline.operators.clean import in_cities
+    from smogline.operators.windows import daily_means
+
+    r = in_cities(readings(spark, sf_dir), ["ha-noi", "ho-chi-minh-city"])
+    return daily_means(r, measures=["aqi", "pm25"])
+
+
+def _label_sql(x: str) -> str:
+    arms = " ".join(f"WHEN {x} = '{k}' THEN '{v}'" for k, v in K.CITY_LABELS.items())
+    return f"CASE {arms} ELSE {x} END"
+
+
+def _color_sql(x: str) -> str:
+    return "CASE " + " ".join(f"WHEN {x} = '{k}' THEN '{v}'" for k, v in K.AQI_LEVEL_COLORS.items()) + " END"
+
+
+_DASH_MEASURES = ["pm25", "pm10", "temperature", "humidity", "pressure", "wind"]
+
+
+@query("dashboard_daily", with_views(READINGS, f"""
+dd AS (SELECT queried_city, {_label_sql('queried_city')} AS city_label, CAST(measured_at AS DATE) AS "date",
+         {xavg('aqi')} AS avg_aqi, MAX(aqi) AS max_aqi, MIN(aqi) AS min_aqi,
+         {', '.join(f"{xavg(m)} AS avg_{m}" for m in _DASH_MEASURES)}
+       FROM readings GROUP BY 1, 2, 3),
+lv AS (SELECT *, {level('avg_aqi')} AS pollution_level FROM dd)""") + f"""
+SELECT *, {_color_sql('pollution_level')} AS aqi_color, CAST(month("date") AS INTEGER) AS month,
+  CAST(year("date") AS INTEGER) AS year FROM lv""")
+def q_dashboard_daily(spark, sf_dir):
+    from smogline.functions.columns import label_lookup
+
+    r = readings(spark, sf_dir).withColumn("date", F.to_date("measured_at"))
+    d = r.groupBy("queried_city", label_lookup("queried_city", K.CITY_LABELS).alias("city_label"), "date").agg(
+        exact_avg("aqi").alias("avg_aqi"), F.max("aqi").alias("max_aqi"), F.min("aqi").alias("min_aqi"),
+        *[exact_avg(m).alias(f"avg_{m}") for m in _DASH_MEASURES])
+    d = d.withColumn("pollution_level", aqi_level("avg_aqi"))
+    return d.withColumns({"aqi_color": label_lookup("pollution_level", K.AQI_LEVEL_COLORS),
+                          "month": F.month("date"), "year": F.year("date")})
+
+
+_POLLUTANTS = ["pm25", "pm10", "o3"]
+
+
+@query("pollutant_pivot", with_views(READINGS) + "\nSELECT queried_city, " + ", ".join(
+    f"COUNT_IF(dominant_pollutant = '{p}') AS {p}" for p in _POLLUTANTS) + " FROM readings GROUP BY 1")
+def q_pollutant_pivot(spark, sf_dir):
+    r = readings(spark, sf_dir)
+    return r.groupBy("queried_city").pivot("dominant_pollutant", _POLLUTANTS).count().fillna(0, _POLLUTANTS)
+
+
+@query("aqi_correlations", "WITH sp AS (" + _spearman_sql() + """)
+SELECT CASE WHEN a = 'aqi' THEN b ELSE a END AS feature, rho,
+  CAST(ROW_NUMBER() OVER (ORDER BY abs(rho) DESC, CASE WHEN a = 'aqi' THEN b ELSE a END) AS INTEGER) AS rank
+FROM sp WHERE a = 'aqi' OR b = 'aqi'""")
+def q_aqi_correlations(spark, sf_dir):
+    from smogline.operators.stats import rank_by_abs, spearman
+
+    return rank_by_abs(spearman(readings(spark, sf_dir), _CORR_COLS), "aqi")

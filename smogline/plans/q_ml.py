@@ -263,3 +263,59 @@ def q_contributions(spark, sf_dir):
     te = rows.filter(F.col("split") == "test")
     c = forecast.contributions(spark, te, model, feats, ["queried_city", "measured_at"])
     return forecast.importance(c, ["queried_city"], top=5)
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    from smogline.operators import forecast
+
+    rows, feats, model = _gbt(spark, sf_dir)
+    c = forecast.contributions(spark, rows.filter(F.col("split") == "test"), model, feats,
+                               ["queried_city", "measured_at"])
+    return forecast.importance(c, top=10)
+
+
+@query("contribution_waterfall")
+def q_contribution_waterfall(spark, sf_dir):
+    from smogline.operators import forecast
+
+    rows, feats, model = _gbt(spark, sf_dir)
+    te = ml.require_columns(rows.filter(F.col("split") == "test"), feats)
+    last = te.filter(F.col("queried_city") == "ha-noi").agg(F.max("measured_at")).first()[0]
+    c = forecast.contributions(spark, te.filter((F.col("queried_city") == "ha-noi") & (F.col("measured_at") == last)),
+                               model, feats, ["queried_city", "measured_at"])
+    return forecast.waterfall(c, F.lit(True), top=10)
+
+
+@query("forecast_table")
+def q_forecast_table(spark, sf_dir):
+    rows, feats, model = _gbt(spark, sf_dir)
+    pred = model.transform(ml.require_columns(rows.filter(F.col("split") == "test"), feats))
+    return pred.select("queried_city", "measured_at", F.col("prediction").alias("predicted_aqi"),
+                       F.lit("run-0001").alias("run_id"), F.lit("gbt-aqi-24h").alias("model_id"),
+                       F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("made_at"))
+
+
+@query("sample_features")
+def q_sample_features(spark, sf_dir):
+    return ml.seeded_sample(_features(spark, sf_dir), 500, ["queried_city", "measured_at"], seed=42)
+
+
+_DRIFT_SQL = _Z_SQL + f""",
+s AS (SELECT *, CASE WHEN measured_at < TIMESTAMP '{TRAIN_END}' THEN 'train'
+                     WHEN measured_at < TIMESTAMP '{VAL_END}' THEN 'val' ELSE 'test' END AS split FROM z),
+w AS (SELECT {', '.join(f"AVG(CASE WHEN split = 'train' THEN {e} END) AS b_{n}, AVG(CASE WHEN split = 'test' THEN {e} END) AS c_{n}"
+                        for n, e in [('aqi_mean', 'aqi'), ('pm25_mean', 'pm25'), ('humidity_mean', 'humidity'),
+                                     ('anomaly_rate', 'CAST(is_anom_zscore AS DOUBLE)')])} FROM s),
+l AS ({' UNION ALL '.join(f"SELECT '{n}' AS metric, {r6(f'b_{n}')} AS baseline, {r6(f'c_{n}')} AS current FROM w"
+                          for n in ['aqi_mean', 'pm25_mean', 'humidity_mean', 'anomaly_rate'])})
+SELECT *, {r6('(current - baseline) / NULLIF(baseline, 0) * 100.0')} AS change_pct,
+  abs({r6('(current - baseline) / NULLIF(baseline, 0) * 100.0')}) > 50.0 AS drift FROM l"""
+
+
+@query("drift_watch", _DRIFT_SQL)
+def q_drift_watch(spark, sf_dir):
+    z = ml.time_split(_zscored(spark, sf_dir), TRAIN_END, VAL_END)
+    return ml.drift(z, "split", "train", "test", {
+        "aqi_mean": F.col("aqi"), "pm25_mean": F.col("pm25"), "humidity_mean": F.col("humidity"),
+        "anomaly_rate": F.col("is_anom_zscore").cast("double")}, K.DRIFT_CHANGE_PCT)

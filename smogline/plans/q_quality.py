@@ -18,10 +18,12 @@ m AS (SELECT COUNT(*) AS total_rows,
         list_sort(list_distinct(list(queried_city))) AS cities,
         list_sort(list_distinct(list(CASE WHEN source NOT IN ('kaggle', 'api') THEN source END))) AS invalid_sources,
         COUNT_IF(TRY_CAST(ingested_at AS TIMESTAMP) >= TIMESTAMP '2024-02-03 00:00:00' - INTERVAL 48 HOUR) AS fresh_rows
-      FROM readings_dup)"""
+      FROM readings_dup),
+mt AS (SELECT *, array_to_string(cities, ',') AS distinct_cities,
+         array_to_string(invalid_sources, ',') AS invalid_source_list FROM m)"""
 
 
-@query("dq_metrics", with_views(READINGS, READINGS_DUP, _METRICS_SQL) + "\nSELECT * FROM m")
+@query("dq_metrics", with_views(READINGS, READINGS_DUP, _METRICS_SQL) + "\nSELECT * FROM mt")
 def q_dq_metrics(spark, sf_dir):
     return quality.fact_metrics(readings_dup(spark, sf_dir), NOW)
 

@@ -129,3 +129,45 @@ def q_gold_records(spark, sf_dir):
     files.write_gold_records(h, path, "run-0001", "20240201")
     return spark.read.schema("queried_city string, measured_at string, predicted_aqi double, run_id string, dt string") \
         .json(path)
+
+
+@query("api_json_batch", ORACLE["flatten_json"])
+def q_api_json_batch(spark, sf_dir):
+    """API documents written as JSON under queried_city/year/month/day, read in batch."""
+    path = scratch_path(spark, "bronze-json")
+    _write_docs(api_documents(spark, sf_dir), path)
+    return clean.flatten_reading(files.read_api_json(spark, path, multi_line=False), ingested_at=RUN1)
+
+
+_FEATURE_SQL = ORACLE["feature_table"]
+
+
+@query("parquet_tree", f"SELECT * EXCLUDE (year, month_part) FROM ({_FEATURE_SQL}) t")
+def q_parquet_tree(spark, sf_dir):
+    """Feature table written partitioned by year/month, read back as 'all Parquet files under a folder'."""
+    path = scratch_path(spark, "features")
+    files.write_table(W.hourly_features(W.hourly(readings(spark, sf_dir))), path, ["year", "month_part"])
+    return files.read_tree(spark, path)
+
+
+@query("features_since", f"SELECT * FROM ({_FEATURE_SQL}) t WHERE measured_at >= TIMESTAMP '2024-01-15 00:00:00'")
+def q_features_since(spark, sf_dir):
+    """Start-date filter on a year/month-partitioned feature table (partition predicate added)."""
+    path = scratch_path(spark, "features")
+    f = W.hourly_features(W.hourly(readings(spark, sf_dir)))
+    files.write_table(f, path, ["year", "month_part"])
+    back = spark.read.schema(f.schema).parquet(path)
+    return clean.since(back, "2024-01-15 00:00:00", partition_cols=("year", "month_part"))
+
+
+@query("stream_dedup", ORACLE["flatten_json"])
+def q_stream_dedup(spark, sf_dir):
+    """Re-delivered identical documents dropped by ``dropDuplicatesWithinWatermark``."""
+    root = scratch_path(spark, "stream-dedup")
+    src = f"{root}/bronze"
+    docs = api_documents(spark, sf_dir)
+    _write_docs(docs, src)
+    _write_docs(docs.filter(F.col("day").cast("int") % 3 == 0), src)  # second delivery of some days
+    ingest.dedup_stream(spark, src, f"{root}/fact", f"{root}/_checkpoint", ingested_at=RUN1)
+    return spark.read.schema(ingest.SINK_SCHEMA).parquet(f"{root}/fact").select(
+        *clean.FACT_COLUMNS[:16], "queried_city", "station_name", "url", "lat", "lon", "year", "month")

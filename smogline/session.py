@@ -56,17 +56,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``; only when that is unset
     (tests on one machine) is a temporary folder created and registered.
     """
+    sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
     if found:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(found)
         return found.rstrip("/")
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
     local = tempfile.mkdtemp(prefix="smogline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def broadcast_if_small(df, max_rows: int = 2_000_000):
+    """Broadcast ``df`` only after counting it (one cheap action) and finding it under
+    ``max_rows``; otherwise return it unchanged so the planner keeps a shuffle join."""
+    from pyspark.sql import functions as F
+
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -22,7 +22,7 @@ from smogline import schemas
 from smogline.functions.columns import exact_avg
 from smogline.operators.clean import drop_stale, flatten_reading
 from smogline.operators.dedup import latest_per_key
-from smogline.sources.files import path_exists
+from smogline.sources.files import observed_counts, path_exists
 
 KEYS = ["waqi_idx", "measured_at"]
 
@@ -43,7 +43,8 @@ def _upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sink: st
                   now: dt.datetime | str | None, stale_hours: int) -> None:
     if batch.isEmpty():
         return
-    flat = flatten_reading(batch, ingested_at=ingested_at)
+    flat, obs = observed_counts(flatten_reading(batch, ingested_at=ingested_at), f"ingest-batch-{batch_id}",
+                                null_aqi=F.col("aqi").isNull())
     if now is not None:
         flat = drop_stale(flat, now, stale_hours)
     fresh = latest_per_key(flat, KEYS, ["ingested_at"])
@@ -61,7 +62,9 @@ def _upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sink: st
     new_rows = fresh.count()
     fresh.write.mode("append").partitionBy("queried_city", "year", "month").parquet(sink)
     fresh.unpersist()
-    log = spark.createDataFrame([(batch_id, new_rows, ingested_at)], "batch_id long, new_rows long, ingested_at string")
+    seen = obs.get  # filled by the count above: rows in the batch, rows without aqi
+    log = spark.createDataFrame([(batch_id, int(seen.get("rows", 0)), int(seen.get("null_aqi", 0)), new_rows, ingested_at)],
+                                "batch_id long, rows_in long, null_aqi long, new_rows long, ingested_at string")
     log.coalesce(1).write.mode("append").json(sink.rstrip("/") + "_runlog")
 
 
@@ -89,3 +92,14 @@ def hourly_stream(spark: SparkSession, source: str, sink: str, checkpoint: str,
     q = (agg.writeStream.outputMode("append").format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def dedup_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, ingested_at: str,
+                 watermark: str = "48 hours", multi_line: bool = False) -> None:
+    """Readings deduplicated by (station, time) within the watermark, appended as they arrive."""
+    flat = flatten_reading(document_stream(spark, source, multi_line), ingested_at=ingested_at)
+    out = flat.withWatermark("measured_at", watermark).dropDuplicatesWithinWatermark(KEYS)
+    q = (out.writeStream.outputMode("append").format("parquet").option("path", sink)
+         .partitionBy("queried_city", "year", "month")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
