@@ -242,3 +242,40 @@ def decompose(df: DataFrame, col: str = "aqi", period: int = 7, key: str = KEY,
     out = t.join(centred, [key, "_phase"], "left")
     return out.withColumn("resid", round_half(F.col(col) - F.col("trend") - F.col("seasonal"), digits)).drop(
         "_phase", "_detr")
+
+
+def bucketed(df: DataFrame, fn, key: str = KEY, ts: str = TS, bucket_steps: int = 720, back: int = 168,
+             ahead: int = 24, step_seconds: int = 3600) -> DataFrame:
+    """Run a bounded-frame window job on time buckets instead of whole keys.
+
+    Each row is assigned to bucket floor(step / bucket_steps) of its key; the last
+    ``back`` steps of a bucket are copied into the next bucket and the first
+    ``ahead`` steps into the previous one as context rows. ``fn(frame, keys)`` runs
+    its windows partitioned by (key, bucket); context rows are dropped afterwards.
+    On a regular grid (one row per step, see ``regularize``) every lag/lead/frame
+    reaching at most ``back`` rows back and ``ahead`` rows ahead gives exactly the
+    per-key result, while one key's history spreads over many tasks.
+    """
+    if not (bucket_steps > back and bucket_steps > ahead):
+        raise ValueError("bucket_steps must exceed the look-back and look-ahead")
+    idx = F.floor(F.unix_seconds(F.col(ts)) / F.lit(step_seconds))
+    b = F.floor(idx / F.lit(bucket_steps))
+    pos = idx - b * F.lit(bucket_steps)
+    cands = F.array(
+        F.struct(b.alias("_bucket"), F.lit(False).alias("_ctx")),
+        F.when(pos >= bucket_steps - back, F.struct((b + 1).alias("_bucket"), F.lit(True).alias("_ctx"))),
+        F.when(pos < ahead, F.struct((b - 1).alias("_bucket"), F.lit(True).alias("_ctx"))),
+    )
+    expanded = df.select("*", F.inline(F.filter(cands, lambda x: x.isNotNull())))
+    out = fn(expanded, [key, "_bucket"])
+    return out.filter(~F.col("_ctx")).drop("_bucket", "_ctx")
+
+
+def grid_features(hourly_df: DataFrame, key: str = KEY, ts: str = TS, limit: int = 6,
+                  bucket_steps: int = 720) -> DataFrame:
+    """Grid mode of the feature table: regular hourly grid, interpolation of short gaps,
+    then full-window features computed on overlapping time buckets."""
+    g = interpolate(regularize(hourly_df, key, ts), K.HOURLY_MEASURES, key, ts, limit)
+    back = max(max(K.HOURLY_LAGS), max(n for n, _ in K.HOURLY_ROLLING), K.FORECAST_HORIZON_H + 1)
+    return bucketed(g, lambda d, keys: hourly_features(d, keys, ts, notebook_mode=True), key, ts,
+                    bucket_steps, back=back, ahead=K.FORECAST_HORIZON_H)

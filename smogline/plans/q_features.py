@@ -197,3 +197,22 @@ s AS (SELECT queried_city, measured_at AS end_at, LEAD(aqi, 24) OVER w AS target
 SELECT * EXCLUDE (_n, _ok) FROM s WHERE _n = 72 AND _ok = 1 AND target IS NOT NULL""")
 def q_sequences(spark, sf_dir):
     return W.sequences(_hourly(spark, sf_dir), _SEQ_FEATS, length=72, horizon=24)
+
+
+def _grid_feature_sql() -> str:
+    cols = ", ".join(_interp_sql(c) for c in K.HOURLY_MEASURES)
+    rolls = ", ".join(e for n, lab in K.HOURLY_ROLLING for e in roll_sql("aqi", n, lab, need=n))
+    change = """LAG(aqi, 1) OVER w - LAG(aqi, 2) OVER w AS aqi_diff_1h,
+  (LAG(aqi, 1) OVER w - LAG(aqi, 25) OVER w) / NULLIF(LAG(aqi, 25) OVER w, 0.0) AS aqi_pct_change_24h"""
+    return with_views(READINGS, hourly_cte(), _GRID_SQL, f"""
+gn AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY queried_city ORDER BY measured_at) AS _rn FROM gh),
+gi AS (SELECT queried_city, measured_at, {cols} FROM gn {WIN})""") + f"""
+SELECT *, {_LAGS_SQL}, {rolls}, {change}, {_TIME_SQL}, LEAD(aqi, 24) OVER w AS aqi_target,
+  CAST(year(measured_at) AS VARCHAR) AS year, lpad(CAST(month(measured_at) AS VARCHAR), 2, '0') AS month_part
+FROM gi {WIN}"""
+
+
+@query("feature_table_grid", _grid_feature_sql())
+def q_feature_table_grid(spark, sf_dir):
+    """Grid mode, computed on 10-day buckets with a 7-day overlap (several buckets per city)."""
+    return W.grid_features(_hourly(spark, sf_dir), bucket_steps=240)
