@@ -122,14 +122,19 @@ def hourly_features(hourly_df: DataFrame, key: str = KEY, ts: str = TS, horizon:
 def regularize(df: DataFrame, key: str = KEY, ts: str = TS, step: str = "1 hour") -> DataFrame:
     """Insert the missing steps of each key's [min, max] range (values null).
 
-    The grid is generated from a per-key (min, max) aggregate with ``sequence``; the
-    known rows are attached with a left join on (key, ts).
+    One pass: every row emits itself plus the empty steps up to the next row of its
+    key (``lead``), so the input is evaluated once and no join is needed; the window
+    shares the key partitioning of the windows that usually follow.
     """
-    bounds = df.groupBy(key).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    grid = bounds.select(key, F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}"))).alias(ts))
-    return grid.join(df, [key, ts], "left")
-
-
+    w = _w(key, ts)
+    nxt = F.lead(ts, 1).over(w)
+    gap_end = F.coalesce(nxt - F.expr(f"INTERVAL {step}"), F.col(ts))
+    values = [c for c in df.columns if c not in (key, ts)]
+    stamped = df.select(key, ts, F.struct(*values).alias("_v"), gap_end.alias("_end"))
+    filled = stamped.select(key, F.col(ts).alias("_first"), "_v",
+                            F.explode(F.sequence(F.col(ts), F.col("_end"), F.expr(f"INTERVAL {step}"))).alias(ts))
+    out = filled.select(key, ts, *[F.when(F.col(ts) == F.col("_first"), F.col(f"_v.{c}")).alias(c) for c in values])
+    return out
 def interpolate(df: DataFrame, cols: Sequence[str], key: str = KEY, ts: str = TS, limit: int = 6,
                 digits: int = 6) -> DataFrame:
     """Linear-in-time interpolation of null runs, filling at most ``limit`` steps of a run.
