@@ -55,7 +55,7 @@ q AS (SELECT queried_city, {_q('aqi', 0.25)} AS q1, {_q('aqi', 0.5)} AS median,
 f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)""") + """
 SELECT f.*, MIN(CASE WHEN aqi BETWEEN lower_fence AND upper_fence THEN aqi END) AS whisker_low,
   MAX(CASE WHEN aqi BETWEEN lower_fence AND upper_fence THEN aqi END) AS whisker_high,
-  COUNT_IF(aqi IS NOT NULL AND NOT (aqi BETWEEN lower_fence AND upper_fence)) AS n_outliers
+  CAST(COUNT_IF(aqi IS NOT NULL AND NOT (aqi BETWEEN lower_fence AND upper_fence)) AS BIGINT) AS n_outliers
 FROM f JOIN readings r USING (queried_city) GROUP BY ALL""")
 def q_box_stats(spark, sf_dir):
     return profile.box_stats(readings(spark, sf_dir))
@@ -128,8 +128,8 @@ _YDAILY = _DAILY_SQL.replace("FROM readings", "FROM yearly").replace("WITH ", ""
 
 @query("annual_summary", with_views(YEARLY, _YDAILY, f"""
 an AS (SELECT queried_city, year, {ravg('avg_aqi')} AS avg_aqi, MAX(max_aqi) AS max_aqi,
-         COUNT_IF(pollution_level = 'Good') AS days_good,
-         COUNT_IF(pollution_level IN ('Unhealthy', 'Very Unhealthy', 'Hazardous')) AS days_unhealthy
+         CAST(COUNT_IF(pollution_level = 'Good') AS BIGINT) AS days_good,
+         CAST(COUNT_IF(pollution_level IN ('Unhealthy', 'Very Unhealthy', 'Hazardous')) AS BIGINT) AS days_unhealthy
        FROM daily GROUP BY 1, 2)""") + """
 SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY year ORDER BY avg_aqi DESC, queried_city) AS INTEGER) AS overall_rank FROM an""")
 def q_annual_summary(spark, sf_dir):
@@ -288,7 +288,7 @@ _POLLUTANTS = ["pm25", "pm10", "o3"]
 
 
 @query("pollutant_pivot", with_views(READINGS) + "\nSELECT queried_city, " + ", ".join(
-    f"COUNT_IF(dominant_pollutant = '{p}') AS {p}" for p in _POLLUTANTS) + " FROM readings GROUP BY 1")
+    f"CAST(COUNT_IF(dominant_pollutant = '{p}') AS BIGINT) AS {p}" for p in _POLLUTANTS) + " FROM readings GROUP BY 1")
 def q_pollutant_pivot(spark, sf_dir):
     r = readings(spark, sf_dir)
     return r.groupBy("queried_city").pivot("dominant_pollutant", _POLLUTANTS).count().fillna(0, _POLLUTANTS)

@@ -57,12 +57,12 @@ mm AS (SELECT queried_city, year, month, dominant_pollutant FROM (
 mo AS (SELECT queried_city, year, month, {ravg('avg_aqi')} AS avg_aqi, MAX(max_aqi) AS max_aqi,
         MIN(min_aqi) AS min_aqi, {ravg('avg_pm25')} AS avg_pm25, {ravg('avg_pm10')} AS avg_pm10,
         CAST(SUM(record_count) AS BIGINT) AS record_count,
-        COUNT_IF(pollution_level = 'Good') AS days_good,
-        COUNT_IF(pollution_level = 'Moderate') AS days_moderate,
-        COUNT_IF(pollution_level = 'Unhealthy for Sensitive Groups') AS days_sensitive,
-        COUNT_IF(pollution_level = 'Unhealthy') AS days_unhealthy,
-        COUNT_IF(pollution_level = 'Very Unhealthy') AS days_very_unhealthy,
-        COUNT_IF(pollution_level = 'Hazardous') AS days_hazardous
+        CAST(COUNT_IF(pollution_level = 'Good') AS BIGINT) AS days_good,
+        CAST(COUNT_IF(pollution_level = 'Moderate') AS BIGINT) AS days_moderate,
+        CAST(COUNT_IF(pollution_level = 'Unhealthy for Sensitive Groups') AS BIGINT) AS days_sensitive,
+        CAST(COUNT_IF(pollution_level = 'Unhealthy') AS BIGINT) AS days_unhealthy,
+        CAST(COUNT_IF(pollution_level = 'Very Unhealthy') AS BIGINT) AS days_very_unhealthy,
+        CAST(COUNT_IF(pollution_level = 'Hazardous') AS BIGINT) AS days_hazardous
       FROM daily GROUP BY queried_city, year, month)
 SELECT mo.*, mm.dominant_pollutant, {level('avg_aqi')} AS pollution_level,
   CAST(DENSE_RANK() OVER (PARTITION BY year, month ORDER BY avg_aqi DESC) AS INTEGER) AS aqi_rank,

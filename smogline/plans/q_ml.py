@@ -105,7 +105,7 @@ def q_scale_features(spark, sf_dir):
 
 @query("anomaly_kpis", _Z_SQL + """
 SELECT COUNT(*) AS "rows", CAST(SUM(is_anom_zscore) AS BIGINT) AS anomalies, AVG(is_anom_zscore) * 100.0 AS anomaly_rate_pct,
-  COUNT_IF(is_anom_zscore = 1 AND aqi > 150.0) AS severe_anomalies FROM z""")
+  CAST(COUNT_IF(is_anom_zscore = 1 AND aqi > 150.0) AS BIGINT) AS severe_anomalies FROM z""")
 def q_anomaly_kpis(spark, sf_dir):
     return ml.flag_kpis(_zscored(spark, sf_dir), "is_anom_zscore")
 

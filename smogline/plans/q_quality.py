@@ -11,13 +11,13 @@ NOW = "2024-02-03 00:00:00"
 
 _METRICS_SQL = """
 m AS (SELECT COUNT(*) AS total_rows,
-        COUNT_IF(aqi IS NULL) AS null_aqi, COUNT_IF(measured_at IS NULL) AS null_measured_at,
-        COUNT_IF(dominant_pollutant IS NULL) AS null_dominant_pollutant,
-        COUNT_IF(queried_city IS NULL) AS null_queried_city,
-        COUNT_IF(aqi < 0 OR aqi > 500) AS aqi_out_of_range,
+        CAST(COUNT_IF(aqi IS NULL) AS BIGINT) AS null_aqi, CAST(COUNT_IF(measured_at IS NULL) AS BIGINT) AS null_measured_at,
+        CAST(COUNT_IF(dominant_pollutant IS NULL) AS BIGINT) AS null_dominant_pollutant,
+        CAST(COUNT_IF(queried_city IS NULL) AS BIGINT) AS null_queried_city,
+        CAST(COUNT_IF(aqi < 0 OR aqi > 500) AS BIGINT) AS aqi_out_of_range,
         list_sort(list_distinct(list(queried_city))) AS cities,
         list_sort(list_distinct(list(CASE WHEN source NOT IN ('kaggle', 'api') THEN source END))) AS invalid_sources,
-        COUNT_IF(TRY_CAST(ingested_at AS TIMESTAMP) >= TIMESTAMP '2024-02-03 00:00:00' - INTERVAL 48 HOUR) AS fresh_rows
+        CAST(COUNT_IF(TRY_CAST(ingested_at AS TIMESTAMP) >= TIMESTAMP '2024-02-03 00:00:00' - INTERVAL 48 HOUR) AS BIGINT) AS fresh_rows
       FROM readings_dup),
 mt AS (SELECT *, array_to_string(cities, ',') AS distinct_cities,
          array_to_string(invalid_sources, ',') AS invalid_source_list FROM m)"""
@@ -39,7 +39,7 @@ _MISS_D = f"list_filter({_EXP}, lambda x: NOT list_contains(d.cities, x))"
 _CHECKS_SQL = with_views(READINGS, READINGS_DUP, STATIONS, _METRICS_SQL, """
 d AS (SELECT COUNT(*) AS total_stations, list_sort(list_distinct(list(queried_city))) AS cities FROM stations)""") + f"""
 SELECT 'row_count' AS "check", 'fact_aqi' AS "table", CAST(NULL AS VARCHAR) AS "column", CAST(total_rows AS DOUBLE) AS value,
-  10.0 AS threshold, total_rows >= 10 AS passed, 'fact_aqi row count: ' || total_rows || ' (min: 10)' AS message FROM m
+  CAST(10.0 AS DOUBLE) AS threshold, total_rows >= 10 AS passed, 'fact_aqi row count: ' || total_rows || ' (min: 10)' AS message FROM m
 """ + "".join(f"""UNION ALL
 SELECT 'null_pct', 'fact_aqi', '{c}', {_pct(c)}, 5.0, {_pct(c)} <= 5.0,
   'fact_aqi.{c} null%: ' || CAST({_pct(c)} AS VARCHAR) || '% (max: 5.0%)' FROM m
@@ -71,7 +71,7 @@ def q_dq_checks(spark, sf_dir):
 
 
 @query("dq_gate", "WITH c AS (" + _CHECKS_SQL.replace("WITH ", "WITH ", 1) + """)
-SELECT bool_and(passed) AS quality_passed, COUNT_IF(passed) AS checks_passed, COUNT(*) AS checks_total,
+SELECT bool_and(passed) AS quality_passed, CAST(COUNT_IF(passed) AS BIGINT) AS checks_passed, COUNT(*) AS checks_total,
   coalesce(array_to_string(list_sort(list(CASE WHEN NOT passed THEN "check" || '.' || coalesce("column", '') END)), ','), '') AS failed
 FROM c""")
 def q_dq_gate(spark, sf_dir):
