@@ -62,28 +62,40 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple
     return [tuple(n) for n in nodes]
 
 
+def _unit(h: F.Column) -> F.Column:
+    """A 64-bit hash mapped to [0, 1)."""
+    return h.bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)) / F.lit(float(2 ** 63))
+
+
 def sample_for_trees(df: DataFrame, key_cols: Sequence[str], features: Sequence[str], n_trees: int = 200,
-                     max_samples: int = 256, seed: int = 42) -> DataFrame:
+                     max_samples: int = 256, seed: int = 42, oversample: float = 3.0) -> DataFrame:
     """(tree_id, features...) with at most ``max_samples`` rows per tree.
 
-    Small inputs (n <= n_trees * max_samples): every tree draws from all rows (one
-    seeded hash per (row, tree)). Large inputs: a seeded pool of about
-    2 * n_trees * max_samples rows is split over the trees by hash, so no row
-    expansion over the full table is needed.
+    Small inputs (n <= n_trees * max_samples): every tree draws the ``psi`` rows with the
+    smallest seeded (row, tree) hash from all rows; a hash threshold keeps only about
+    ``oversample * psi`` candidates per tree before the per-tree ranking (exact: a tree
+    left with fewer candidates is redrawn without the threshold). Large inputs: a seeded
+    pool of about ``oversample * n_trees * psi`` rows is split over the trees by hash,
+    so no row expansion over the full table is needed.
     """
+    from pyspark.sql import Window
+
     n = df.count()
     psi = min(max_samples, n)
     base = df.select(*features, F.xxhash64(*key_cols, F.lit(seed)).alias("_h"))
+    frac = min(1.0, oversample * psi / max(n, 1))
     if n <= n_trees * max_samples:
-        cand = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree_id"))
-        cand = cand.withColumn("_r", F.xxhash64("_h", "tree_id", F.lit(seed)))
+        every = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree_id"))
+        every = every.withColumn("_r", _unit(F.xxhash64("_h", "tree_id", F.lit(seed))))
+        cand = every.filter(F.col("_r") < frac)
+        short = cand.groupBy("tree_id").count().filter(F.col("count") >= psi).count() < n_trees
+        if short:
+            cand = every
     else:
-        frac = min(1.0, 2.0 * n_trees * psi / n)
-        u = (F.col("_h").bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF)) / F.lit(float(2 ** 63)))
-        cand = base.filter(u < frac).withColumn("tree_id", F.pmod(F.xxhash64("_h", F.lit(seed + 1)), F.lit(n_trees)).cast("int"))
-        cand = cand.withColumn("_r", F.xxhash64("_h", F.lit(seed + 2)))
-    from pyspark.sql import Window
-
+        pool = min(1.0, oversample * n_trees * psi / n)
+        cand = base.filter(_unit(F.col("_h")) < pool)
+        cand = cand.withColumn("tree_id", F.pmod(F.xxhash64("_h", F.lit(seed + 1)), F.lit(n_trees)).cast("int"))
+        cand = cand.withColumn("_r", _unit(F.xxhash64("_h", F.lit(seed + 2))))
     w = Window.partitionBy("tree_id").orderBy("_r", "_h")
     return cand.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= psi).drop("_k", "_r", "_h")
 
