@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from smogline.operators.dedup import assert_unique
 from smogline.session import broadcast_if_small
 from smogline.functions.columns import aqi_level, month_text, null_last_key, rounded_avg, year_text
 
@@ -89,7 +90,7 @@ def monthly_ranking(fact: DataFrame, daily: DataFrame | None = None, digits: int
     )
 
 
-def station_summary(fact: DataFrame, dim: DataFrame, digits: int = 2) -> DataFrame:
+def station_summary(fact: DataFrame, dim: DataFrame, digits: int = 2, check_unique: bool = True) -> DataFrame:
     """Monthly per-station summary with names/coordinates and rank within city.
 
     The fact is aggregated to (station, city, month) first and only then joined to
@@ -113,7 +114,10 @@ def station_summary(fact: DataFrame, dim: DataFrame, digits: int = 2) -> DataFra
     # the pollutant mode is keyed by (station, month) only, as in the gold job
     mode = grouped_mode(f, ["waqi_idx", "year", "month"], "dominant_pollutant")
     agg = agg.join(mode, ["waqi_idx", "year", "month"], "left")
-    d = broadcast_if_small(dim.select("waqi_idx", "station_name", "lat", "lon"))
+    d = dim.select("waqi_idx", "station_name", "lat", "lon")
+    if check_unique:  # a repeated key would fan the summary out
+        assert_unique(d, ["waqi_idx"])
+    d = broadcast_if_small(d)
     joined = agg.join(d, "waqi_idx", "left")
     w = Window.partitionBy("queried_city", "year", "month").orderBy(F.col("avg_aqi").desc())
     return joined.withColumn("pollution_level", aqi_level("avg_aqi")).withColumn(

@@ -252,7 +252,7 @@ def q_model_comparison(spark, sf_dir):
     rows, feats, model = _gbt(spark, sf_dir)
     te = model.transform(rows.filter(F.col("split") == "test"))
     base = ml.baseline_metrics(te, "aqi_target", {**_BASELINES, "gbt": "prediction"})
-    return ml.approval(base, K.MODEL_APPROVAL_MAE)
+    return ml.approval(base, K.MODEL_APPROVAL_MAE).orderBy("mae", "name")  # presentation order
 
 
 @query("contributions")
