@@ -9,7 +9,7 @@ from smogline import constants as K
 from smogline.functions.columns import aqi_level, exact_avg, rounded_avg, weekday_mon0
 from smogline.operators import gold, profile
 from smogline.operators.clean import in_box
-from smogline.plans.q_gold import _DAILY_SQL
+from smogline.plans.q_gold import _DAILY_SQL, daily_ctes, monthly_ctes
 from smogline.plans.registry import query
 from smogline.plans.sql_views import READINGS, STATIONS, YEARLY, level, r6, ravg, with_views, xavg
 from smogline.sources.testdata import readings, stations, yearly_readings
@@ -123,10 +123,7 @@ def q_latest_by_city(spark, sf_dir):
     return profile.latest_non_null(readings(spark, sf_dir), "queried_city", _LATEST_COLS, ["measured_at", "waqi_idx"])
 
 
-_YDAILY = _DAILY_SQL.replace("FROM readings", "FROM yearly").replace("WITH ", "", 1)
-
-
-@query("annual_summary", with_views(YEARLY, _YDAILY, f"""
+@query("annual_summary", with_views(YEARLY, daily_ctes("yearly"), f"""
 an AS (SELECT queried_city, year, {ravg('avg_aqi')} AS avg_aqi, MAX(max_aqi) AS max_aqi,
          CAST(COUNT_IF(pollution_level = 'Good') AS BIGINT) AS days_good,
          CAST(COUNT_IF(pollution_level IN ('Unhealthy', 'Very Unhealthy', 'Hazardous')) AS BIGINT) AS days_unhealthy
@@ -142,13 +139,7 @@ def q_annual_summary(spark, sf_dir):
     return an.withColumn("overall_rank", F.row_number().over(w))
 
 
-from smogline.plans.q_gold import _MONTHLY_SQL  # noqa: E402
-
-_YEARLY_MONTHLY_SQL = "WITH " + YEARLY.strip() + ",\n" + _MONTHLY_SQL.replace("WITH ", "", 1).replace(
-    "readings AS (", "readings_unused AS (", 1).replace("FROM readings", "FROM yearly")
-
-
-@query("city_ranking_yearly", _YEARLY_MONTHLY_SQL)
+@query("city_ranking_yearly", with_views(YEARLY, daily_ctes("yearly")) + monthly_ctes("yearly"))
 def q_city_ranking_yearly(spark, sf_dir):
     return gold.monthly_ranking(yearly_readings(spark, sf_dir))
 

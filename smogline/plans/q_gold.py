@@ -10,8 +10,10 @@ from smogline.plans.registry import query
 from smogline.plans.sql_views import READINGS, STATIONS, level, ravg, with_views
 from smogline.sources.testdata import readings, stations
 
-_DAILY_SQL = with_views(READINGS, f"""
-d AS (SELECT *, CAST(measured_at AS DATE) AS "date" FROM readings),
+def daily_ctes(src: str = "readings") -> str:
+    """CTEs d, m, a, daily: the gold daily summary over the fact view ``src``."""
+    return f"""
+d AS (SELECT *, CAST(measured_at AS DATE) AS "date" FROM {src}),
 m AS (SELECT queried_city, "date", dominant_pollutant FROM (
         SELECT queried_city, "date", dominant_pollutant,
                ROW_NUMBER() OVER (PARTITION BY queried_city, "date"
@@ -24,7 +26,10 @@ a AS (SELECT queried_city, "date", {ravg('aqi')} AS avg_aqi, MAX(aqi) AS max_aqi
       FROM d GROUP BY queried_city, "date"),
 daily AS (SELECT a.*, m.dominant_pollutant, {level('max_aqi')} AS pollution_level,
         CAST(year("date") AS VARCHAR) AS year, lpad(CAST(month("date") AS VARCHAR), 2, '0') AS month
-      FROM a LEFT JOIN m USING (queried_city, "date"))""")
+      FROM a LEFT JOIN m USING (queried_city, "date"))"""
+
+
+_DAILY_SQL = with_views(READINGS, daily_ctes("readings"))
 
 DAILY_SUMMARY_SQL = _DAILY_SQL + "\nSELECT * FROM daily"
 
@@ -46,14 +51,16 @@ def q_dominant_pollutant(spark, sf_dir):
     return gold.grouped_mode(r, ["queried_city", "date"], "dominant_pollutant")
 
 
-_MONTHLY_SQL = _DAILY_SQL + f""",
+def monthly_ctes(src: str = "readings") -> str:
+    """CTEs of the monthly ranking (after ``daily_ctes``) plus its final SELECT."""
+    return f""",
 mm AS (SELECT queried_city, year, month, dominant_pollutant FROM (
         SELECT queried_city, CAST(year(measured_at) AS VARCHAR) AS year,
                lpad(CAST(month(measured_at) AS VARCHAR), 2, '0') AS month, dominant_pollutant,
                ROW_NUMBER() OVER (PARTITION BY queried_city, CAST(year(measured_at) AS VARCHAR),
                                   lpad(CAST(month(measured_at) AS VARCHAR), 2, '0')
                                   ORDER BY COUNT(*) DESC, dominant_pollutant ASC NULLS LAST) AS rn
-        FROM readings GROUP BY 1, 2, 3, 4) x WHERE rn = 1),
+        FROM {src} GROUP BY 1, 2, 3, 4) x WHERE rn = 1),
 mo AS (SELECT queried_city, year, month, {ravg('avg_aqi')} AS avg_aqi, MAX(max_aqi) AS max_aqi,
         MIN(min_aqi) AS min_aqi, {ravg('avg_pm25')} AS avg_pm25, {ravg('avg_pm10')} AS avg_pm10,
         CAST(SUM(record_count) AS BIGINT) AS record_count,
@@ -70,6 +77,9 @@ SELECT mo.*, mm.dominant_pollutant, {level('avg_aqi')} AS pollution_level,
 FROM mo LEFT JOIN mm USING (queried_city, year, month)"""
 
 
+_MONTHLY_SQL = _DAILY_SQL + monthly_ctes("readings")
+
+
 @query("city_ranking", _MONTHLY_SQL)
 def q_city_ranking(spark, sf_dir):
     return gold.monthly_ranking(readings(spark, sf_dir))

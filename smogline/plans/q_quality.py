@@ -70,7 +70,7 @@ def q_dq_checks(spark, sf_dir):
     return quality.run_checks(readings_dup(spark, sf_dir), stations(spark, sf_dir), NOW)
 
 
-@query("dq_gate", "WITH c AS (" + _CHECKS_SQL.replace("WITH ", "WITH ", 1) + """)
+@query("dq_gate", "WITH c AS (" + _CHECKS_SQL + """)
 SELECT bool_and(passed) AS quality_passed, CAST(COUNT_IF(passed) AS BIGINT) AS checks_passed, COUNT(*) AS checks_total,
   coalesce(array_to_string(list_sort(list(CASE WHEN NOT passed THEN "check" || '.' || coalesce("column", '') END)), ','), '') AS failed
 FROM c""")
