@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from smogline import constants as K
 
 __all__ = [
-    "col_of", "aqi_level", "exact_sum", "exact_avg", "rounded_avg", "round_half", "null_if_tokens",
+    "col_of", "aqi_level", "scaled", "exact_sum", "exact_mean", "exact_avg", "rounded_avg", "round_half", "null_if_tokens",
     "parse_number", "clean_numeric", "timestamp_with_offset", "split_pair", "keyword_category",
     "city_from_url", "cyclical", "is_weekend", "is_dry_season", "year_text", "month_text",
     "weekday_mon0", "null_last_key", "label_lookup",
@@ -33,15 +33,30 @@ def aqi_level(value: str | Column, levels: Sequence[tuple[float, str]] = K.AQI_L
     return expr.when(v.isNotNull(), F.lit(top))
 
 
-def exact_sum(value: str | Column, scale: int = 6) -> Column:
-    """Sum at fixed decimal resolution: exact, so independent of partition order."""
-    return F.sum(col_of(value).cast(f"decimal(18,{scale})"))
+# measurements are summed at a fixed resolution of 1e-6 as integers: exact and
+# independent of summation order (hence of partitioning), cheap (long-backed decimals)
+EXACT_SCALE = 1_000_000.0
 
 
-def exact_avg(value: str | Column, scale: int = 6) -> Column:
-    """Mean as exact decimal sum / count (deterministic across partitionings)."""
+def scaled(value: str | Column) -> Column:
+    """``value`` in units of 1e-6, rounded half-even, as a long-backed decimal."""
+    return F.rint(col_of(value) * F.lit(EXACT_SCALE)).cast("long").cast("decimal(18,0)")
+
+
+def exact_sum(value: str | Column) -> Column:
+    """Exact sum in units of 1e-6 (decimal(28,0): no overflow for any realistic volume)."""
+    return F.sum(scaled(value))
+
+
+def exact_mean(scaled_sum: Column, count: Column) -> Column:
+    """Mean from an exact scaled sum and a count (null when the count is 0)."""
+    return F.try_divide(scaled_sum.cast("double") / F.lit(EXACT_SCALE), count)
+
+
+def exact_avg(value: str | Column) -> Column:
+    """Mean as exact scaled sum / count (deterministic across partitionings)."""
     v = col_of(value)
-    return F.try_divide(exact_sum(v, scale).cast("double"), F.count(v))
+    return exact_mean(exact_sum(v), F.count(v))
 
 
 def round_half(value: str | Column, digits: int = 2) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from smogline import constants as K
 from smogline.functions.columns import (
-    cyclical, exact_avg, is_dry_season, is_weekend, month_text, round_half, weekday_mon0, year_text,
+    cyclical, exact_avg, exact_mean, is_dry_season, scaled, is_weekend, month_text, round_half, weekday_mon0, year_text,
 )
 
 KEY, TS = "queried_city", "measured_at"
@@ -63,7 +63,7 @@ def rolling_columns(col: str, sizes: Sequence[tuple[int, str]], w, stats: Sequen
         cnt = F.count(col).over(frame)
         need = {None: 1, "full": n, "half": max(1, n // 2)}.get(min_periods, min_periods)
         ok = cnt >= F.lit(need)
-        mean = F.try_divide(F.sum(F.col(col).cast("decimal(18,6)")).over(frame).cast("double"), cnt)
+        mean = exact_mean(F.sum(scaled(col)).over(frame), cnt)
         exprs = {
             "mean": round_half(mean, digits),
             "std": round_half(F.stddev(col).over(frame), digits),
@@ -146,18 +146,18 @@ def interpolate(df: DataFrame, cols: Sequence[str], key: str = KEY, ts: str = TS
     after = w.rowsBetween(0, Window.unboundedFollowing)
     t = F.unix_seconds(F.col(ts))
     out = df.withColumn("_rn", F.row_number().over(w))
+    # one backward and one forward window per column: the last/next known (value, time, row)
+    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), t.alias("t"), F.col("_rn").alias("rn")))
+             for c in cols}
+    out = out.withColumns({f"_p_{c}": F.last(e, ignorenulls=True).over(before) for c, e in known.items()})
+    out = out.withColumns({f"_n_{c}": F.first(e, ignorenulls=True).over(after) for c, e in known.items()})
     exprs = {}
     for c in cols:
-        v = F.col(c)
-        p_v = F.last(v, ignorenulls=True).over(before)
-        p_t = F.last(F.when(v.isNotNull(), t), ignorenulls=True).over(before)
-        p_rn = F.last(F.when(v.isNotNull(), F.col("_rn")), ignorenulls=True).over(before)
-        n_v = F.first(v, ignorenulls=True).over(after)
-        n_t = F.first(F.when(v.isNotNull(), t), ignorenulls=True).over(after)
-        lin = p_v + (n_v - p_v) * (t - p_t).cast("double") / (n_t - p_t).cast("double")
-        filled = F.when(n_v.isNull(), p_v).otherwise(round_half(lin, digits))
-        exprs[c] = F.when(v.isNotNull(), v).when((F.col("_rn") - p_rn) <= limit, filled)
-    return out.withColumns(exprs).drop("_rn")
+        p, n = F.col(f"_p_{c}"), F.col(f"_n_{c}")
+        lin = p.v + (n.v - p.v) * (t - p.t).cast("double") / (n.t - p.t).cast("double")
+        filled = F.when(n.isNull(), p.v).otherwise(round_half(lin, digits))
+        exprs[c] = F.when(F.col(c).isNotNull(), F.col(c)).when((F.col("_rn") - p.rn) <= limit, filled)
+    return out.withColumns(exprs).drop("_rn", *[f"_p_{c}" for c in cols], *[f"_n_{c}" for c in cols])
 
 
 def fill_forward_back_median(df: DataFrame, cols: Sequence[str], key: str = KEY, ts: str = TS) -> DataFrame:
@@ -197,7 +197,7 @@ def daily_features(fact: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
 def rolling_mean_including_current(df: DataFrame, col: str, n: int, key: str = KEY, ts: str = TS,
                                    name: str | None = None, digits: int = 6) -> DataFrame:
     w = _w(key, ts).rowsBetween(-(n - 1), 0)
-    mean = F.try_divide(F.sum(F.col(col).cast("decimal(18,6)")).over(w).cast("double"), F.count(col).over(w))
+    mean = exact_mean(F.sum(scaled(col)).over(w), F.count(col).over(w))
     return df.withColumn(name or f"{col}_roll_{n}", round_half(mean, digits))
 
 
@@ -238,7 +238,7 @@ def decompose(df: DataFrame, col: str = "aqi", period: int = 7, key: str = KEY,
     frame = w.rowsBetween(-half, half)
     idx = F.row_number().over(w) - 1
     trend = F.when(F.count(col).over(frame) == period,
-                   F.try_divide(F.sum(F.col(col).cast("decimal(18,6)")).over(frame).cast("double"), F.lit(float(period))))
+                   exact_mean(F.sum(scaled(col)).over(frame), F.lit(float(period))))
     t = df.withColumns({"_phase": idx % period, "trend": round_half(trend, digits)})
     t = t.withColumn("_detr", F.col(col) - F.col("trend"))
     phase_mean = t.groupBy(key, "_phase").agg(F.avg("_detr").alias("_pm"))

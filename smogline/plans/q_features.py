@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from smogline import constants as K
 from smogline.operators import windows as W
 from smogline.plans.registry import query
-from smogline.plans.sql_views import READINGS, TWO_PI, hourly_cte, r6, roll_sql, with_views, xavg
+from smogline.plans.sql_views import READINGS, TWO_PI, hourly_cte, r6, roll_sql, scaled, with_views, xavg, xmean
 from smogline.sources.testdata import readings
 
 WIN = "WINDOW w AS (PARTITION BY queried_city ORDER BY measured_at)"
@@ -151,7 +151,7 @@ def q_daily_features(spark, sf_dir):
 
 @query("rolling_7d", with_views(READINGS, hourly_cte("d", "day")) + f"""
 SELECT queried_city, measured_at, aqi,
-  {r6("CAST(SUM(CAST(aqi AS DECIMAL(18,6))) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS DOUBLE) / COUNT(aqi) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)")} AS aqi_roll_7
+  {r6(xmean(f"SUM({scaled('aqi')}) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)", "COUNT(aqi) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"))} AS aqi_roll_7
 FROM d {WIN}""")
 def q_rolling_7d(spark, sf_dir):
     d = W.daily_means(readings(spark, sf_dir)).select("queried_city", "measured_at", "aqi")
@@ -174,7 +174,7 @@ def q_zscore_anomalies(spark, sf_dir):
 @query("decompose", with_views(READINGS, hourly_cte("d", "day"), f"""
 t AS (SELECT *, (ROW_NUMBER() OVER w - 1) % 7 AS _phase,
         CASE WHEN COUNT(aqi) OVER (w ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) = 7 THEN
-          {r6("CAST(SUM(CAST(aqi AS DECIMAL(18,6))) OVER (w ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS DOUBLE) / 7.0")}
+          {r6(xmean(f"SUM({scaled('aqi')}) OVER (w ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)", "CAST(7 AS DOUBLE)"))}
         END AS trend FROM d {WIN}),
 pm AS (SELECT queried_city, _phase, AVG(aqi - trend) AS m FROM t GROUP BY 1, 2),
 sc AS (SELECT queried_city, _phase, {r6("m - AVG(m) OVER (PARTITION BY queried_city)")} AS seasonal FROM pm)""") + f"""

@@ -37,13 +37,22 @@ readings_dup AS (
   SELECT * REPLACE (aqi + 1.0 AS aqi), '2024-02-02T06:00:00' AS ingested_at FROM readings WHERE event_id % 17 = 0
 )"""
 
-# 2-digit mean that both engines round identically (exact decimal sum, 1e-9 nudge)
-def ravg(x: str, digits: int = 2) -> str:
-    return f"CAST(ROUND(CAST(SUM(CAST({x} AS DECIMAL(18,6))) AS DOUBLE) / COUNT({x}) + 1e-9, {digits}) AS DOUBLE)"
+def scaled(x: str) -> str:
+    """Oracle form of functions.columns.scaled: units of 1e-6, half-even, long-backed decimal."""
+    return f"CAST(CAST(round_even({x} * CAST(1000000 AS DOUBLE), 0) AS BIGINT) AS DECIMAL(18,0))"
+
+
+def xmean(scaled_sum: str, count: str) -> str:
+    return f"(CAST({scaled_sum} AS DOUBLE) / CAST(1000000 AS DOUBLE) / {count})"
 
 
 def xavg(x: str) -> str:
-    return f"(CAST(SUM(CAST({x} AS DECIMAL(18,6))) AS DOUBLE) / COUNT({x}))"
+    return xmean(f"SUM({scaled(x)})", f"COUNT({x})")
+
+
+# 2-digit mean that both engines round identically (exact scaled sum, 1e-9 nudge)
+def ravg(x: str, digits: int = 2) -> str:
+    return f"CAST(ROUND({xavg(x)} + 1e-9, {digits}) AS DOUBLE)"
 
 
 def level(x: str) -> str:
@@ -129,7 +138,7 @@ def roll_sql(col: str, n: int, label: str, stats=("mean", "std", "min", "max"),
         else f"({w} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
     cnt = f"COUNT({col}) OVER {frame}"
     exprs = {
-        "mean": r6(f"CAST(SUM(CAST({col} AS DECIMAL(18,6))) OVER {frame} AS DOUBLE) / {cnt}"),
+        "mean": r6(xmean(f"SUM({scaled(col)}) OVER {frame}", cnt)),
         "std": r6(f"stddev_samp({col}) OVER {frame}"),
         "min": f"MIN({col}) OVER {frame}",
         "max": f"MAX({col}) OVER {frame}",
