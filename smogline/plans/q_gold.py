@@ -114,3 +114,19 @@ def q_aqi_level(spark, sf_dir):
     r = readings(spark, sf_dir)
     return r.groupBy(aqi_level("aqi").alias("pollution_level")).agg(
         F.count(F.lit(1)).alias("n"), F.min("aqi").alias("min_aqi"), F.max("aqi").alias("max_aqi"))
+
+
+@query("gold_job_daily", DAILY_SUMMARY_SQL)
+def q_gold_job_daily(spark, sf_dir):
+    """The gated gold job end to end: checks pass, tables are written, daily is read back."""
+    from smogline.plans import jobs
+    from smogline.session import scratch_path
+
+    path = scratch_path(spark, "gold-job")
+    fact = readings(spark, sf_dir).withColumn("ingested_at", F.lit("2024-02-01T00:00:00"))
+    checks = jobs.gold_build(spark, fact, stations(spark, sf_dir), path, now="2024-02-02 00:00:00")
+    failed = [r.check for r in checks.filter(~F.col("passed")).collect()]
+    if failed:
+        raise RuntimeError(f"quality gate failed: {failed}")
+    daily = gold.daily_summary(fact.limit(0))
+    return spark.read.schema(daily.schema).parquet(f"{path}/gold_aqi_daily_summary")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from smogline import schemas
+from smogline.plans import q_features, q_gold, q_silver  # noqa: F401  (their oracle texts are reused below)
 from smogline.operators import clean, gold
 from smogline.operators import windows as W
 from smogline.plans.q_gold import DAILY_SUMMARY_SQL

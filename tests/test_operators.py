@@ -183,3 +183,29 @@ def test_metrics_mape_epsilon(spark):
 def test_drop_stale_uses_given_now(spark):
     df = spark.createDataFrame([(_ts(0, 1),), (_ts(0, 3),)], "measured_at timestamp")
     assert clean.drop_stale(df, "2024-01-04 00:00:00", 48).count() == 1
+
+
+def test_require_columns_raises(spark):
+    df = spark.createDataFrame([(1.0,)], "aqi double")
+    with pytest.raises(ValueError):
+        ml.require_columns(df, ["aqi", "aqi_lag_1h"])
+    assert ml.require_columns(df, ["aqi"]) is df
+
+
+def test_partition_text_zero_padded(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 5, 1),)], "ts timestamp")
+    r = df.select(C.year_text("ts").alias("y"), C.month_text("ts").alias("m")).first()
+    assert (r.y, r.m) == ("2024", "03")
+
+
+def test_flatten_skips_non_ok_and_reads_text_aqi(spark):
+    from smogline import schemas
+
+    doc = {"status": "error", "data": {"aqi": "42", "idx": 1, "dominentpol": "pm25", "city": None,
+                                       "time": {"iso": "2024-01-01T00:00:00Z"}, "iaqi": None},
+           "queried_city": "ha-noi", "year": "2024", "month": "01", "day": "01"}
+    ok = dict(doc, status="ok")
+    dash = dict(ok, data=dict(ok["data"], aqi="-", idx=2))
+    df = spark.createDataFrame([doc, ok, dash], schemas.API_DOCUMENT_WITH_PATH)
+    got = {r.waqi_idx: r.aqi for r in clean.flatten_reading(df, ingested_at="x").collect()}
+    assert got == {1: 42.0, 2: None}
