@@ -9,18 +9,22 @@ from smogline.sources.testdata import readings_dup, stations
 
 NOW = "2024-02-03 00:00:00"
 
-_METRICS_SQL = """
-m AS (SELECT COUNT(*) AS total_rows,
+def metrics_cte(src: str = "readings_dup", now: str = NOW) -> str:
+    return f"""
+qm AS (SELECT COUNT(*) AS total_rows,
         CAST(COUNT_IF(aqi IS NULL) AS BIGINT) AS null_aqi, CAST(COUNT_IF(measured_at IS NULL) AS BIGINT) AS null_measured_at,
         CAST(COUNT_IF(dominant_pollutant IS NULL) AS BIGINT) AS null_dominant_pollutant,
         CAST(COUNT_IF(queried_city IS NULL) AS BIGINT) AS null_queried_city,
         CAST(COUNT_IF(aqi < 0 OR aqi > 500) AS BIGINT) AS aqi_out_of_range,
         list_sort(list_distinct(list(queried_city))) AS cities,
         list_sort(list_distinct(list(CASE WHEN source NOT IN ('kaggle', 'api') THEN source END))) AS invalid_sources,
-        CAST(COUNT_IF(TRY_CAST(ingested_at AS TIMESTAMP) >= TIMESTAMP '2024-02-03 00:00:00' - INTERVAL 48 HOUR) AS BIGINT) AS fresh_rows
-      FROM readings_dup),
+        CAST(COUNT_IF(TRY_CAST(ingested_at AS TIMESTAMP) >= TIMESTAMP '{now}' - INTERVAL 48 HOUR) AS BIGINT) AS fresh_rows
+      FROM {src}),
 mt AS (SELECT *, array_to_string(cities, ',') AS distinct_cities,
-         array_to_string(invalid_sources, ',') AS invalid_source_list FROM m)"""
+         array_to_string(invalid_sources, ',') AS invalid_source_list FROM qm)"""
+
+
+_METRICS_SQL = metrics_cte()
 
 
 @query("dq_metrics", with_views(READINGS, READINGS_DUP, _METRICS_SQL) + "\nSELECT * FROM mt")
@@ -33,36 +37,42 @@ def _pct(c):
 
 
 _EXP = "['cao-bang', 'da-nang', 'gia-lai', 'ha-noi', 'ho-chi-minh-city']"
-_MISS_F = f"list_filter({_EXP}, lambda x: NOT list_contains(m.cities, x))"
-_MISS_D = f"list_filter({_EXP}, lambda x: NOT list_contains(d.cities, x))"
+_MISS_F = f"list_filter({_EXP}, lambda x: NOT list_contains(qm.cities, x))"
+_MISS_D = f"list_filter({_EXP}, lambda x: NOT list_contains(dm.cities, x))"
 
-_CHECKS_SQL = with_views(READINGS, READINGS_DUP, STATIONS, _METRICS_SQL, """
-d AS (SELECT COUNT(*) AS total_stations, list_sort(list_distinct(list(queried_city))) AS cities FROM stations)""") + f"""
+def checks_cte(dim: str = "stations") -> str:
+    """CTEs dm (dimension metrics) and chk (the eleven check rows); needs ``metrics_cte`` first."""
+    return f"""
+dm AS (SELECT COUNT(*) AS total_stations, list_sort(list_distinct(list(queried_city))) AS cities FROM {dim}),
+chk AS (
 SELECT 'row_count' AS "check", 'fact_aqi' AS "table", CAST(NULL AS VARCHAR) AS "column", CAST(total_rows AS DOUBLE) AS value,
-  CAST(10.0 AS DOUBLE) AS threshold, total_rows >= 10 AS passed, 'fact_aqi row count: ' || total_rows || ' (min: 10)' AS message FROM m
+  CAST(10.0 AS DOUBLE) AS threshold, total_rows >= 10 AS passed, 'fact_aqi row count: ' || total_rows || ' (min: 10)' AS message FROM qm
 """ + "".join(f"""UNION ALL
 SELECT 'null_pct', 'fact_aqi', '{c}', {_pct(c)}, 5.0, {_pct(c)} <= 5.0,
-  'fact_aqi.{c} null%: ' || CAST({_pct(c)} AS VARCHAR) || '% (max: 5.0%)' FROM m
+  'fact_aqi.{c} null%: ' || CAST({_pct(c)} AS VARCHAR) || '% (max: 5.0%)' FROM qm
 """ for c in ["aqi", "measured_at", "dominant_pollutant", "queried_city"]) + f"""UNION ALL
 SELECT 'aqi_range', 'fact_aqi', 'aqi', aqi_out_of_range, 0.0, aqi_out_of_range = 0,
-  'AQI out of range [0-500]: ' || aqi_out_of_range || ' records' FROM m
+  'AQI out of range [0-500]: ' || aqi_out_of_range || ' records' FROM qm
 UNION ALL
 SELECT 'city_coverage', 'fact_aqi', 'queried_city', len({_MISS_F}), 0.0, len({_MISS_F}) = 0,
-  CASE WHEN len({_MISS_F}) = 0 THEN 'All cities present' ELSE 'Missing cities: ' || array_to_string({_MISS_F}, ',') END FROM m
+  CASE WHEN len({_MISS_F}) = 0 THEN 'All cities present' ELSE 'Missing cities: ' || array_to_string({_MISS_F}, ',') END FROM qm
 UNION ALL
 SELECT 'source_validity', 'fact_aqi', 'source', len(invalid_sources), 0.0, len(invalid_sources) = 0,
   CASE WHEN len(invalid_sources) = 0 THEN 'All sources valid'
-       ELSE 'Invalid sources: ' || array_to_string(invalid_sources, ',') END FROM m
+       ELSE 'Invalid sources: ' || array_to_string(invalid_sources, ',') END FROM qm
 UNION ALL
 SELECT 'freshness', 'fact_aqi', 'ingested_at', fresh_rows, 1.0, fresh_rows > 0,
-  fresh_rows || ' rows ingested in the freshness window' FROM m
+  fresh_rows || ' rows ingested in the freshness window' FROM qm
 UNION ALL
 SELECT 'dim_station_row_count', 'dim_station', NULL, total_stations, 1.0, total_stations > 0,
-  'dim_station: ' || total_stations || ' stations' FROM d
+  'dim_station: ' || total_stations || ' stations' FROM dm
 UNION ALL
 SELECT 'dim_station_city_coverage', 'dim_station', 'queried_city', len({_MISS_D}), 0.0, len({_MISS_D}) = 0,
   CASE WHEN len({_MISS_D}) = 0 THEN 'All cities have stations'
-       ELSE 'Stations missing for cities: ' || array_to_string({_MISS_D}, ',') END FROM d"""
+       ELSE 'Stations missing for cities: ' || array_to_string({_MISS_D}, ',') END FROM dm)"""
+
+
+_CHECKS_SQL = with_views(READINGS, READINGS_DUP, STATIONS, _METRICS_SQL, checks_cte()) + "\nSELECT * FROM chk"
 
 
 @query("dq_checks", _CHECKS_SQL)
