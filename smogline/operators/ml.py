@@ -114,16 +114,23 @@ def alerts(df: DataFrame, flag: str, value: str = "aqi", above: float = 150.0) -
     return df.filter((F.col(flag) == 1) & (F.col(value) > above))
 
 
-def top_k(df: DataFrame, score: str, k: int, keys: Sequence[str], per: str | None = None) -> DataFrame:
+def top_k(df: DataFrame, score: str, k: int, keys: Sequence[str], per: str | None = None,
+          salt_buckets: int = 32) -> DataFrame:
     """Top-k rows by score (desc, keys asc as tie-break), globally or per group.
 
-    Global: TakeOrdered (each task keeps k rows). Per group: rank over the group.
+    Global: TakeOrdered (each task keeps k rows). Per group: exact two-phase ranking -
+    rows are first ranked inside (group, salt) buckets keyed by a hash of the row keys,
+    keeping k per bucket, then the <= salt_buckets * k survivors are ranked per group,
+    so a group holding a third of all rows is spread over ``salt_buckets`` tasks.
     """
     order = [F.col(score).desc_nulls_last()] + [F.col(c) for c in keys]
     if per is None:
         return df.orderBy(*order).limit(k)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salt_buckets)))
+    first = salted.withColumn("_r", F.row_number().over(Window.partitionBy(per, "_salt").orderBy(*order)))
+    cand = first.filter(F.col("_r") <= k).drop("_r", "_salt")
     w = Window.partitionBy(per).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def monthly_counts(df: DataFrame, flag: str, key: str = "queried_city", ts: str = "measured_at") -> DataFrame:

@@ -5,7 +5,8 @@ for the pairs where both values exist and immediately pre-aggregated to a joint
 (pair, x, y) -> count table. Average ranks come from the marginal counts (a
 running count over distinct values gives ``rank = rows before + (ties + 1) / 2``)
 and are joined to the joint table, never to the raw rows; Pearson's r of the
-ranks is assembled from count-weighted, centred sums. No global sort into one task.
+ranks comes from count-weighted sums in one partial aggregation per pair (the
+mean rank is (n+1)/2 by construction). No global sort into one task.
 """
 
 from __future__ import annotations
@@ -35,13 +36,13 @@ def spearman(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     long = df.select(F.inline(F.array(*rows))).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     joint = long.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("_c"))
     ranked = joint.join(_avg_ranks(joint, "x", "rx"), ["pair", "x"]).join(_avg_ranks(joint, "y", "ry"), ["pair", "y"])
-    n = F.sum("_c").over(Window.partitionBy("pair"))
-    ranked = ranked.withColumn("_mid", (n + F.lit(1)) / F.lit(2.0))  # mean of average ranks is (n+1)/2
-    dx, dy, c = F.col("rx") - F.col("_mid"), F.col("ry") - F.col("_mid"), F.col("_c")
-    sums = ranked.groupBy("pair").agg(F.sum(c * dx * dy).alias("sxy"), F.sum(c * dx * dx).alias("sxx"),
-                                      F.sum(c * dy * dy).alias("syy"), F.sum(c).alias("n"))
-    rho = sums.select("pair", round_half(F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx") * F.col("syy"))), digits)
-                      .alias("rho"), "n")
+    c, rx, ry = F.col("_c"), F.col("rx"), F.col("ry")
+    sums = ranked.groupBy("pair").agg(F.sum(c * rx * ry).alias("sxy"), F.sum(c * rx * rx).alias("sxx"),
+                                      F.sum(c * ry * ry).alias("syy"), F.sum(c).alias("n"))
+    # average ranks of n rows always sum to n(n+1)/2, so the centring term is n * ((n+1)/2)^2
+    centre = F.col("n").cast("double") * ((F.col("n") + F.lit(1)) / F.lit(2.0)) ** 2
+    rho = sums.select("pair", round_half(F.try_divide(F.col("sxy") - centre, F.sqrt(
+        (F.col("sxx") - centre) * (F.col("syy") - centre))), digits).alias("rho"), "n")
     names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
     return rho.select(F.get(names, F.col("pair")).getField("a").alias("a"),
                       F.get(names, F.col("pair")).getField("b").alias("b"), "rho", "n")

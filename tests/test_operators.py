@@ -209,3 +209,15 @@ def test_flatten_skips_non_ok_and_reads_text_aqi(spark):
     df = spark.createDataFrame([doc, ok, dash], schemas.API_DOCUMENT_WITH_PATH)
     got = {r.waqi_idx: r.aqi for r in clean.flatten_reading(df, ingested_at="x").collect()}
     assert got == {1: 42.0, 2: None}
+
+
+def test_top_k_per_group_with_hot_group_matches_plain_rank(spark):
+    rows = [("hot" if i % 3 else f"g{i % 7}", i, float((i * 7919) % 1000)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, id int, score double")
+    got = sorted((r.g, r.id, r.rank) for r in ml.top_k(df, "score", 5, ["id"], per="g", salt_buckets=8).collect())
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("g").orderBy(F.col("score").desc(), "id")
+    want = sorted((r.g, r.id, r.rank) for r in df.withColumn("rank", F.row_number().over(w))
+                  .filter("rank <= 5").collect())
+    assert got == want
