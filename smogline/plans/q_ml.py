@@ -319,3 +319,21 @@ def q_drift_watch(spark, sf_dir):
     return ml.drift(z, "split", "train", "test", {
         "aqi_mean": F.col("aqi"), "pm25_mean": F.col("pm25"), "humidity_mean": F.col("humidity"),
         "anomaly_rate": F.col("is_anom_zscore").cast("double")}, K.DRIFT_CHANGE_PCT)
+
+
+@query("iforest_alerts")
+def q_iforest_alerts(spark, sf_dir):
+    """Isolation-forest flags above the AQI alert level, keys kept (run summary via anomaly KPIs)."""
+    s = _iforest_scored(spark, sf_dir)
+    return ml.alerts(s, "is_anom_iforest").select("queried_city", "measured_at", "aqi", "iforest_score")
+
+
+@query("seasonal_iforest_rate")
+def q_seasonal_iforest_rate(spark, sf_dir):
+    """Winter vs summer isolation-forest anomaly rate of one city over the multi-year daily series."""
+    from smogline.operators.iforest import isolation_forest
+
+    feats = ["aqi", "pm25", "pm10", "humidity", "temperature"]
+    d = W.daily_means(yearly_readings(spark, sf_dir), measures=feats)
+    s = isolation_forest(spark, d, ["queried_city", "measured_at"], feats, contamination=K.ANOMALY_CONTAMINATION)
+    return ml.seasonal_rate(s, "is_anom_iforest", "ha-noi", _SEASONS)
