@@ -71,13 +71,13 @@ def rounded_avg(value: str | Column, digits: int = 2) -> Column:
 def null_if_tokens(value: str | Column, tokens: Sequence[str] = K.NULL_TOKENS) -> Column:
     """Junk tokens ('-', '', '#NAME?', 'N/A') become null; text is trimmed."""
     v = F.trim(col_of(value).cast("string"))
-    return F.when(v.isin(list(tokens)) | v.isNull(), F.lit(None).cast("string")).otherwise(v)
+    return F.when(v.isin(list(tokens)), F.lit(None).cast("string")).otherwise(v)
 
 
 def parse_number(value: str | Column, tokens: Sequence[str] = K.NULL_TOKENS) -> Column:
     """Text to double: tokens to null, thousands separators removed, bad text to null."""
     v = null_if_tokens(value, tokens)
-    return F.regexp_replace(v, ",", "").try_cast("double")
+    return F.replace(v, F.lit(","), F.lit("")).try_cast("double")  # literal replace, no regex
 
 
 def clean_numeric(value: Column, data_type) -> Column:

@@ -62,7 +62,9 @@ def read_dimension(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_fact(spark: SparkSession, silver: str) -> DataFrame:
-    return spark.read.schema(ingest.SINK_SCHEMA).parquet(f"{silver}/fact_aqi")
+    """The silver fact table, checked against its schema at the layer boundary."""
+    fact = spark.read.schema(ingest.SINK_SCHEMA).parquet(f"{silver}/fact_aqi")
+    return schemas.assert_schema(fact, schemas.FACT_AQI)
 
 
 def gold_build(spark: SparkSession, fact: DataFrame, dim: DataFrame, gold_path: str,
