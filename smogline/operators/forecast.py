@@ -20,7 +20,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.session import scratch_path
+from smogline.session import scratch_path, ship_package
 
 
 def train_gbt(df: DataFrame, features: Sequence[str], label: str = "aqi_target", val_col: str = "is_val",
@@ -87,6 +87,7 @@ def load_ensemble(spark: SparkSession, model: PipelineModel) -> TreeEnsemble:
 def contributions(spark: SparkSession, df: DataFrame, model: PipelineModel, features: Sequence[str],
                   keys: Sequence[str]) -> DataFrame:
     """Long table (keys..., feature, value, contribution) plus one '__base__' row per input row."""
+    ship_package(spark)
     ens = load_ensemble(spark, model)
     bc = spark.sparkContext.broadcast(ens)
     feats, keys = list(features), list(keys)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.session import checkpoint_dir
+from smogline.session import checkpoint_dir, ship_package
 
 _EULER = 0.5772156649015329
 NODE_SCHEMA = "tree_id int, node_id int, feature int, threshold double, left int, right int, size int"
@@ -102,6 +102,7 @@ def sample_for_trees(df: DataFrame, key_cols: Sequence[str], features: Sequence[
 
 def fit_forest(samples: DataFrame, features: Sequence[str], max_samples: int = 256, seed: int = 42) -> DataFrame:
     """One tree per tree_id group; returns the node table."""
+    ship_package(samples.sparkSession)
     feats = list(features)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -154,6 +155,7 @@ class Forest:
 def score(spark: SparkSession, df: DataFrame, nodes: DataFrame, features: Sequence[str], psi: int,
           out: str = "iforest_score") -> DataFrame:
     """Append the anomaly score in (0, 1] (higher = more isolated) to every row."""
+    ship_package(spark)
     forest = Forest(nodes.toPandas(), psi)  # bounded by n_trees * (2 * psi - 1) rows
     bc = spark.sparkContext.broadcast(forest)
     feats = list(features)

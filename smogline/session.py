@@ -82,3 +82,33 @@ def broadcast_if_small(df, max_rows: int = 2_000_000):
 
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``smogline`` importable in the Python workers (once per application).
+
+    Python stages (``applyInPandas``/``mapInPandas``) unpickle functions and classes of
+    this package on the executors; the package is zipped on the driver and handed to
+    ``SparkContext.addPyFile``, which distributes it like ``--py-files``.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import smogline
+
+    root = os.path.dirname(os.path.abspath(smogline.__file__))
+    fd, path = tempfile.mkstemp(prefix="smogline-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
