@@ -54,7 +54,10 @@ def write_gold_records(df: DataFrame, path: str, run_id: str, dt: str, fmt: str
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds readable files (probe through the session's file source)."""
+    """True when ``path`` holds readable files (probe through the session's file source).
+
+    Meant for small marker folders (flags, pointers): it lists everything below ``path``.
+    """
     from pyspark.errors import AnalysisException
 
     try:

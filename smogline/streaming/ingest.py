@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -22,7 +23,7 @@ from smogline import schemas
 from smogline.functions.columns import exact_avg
 from smogline.operators.clean import drop_stale, flatten_reading
 from smogline.operators.dedup import latest_per_key
-from smogline.sources.files import observed_counts, path_exists
+from smogline.sources.files import observed_counts
 
 KEYS = ["waqi_idx", "measured_at"]
 
@@ -48,16 +49,16 @@ def _upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sink: st
     if now is not None:
         flat = drop_stale(flat, now, stale_hours)
     fresh = latest_per_key(flat, KEYS, ["ingested_at"])
-    if path_exists(spark, sink):
-        months = [tuple(r) for r in fresh.select("year", "month").distinct().collect()]  # partitions touched
-        target = spark.read.schema(SINK_SCHEMA).parquet(sink)
-        cond = None
-        for y, m in months:
-            c = (F.col("year") == y) & (F.col("month") == m)
-            cond = c if cond is None else cond | c
-        if cond is not None:
-            target = target.filter(cond)
-        fresh = fresh.join(target.select(*KEYS), KEYS, "left_anti")
+    # keys already stored: read only the partitions this batch touches (path globs, so the
+    # rest of the table is never listed); a first batch finds no partition at all
+    months = [tuple(r) for r in fresh.select("year", "month").distinct().collect()]  # bounded: months
+    paths = [f"{sink}/queried_city=*/year={y}/month={m}" for y, m in months if y and m]
+    if paths:
+        try:
+            target = spark.read.schema(SINK_SCHEMA).option("basePath", sink).parquet(*paths)
+            fresh = fresh.join(target.select(*KEYS), KEYS, "left_anti")
+        except AnalysisException:  # none of the touched partitions exists yet
+            pass
     fresh = fresh.persist()
     new_rows = fresh.count()
     fresh.write.mode("append").partitionBy("queried_city", "year", "month").parquet(sink)
