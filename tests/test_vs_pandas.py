@@ -103,3 +103,52 @@ def test_spearman_matches_pandas_with_ties_and_nulls(spark):
     exp = pdf.corr(method="spearman")
     for x, y in [("a", "b"), ("a", "c"), ("b", "c")]:
         assert got[(x, y)] == pytest.approx(exp.loc[x, y], abs=1e-6)
+
+
+def test_binned_mutual_info_matches_numpy(spark):
+    rng = np.random.default_rng(9)
+    n = 600
+    t = np.round(rng.uniform(0, 200, n), 1)
+    f1 = np.round(t * 0.5 + rng.normal(0, 10, n), 1)
+    f2 = np.round(rng.uniform(0, 100, n), 1)
+    pdf = pd.DataFrame({"t": t, "f1": f1, "f2": f2})
+    df = spark.createDataFrame(pdf)
+    got = {r.feature: r.mutual_info for r in stats.binned_mutual_info(df, ["f1", "f2"], "t").collect()}
+
+    def bins(x):
+        edges = np.percentile(x, [i * 10 for i in range(1, 10)])
+        return (x[:, None] > edges[None, :]).sum(axis=1)
+
+    by = bins(t)
+    for f in ["f1", "f2"]:
+        bx = bins(pdf[f].to_numpy())
+        joint = pd.crosstab(bx, by).to_numpy().astype(float)
+        p = joint / joint.sum()
+        px, py = p.sum(axis=1, keepdims=True), p.sum(axis=0, keepdims=True)
+        nz = p > 0
+        mi = float((p[nz] * np.log(p[nz] / (px @ py)[nz])).sum())
+        assert got[f] == pytest.approx(mi, abs=1e-6)
+    assert got["f1"] > got["f2"]
+
+
+def test_decompose_matches_classical_additive(spark):
+    rng = np.random.default_rng(4)
+    n = 70
+    days = [T0 + dt.timedelta(days=i) for i in range(n)]
+    x = np.round(100 + 10 * np.sin(2 * np.pi * np.arange(n) / 7) + rng.normal(0, 2, n), 2)
+    df = spark.createDataFrame([("a", d, float(v)) for d, v in zip(days, x)], "queried_city string, measured_at timestamp, aqi double")
+    got = {r.measured_at: r for r in W.decompose(df).collect()}
+    s = pd.Series(x, index=days)
+    trend = s.rolling(7, center=True).mean()
+    detr = s - trend
+    phase = np.arange(n) % 7
+    pm = detr.groupby(phase).mean()
+    seasonal = (pm - pm.mean()).to_numpy()[phase]
+    for i, d in enumerate(days):
+        r = got[d]
+        if np.isnan(trend.iloc[i]):
+            assert r.trend is None
+        else:
+            assert r.trend == pytest.approx(trend.iloc[i], abs=1e-6)
+            assert r.resid == pytest.approx(x[i] - trend.iloc[i] - seasonal[i], abs=1e-5)
+        assert r.seasonal == pytest.approx(seasonal[i], abs=1e-5)
