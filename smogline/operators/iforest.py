@@ -68,7 +68,7 @@ def _unit(h: F.Column) -> F.Column:
 
 
 def sample_for_trees(df: DataFrame, key_cols: Sequence[str], features: Sequence[str], n_trees: int = 200,
-                     max_samples: int = 256, seed: int = 42, oversample: float = 3.0) -> DataFrame:
+                     max_samples: int = 256, seed: int = 42, oversample: float = 3.0, n: int | None = None) -> DataFrame:
     """(tree_id, features...) with at most ``max_samples`` rows per tree.
 
     Small inputs (n <= n_trees * max_samples): every tree draws the ``psi`` rows with the
@@ -80,7 +80,7 @@ def sample_for_trees(df: DataFrame, key_cols: Sequence[str], features: Sequence[
     """
     from pyspark.sql import Window
 
-    n = df.count()
+    n = df.count() if n is None else n
     psi = min(max_samples, n)
     base = df.select(*features, F.xxhash64(*key_cols, F.lit(seed)).alias("_h"))
     frac = min(1.0, oversample * psi / max(n, 1))
@@ -201,7 +201,7 @@ def isolation_forest(spark: SparkSession, df: DataFrame, key_cols: Sequence[str]
     data = data.persist()
     n = data.count()
     psi = min(max_samples, n)
-    nodes = fit_forest(sample_for_trees(data, key_cols, feats, n_trees, max_samples, seed), feats, max_samples, seed)
+    nodes = fit_forest(sample_for_trees(data, key_cols, feats, n_trees, max_samples, seed, n=n), feats, max_samples, seed)
     # scores feed two passes (threshold, flag): write them once to the shared checkpoint
     # folder, which also cuts the lineage back to the Python stages
     checkpoint_dir(spark)
