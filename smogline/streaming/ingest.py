@@ -42,30 +42,35 @@ def document_stream(spark: SparkSession, path: str, multi_line: bool = False, ma
 
 def _upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sink: str, ingested_at: str,
                   now: dt.datetime | str | None, stale_hours: int) -> None:
-    if batch.isEmpty():
-        return
-    flat, obs = observed_counts(flatten_reading(batch, ingested_at=ingested_at), f"ingest-batch-{batch_id}",
-                                null_aqi=F.col("aqi").isNull())
+    flat, seen = observed_counts(flatten_reading(batch, ingested_at=ingested_at), f"ingest-batch-{batch_id}",
+                                 null_aqi=F.col("aqi").isNull())
     if now is not None:
         flat = drop_stale(flat, now, stale_hours)
-    fresh = latest_per_key(flat, KEYS, ["ingested_at"])
-    # keys already stored: read only the partitions this batch touches (path globs, so the
-    # rest of the table is never listed); a first batch finds no partition at all
-    months = [tuple(r) for r in fresh.select("year", "month").distinct().collect()]  # bounded: months
-    paths = [f"{sink}/queried_city=*/year={y}/month={m}" for y, m in months if y and m]
-    if paths:
-        try:
-            target = spark.read.schema(SINK_SCHEMA).option("basePath", sink).parquet(*paths)
-            fresh = fresh.join(target.select(*KEYS), KEYS, "left_anti")
-        except AnalysisException:  # none of the touched partitions exists yet
-            pass
-    fresh = fresh.persist()
-    new_rows = fresh.count()
-    fresh.write.mode("append").partitionBy("queried_city", "year", "month").parquet(sink)
-    fresh.unpersist()
-    seen = obs.get  # filled by the count above: rows in the batch, rows without aqi
-    log = spark.createDataFrame([(batch_id, int(seen.get("rows", 0)), int(seen.get("null_aqi", 0)), new_rows, ingested_at)],
-                                "batch_id long, rows_in long, null_aqi long, new_rows long, ingested_at string")
+    # the batch's files are parsed once: the deduplicated batch is cached for the
+    # partition list, the anti-join and the write
+    fresh = latest_per_key(flat, KEYS, ["ingested_at"]).persist()
+    try:
+        months = [tuple(r) for r in fresh.select("year", "month").distinct().collect()]  # bounded: months
+        if not months:  # empty micro-batch: nothing to write, nothing to log
+            return
+        # keys already stored: read only the partitions this batch touches (path globs, so the
+        # rest of the table is never listed); a first batch finds no partition at all
+        paths = [f"{sink}/queried_city=*/year={y}/month={m}" for y, m in months if y and m]
+        new = fresh
+        if paths:
+            try:
+                target = spark.read.schema(SINK_SCHEMA).option("basePath", sink).parquet(*paths)
+                new = fresh.join(target.select(*KEYS), KEYS, "left_anti")
+            except AnalysisException:  # none of the touched partitions exists yet
+                pass
+        new, written = observed_counts(new, f"ingest-new-{batch_id}")
+        new.write.mode("append").partitionBy("queried_city", "year", "month").parquet(sink)
+    finally:
+        fresh.unpersist()
+    got_in, got_new = seen.get, written.get  # filled by the actions above
+    log = spark.createDataFrame(
+        [(batch_id, int(got_in.get("rows", 0)), int(got_in.get("null_aqi", 0)), int(got_new.get("rows", 0)), ingested_at)],
+        "batch_id long, rows_in long, null_aqi long, new_rows long, ingested_at string")
     log.coalesce(1).write.mode("append").json(sink.rstrip("/") + "_runlog")
 
 
