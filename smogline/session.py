@@ -3,8 +3,7 @@
 The library never creates a cluster of its own: jobs receive a ``SparkSession``.
 ``configure`` only sets runtime SQL options that change results or plans
 (time zone, adaptive execution); ``checkpoint_dir`` reads the shared folder
-named by ``spark.checkpoint.dir`` and only falls back to a local folder when the
-session has none, which is the case in tests on ``local[*]``.
+named by ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -53,8 +52,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (tests on one machine) is a temporary folder created and registered.
+    A cluster names it in ``spark.checkpoint.dir``. Only a session on one machine (``local[...]``, as in
+    tests) gets a folder of its own when that is unset; a cluster without the setting is an error, because
+    executors could not see a folder of the driver's machine.
     """
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -62,12 +62,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(found)
         return found.rstrip("/")
-    if sc.getCheckpointDir():
-        return sc.getCheckpointDir().rstrip("/")
-    local = tempfile.mkdtemp(prefix="smogline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
-    return local
+    if not sc.getCheckpointDir():
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="smogline-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
