@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from smogline.llm import decontaminate, tokens
+from smogline.llm import decontaminate, substrings, tokens
 from smogline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,23 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.contamination_report(hits)
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS p
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+f AS (SELECT p, min(doc_id) AS least FROM x GROUP BY p),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM x JOIN f USING (p) WHERE doc_id > least),
+g AS (SELECT doc_id, j, w[j] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS j FROM d)),
+k AS (SELECT g.doc_id, string_agg(word, ' ' ORDER BY g.j) AS kept, count(*) AS n
+      FROM g LEFT JOIN r ON g.doc_id = r.doc_id AND g.j = r.j WHERE r.j IS NULL GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op4_substring_dedup", OP4_SQL)
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_digest(substrings.remove_repeats(table(spark, sf_dir, "documents")))
