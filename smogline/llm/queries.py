@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from smogline.llm import decontaminate, neardup, substrings, tokens
+from smogline.llm import ann, decontaminate, langid, neardup, quality, substrings, tokens, toxicity
 from smogline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,12 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 @query("op2_token_orc")
 def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokens.write_tokens(table(spark, sf_dir, "documents"))
@@ -79,3 +86,20 @@ FROM d LEFT JOIN k USING (doc_id)
 @query("op4_substring_dedup", OP4_SQL)
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_digest(substrings.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+@query("op6_quality_knn")
+def op6_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op10_balanced_postings")
+def op10_balanced_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)

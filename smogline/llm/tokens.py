@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator, Sequence
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,16 @@ STRIPE_BYTES = 16 << 20
 FILE_SCHEMA = "file_no int, row_no long, doc_id long, start_in_file long, n_tokens long, ids array<int>"
 
 _RUNS = re.compile(r"\s\s")
+_MARKS = frozenset(".,;:!?")
 
 
 class PieceEncoder:
-    """ids of whole texts as little-endian 32-bit bytes, from a cache of pieces."""
+    """ids of whole texts as little-endian 32-bit bytes, from a cache of pieces.
+
+    A key is a word that follows a space, or a line feed with the word after it; a text's first word has a cache
+    of its own. The cache has two generations: when the young one is full it becomes the old one, and what is
+    still used moves over.
+    """
 
     def __init__(self, tokenizer_path: str, cache_pieces: int = CACHE_PIECES):
         from tokenizers import Tokenizer
@@ -49,33 +56,58 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
         self.cache: dict[str, bytes] = {}
-        self.limit = cache_pieces
-        self.newline = self._whole(["\n"])[0]
+        self.old: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {"": b""}
+        self.limit = max(1, cache_pieces // 2)
+        self.marks = dict(zip(_MARKS, self._whole(list(_MARKS)), strict=True))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [pack(f"<{len(ids)}I", *ids) for ids in
+                (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))]
+
+    def _learn(self, new: set[str]) -> None:
+        """Put unseen pieces into the cache. A final punctuation mark after a letter is a piece of its own to
+        the vocabulary, so such pieces are put together from the word without it."""
+        cache, old, marks = self.cache, self.old, self.marks
+        known = new.intersection(old)
+        cache.update([(p, old[p]) for p in known])
+        new -= known
+        ends = [p for p in new if p[-1:] in marks and p[-2:-1].isalpha()]
+        whole = list(new.difference(ends).union([p[:-1] for p in ends]).difference(cache))
+        texts = [p if p[:1] == "\n" else " " + p for p in whole]
+        cache.update(zip(whole, self._whole(texts), strict=True))
+        cache.update([(p, cache[p[:-1]] + marks[p[-1]]) for p in ends])
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        lines: list[list[list[str]] | None] = []
+        if len(self.cache) > self.limit:
+            self.cache, self.old = {}, self.cache
+        if len(self.first) > self.limit:
+            self.first = {"": b""}
+        pieces: list[str] = []
+        first: list[str] = []
+        ends: list[int | None] = []
         for text in texts:
             if _RUNS.search(text):
-                lines.append(None)
+                ends.append(None)
                 continue
-            parts = []
-            for line in text.split("\n"):
-                words = line.split(" ")
-                # the first word of a line has no space before it, all others have
-                parts.append(words[:1] + [" " + w for w in words[1:]])
-            lines.append(parts)
-        if len(self.cache) > self.limit:
-            self.cache.clear()
-        new = list({w for parts in lines if parts is not None for words in parts for w in words}.difference(self.cache))
-        self.cache.update(zip(new, self._whole(new), strict=True))
-        get = self.cache.__getitem__
-        whole = iter(self._whole([t for t, parts in zip(texts, lines, strict=True) if parts is None]))
-        return [next(whole) if parts is None else self.newline.join([b"".join(map(get, words)) for words in parts])
-                for parts in lines]
+            words = text.replace("\n", " \n").split(" ")
+            first.append(words[0])
+            pieces += words[1:]
+            ends.append(len(pieces))
+        self._learn(set(pieces).difference(self.cache))
+        found = list(map(self.cache.__getitem__, pieces))
+        new = list(set(first).difference(self.first))
+        self.first.update(zip(new, self._whole(new), strict=True))
+        begin = iter(first)
+        whole = iter(self._whole([t for t, end in zip(texts, ends, strict=True) if end is None]))
+        out, at = [], 0
+        for end in ends:
+            if end is None:
+                out.append(next(whole))
+            else:
+                out.append(self.first[next(begin)] + b"".join(found[at:end]))
+                at = end
+        return out
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
