@@ -4,13 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from smogline.llm import decontaminate, mixing, neardup, quality, tokens
 from smogline.llm.common import table, written
 
 StageFn = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, StageFn]] = []
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject."""
+    return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def _ids(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("doc_id").alias("found_id")).distinct()
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id. Rows that share an id are one
+    document; a row without an id can't be a group's smallest and stays if it has no text."""
+    kept = _ids(neardup.near_duplicates(docs).filter("kept"))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("found_id")), "left_semi")
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of the benchmark."""
+    hits = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(_ids(hits.filter(F.size("hit_words") > 0)), docs["doc_id"].eqNullSafe(F.col("found_id")), "left_anti")
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mixture: the written files hold it from first to last."""
+    return mixing.mixed_documents(docs)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files in the order in which the documents lie in the files of the stage before (rows without files, as
+    in tests: by id), and the digest of every document read back from them."""
+    order = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    try:
+        docs.select(*order)
+    except AnalysisException:
+        order = ["doc_id"]
+    return tokens.token_digest(tokens.read_tokens(spark, tokens.write_tokens(docs, order_by=order)))
+
+
+STAGES: list[tuple[str, StageFn]] = [
+    ("quality", quality_stage),
+    ("near_duplicates", dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("tokens", token_stage),
+]
 
 #: The stages train classifiers, hash and run tokenizers: not expressible in SQL (see tests/llm/test_pipeline.py).
 ORACLE_SQL = None

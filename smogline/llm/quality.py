@@ -113,6 +113,14 @@ def hash_sample_of_labels(labels: DataFrame, sample_rows: int) -> DataFrame:
     return hash_sample(usable, "doc_id", sample_rows, usable.count(), "quality")
 
 
+def scores_of(texts: list[bytes], model: QualityModel | None) -> np.ndarray:
+    scores = np.full(len(texts), 0.5)
+    for at in range(0, len(texts) if model else 0, BLOCK):
+        block = texts[at:at + BLOCK]
+        scores[at:at + len(block)] = model.scores(np.array([tf_idf(_buckets(t), model.idf) for t in block], np.float32))
+    return scores
+
+
 def score(docs: DataFrame, model: QualityModel | None) -> DataFrame:
     """Per document row: doc_id, held_out, score, predicted."""
     spark = docs.sparkSession
@@ -120,13 +128,8 @@ def score(docs: DataFrame, model: QualityModel | None) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for batch in batches:
-            data = texts_of(batch)
-            scores = np.full(len(data), 0.5)
-            for at in range(0, len(data) if m else 0, BLOCK):
-                block = data[at:at + BLOCK]
-                scores[at:at + len(block)] = m.scores(np.array([tf_idf(_buckets(t), m.idf) for t in block], np.float32))
+            scores = scores_of(texts_of(batch), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()),
                  pa.array((scores >= THRESHOLD).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
@@ -134,3 +137,16 @@ def score(docs: DataFrame, model: QualityModel | None) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held_out_column())
     return (rows.select("doc_id", "held_out", "text")
             .mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int"))
+
+
+def keep_good(docs: DataFrame, model: QualityModel | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches the threshold (no shuffle)."""
+    spark = docs.sparkSession
+    prepare(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(scores_of(texts_of(batch), shared.value) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
