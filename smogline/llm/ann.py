@@ -4,7 +4,7 @@ A bounded sample (``sample_rows``) gives about sqrt(n) centroids, kept balanced
 by a size penalty in the refinement. Every vector joins the posting list of its nearest centroid and, if it lies near
 a boundary, those of up to ``replicas`` - 1 further ones (distance within 1 + ``boundary`` of the nearest). A query
 walks a neighbour graph of the centroids held in memory and takes the lists whose centroid is within 1 + ``ratio`` of
-the nearest (always enough for ``k`` candidates). Inner products become distances by one extra component that brings
+the nearest (of the nearest few, where the first hold less than ``k`` candidates). Inner products become distances by one extra component that brings
 every vector to the largest norm.
 
 Lists and the queries that visit them are cut into blocks of bounded length, so neither a hot vector nor a popular
@@ -19,6 +19,7 @@ an empty result; only the id and the vector are read.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import math
 from collections.abc import Iterator
@@ -69,32 +70,32 @@ class Centroids:
 
     def visit(self, query: np.ndarray, ratio: float, least: int) -> list[int]:
         """Lists to search, nearest first: best-first walk on the graph until the next centroid is farther than
-        1 + ratio times the nearest and the lists hold ``least`` vectors."""
+        1 + ratio times the nearest ones that hold ``least`` vectors."""
         norm = np.linalg.norm(query)
         q = np.append(query / norm, 0.0)
         distance = lambda c: np.sqrt(np.maximum(1 + (self.points[c] ** 2).sum(-1) - 2 * self.points[c] @ q, 0))
         seen = np.zeros(len(self.points), bool)
         seen[self.entry] = True
         heap = [(float(distance(self.entry)), self.entry)]
-        best, out, held = heap[0][0], [], 0
-        while heap:
+        met: list[tuple[float, int]] = []  # ascending
+
+        def reach() -> float:
+            held = 0
+            for d, c in met:
+                held += int(self.sizes[c])
+                if held >= least:
+                    return (1 + ratio) * d + 1e-12
+            return math.inf
+
+        while heap and heap[0][0] <= reach():
             d, c = heapq.heappop(heap)
-            # a centroid met before a nearer one was found is dropped at the end if it lies too far
-            if d > (1 + ratio) * best and held >= least and out:
-                break
-            best = min(best, d)
-            out.append((d, c))
-            held += int(self.sizes[c])
+            bisect.insort(met, (d, c))
             new = self.neighbours[c][~seen[self.neighbours[c]]]
             seen[new] = True
             for e, n in zip(np.atleast_1d(distance(new)).tolist(), new.tolist(), strict=True):
                 heapq.heappush(heap, (e, n))
-        lists, held = [], 0
-        for d, c in sorted(out):
-            if d <= (1 + ratio) * best or held < least:
-                lists.append(c)
-                held += int(self.sizes[c])
-        return lists
+        limit = reach()
+        return [c for d, c in met if d <= limit]
 
 
 def balanced_centroids(x: np.ndarray, count: int, rounds: int = 6, penalty: float = 0.1) -> np.ndarray:
