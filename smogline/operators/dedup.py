@@ -24,6 +24,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     return agg.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in df.columns if c not in keys]).select(*df.columns)
 
 
+def new_keys(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose key is not stored yet; null parts of a key compare as equal."""
+    there = stored.select(*[F.col(k).alias(f"_stored_{k}") for k in keys])
+    same = [rows[k].eqNullSafe(there[f"_stored_{k}"]) for k in keys]
+    return rows.join(there, same, "left_anti")
+
+
 def upsert_new(existing: DataFrame | None, new: DataFrame, keys: Sequence[str],
                order_by: Sequence[str] | None = None) -> DataFrame:
     """Existing rows kept; new keys appended once. A missing target means 'create'."""

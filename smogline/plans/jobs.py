@@ -23,10 +23,7 @@ def silver_from_api(spark: SparkSession, bronze: str, silver: str, ingested_at:
                     now: dt.datetime | str | None = None, stale_hours: int = 48) -> None:
     """New API documents -> fact_aqi (incremental, deduplicated against the table)."""
     ingest.ingest_new(spark, bronze, f"{silver}/fact_aqi", f"{silver}/_checkpoints/fact_aqi", ingested_at,
-                      now=now, stale_hours=stale_hours)
-    stations = spark.read.schema(ingest.SINK_SCHEMA).parquet(f"{silver}/fact_aqi").select(
-        "waqi_idx", "station_name", "queried_city", "lat", "lon", "url", F.lit("api").alias("source"))
-    upsert_stations(spark, stations, f"{silver}/dim_station")
+                      now=now, stale_hours=stale_hours, stations=f"{silver}/dim_station")
 
 
 def silver_from_csv(spark: SparkSession, csv_path: str, silver: str, ingested_at: str) -> bool:
@@ -37,28 +34,14 @@ def silver_from_csv(spark: SparkSession, csv_path: str, silver: str, ingested_at
         rows = dedup.latest_per_key(rows, ["waqi_idx", "measured_at"], ["ingested_at"])
         files.write_table(rows.select(*[f.name for f in ingest.SINK_SCHEMA.fields]), f"{silver}/fact_aqi",
                           ["queried_city", "year", "month"])
-        upsert_stations(spark, rows.select("waqi_idx", "station_name", "queried_city", "lat", "lon", "url",
+        ingest.upsert_stations(spark, rows.select("waqi_idx", "station_name", "queried_city", "lat", "lon", "url",
                                            F.lit("kaggle").alias("source")), f"{silver}/dim_station")
 
     return files.run_once(spark, f"{silver}/_flags/csv_loaded", load)
 
 
-def upsert_stations(spark: SparkSession, incoming: DataFrame, path: str) -> None:
-    """Dimension upsert written as a true replace: the merged table goes to a new version
-    folder and a pointer row names the current one (readers never see a half table)."""
-    current = read_dimension(spark, path)
-    merged = dedup.upsert_new(current, incoming.select(*[f.name for f in schemas.DIM_STATION.fields]),
-                              ["waqi_idx"], order_by=["station_name"])
-    version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    merged.write.mode("overwrite").parquet(f"{path}/v={version}")
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{path}/_current")
-
-
-def read_dimension(spark: SparkSession, path: str) -> DataFrame | None:
-    if not files.path_exists(spark, f"{path}/_current"):
-        return None
-    version = spark.read.json(f"{path}/_current").first()["version"]
-    return spark.read.schema(schemas.DIM_STATION).parquet(f"{path}/v={version}")
+def read_dimension(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.DIM_STATION).parquet(path)
 
 
 def read_fact(spark: SparkSession, silver: str) -> DataFrame:

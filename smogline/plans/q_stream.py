@@ -24,18 +24,28 @@ def _write_docs(docs, path):
     docs.write.mode("append").partitionBy("queried_city", "year", "month", "day").json(path)
 
 
-@query("stream_ingest", with_views(READINGS, """
-SELECT waqi_idx, measured_at, CASE WHEN event_id % 11 = 0 THEN NULL ELSE aqi END AS aqi, dominant_pollutant,
+def _fact_sql(shift_days: int, ingested_at: str) -> str:
+    """Valid API documents as fact rows, their time moved by some days."""
+    at = f"measured_at + INTERVAL {shift_days} DAY"
+    return f"""SELECT waqi_idx, CAST({at} AS TIMESTAMP) AS measured_at, aqi, dominant_pollutant,
   pm25, pm10, CAST(NULL AS DOUBLE) AS co, CAST(NULL AS DOUBLE) AS no2, CAST(NULL AS DOUBLE) AS o3,
-  CAST(NULL AS DOUBLE) AS so2, humidity, temperature, pressure, wind, 'api' AS source,
-  CASE WHEN day(measured_at) <= 15 THEN '2024-02-01T00:00:00' ELSE '2024-02-02T06:00:00' END AS ingested_at,
+  CAST(NULL AS DOUBLE) AS so2, humidity, temperature, pressure, wind, 'api' AS source, {ingested_at} AS ingested_at,
   queried_city, 'Station ' || CAST(waqi_idx AS VARCHAR) AS station_name,
   'https://aqi.example/city/vietnam/' || queried_city || '/' AS url,
   CAST(8 + waqi_idx % 16 AS DOUBLE) AS lat, CAST(102 + waqi_idx % 8 AS DOUBLE) AS lon,
-  CAST(year(measured_at) AS VARCHAR) AS year, lpad(CAST(month(measured_at) AS VARCHAR), 2, '0') AS month
-FROM readings WHERE event_id % 43 <> 0"""))
+  CAST(year({at}) AS VARCHAR) AS year, lpad(CAST(month({at}) AS VARCHAR), 2, '0') AS month
+FROM readings WHERE event_id % 43 <> 0 AND event_id % 11 <> 0 AND dominant_pollutant IS NOT NULL"""
+
+
+def _fact_rows(spark, sink):
+    return spark.read.schema(ingest.SINK_SCHEMA).parquet(sink).select(
+        *clean.FACT_COLUMNS[:16], "queried_city", "station_name", "url", "lat", "lon", "year", "month")
+
+
+@query("stream_ingest", with_views(READINGS, _fact_sql(0, f"CASE WHEN day(measured_at) <= 15 THEN '{RUN1}' ELSE '{RUN2}' END")))
 def q_stream_ingest(spark, sf_dir):
-    """Two arrivals of documents (the second re-delivers the first half), three runs."""
+    """Two arrivals of documents (the second re-delivers the first half), three runs; documents without time, aqi or
+    pollutant are rejected."""
     root = scratch_path(spark, "stream-ingest")
     src, sink, ckpt = f"{root}/bronze", f"{root}/fact_aqi", f"{root}/_checkpoint"
     docs = api_documents(spark, sf_dir)
@@ -45,23 +55,40 @@ def q_stream_ingest(spark, sf_dir):
     _write_docs(docs.filter(F.col("day").cast("int") > 15).unionByName(first), src)
     ingest.ingest_new(spark, src, sink, ckpt, ingested_at=RUN2)
     ingest.ingest_new(spark, src, sink, ckpt, ingested_at="never-used")  # nothing new: no batch runs
-    return spark.read.schema(ingest.SINK_SCHEMA).parquet(sink).select(*clean.FACT_COLUMNS[:16], "queried_city", "station_name", "url",
-                                           "lat", "lon", "year", "month")
+    return _fact_rows(spark, sink)
+
+
+def shifted_documents(docs, days: int):
+    """The same documents measured some days later (their bronze folder doesn't matter to the ingest)."""
+    later = F.to_timestamp("data.time.iso") + F.make_dt_interval(F.lit(days))
+    return docs.withColumn("data", F.col("data").withField("time.iso", F.date_format(later, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")))
+
+
+@query("stream_ingest_months", with_views(READINGS, _fact_sql(0, f"'{RUN1}'") + "\nUNION ALL\n" + _fact_sql(31, f"'{RUN2}'")))
+def q_stream_ingest_months(spark, sf_dir):
+    """The second delivery repeats the stored month and brings the first readings of later ones."""
+    root = scratch_path(spark, "stream-months")
+    src, sink, ckpt = f"{root}/bronze", f"{root}/fact_aqi", f"{root}/_checkpoint"
+    docs = api_documents(spark, sf_dir)
+    _write_docs(docs, src)
+    ingest.ingest_new(spark, src, sink, ckpt, ingested_at=RUN1)
+    _write_docs(docs.unionByName(shifted_documents(docs, 31)), src)
+    ingest.ingest_new(spark, src, sink, ckpt, ingested_at=RUN2)
+    return _fact_rows(spark, sink)
 
 
 @query("stream_hourly", with_views(READINGS, """
-f AS (SELECT *, CASE WHEN event_id % 11 = 0 THEN NULL ELSE aqi END AS aqi_api FROM readings WHERE event_id % 43 <> 0),
-wm AS (SELECT MAX(measured_at) - INTERVAL 48 HOUR AS t FROM f)""") + f"""
+f AS (SELECT *, CASE WHEN event_id % 11 = 0 THEN NULL ELSE aqi END AS aqi_api FROM readings WHERE event_id % 43 <> 0)""") + f"""
 SELECT queried_city, date_trunc('hour', measured_at) AS hour_start, {xavg('aqi_api')} AS aqi, {xavg('pm25')} AS pm25,
   {xavg('pm10')} AS pm10, {xavg('humidity')} AS humidity, {xavg('temperature')} AS temperature, COUNT(*) AS n
-FROM f GROUP BY 1, 2 HAVING date_trunc('hour', measured_at) + INTERVAL 1 HOUR <= (SELECT t FROM wm)""")
+FROM f GROUP BY 1, 2""")
 def q_stream_hourly(spark, sf_dir):
-    """Event-time hourly means with a 48 h watermark (append: closed windows only)."""
+    """Hourly means kept up as documents arrive, the newest hours included."""
     root = scratch_path(spark, "stream-hourly")
     src = f"{root}/bronze"
     _write_docs(api_documents(spark, sf_dir), src)
     ingest.hourly_stream(spark, src, f"{root}/hourly", f"{root}/_checkpoint")
-    return spark.read.parquet(f"{root}/hourly")
+    return ingest.read_hourly(spark, f"{root}/hourly")
 
 
 _CSV_MAP = {"station_id": "Station ID", "aqi_index": "AQI index", "location": "Location",
@@ -163,12 +190,11 @@ def q_features_since(spark, sf_dir):
 
 @query("stream_dedup", ORACLE["flatten_json"])
 def q_stream_dedup(spark, sf_dir):
-    """Re-delivered identical documents dropped by ``dropDuplicatesWithinWatermark``."""
+    """Re-delivered identical documents dropped, whatever batch they come in."""
     root = scratch_path(spark, "stream-dedup")
     src = f"{root}/bronze"
     docs = api_documents(spark, sf_dir)
     _write_docs(docs, src)
     _write_docs(docs.filter(F.col("day").cast("int") % 3 == 0), src)  # second delivery of some days
     ingest.dedup_stream(spark, src, f"{root}/fact", f"{root}/_checkpoint", ingested_at=RUN1)
-    return spark.read.schema(ingest.SINK_SCHEMA).parquet(f"{root}/fact").select(
-        *clean.FACT_COLUMNS[:16], "queried_city", "station_name", "url", "lat", "lon", "year", "month")
+    return _fact_rows(spark, f"{root}/fact")

@@ -53,18 +53,19 @@ def write_gold_records(df: DataFrame, path: str, run_id: str, dt: str, fmt: str
     write_table(out, path, ["dt"], mode="append", fmt=fmt)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds readable files (probe through the session's file source).
+def existing_paths(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
+    """The folders and files that match the glob patterns (one listing per pattern, nothing below them)."""
+    sc = spark.sparkContext
+    found = []
+    for pattern in patterns:
+        path = sc._jvm.org.apache.hadoop.fs.Path(pattern)
+        status = path.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(path)
+        found += [s.getPath().toString() for s in status or ()]
+    return found
 
-    Meant for small marker folders (flags, pointers): it lists everything below ``path``.
-    """
-    from pyspark.errors import AnalysisException
 
-    try:
-        spark.read.format("text").load(path)
-        return True
-    except AnalysisException:
-        return False
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return bool(existing_paths(spark, [path]))
 
 
 def run_once(spark: SparkSession, flag_path: str, job: Callable[[], None]) -> bool:

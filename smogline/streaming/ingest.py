@@ -1,29 +1,30 @@
 """Incremental ingest with Structured Streaming.
 
-``ingest_new``: file stream of API documents, ``trigger(availableNow=True)`` so each
-run processes only files not seen before (the checkpoint is the bookmark), then
-``foreachBatch``: flatten, optional staleness filter, dedup within the batch, and
-anti-join against the target partitions the batch touches, so retries and
-re-delivered readings never duplicate a (station, time) key. A per-batch run-log
-row (rows in, kept, new) is appended next to the table.
-
-``hourly_stream``: event-time hourly means with a watermark, append mode.
+Every stream is a file stream of API documents with ``trigger(availableNow=True)``, so each run processes only
+files not seen before (the checkpoint is the bookmark), and a ``foreachBatch`` whose effect does not depend on how
+a backlog is cut into batches (``max_files`` bounds a batch):
+
+* ``ingest_new``: flatten, required fields, optional staleness filter, dedup within the batch, and anti-join against
+  the months of the target that the batch touches, so retries and re-delivered readings never duplicate a
+  (station, time) key; new stations go to the dimension; a run-log row counts what came, was rejected, was new.
+* ``hourly_stream``: exact partial sums per (city, hour), one folder per batch (a retried batch replaces its own);
+  ``read_hourly`` adds them up, so late data and the newest hours count too.
+* ``dedup_stream``: like ``ingest_new`` without the required fields.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from smogline import schemas
-from smogline.functions.columns import exact_avg
-from smogline.operators.clean import drop_stale, flatten_reading
-from smogline.operators.dedup import latest_per_key
-from smogline.sources.files import observed_counts
+from smogline.functions.columns import exact_mean, scaled
+from smogline.operators.clean import REQUIRED, drop_stale, flatten_reading
+from smogline.operators.dedup import latest_per_key, new_keys
+from smogline.sources.files import existing_paths, observed_counts
 
 KEYS = ["waqi_idx", "measured_at"]
 
@@ -40,72 +41,109 @@ def document_stream(spark: SparkSession, path: str, multi_line: bool = False, ma
     return r.json(path)
 
 
+def _append_new(spark: SparkSession, rows: DataFrame, sink: str, name: str):
+    """Append the rows whose key is in none of the months of ``sink`` that they touch; the count of appended rows,
+    or None for an empty batch."""
+    months = [tuple(r) for r in rows.select("year", "month").distinct().collect()]  # bounded: months
+    if not months:
+        return None
+    # only folders that exist are read: a month's first readings find none, the others are still compared
+    paths = existing_paths(spark, [f"{sink}/queried_city=*/year={y}/month={m}" for y, m in months if y and m])
+    if paths:
+        stored = spark.read.schema(SINK_SCHEMA).option("basePath", sink).parquet(*paths)
+        rows = new_keys(rows, stored, KEYS)
+    rows, written = observed_counts(rows, name)
+    rows.write.mode("append").partitionBy("queried_city", "year", "month").parquet(sink)
+    return int(written.get.get("rows", 0))
+
+
+def upsert_stations(spark: SparkSession, incoming: DataFrame, path: str) -> None:
+    """Append the stations that the dimension does not hold yet (the first name of each). Nothing is ever rewritten,
+    so an interrupted run loses no station and a repeated one adds none."""
+    names = [f.name for f in schemas.DIM_STATION.fields]
+    rows = latest_per_key(incoming.select(*names), ["waqi_idx"], ["station_name"])
+    if existing_paths(spark, [path]):
+        rows = new_keys(rows, spark.read.schema(schemas.DIM_STATION).parquet(path), ["waqi_idx"])
+    rows.write.mode("append").parquet(path)
+
+
 def _upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sink: str, ingested_at: str,
-                  now: dt.datetime | str | None, stale_hours: int) -> None:
+                  now: dt.datetime | str | None, stale_hours: int, stations: str | None) -> None:
+    complete = F.lit(True)
+    for c in REQUIRED:
+        complete = complete & F.col(c).isNotNull()
     flat, seen = observed_counts(flatten_reading(batch, ingested_at=ingested_at), f"ingest-batch-{batch_id}",
-                                 null_aqi=F.col("aqi").isNull())
+                                 rejected=~complete)
+    valid, kept = observed_counts(flat.filter(complete), f"ingest-valid-{batch_id}")
     if now is not None:
-        flat = drop_stale(flat, now, stale_hours)
+        valid = drop_stale(valid, now, stale_hours)
+    valid, current = observed_counts(valid, f"ingest-current-{batch_id}")
     # the batch's files are parsed once: the deduplicated batch is cached for the
-    # partition list, the anti-join and the write
-    fresh = latest_per_key(flat, KEYS, ["ingested_at"]).persist()
+    # partition list, the anti-join and the writes
+    fresh = latest_per_key(valid, KEYS, ["ingested_at"]).persist()
     try:
-        months = [tuple(r) for r in fresh.select("year", "month").distinct().collect()]  # bounded: months
-        if not months:  # empty micro-batch: nothing to write, nothing to log
-            return
-        # keys already stored: read only the partitions this batch touches (path globs, so the
-        # rest of the table is never listed); a first batch finds no partition at all
-        paths = [f"{sink}/queried_city=*/year={y}/month={m}" for y, m in months if y and m]
-        new = fresh
-        if paths:
-            try:
-                target = spark.read.schema(SINK_SCHEMA).option("basePath", sink).parquet(*paths)
-                new = fresh.join(target.select(*KEYS), KEYS, "left_anti")
-            except AnalysisException:  # none of the touched partitions exists yet
-                pass
-        new, written = observed_counts(new, f"ingest-new-{batch_id}")
-        new.write.mode("append").partitionBy("queried_city", "year", "month").parquet(sink)
+        new_rows = _append_new(spark, fresh, sink, f"ingest-new-{batch_id}")
+        if stations and new_rows is not None:
+            upsert_stations(spark, fresh.withColumn("source", F.lit("api")), stations)
     finally:
         fresh.unpersist()
-    got_in, got_new = seen.get, written.get  # filled by the actions above
+    got_in = seen.get  # filled by the actions above
+    if not got_in.get("rows"):
+        return
     log = spark.createDataFrame(
-        [(batch_id, int(got_in.get("rows", 0)), int(got_in.get("null_aqi", 0)), int(got_new.get("rows", 0)), ingested_at)],
-        "batch_id long, rows_in long, null_aqi long, new_rows long, ingested_at string")
+        [(batch_id, int(got_in["rows"]), int(got_in["rejected"]), int(kept.get["rows"]) - int(current.get["rows"]),
+          new_rows or 0, ingested_at)],
+        "batch_id long, rows_in long, rejected long, stale long, new_rows long, ingested_at string")
     log.coalesce(1).write.mode("append").json(sink.rstrip("/") + "_runlog")
 
 
+def _run(stream: DataFrame, checkpoint: str, each) -> None:
+    (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
 def ingest_new(spark: SparkSession, source: str, sink: str, checkpoint: str, ingested_at: str,
-               now: dt.datetime | str | None = None, stale_hours: int = 48, multi_line: bool = False) -> None:
-    """Process the documents that arrived since the last run; blocks until done."""
-    q = (document_stream(spark, source, multi_line)
-         .writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, i: _upsert_batch(spark, b, i, sink, ingested_at, now, stale_hours))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-
-
-def hourly_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, watermark: str = "48 hours",
-                  multi_line: bool = False) -> None:
-    """Hourly means per city as documents arrive (append mode: a window is written once
-    the watermark passes its end)."""
-    flat = flatten_reading(document_stream(spark, source, multi_line), ingested_at="stream")
-    agg = (flat.withWatermark("measured_at", watermark)
-           .groupBy("queried_city", F.window("measured_at", "1 hour").alias("w"))
-           .agg(*[exact_avg(c).alias(c) for c in ["aqi", "pm25", "pm10", "humidity", "temperature"]],
-                F.count(F.lit(1)).alias("n"))
-           .select("queried_city", F.col("w.start").alias("hour_start"), "aqi", "pm25", "pm10", "humidity",
-                   "temperature", "n"))
-    q = (agg.writeStream.outputMode("append").format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+               now: dt.datetime | str | None = None, stale_hours: int = 48, multi_line: bool = False,
+               max_files: int | None = None, stations: str | None = None) -> None:
+    """Process the documents that arrived since the last run; blocks until done. ``stations`` is the dimension table
+    that new stations are appended to."""
+    _run(document_stream(spark, source, multi_line, max_files), checkpoint,
+         lambda b, i: _upsert_batch(spark, b, i, sink, ingested_at, now, stale_hours, stations))
+
+
+HOURLY_MEASURES = ("aqi", "pm25", "pm10", "humidity", "temperature")
+
+
+def hourly_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, multi_line: bool = False,
+                  max_files: int | None = None) -> None:
+    """Partial sums per (city, hour) of each batch as documents arrive; see ``read_hourly``."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        flat = flatten_reading(batch, ingested_at="stream")
+        sums = flat.groupBy("queried_city", F.date_trunc("hour", "measured_at").alias("hour_start")).agg(
+            *[F.sum(scaled(c)).alias(f"sum_{c}") for c in HOURLY_MEASURES],
+            *[F.count(c).alias(f"n_{c}") for c in HOURLY_MEASURES], F.count(F.lit(1)).alias("n"))
+        sums.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    _run(document_stream(spark, source, multi_line, max_files), checkpoint, add)
+
+
+def read_hourly(spark: SparkSession, sink: str) -> DataFrame:
+    """Hourly means per city over all batches so far."""
+    parts = spark.read.parquet(sink)
+    return parts.groupBy("queried_city", "hour_start").agg(
+        *[exact_mean(F.sum(f"sum_{c}"), F.sum(f"n_{c}")).alias(c) for c in HOURLY_MEASURES], F.sum("n").alias("n"))
 
 
 def dedup_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, ingested_at: str,
-                 watermark: str = "48 hours", multi_line: bool = False) -> None:
-    """Readings deduplicated by (station, time) within the watermark, appended as they arrive."""
-    flat = flatten_reading(document_stream(spark, source, multi_line), ingested_at=ingested_at)
-    out = flat.withWatermark("measured_at", watermark).dropDuplicatesWithinWatermark(KEYS)
-    q = (out.writeStream.outputMode("append").format("parquet").option("path", sink)
-         .partitionBy("queried_city", "year", "month")
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+                 multi_line: bool = False, max_files: int | None = None) -> None:
+    """Readings deduplicated by (station, time) against the batch and the table, appended as they arrive."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        fresh = latest_per_key(flatten_reading(batch, ingested_at=ingested_at), KEYS, ["ingested_at"]).persist()
+        try:
+            _append_new(spark, fresh, sink, f"dedup-{batch_id}")
+        finally:
+            fresh.unpersist()
+
+    _run(document_stream(spark, source, multi_line, max_files), checkpoint, add)

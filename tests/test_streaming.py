@@ -2,6 +2,7 @@
 
 import pyspark.sql.functions as F
 
+from smogline.plans.q_stream import shifted_documents
 from smogline.session import scratch_path
 from smogline.sources.testdata import api_documents
 from smogline.streaming import ingest
@@ -23,13 +24,79 @@ def test_ingest_twice_adds_nothing_and_logs(spark):
     assert fact.count() == first
     assert fact.select("waqi_idx", "measured_at").distinct().count() == first
     ok_docs = docs.filter(F.col("status") == "ok").count()
-    assert first == ok_docs
+    rejected = docs.filter("status = 'ok' AND (data.aqi = '-' OR data.dominentpol IS NULL)").count()
+    assert first == ok_docs - rejected and rejected > 0
     log = spark.read.json(sink + "_runlog").orderBy("batch_id").collect()
-    assert [r.new_rows for r in log] == [first, 0]
-    assert log[0].rows_in == ok_docs
+    assert [(r.new_rows, r.rows_in, r.rejected, r.stale) for r in log] == [(first, ok_docs, rejected, 0), (0, ok_docs, rejected, 0)]
+    assert fact.filter("aqi IS NULL OR dominant_pollutant IS NULL OR measured_at IS NULL").count() == 0
 
 
-def test_watermark_streams_rerun_add_nothing(spark):
+def test_redelivery_with_a_new_month_duplicates_nothing(spark):
+    root = scratch_path(spark, "t-months")
+    src, sink, ckpt = f"{root}/bronze", f"{root}/fact", f"{root}/_ckpt"
+    docs = api_documents(spark, SF_SMALL)
+    docs.write.partitionBy("queried_city", "year", "month", "day").json(src)
+    ingest.ingest_new(spark, src, sink, ckpt, ingested_at="2024-02-01T00:00:00")
+    january = spark.read.schema(ingest.SINK_SCHEMA).parquet(sink).count()
+    docs.unionByName(shifted_documents(docs, 31)).write.mode("append").partitionBy(
+        "queried_city", "year", "month", "day").json(src)
+    ingest.ingest_new(spark, src, sink, ckpt, ingested_at="2024-03-01T00:00:00")
+    fact = spark.read.schema(ingest.SINK_SCHEMA).parquet(sink)
+    assert fact.count() == 2 * january == fact.select("waqi_idx", "measured_at").distinct().count()
+
+
+def test_stale_readings_are_counted_not_stored(spark):
+    root = scratch_path(spark, "t-stale")
+    src, sink = f"{root}/bronze", f"{root}/fact"
+    api_documents(spark, SF_SMALL).write.partitionBy("queried_city", "year", "month", "day").json(src)
+    ingest.ingest_new(spark, src, sink, f"{root}/_ckpt", ingested_at="x", now="2024-01-16 00:00:00")
+    fact = spark.read.schema(ingest.SINK_SCHEMA).parquet(sink)
+    log = spark.read.json(sink + "_runlog").first()
+    assert fact.agg(F.min("measured_at")).first()[0].isoformat() >= "2024-01-14T00:00:00"
+    assert log.stale > 0 and log.new_rows == fact.count() == log.rows_in - log.rejected - log.stale
+
+
+def test_streams_do_not_depend_on_the_batches(spark):
+    root = scratch_path(spark, "t-batches")
+    src = f"{root}/bronze"
+    docs = api_documents(spark, SF_SMALL)
+    docs.coalesce(1).write.partitionBy("queried_city").json(src)
+    docs.filter("pmod(data.idx, 3) = 0").coalesce(1).write.mode("append").partitionBy("queried_city").json(src)
+    rows = []
+    for files in (None, 3):
+        out = f"{root}/{files}"
+        ingest.hourly_stream(spark, src, f"{out}/hourly", f"{out}/_h", max_files=files)
+        ingest.dedup_stream(spark, src, f"{out}/fact", f"{out}/_d", ingested_at="x", max_files=files)
+        ingest.ingest_new(spark, src, f"{out}/new", f"{out}/_n", ingested_at="x", max_files=files)
+        rows.append([sorted(map(str, ingest.read_hourly(spark, f"{out}/hourly").collect())),
+                     *[sorted(map(str, spark.read.schema(ingest.SINK_SCHEMA).parquet(f"{out}/{t}").select(
+                         "waqi_idx", "measured_at", "aqi", "queried_city").collect())) for t in ("fact", "new")]])
+    assert rows[0] == rows[1] and all(rows[0])
+
+
+def test_interrupted_dimension_upsert_keeps_every_station(spark, monkeypatch):
+    path = f"{scratch_path(spark, 't-dim')}/dim"
+    rows = [(i, f"S{i}", "ha-noi", 1.0, 2.0, "u", "api") for i in range(6)]
+    names = "waqi_idx int, station_name string, queried_city string, lat double, lon double, url string, source string"
+    incoming = spark.createDataFrame(rows, names)
+    ingest.upsert_stations(spark, incoming.filter("waqi_idx < 4"), path)
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr("pyspark.sql.DataFrameWriter.parquet", broken)
+        try:
+            ingest.upsert_stations(spark, incoming, path)
+        except RuntimeError:
+            pass
+    assert spark.read.parquet(path).count() == 4
+    for _ in range(2):
+        ingest.upsert_stations(spark, incoming.union(incoming), path)
+    assert sorted(r.waqi_idx for r in spark.read.parquet(path).collect()) == list(range(6))
+
+
+def test_streams_rerun_add_nothing(spark):
     root = scratch_path(spark, "t-wm")
     src = f"{root}/bronze"
     docs = api_documents(spark, SF_SMALL)
@@ -39,7 +106,7 @@ def test_watermark_streams_rerun_add_nothing(spark):
     for _ in range(2):
         ingest.hourly_stream(spark, src, f"{root}/hourly", f"{root}/_ck_hourly")
         ingest.dedup_stream(spark, src, f"{root}/fact", f"{root}/_ck_fact", ingested_at="2024-02-01T00:00:00")
-    hourly = spark.read.parquet(f"{root}/hourly")
+    hourly = ingest.read_hourly(spark, f"{root}/hourly")
     assert hourly.groupBy("queried_city", "hour_start").count().filter("count > 1").count() == 0
     fact = spark.read.schema(ingest.SINK_SCHEMA).parquet(f"{root}/fact")
     assert fact.count() == docs.filter(F.col("status") == "ok").count()
