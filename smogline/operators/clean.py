@@ -83,6 +83,10 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str] = CSV_RENAMES) -> D
     return df.withColumnsRenamed(present) if present else df
 
 
+#: A reading without one of these is not stored.
+REQUIRED = ("measured_at", "aqi", "dominant_pollutant")
+
+
 def clean_station_rows(raw: DataFrame, keywords: Mapping[str, Sequence[str]] = K.CITY_KEYWORDS_ETL,
                        case_insensitive: bool = False, source: str = "kaggle",
                        ingested_at: str = "2024-02-01T00:00:00") -> DataFrame:
@@ -90,7 +94,7 @@ def clean_station_rows(raw: DataFrame, keywords: Mapping[str, Sequence[str]] = K
 
     Junk tokens to null, thousands separators removed, offset-aware time parsed,
     'lat,lon' split, invalid pollutant category nulled, city from the station name
-    (rows of other cities dropped), and rows missing time/aqi/pollutant dropped.
+    (rows of other cities dropped), and rows missing station/time/aqi/pollutant dropped.
     """
     r = rename_columns(raw)
     numeric = [c for c in ["co", "no2", "o3", "so2", "pm25", "pm10", "humidity", "temperature", "pressure", "wind"]]
@@ -112,7 +116,7 @@ def clean_station_rows(raw: DataFrame, keywords: Mapping[str, Sequence[str]] = K
         split_pair("location", 1).alias("lon"),
     )
     out = out.filter(F.col("queried_city").isNotNull())
-    out = required(out, ["measured_at", "aqi", "dominant_pollutant"])
+    out = required(out, ["waqi_idx", *REQUIRED])
     return out.withColumn("year", year_text("measured_at")).withColumn("month", month_text("measured_at"))
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smogline.operators.dedup import assert_unique
-from smogline.session import broadcast_if_small
 from smogline.functions.columns import aqi_level, month_text, null_last_key, rounded_avg, year_text
 
 def grouped_mode(df: DataFrame, keys: Sequence[str], value: str, alias: str | None = None) -> DataFrame:
@@ -117,7 +116,6 @@ def station_summary(fact: DataFrame, dim: DataFrame, digits: int = 2, check_uniq
     d = dim.select("waqi_idx", "station_name", "lat", "lon")
     if check_unique:  # a repeated key would fan the summary out
         assert_unique(d, ["waqi_idx"])
-    d = broadcast_if_small(d)
     joined = agg.join(d, "waqi_idx", "left")
     w = Window.partitionBy("queried_city", "year", "month").orderBy(F.col("avg_aqi").desc())
     return joined.withColumn("pollution_level", aqi_level("avg_aqi")).withColumn(

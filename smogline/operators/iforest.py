@@ -68,34 +68,27 @@ def _unit(h: F.Column) -> F.Column:
 
 
 def sample_for_trees(df: DataFrame, key_cols: Sequence[str], features: Sequence[str], n_trees: int = 200,
-                     max_samples: int = 256, seed: int = 42, oversample: float = 3.0, n: int | None = None) -> DataFrame:
+                     max_samples: int = 256, seed: int = 42, oversample: float = 3.0, n: int | None = None,
+                     pool_rows: int = 20_000) -> DataFrame:
     """(tree_id, features...) with at most ``max_samples`` rows per tree.
 
-    Small inputs (n <= n_trees * max_samples): every tree draws the ``psi`` rows with the
-    smallest seeded (row, tree) hash from all rows; a hash threshold keeps only about
-    ``oversample * psi`` candidates per tree before the per-tree ranking (exact: a tree
-    left with fewer candidates is redrawn without the threshold). Large inputs: a seeded
-    pool of about ``oversample * n_trees * psi`` rows is split over the trees by hash,
-    so no row expansion over the full table is needed.
+    One rule at every size: a seeded pool of about ``pool_rows`` rows (all rows, if there are fewer), from which
+    every tree draws the ``psi`` rows with the smallest (row, tree) hash. A hash threshold keeps only about
+    ``oversample * psi`` candidates per tree before the ranking (exact: if a tree is left with fewer than ``psi``,
+    the draw is made without the threshold). The pool bounds the (row, tree) expansion whatever the table's size.
     """
     from pyspark.sql import Window
 
     n = df.count() if n is None else n
-    psi = min(max_samples, n)
     base = df.select(*features, F.xxhash64(*key_cols, F.lit(seed)).alias("_h"))
-    frac = min(1.0, oversample * psi / max(n, 1))
-    if n <= n_trees * max_samples:
-        every = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree_id"))
-        every = every.withColumn("_r", _unit(F.xxhash64("_h", "tree_id", F.lit(seed))))
-        cand = every.filter(F.col("_r") < frac)
-        short = cand.groupBy("tree_id").count().filter(F.col("count") >= psi).count() < n_trees
-        if short:
-            cand = every
-    else:
-        pool = min(1.0, oversample * n_trees * psi / n)
-        cand = base.filter(_unit(F.col("_h")) < pool)
-        cand = cand.withColumn("tree_id", F.pmod(F.xxhash64("_h", F.lit(seed + 1)), F.lit(n_trees)).cast("int"))
-        cand = cand.withColumn("_r", _unit(F.xxhash64("_h", F.lit(seed + 2))))
+    pool = base.filter(_unit(F.xxhash64("_h", F.lit(seed + 1))) < min(1.0, pool_rows / max(n, 1)))
+    psi = min(max_samples, n)
+    frac = min(1.0, oversample * psi / max(min(n, pool_rows), 1))
+    every = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree_id"))
+    every = every.withColumn("_r", _unit(F.xxhash64("_h", "tree_id", F.lit(seed))))
+    cand = every.filter(F.col("_r") < frac)
+    if cand.groupBy("tree_id").count().filter(F.col("count") >= psi).count() < n_trees:
+        cand = every
     w = Window.partitionBy("tree_id").orderBy("_r", "_h")
     return cand.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= psi).drop("_k", "_r", "_h")
 

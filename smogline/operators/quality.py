@@ -22,10 +22,8 @@ CHECK_FIELDS = "check string, table string, column string, value double, thresho
 
 
 def fact_metrics(fact: DataFrame, now: dt.datetime | str, freshness_hours: int = K.DQ_FRESHNESS_HOURS,
-                 null_columns: Sequence[str] = K.DQ_NULL_COLUMNS, sample_rows: int | None = None) -> DataFrame:
-    """One aggregate pass over the whole table (``sample_rows`` bounds the scan instead)."""
-    if sample_rows:
-        fact = fact.limit(sample_rows)
+                 null_columns: Sequence[str] = K.DQ_NULL_COLUMNS) -> DataFrame:
+    """One aggregate pass over the whole table."""
     cutoff = F.lit(now).cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(freshness_hours))
     invalid = F.when(~F.col("source").isin(*K.VALID_SOURCES), F.col("source"))
     return fact.agg(

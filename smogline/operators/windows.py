@@ -26,6 +26,10 @@ def _w(key: str | Sequence[str], ts: str):
     return Window.partitionBy(*keys).orderBy(ts)
 
 
+def _so_far(key: str | Sequence[str], order: str | Column):
+    return _w(key, order).rowsBetween(Window.unboundedPreceding, 0)
+
+
 def hourly(fact: DataFrame, key: str = KEY, ts: str = TS, measures: Sequence[str] = K.HOURLY_MEASURES) -> DataFrame:
     """Mean of each measure per (key, hour); hours without aqi dropped."""
     return (
@@ -142,15 +146,14 @@ def interpolate(df: DataFrame, cols: Sequence[str], key: str = KEY, ts: str = TS
     Forward only: leading nulls stay null; trailing nulls carry the last value.
     """
     w = _w(key, ts)
-    before = w.rowsBetween(Window.unboundedPreceding, 0)
-    after = w.rowsBetween(0, Window.unboundedFollowing)
+    before, after = _so_far(key, ts), _so_far(key, F.desc(ts))
     t = F.unix_seconds(F.col(ts))
     out = df.withColumn("_rn", F.row_number().over(w))
-    # one backward and one forward window per column: the last/next known (value, time, row)
+    # the last known (value, time, row) in either direction of time: both frames only grow, so each row is added once
     known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("v"), t.alias("t"), F.col("_rn").alias("rn")))
              for c in cols}
     out = out.withColumns({f"_p_{c}": F.last(e, ignorenulls=True).over(before) for c, e in known.items()})
-    out = out.withColumns({f"_n_{c}": F.first(e, ignorenulls=True).over(after) for c, e in known.items()})
+    out = out.withColumns({f"_n_{c}": F.last(e, ignorenulls=True).over(after) for c, e in known.items()})
     exprs = {}
     for c in cols:
         p, n = F.col(f"_p_{c}"), F.col(f"_n_{c}")
@@ -163,15 +166,13 @@ def interpolate(df: DataFrame, cols: Sequence[str], key: str = KEY, ts: str = TS
 def fill_forward_back_median(df: DataFrame, cols: Sequence[str], key: str = KEY, ts: str = TS) -> DataFrame:
     """Forward fill, then backward fill, then the key's median, each within the key.
 
-    The median is a window aggregate over the same key partition the fills already
-    use, so it adds no shuffle and no join.
+    The backward fill is a forward fill in descending time (a frame that only grows, hence linear). The median
+    is a window aggregate over the same key partition the fills already use, so it adds no shuffle and no join.
     """
-    w = _w(key, ts)
-    before = w.rowsBetween(Window.unboundedPreceding, 0)
-    after = w.rowsBetween(0, Window.unboundedFollowing)
+    before, after = _so_far(key, ts), _so_far(key, F.desc(ts))
     whole = Window.partitionBy(key)
     return df.withColumns({
-        c: F.coalesce(F.col(c), F.last(c, ignorenulls=True).over(before), F.first(c, ignorenulls=True).over(after),
+        c: F.coalesce(F.col(c), F.last(c, ignorenulls=True).over(before), F.last(c, ignorenulls=True).over(after),
                       F.median(c).over(whole))
         for c in cols
     })

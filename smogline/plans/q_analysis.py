@@ -279,10 +279,15 @@ _POLLUTANTS = ["pm25", "pm10", "o3"]
 
 
 @query("pollutant_pivot", with_views(READINGS) + "\nSELECT queried_city, " + ", ".join(
-    f"CAST(COUNT_IF(dominant_pollutant = '{p}') AS BIGINT) AS {p}" for p in _POLLUTANTS) + " FROM readings GROUP BY 1")
+    f"CAST(COUNT_IF(dominant_pollutant = '{p}') AS BIGINT) AS {p}" for p in _POLLUTANTS) + f""",
+  CAST(COUNT_IF(dominant_pollutant NOT IN ({", ".join(repr(p) for p in _POLLUTANTS)})) AS BIGINT) AS other,
+  CAST(COUNT_IF(dominant_pollutant IS NULL) AS BIGINT) AS missing FROM readings GROUP BY 1""")
 def q_pollutant_pivot(spark, sf_dir):
-    r = readings(spark, sf_dir)
-    return r.groupBy("queried_city").pivot("dominant_pollutant", _POLLUTANTS).count().fillna(0, _POLLUTANTS)
+    """Counts per category; categories without a column of their own are ``other``, nulls ``missing``."""
+    r, columns = readings(spark, sf_dir), [*_POLLUTANTS, "other", "missing"]
+    p = F.col("dominant_pollutant")
+    shown = F.when(p.isNull(), "missing").when(p.isin(_POLLUTANTS), p).otherwise("other")
+    return r.withColumn("shown", shown).groupBy("queried_city").pivot("shown", columns).count().fillna(0, columns)
 
 
 @query("aqi_correlations", "WITH sp AS (" + _spearman_sql() + """)

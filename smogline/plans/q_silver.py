@@ -69,7 +69,7 @@ c AS (
     TRY_CAST(NULLIF(split_part(location, ',', 2), '') AS DOUBLE) AS lon
   FROM dirty)
 SELECT *, CAST(year(measured_at) AS VARCHAR) AS year, lpad(CAST(month(measured_at) AS VARCHAR), 2, '0') AS month
-FROM c WHERE queried_city IS NOT NULL AND measured_at IS NOT NULL AND aqi IS NOT NULL
+FROM c WHERE queried_city IS NOT NULL AND waqi_idx IS NOT NULL AND measured_at IS NOT NULL AND aqi IS NOT NULL
   AND dominant_pollutant IS NOT NULL"""))
 def q_clean_station_rows(spark, sf_dir):
     return clean.clean_station_rows(readings_dirty(spark, sf_dir).drop("event_id"))

@@ -74,15 +74,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def broadcast_if_small(df, max_rows: int = 2_000_000):
-    """Broadcast ``df`` only after counting it (one cheap action) and finding it under
-    ``max_rows``; otherwise return it unchanged so the planner keeps a shuffle join."""
-    from pyspark.sql import functions as F
-
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 _SHIPPED: set[str] = set()
 
 
