@@ -57,6 +57,46 @@ CITY_LABELS = {
     "cao-bang": "Cao Bang",
 }
 
+# --- fixed values: map coordinates (lat, lon) of city slugs ---------------
+CITY_COORDS = {
+    "ha-noi": (21.0285, 105.8542),
+    "ho-chi-minh-city": (10.8231, 106.6297),
+    "gia-lai": (13.9833, 108.0),
+    "quang-ninh": (21.0064, 107.2925),
+    "thua-thien-hue": (16.4637, 107.5909),
+    "bac-ninh": (21.1861, 106.0763),
+    "lao-cai": (22.4856, 103.9754),
+    "da-nang": (16.0544, 108.2022),
+    "cao-bang": (22.6667, 106.25),
+}
+
+# --- fixed values: display labels of the daily forecast's features --------
+FEATURE_LABELS = {
+    "aqi_lag_1d": "AQI lag 1 day",
+    "aqi_lag_2d": "AQI lag 2 days",
+    "aqi_lag_3d": "AQI lag 3 days",
+    "aqi_lag_5d": "AQI lag 5 days",
+    "aqi_lag_7d": "AQI lag 7 days",
+    "aqi_roll_mean_3d": "Rolling avg 3d",
+    "aqi_roll_std_3d": "Rolling std 3d",
+    "aqi_roll_mean_7d": "Rolling avg 7d",
+    "aqi_roll_std_7d": "Rolling std 7d",
+    "aqi_roll_mean_14d": "Rolling avg 14d",
+    "aqi_diff_1d": "AQI change 1d",
+    "pm25": "PM2.5",
+    "pm10": "PM10",
+    "temperature": "Temperature",
+    "humidity": "Humidity",
+    "pressure": "Pressure",
+    "wind": "Wind speed",
+    "month_sin": "Month (sin)",
+    "month_cos": "Month (cos)",
+    "dow_sin": "Day-of-week (sin)",
+    "dow_cos": "Day-of-week (cos)",
+    "is_weekend": "Is weekend",
+    "is_dry_season": "Dry season",
+}
+
 # --- fixed values: junk tokens that mean "no value" in raw text -----------
 NULL_TOKENS = ["-", "", "#NAME?", "N/A"]
 

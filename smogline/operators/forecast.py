@@ -127,12 +127,24 @@ def importance(contrib: DataFrame, keys: Sequence[str] = (), top: int | None = N
 
 
 def waterfall(contrib: DataFrame, row_filter, top: int = 10) -> DataFrame:
-    """One row's explanation: base, then the ``top`` largest |contribution| features."""
+    """One row's explanation: base, the ``top`` largest |contribution| features, and the sum of all others, so that
+    the rows add up to the prediction."""
     from pyspark.sql import Window
 
     one = contrib.filter(row_filter)
     w = Window.orderBy(F.abs("contribution").desc(), "feature")
-    feats = one.filter(F.col("feature") != "__base__").withColumn("rank", F.row_number().over(w)).filter(
-        F.col("rank") <= top)
+    feats = one.filter(F.col("feature") != "__base__").withColumn("rank", F.row_number().over(w))
+    keys = [c for c in one.columns if c not in ("feature", "value", "contribution")]
+    other = feats.filter(F.col("rank") > top).groupBy(*keys).agg(
+        F.lit("__other__").alias("feature"), F.lit(None).cast("double").alias("value"),
+        F.sum("contribution").alias("contribution"), F.lit(top + 1).alias("rank"))
     base = one.filter(F.col("feature") == "__base__").withColumn("rank", F.lit(0))
-    return base.unionByName(feats)
+    return base.unionByName(feats.filter(F.col("rank") <= top)).unionByName(other)
+
+
+def labelled(contrib: DataFrame) -> DataFrame:
+    """Feature-value/contribution pairs with the features' display labels (their names where there is none)."""
+    from smogline import constants as K
+    from smogline.functions.columns import label_lookup
+
+    return contrib.withColumn("label", F.coalesce(label_lookup("feature", K.FEATURE_LABELS), F.col("feature")))

@@ -155,13 +155,26 @@ def seasonal_rate(df: DataFrame, flag: str, key_value: str, months: Mapping[str,
 
 
 def agreement(df: DataFrame, flag_a: str, flag_b: str, a: str = "z", b: str = "if") -> DataFrame:
-    """Category counts/shares (both, a_only, b_only, normal) and overlap precisions."""
+    """Category counts/shares (both, a_only, b_only, normal); see ``overlap`` for the precisions."""
     fa, fb = F.coalesce(F.col(flag_a), F.lit(0)), F.coalesce(F.col(flag_b), F.lit(0))
     cat = F.when((fa == 1) & (fb == 1), "both").when(fa == 1, f"{a}_only").when(fb == 1, f"{b}_only").otherwise("normal")
     c = df.groupBy(cat.alias("category")).agg(F.count(F.lit(1)).alias("n"))
     return c.withColumn("share_pct", F.col("n") / F.sum("n").over(Window.partitionBy()) * F.lit(100.0))
 
 
+def overlap(df: DataFrame, flag_a: str, flag_b: str) -> DataFrame:
+    """One row: rows flagged by each detector and by both, and the shares both/a and both/b (null without flags)."""
+    a, b = F.coalesce(F.col(flag_a), F.lit(0)) == 1, F.coalesce(F.col(flag_b), F.lit(0)) == 1
+    n = df.agg(F.count_if(a).alias("n_a"), F.count_if(b).alias("n_b"), F.count_if(a & b).alias("n_both"))
+    return n.withColumns({"share_of_a": F.try_divide("n_both", "n_a"), "share_of_b": F.try_divide("n_both", "n_b")})
+
+
+def rate_by(df: DataFrame, flag: str, key: str = "queried_city") -> DataFrame:
+    """Flagged rows and their rate in % per key."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(flag).cast("long").alias("n_anomalies"),
+                               (F.avg(flag) * F.lit(100.0)).alias("rate_pct"))
+
+
 # --- M11: input checks before scoring ---------------------------------------------
 def require_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Fail on the driver, before any job, when feature columns are missing."""
@@ -173,9 +186,10 @@ def require_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 # --- T5k: repeatable sample ------------------------------------------------------
 def seeded_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
-    """``n`` rows chosen by a seeded hash of the keys: the same rows for any partitioning
-    (TakeOrdered: each task keeps at most ``n`` candidates)."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """``n`` rows chosen by a seeded hash of the keys' text: the same rows for any partitioning, and in any engine
+    with md5 (TakeOrdered: each task keeps at most ``n`` candidates)."""
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    return df.orderBy(F.md5(text.cast("binary")), *keys).limit(n)
 
 
 # --- M21: drift watch ------------------------------------------------------------

@@ -181,7 +181,16 @@ def fill_forward_back_median(df: DataFrame, cols: Sequence[str], key: str = KEY,
 def daily_features(fact: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     """Daily table for the next-day forecast: lags 1,2,3,5,7 days; trailing 3/7/14-day
     stats with min count max(1, n/2) and std null -> 0; diff; calendar; next-day target."""
-    d = daily_means(fact, key, ts)
+    return daily_feature_columns(daily_means(fact, key, ts), key, ts)
+
+
+def filled_daily(fact: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
+    """Daily means on a grid without missing days: forward, then backward fill, then the key's median."""
+    grid = regularize(daily_means(fact, key, ts), key, ts, "1 day")
+    return fill_forward_back_median(grid, [c for c in grid.columns if c not in (key, ts)], key, ts)
+
+
+def daily_feature_columns(d: DataFrame, key: str = KEY, ts: str = TS) -> DataFrame:
     w = _w(key, ts)
     cols: dict[str, Column] = {}
     cols.update(lag_columns(["aqi"], K.DAILY_LAGS, w, unit="d"))

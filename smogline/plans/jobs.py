@@ -62,10 +62,16 @@ def gold_build(spark: SparkSession, fact: DataFrame, dim: DataFrame, gold_path:
     if not quality.gate(checks):
         return checks
     daily = gold.daily_summary(fact)
-    files.write_table(daily, f"{gold_path}/gold_aqi_daily_summary", ["year", "month"], mode="overwrite", dynamic=True)
+
+    def stamped(df: DataFrame) -> DataFrame:
+        return df.withColumn("_aggregated_at", F.lit(now).cast("timestamp"))
+
+    files.write_table(stamped(daily), f"{gold_path}/gold_aqi_daily_summary", ["year", "month"], mode="overwrite",
+                      dynamic=True)
     daily_back = spark.read.schema(daily.schema).parquet(f"{gold_path}/gold_aqi_daily_summary")
-    files.write_table(gold.monthly_ranking(fact, daily_back), f"{gold_path}/gold_aqi_city_ranking", mode="overwrite")
-    files.write_table(gold.station_summary(fact, dim), f"{gold_path}/gold_station_summary", ["year", "month"],
+    files.write_table(stamped(gold.monthly_ranking(fact, daily_back)), f"{gold_path}/gold_aqi_city_ranking",
+                      mode="overwrite")
+    files.write_table(stamped(gold.station_summary(fact, dim)), f"{gold_path}/gold_station_summary", ["year", "month"],
                       mode="overwrite", dynamic=True)
     return checks
 

@@ -102,14 +102,34 @@ def q_pollutant_share(spark, sf_dir):
 @query("station_map", with_views(READINGS, STATIONS, f"""
 a AS (SELECT waqi_idx, {xavg('aqi')} AS avg_aqi, COUNT(*) AS n FROM readings GROUP BY 1)""") + """
 SELECT a.waqi_idx, s.station_name, s.lat, s.lon, a.avg_aqi, a.n FROM a JOIN stations s USING (waqi_idx)
-WHERE s.lat BETWEEN 8 AND 24 AND s.lon BETWEEN 102 AND 110""")
+WHERE s.lat BETWEEN 10 AND 21 AND s.lon BETWEEN 103 AND 108""")
 def q_station_map(spark, sf_dir):
     a = readings(spark, sf_dir).groupBy("waqi_idx").agg(exact_avg("aqi").alias("avg_aqi"),
                                                           F.count(F.lit(1)).alias("n"))
-    st = in_box(stations(spark, sf_dir))
+    st = in_box(stations(spark, sf_dir), (10, 21), (103, 108))
     return a.join(st.select("waqi_idx", "station_name", "lat", "lon"), "waqi_idx")
 
 
+_COORDS = " ".join(f"WHEN '{c}' THEN {{{i}}}" for i, c in enumerate(K.CITY_COORDS))
+
+
+def _coord_sql(part: int) -> str:
+    return f"CASE queried_city {_COORDS.format(*[repr(p[part]) for p in K.CITY_COORDS.values()])} END"
+
+
+@query("city_points", with_views(READINGS) + f"""
+SELECT queried_city, CAST({_coord_sql(0)} AS DOUBLE) AS lat, CAST({_coord_sql(1)} AS DOUBLE) AS lon, {xavg('aqi')} AS avg_aqi
+FROM readings GROUP BY 1""")
+def q_city_points(spark, sf_dir):
+    """Map markers: every city's mean with its coordinates."""
+    from smogline.functions.columns import label_lookup
+
+    means = readings(spark, sf_dir).groupBy("queried_city").agg(exact_avg("aqi").alias("avg_aqi"))
+    lat, lon = ({c: p[i] for c, p in K.CITY_COORDS.items()} for i in (0, 1))
+    return means.select("queried_city", label_lookup("queried_city", lat).cast("double").alias("lat"),
+                        label_lookup("queried_city", lon).cast("double").alias("lon"), "avg_aqi")
+
+
 _LATEST_COLS = ["aqi", "pm25", "pm10", "dominant_pollutant"]
 
 

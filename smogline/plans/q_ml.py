@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from smogline import constants as K
 from smogline.operators import ml
 from smogline.operators import windows as W
-from smogline.plans.registry import query
+from smogline.plans import q_features  # noqa: F401  (its oracle texts are reused below)
+from smogline.plans.registry import ORACLE, query
 from smogline.plans.sql_views import (
     READINGS, YEARLY, hourly_cte, r6, roll_sql, with_views, xavg,
 )
@@ -110,6 +111,24 @@ def q_anomaly_kpis(spark, sf_dir):
     return ml.flag_kpis(_zscored(spark, sf_dir), "is_anom_zscore")
 
 
+@query("city_anomaly_rate", _Z_SQL + """
+SELECT queried_city, COUNT(*) AS n, CAST(SUM(is_anom_zscore) AS BIGINT) AS n_anomalies, AVG(is_anom_zscore) * 100.0 AS rate_pct
+FROM z GROUP BY 1""")
+def q_city_anomaly_rate(spark, sf_dir):
+    return ml.rate_by(_zscored(spark, sf_dir), "is_anom_zscore")
+
+
+@query("detector_overlap", _Z_SQL + """,
+o AS (SELECT COUNT_IF(is_anom_zscore = 1) AS n_a, COUNT_IF(aqi > 300.0) AS n_b,
+             COUNT_IF(is_anom_zscore = 1 AND aqi > 300.0) AS n_both FROM z)
+SELECT CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b, CAST(n_both AS BIGINT) AS n_both,
+  n_both / NULLIF(n_a, 0) AS share_of_a, n_both / NULLIF(n_b, 0) AS share_of_b FROM o""")
+def q_detector_overlap(spark, sf_dir):
+    """Agreement of the rolling z-score with the fixed hazard level."""
+    z = _zscored(spark, sf_dir).withColumn("is_hazardous", (F.col("aqi") > 300).cast("int"))
+    return ml.overlap(z, "is_anom_zscore", "is_hazardous")
+
+
 @query("alerts", _Z_SQL + """
 SELECT queried_city, measured_at, aqi, zscore_7d FROM z WHERE is_anom_zscore = 1 AND aqi > 150.0""")
 def q_alerts(spark, sf_dir):
@@ -176,11 +195,7 @@ _IF_FEATURES = ["aqi", "pm25", "pm10", "temperature", "humidity", "pressure", "w
 def _iforest_scored(spark, sf_dir, n_trees: int = 200):
     from smogline.operators.iforest import isolation_forest
 
-    z = _zscored(spark, sf_dir)
-    h = W.hourly(readings(spark, sf_dir))
-    both = h.join(z.select("queried_city", "measured_at", "zscore_7d", "is_anom_zscore"),
-                  ["queried_city", "measured_at"], "left")
-    return isolation_forest(spark, both, ["queried_city", "measured_at"], _IF_FEATURES, n_trees=n_trees,
+    return isolation_forest(spark, _zscored(spark, sf_dir), ["queried_city", "measured_at"], _IF_FEATURES, n_trees=n_trees,
                             contamination=K.ANOMALY_CONTAMINATION)
 
 
@@ -190,6 +205,18 @@ def q_iforest_scores(spark, sf_dir):
                                                  "is_anom_iforest")
 
 
+_IF_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in _IF_FEATURES)
+
+
+@query("iforest_invariants", with_views(READINGS, hourly_cte()) + f"""
+SELECT queried_city, COUNT(*) AS n, CAST(0 AS BIGINT) AS n_outside FROM h WHERE {_IF_COMPLETE} GROUP BY 1""")
+def q_iforest_invariants(spark, sf_dir):
+    """Every complete hour is scored once, with a score in (0, 1]."""
+    inside = (F.col("iforest_score") > 0) & (F.col("iforest_score") <= 1)
+    return _iforest_scored(spark, sf_dir).groupBy("queried_city").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(inside, F.lit(False))).alias("n_outside"))
+
+
 @query("anomaly_agreement")
 def q_anomaly_agreement(spark, sf_dir):
     return ml.agreement(_iforest_scored(spark, sf_dir), "is_anom_zscore", "is_anom_iforest")
@@ -296,7 +323,35 @@ def q_forecast_table(spark, sf_dir):
                        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("made_at"))
 
 
-@query("sample_features")
+DAILY_VAL, DAILY_SPLIT = "2024-01-21 00:00:00", "2024-01-24 00:00:00"
+_DAILY_BASELINES = {"naive": "aqi", "rolling_mean_7d": "aqi_roll_mean_7d"}
+
+
+def _daily_rows(spark, sf_dir):
+    return W.daily_feature_columns(W.filled_daily(readings(spark, sf_dir)))
+
+
+@query("daily_baselines", f"WITH te AS (SELECT * FROM ({ORACLE['daily_features']}) d WHERE measured_at >= TIMESTAMP '{DAILY_SPLIT}')\n"
+       + "\nUNION ALL\n".join(f"SELECT '{n}' AS name, {_metrics_sql('aqi_target', c)} FROM te" for n, c in _DAILY_BASELINES.items()))
+def q_daily_baselines(spark, sf_dir):
+    """Next-day baselines on the days after the split date."""
+    te = _daily_rows(spark, sf_dir).filter(F.col("measured_at") >= F.lit(DAILY_SPLIT).cast("timestamp"))
+    return ml.baseline_metrics(te, "aqi_target", _DAILY_BASELINES)
+
+
+@query("daily_forecast")
+def q_daily_forecast(spark, sf_dir):
+    """Next-day forecast: daily features without gaps, split by date, boosted trees, errors beside the baselines."""
+    from smogline.operators import forecast
+
+    rows, feats = ml.training_rows(_daily_rows(spark, sf_dir), "aqi_target", _DROP)
+    rows = ml.time_split(rows, DAILY_VAL, DAILY_SPLIT).withColumn("is_val", F.col("split") == "val")
+    model = forecast.train_gbt(rows.filter("split <> 'test'"), feats, max_iter=20, max_depth=3)
+    return ml.baseline_metrics(model.transform(rows.filter("split = 'test'")), "aqi_target", {**_DAILY_BASELINES, "gbt": "prediction"})
+
+
+@query("sample_features", f"""SELECT * FROM ({ORACLE['feature_table']}) f
+ORDER BY md5(queried_city || '|' || CAST(measured_at AS VARCHAR) || '|42'), queried_city, measured_at LIMIT 500""")
 def q_sample_features(spark, sf_dir):
     return ml.seeded_sample(_features(spark, sf_dir), 500, ["queried_city", "measured_at"], seed=42)
 

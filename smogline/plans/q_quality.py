@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from smogline.operators import quality
 from smogline.plans.registry import query
 from smogline.plans.sql_views import READINGS, READINGS_DUP, STATIONS, with_views
@@ -80,6 +82,33 @@ def q_dq_checks(spark, sf_dir):
     return quality.run_checks(readings_dup(spark, sf_dir), stations(spark, sf_dir), NOW)
 
 
+BAD_READINGS = """
+bad_readings AS (SELECT * REPLACE (
+    CASE WHEN event_id % 10 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 900.0 ELSE aqi END AS aqi,
+    CASE WHEN event_id % 12 = 0 THEN NULL ELSE measured_at END AS measured_at,
+    CASE WHEN event_id % 3 = 0 THEN NULL ELSE dominant_pollutant END AS dominant_pollutant,
+    CASE WHEN event_id % 15 = 0 THEN NULL ELSE queried_city END AS queried_city,
+    CASE WHEN event_id % 7 = 0 THEN 'manual' ELSE source END AS source,
+    '2024-01-01T00:00:00' AS ingested_at)
+  FROM readings_dup WHERE queried_city <> 'cao-bang'),
+bad_stations AS (SELECT * FROM stations WHERE queried_city <> 'gia-lai')"""
+
+
+@query("dq_checks_failing", with_views(READINGS, READINGS_DUP, STATIONS, BAD_READINGS, metrics_cte("bad_readings"),
+                                       checks_cte("bad_stations")) + "\nSELECT * FROM chk")
+def q_dq_checks_failing(spark, sf_dir):
+    """The checks on a table that breaks all of them but the row counts."""
+    r, n = readings_dup(spark, sf_dir).filter("queried_city <> 'cao-bang'"), F.col("event_id")
+    bad = r.withColumns({
+        "aqi": F.when(n % 10 == 0, None).when(n % 101 == 0, 900.0).otherwise(F.col("aqi")),
+        "measured_at": F.when(n % 12 != 0, F.col("measured_at")),
+        "dominant_pollutant": F.when(n % 3 != 0, F.col("dominant_pollutant")),
+        "queried_city": F.when(n % 15 != 0, F.col("queried_city")),
+        "source": F.when(n % 7 == 0, "manual").otherwise(F.col("source")),
+        "ingested_at": F.lit("2024-01-01T00:00:00")})
+    return quality.run_checks(bad, stations(spark, sf_dir).filter("queried_city <> 'gia-lai'"), NOW)
+
+
 @query("dq_gate", "WITH c AS (" + _CHECKS_SQL + """)
 SELECT bool_and(passed) AS quality_passed, CAST(COUNT_IF(passed) AS BIGINT) AS checks_passed, COUNT(*) AS checks_total,
   coalesce(array_to_string(list_sort(list(CASE WHEN NOT passed THEN "check" || '.' || coalesce("column", '') END)), ','), '') AS failed

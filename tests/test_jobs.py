@@ -32,6 +32,7 @@ def test_silver_gold_features(spark):
     if checks.agg(F.bool_and("passed")).first()[0]:
         daily = spark.read.parquet(f"{root}/gold/gold_aqi_daily_summary")
         assert daily.count() > 0
+        assert daily.select("_aggregated_at").distinct().count() == 1
     jobs.features_build(spark, fact, f"{root}/features")
     assert spark.read.parquet(f"{root}/features").count() > 0
 

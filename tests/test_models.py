@@ -45,3 +45,36 @@ def test_contributions_are_additive(spark):
     assert all(abs(total[i] - pred[i]) < 1e-6 for i in pred)
     imp = forecast.importance(contrib).orderBy("rank").first()
     assert imp.feature == "f0"
+
+
+def test_waterfall_rows_add_up(spark):
+    from smogline.operators import forecast
+
+    rows = [(1, "__base__", None, 5.0)] + [(1, f"f{i}", float(i), (-1) ** i * i / 10) for i in range(1, 16)]
+    c = spark.createDataFrame(rows, "k int, feature string, value double, contribution double")
+    w = forecast.waterfall(c, F.col("k") == 1, top=4).orderBy("rank").collect()
+    assert [r.feature for r in w] == ["__base__", "f15", "f14", "f13", "f12", "__other__"]
+    assert abs(sum(r.contribution for r in w) - sum(r[3] for r in rows)) < 1e-9
+    assert forecast.labelled(c.withColumn("feature", F.lit("pm25"))).first().label == "PM2.5"
+
+
+def test_forest_samples_by_one_rule_at_every_size(spark):
+    """Every tree draws its rows from one pool, whether the table is smaller or larger than the pool."""
+    df = spark.range(4000).select("id", (F.col("id") * 1.0).alias("x"))
+    drawn = []
+    for pool in (2000, 50_000):
+        rows = iforest.sample_for_trees(df, ["id"], ["x"], n_trees=20, max_samples=64, pool_rows=pool).collect()
+        sizes = {}
+        for r in rows:
+            sizes.setdefault(r.tree_id, []).append(r.x)
+        assert len(sizes) == 20 and all(len(v) == len(set(v)) == 64 for v in sizes.values())
+        drawn.append(len(set(r.x for r in rows)))
+    assert all(n < 20 * 64 for n in drawn)  # trees overlap in both cases
+
+
+def test_overlap_shares(spark):
+    from smogline.operators import ml
+
+    df = spark.createDataFrame([(1, 1), (1, 0), (0, 1), (1, 1), (None, 0)], "a int, b int")
+    assert ml.overlap(df, "a", "b").first().asDict() == {"n_a": 3, "n_b": 3, "n_both": 2, "share_of_a": 2 / 3, "share_of_b": 2 / 3}
+    assert ml.overlap(df.limit(0), "a", "b").first().share_of_a is None
