@@ -1,10 +1,10 @@
 """Profiling and analysis aggregates (the notebook/dashboard tables, as Spark jobs).
 
 Exact quantiles are computed from a (key, value) -> count table: map-side partial
-aggregation shrinks the data to distinct measured values (AQI readings have a
-0.01 resolution on a 0-500 scale, so at most ~50k values per key), and a running
-count over that small table locates the order statistics. No group is ever
-materialised whole in one task.
+aggregation shrinks the data to distinct values, and a running count over that table
+locates the order statistics. The running count is split: approximate quantiles cut each
+key's values into buckets, bucket totals are summed, and only the rows of one bucket are
+ever ordered in one task, so near-unique values (prices, derived doubles) spread as well.
 """
 
 from __future__ import annotations
@@ -30,14 +30,31 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
 
 
+def running_count(vc: DataFrame, keys: Sequence[str], value: str, buckets: int = 64) -> DataFrame:
+    """A value-count table with ``_before`` (rows of the key with a smaller value) and ``_n`` (rows of the key).
+
+    The bucket borders only decide how the work is dealt out; the counts are exact. Null keys are keys.
+    """
+    vc = vc.withColumn("_key", F.struct(*keys) if keys else F.lit(0))
+    points = [i / buckets for i in range(1, buckets)]
+    borders = vc.groupBy("_key").agg(F.percentile_approx(value, points, 1000).alias("_borders"), F.sum("_c").alias("_n"))
+    dealt = vc.join(borders, "_key").withColumn(
+        "_bucket", F.size(F.filter("_borders", lambda b: b < F.col(value)))).drop("_borders")
+    totals = dealt.groupBy("_key", "_bucket").agg(F.sum("_c").alias("_total"))
+    earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("_key", "_bucket", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_skip"))
+    smaller = Window.partitionBy("_key", "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.withColumn("_in", F.coalesce(F.sum("_c").over(smaller), F.lit(0)))
+    return placed.join(totals, ["_key", "_bucket"]).withColumn("_before", F.col("_skip") + F.col("_in")).drop(
+        "_key", "_bucket", "_skip", "_in")
+
+
 def quantiles_from_counts(vc: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                           names: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
     """Linear-interpolated quantiles (pandas/SQL ``quantile_cont``) from a value-count table."""
     keys = list(keys)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    wk = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    vc = vc.withColumn("_hi", F.sum("_c").over(wk.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    vc = vc.withColumn("_lo", F.col("_hi") - F.col("_c") + 1).withColumn("_n", F.sum("_c").over(wk))
+    vc = running_count(vc, keys, value).withColumns({"_lo": F.col("_before"), "_hi": F.col("_before") + F.col("_c") - 1})
     aggs: list[Column] = [F.first("_n").alias("_n")]
     for p, nm in zip(probs, names):
         pos = (F.col("_n") - 1) * F.lit(float(p))

@@ -3,7 +3,7 @@
 Spearman with pairwise-complete rows: the data is unpivoted to (pair, x, y) rows
 for the pairs where both values exist and immediately pre-aggregated to a joint
 (pair, x, y) -> count table. Average ranks come from the marginal counts (a
-running count over distinct values gives ``rank = rows before + (ties + 1) / 2``)
+split running count over distinct values gives ``rank = rows before + (ties + 1) / 2``)
 and are joined to the joint table, never to the raw rows; Pearson's r of the
 ranks comes from count-weighted sums in one partial aggregation per pair (the
 mean rank is (n+1)/2 by construction). No global sort into one task.
@@ -18,19 +18,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from smogline.functions.columns import round_half
-from smogline.operators.profile import exact_quantiles
+from smogline.operators.profile import exact_quantiles, running_count
 
 
 def _avg_ranks(joint: DataFrame, value: str, out: str) -> DataFrame:
-    vc = joint.groupBy("pair", value).agg(F.sum("_c").alias("_m"))
-    w = Window.partitionBy("pair").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    vc = vc.withColumn("_before", F.coalesce(F.sum("_m").over(w), F.lit(0)))
-    return vc.select("pair", value, (F.col("_before") + (F.col("_m") + F.lit(1)) / F.lit(2.0)).alias(out))
+    vc = running_count(joint.groupBy("pair", value).agg(F.sum("_c").alias("_c")), ["pair"], value)
+    return vc.select("pair", value, (F.col("_before") + (F.col("_c") + F.lit(1)) / F.lit(2.0)).alias(out))
 
 
-def spearman(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """Long matrix (a, b, rho, n) for every unordered pair of ``cols`` (a < b in list order)."""
-    pairs = list(combinations(cols, 2))
+def spearman(df: DataFrame, cols: Sequence[str], digits: int = 6, target: str | None = None) -> DataFrame:
+    """Long matrix (a, b, rho, n) for every unordered pair of ``cols`` (a < b in list order), or only for the pairs
+    with ``target``."""
+    pairs = [p for p in combinations(cols, 2) if target is None or target in p]
     rows = [F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
             for i, (a, b) in enumerate(pairs)]
     long = df.select(F.inline(F.array(*rows))).filter(F.col("x").isNotNull() & F.col("y").isNotNull())

@@ -177,6 +177,15 @@ def q_aqi_histogram(spark, sf_dir):
     return profile.histogram(readings(spark, sf_dir), "aqi", 25.0, ["queried_city"])
 
 
+@query("order_quantiles", "SELECT o_orderpriority, " + ", ".join(
+    f"{r6(f'quantile_cont(CAST(o_totalprice AS DOUBLE), {p})')} AS {n}" for p, n in [(0.25, "p25"), (0.5, "p50"), (0.95, "p95")])
+    + " FROM orders GROUP BY 1")
+def q_order_quantiles(spark, sf_dir):
+    """Quantiles of near-unique values: the running count is dealt out by value, not by key."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderpriority", F.col("o_totalprice").cast("double"))
+    return profile.exact_quantiles(orders, ["o_orderpriority"], "o_totalprice", [0.25, 0.5, 0.95], ["p25", "p50", "p95"])
+
+
 @query("aqi_p95", with_views(READINGS) + f"\nSELECT {_q('aqi', 0.95)} AS p95 FROM readings")
 def q_aqi_p95(spark, sf_dir):
     return profile.exact_quantiles(readings(spark, sf_dir), [], "aqi", [0.95], ["p95"])
@@ -317,4 +326,4 @@ FROM sp WHERE a = 'aqi' OR b = 'aqi'""")
 def q_aqi_correlations(spark, sf_dir):
     from smogline.operators.stats import rank_by_abs, spearman
 
-    return rank_by_abs(spearman(readings(spark, sf_dir), _CORR_COLS), "aqi")
+    return rank_by_abs(spearman(readings(spark, sf_dir), _CORR_COLS, target="aqi"), "aqi")
