@@ -292,6 +292,20 @@ def q_contributions(spark, sf_dir):
     return forecast.importance(c, ["queried_city"], top=5)
 
 
+@query("contribution_invariants", f"""SELECT queried_city, COUNT(*) AS n, CAST(0 AS BIGINT) AS n_off
+FROM ({ORACLE['feature_table']}) f WHERE measured_at >= TIMESTAMP '{VAL_END}' AND COLUMNS(*) IS NOT NULL GROUP BY 1""")
+def q_contribution_invariants(spark, sf_dir):
+    """Every complete test row is explained once: base and contributions add up to its prediction."""
+    from smogline.operators import forecast
+
+    rows, feats, model = _gbt(spark, sf_dir)
+    te, keys = rows.filter(F.col("split") == "test"), ["queried_city", "measured_at"]
+    sums = forecast.contributions(spark, te, model, feats, keys).groupBy(*keys).agg(F.sum("contribution").alias("total"))
+    both = model.transform(te).select(*keys, "prediction").join(sums, keys, "left")
+    off = F.coalesce(F.abs(F.col("prediction") - F.col("total")) > 1e-6, F.lit(True))
+    return both.groupBy("queried_city").agg(F.count(F.lit(1)).alias("n"), F.count_if(off).alias("n_off"))
+
+
 @query("feature_importance")
 def q_feature_importance(spark, sf_dir):
     from smogline.operators import forecast
