@@ -10,7 +10,8 @@ sets are one class from the start, so exact copies never meet each other again.
 2. Every list links its members to its smallest member; the pairs pass the size bound and the union-sketch
    estimate, and exact Jaccard on the full sets decides. This joins almost every group in linear work.
 3. What is left are pairs of one list whose members are still in different components. Lists are cut into
-   blocks of bounded length; a task compares two blocks by matrix products: first on retained values (the pair
+   blocks of bounded length, members of a list's largest component meet only the others, and a task compares two
+   blocks by matrix products: first on retained values (the pair
    must reach the least overlap, and belong to this list: the first one it shares), then, for members that
    still have such a partner, on full sets. Only links leave the task, never pairs, and no list is one task.
 
@@ -43,7 +44,7 @@ SKETCH = 64
 #: Standard deviations by which an estimate may lie under the threshold.
 SLACK = 6.35
 #: Members of one block of a list.
-BLOCK = 512
+BLOCK = 1024
 
 SIGNATURE = "doc_id long, n_shingles long, key1 long, key2 long, sketch array<long>"
 
@@ -168,6 +169,38 @@ def _incidence(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def block_pairs(rooted: DataFrame, block: int) -> DataFrame:
+    """The members (value, i, j, side, cid, root, n, held, prefix) of the block pairs to compare.
+
+    Only lists with two or more components count. Members of a list's largest component needn't meet each other:
+    the others, cut into blocks, meet one another and the pieces of the largest. A short list is one block.
+    """
+    sizes = (rooted.groupBy("value", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("value")
+             .agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("members"), F.count(F.lit(1)).alias("roots"))
+             .filter("roots > 1")
+             .select("value", F.col("top.root").alias("largest"), (F.col("members") <= 2 * block).alias("short"),
+                     F.ceil((F.col("members") - F.col("top.n")) / block).alias("many"),
+                     F.ceil(F.col("top.n") / block).alias("rest")))
+    sizes = sizes.select("value", "largest", "short", F.when(F.col("short"), 1).otherwise(F.col("many")).cast("int").alias("blocks"),
+                         F.when(F.col("short"), 0).otherwise(F.col("rest")).cast("int").alias("pieces"))
+    large = (F.col("root") == F.col("largest")) & ~F.col("short")
+    own = F.pmod(F.xxhash64("cid"), F.when(large, F.col("pieces")).otherwise(F.col("blocks"))).cast("int")
+
+    def pair(i, j, side):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+
+    def upto(n, fn):
+        return F.transform(F.filter(F.sequence(F.lit(0), F.col(n)), lambda x: x < F.col(n)), fn)
+
+    o = F.col("own")
+    others = F.concat(upto("blocks", lambda x: pair(F.least(o, x), F.greatest(o, x), o > x)),
+                      upto("pieces", lambda p: pair(o, F.col("blocks") + p, F.lit(0))))
+    largest = upto("blocks", lambda x: pair(x, F.col("blocks") + o, F.lit(1)))
+    return (rooted.join(sizes, "value").withColumn("own", own)
+            .withColumn("at", F.explode(F.when(large, largest).otherwise(others)))
+            .select("value", "at.i", "at.j", "at.side", "cid", "root", "n", "held", "prefix"))
+
+
 def rest_members(blocks: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
     """The members (value, i, j, side, cid, root, held, prefix) of block pairs that still have a partner: in
     another component, of fitting size, with the least overlap of retained values, and first met in this list."""
@@ -188,7 +221,8 @@ def rest_members(blocks: DataFrame, k: int, percent: int, buckets: int) -> DataF
             y = x if i[a] == j[a] else at[side[a:b] == 1]
             if not len(x) or not len(y) or len(np.unique(root[np.concatenate((x, y))])) < 2:
                 continue
-            fit = 100 * np.minimum.outer(n[x], n[y]) >= percent * np.maximum.outer(n[x], n[y])
+            fit = 100 * n[x][:, None] >= percent * n[y][None, :]
+            fit &= 100 * n[y][None, :] >= percent * n[x][:, None]
             fit &= root[x][:, None] != root[y][None, :]
             if not fit.any():
                 continue
@@ -259,16 +293,9 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH, percent: int = PERCENT, sh
     links, _ = written(star_links(lists, sketches, texts, k, percent, shingle), "links")
     found = components(links)
 
-    # pairs of one list in different components: lists cut into blocks, block against block
     rooted = (lists.join(found.withColumnRenamed("node", "cid"), "cid", "left")
               .withColumn("root", F.coalesce("root", "cid")))
-    sizes = (rooted.groupBy("value").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-             .filter("r0 <> r1").withColumn("blocks", F.ceil(F.col("members") / block).cast("int")))
-    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    placed = (rooted.join(sizes.select("value", "blocks"), "value").withColumn("own", own)
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                      (F.col("own") > F.col("other")).cast("int").alias("side"), "cid", "root", "n", "held", "prefix"))
+    placed = block_pairs(rooted, block)
     n_rows = lists.count()
     members, _ = written(rest_members(placed, k, percent, groups_for(spark, n_rows, 20_000)), "members")
     more = rest_links(members, texts, percent, shingle, groups_for(spark, members.count(), 1000))
