@@ -7,8 +7,9 @@ different tasks. Every row carries its file's number and its start within the fi
 only one sum per file, never a pass over the ids in one task.
 
 Encoding: the byte-level vocabulary encodes a text piecewise. A space between two non-space characters (and
-likewise a line feed) always begins a piece, so ids are looked up per piece in a bounded cache and only unseen
-pieces go through the tokenizer; texts with runs of white space go through it whole.
+likewise a line feed) always begins a piece, so the distinct pieces of a batch are found by array operations on the
+UTF-8 bytes, looked up in a bounded cache, and only unseen ones go through the tokenizer; texts with runs of white
+space or white space of another kind go through it whole.
 
 Defined cases: a null text is an empty one (only the end id); special tokens' strings are ordinary text; rows
 with equal ids are ordered by a hash of their text; an empty table gives an empty output; only the id and
@@ -17,97 +18,143 @@ with equal ids are ordered by a hash of their text; an empty table gives an empt
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator, Sequence
-from struct import pack
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smogline.llm.common import prepare
+from smogline.llm.hashing import mix
 from smogline.session import scratch_path
 
 END_ID = 0
 #: Pieces kept in a worker's cache (about 200 bytes each).
-CACHE_PIECES = 400_000
+CACHE_PIECES = 800_000
 ROW_STRIDE = 1000
 STRIPE_BYTES = 16 << 20
 
 FILE_SCHEMA = "file_no int, row_no long, doc_id long, start_in_file long, n_tokens long, ids array<int>"
 
-_RUNS = re.compile(r"\s\s")
 _MARKS = frozenset(".,;:!?")
+#: Bytes of a piece compared by array operations; longer pieces are compared one by one.
+KEY_BYTES = 24
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
+_ODD = _BLANK.copy()
+_ODD[[0x20, 0x0A]] = False
+#: First two bytes of all white space above ASCII (some other characters share them).
+_ODD_PAIRS = [(0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80)]
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
-class PieceEncoder:
-    """ids of whole texts as little-endian 32-bit bytes, from a cache of pieces.
 
-    A key is a word that follows a space, or a line feed with the word after it; a text's first word has a cache
-    of its own. The cache has two generations: when the young one is full it becomes the old one, and what is
-    still used moves over.
-    """
+class PieceEncoder:
+    """ids of whole texts, from a bounded cache of pieces (keys hold the space or line feed before a word)."""
 
     def __init__(self, tokenizer_path: str, cache_pieces: int = CACHE_PIECES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {"": b""}
-        self.limit = max(1, cache_pieces // 2)
-        self.marks = dict(zip(_MARKS, self._whole(list(_MARKS)), strict=True))
+        self.limit = cache_pieces
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}  # piece -> row of starts/lengths
+        self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pool = np.empty(0, np.int32)
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [pack(f"<{len(ids)}I", *ids) for ids in
-                (e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))]
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: set[str]) -> None:
+    def _learn(self, new: list[str]) -> None:
         """Put unseen pieces into the cache. A final punctuation mark after a letter is a piece of its own to
         the vocabulary, so such pieces are put together from the word without it."""
-        cache, old, marks = self.cache, self.old, self.marks
-        known = new.intersection(old)
-        cache.update([(p, old[p]) for p in known])
-        new -= known
-        ends = [p for p in new if p[-1:] in marks and p[-2:-1].isalpha()]
-        whole = list(new.difference(ends).union([p[:-1] for p in ends]).difference(cache))
-        texts = [p if p[:1] == "\n" else " " + p for p in whole]
-        cache.update(zip(whole, self._whole(texts), strict=True))
-        cache.update([(p, cache[p[:-1]] + marks[p[-1]]) for p in ends])
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        if len(self.cache) > self.limit:
-            self.cache, self.old = {}, self.cache
-        if len(self.first) > self.limit:
-            self.first = {"": b""}
-        pieces: list[str] = []
-        first: list[str] = []
-        ends: list[int | None] = []
-        for text in texts:
-            if _RUNS.search(text):
-                ends.append(None)
-                continue
-            words = text.replace("\n", " \n").split(" ")
-            first.append(words[0])
-            pieces += words[1:]
-            ends.append(len(pieces))
-        self._learn(set(pieces).difference(self.cache))
-        found = list(map(self.cache.__getitem__, pieces))
-        new = list(set(first).difference(self.first))
-        self.first.update(zip(new, self._whole(new), strict=True))
-        begin = iter(first)
-        whole = iter(self._whole([t for t, end in zip(texts, ends, strict=True) if end is None]))
-        out, at = [], 0
-        for end in ends:
-            if end is None:
-                out.append(next(whole))
-            else:
-                out.append(self.first[next(begin)] + b"".join(found[at:end]))
-                at = end
-        return out
+        ends = {p for p in new if p[-1] in _MARKS and p[-2:-1].isalpha()} if new else set()
+        stems = dict.fromkeys(p[:-1] if p in ends else p for p in new)
+        whole = dict(zip(stems, self._whole(list(stems)), strict=True))
+        marks = dict(zip(_MARKS, self._whole(list(_MARKS)), strict=True))
+        ids = [whole[p[:-1]] + marks[p[-1]] if p in ends else whole[p] for p in new]
+        lengths = np.array([len(x) for x in ids], np.int64)
+        self.place.update(zip(new, range(len(self.lengths), len(self.lengths) + len(new)), strict=True))
+        self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(lengths) - lengths))
+        self.lengths = np.concatenate((self.lengths, lengths))
+        self.pool = np.concatenate((self.pool, np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))))
+
+    def _rows(self, pieces: list[str]) -> np.ndarray:
+        """The cache rows of pieces, learned where unseen."""
+        if len(self.place) > self.limit:
+            self._forget()
+        self._learn([p for p in dict.fromkeys(pieces) if p and p not in self.place])
+        return np.array([self.place[p] if p else -1 for p in pieces], np.int64)
+
+    def _regular(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per text) of texts whose only white space is single spaces and line feeds."""
+        inside = np.zeros(len(data) + 1, np.int8)
+        np.add.at(inside, begin, 1)
+        np.add.at(inside, end, -1)
+        gaps = np.flatnonzero((np.cumsum(inside[:-1]) > 0) & ((data == 0x20) | (data == 0x0A)))
+        starts = np.concatenate((gaps + 1, begin))
+        order = np.argsort(starts, kind="stable")  # an empty last word of a text comes before the next text
+        first = (order >= len(gaps))
+        start, stop = starts[order], np.sort(np.concatenate((gaps, end)), kind="stable")
+        padded = np.concatenate((data, np.zeros(KEY_BYTES, np.uint8)))
+        kind = np.where(first, 0, padded[np.maximum(start - 1, 0)])
+        size = stop - start
+        loads = np.ndarray(len(data) + KEY_BYTES - 7, "<u8", padded.data, strides=(1,))
+        keys = [loads[np.minimum(start + 8 * i, len(data))] & _KEEP[np.clip(size - 8 * i, 0, 8)] for i in range(KEY_BYTES // 8)]
+        mixed = mix(keys[0] + kind.astype(np.uint64)) ^ mix(keys[1] * np.uint64(3) + size.astype(np.uint64)) ^ keys[2]
+        mixed[size > KEY_BYTES] = np.flatnonzero(size > KEY_BYTES)
+        by = np.argsort(mixed)
+        new = size[by] > KEY_BYTES
+        new[:1] = True
+        for x in (*keys, kind, size):
+            new[1:] |= x[by][1:] != x[by][:-1]
+        some = by[new]  # one occurrence of each distinct piece
+        raw = data.tobytes()
+        space = {0: "", 0x20: " ", 0x0A: "\n"}
+        pieces = [space[k] + raw[a:b].decode() for k, a, b in
+                  zip(kind[some].tolist(), start[some].tolist(), stop[some].tolist(), strict=True)]
+        row = np.empty(len(by), np.int64)
+        row[by] = self._rows(pieces)[np.cumsum(new) - 1]
+        lengths = np.where(row < 0, 0, self.lengths[row]) if len(self.lengths) else np.zeros(len(row), np.int64)
+        before = np.cumsum(lengths) - lengths
+        at = np.repeat((self.starts[row] if len(self.starts) else before) - before, lengths) + np.arange(lengths.sum())
+        return self.pool[at], np.add.reduceat(lengths, np.flatnonzero(first))
+
+    def encode(self, column: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, ids per text)."""
+        if not len(column):
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        column = column.cast(pa.large_string())
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        offsets = offsets - offsets[0]
+        blank = _BLANK[data]
+        odd = _ODD[data]
+        odd[1:] |= blank[1:] & blank[:-1]
+        for a, b in _ODD_PAIRS:
+            odd[:-1] |= (data[:-1] == a) & (data[1:] == b)
+        special = np.unique(np.searchsorted(offsets, np.flatnonzero(odd), "right") - 1)
+        regular = np.setdiff1d(np.arange(len(column)), special)
+        counts = np.zeros(len(column), np.int64)
+        ids = np.empty(0, np.int32)
+        if len(regular):
+            ids, counts[regular] = self._regular(data, offsets[regular], offsets[regular + 1])
+        if not len(special):
+            return ids, counts
+        whole = self._whole([column[int(i)].as_py() for i in special])
+        parts: list[np.ndarray] = [np.empty(0, np.int32)] * len(column)
+        ends = np.cumsum(counts[regular])
+        for i, end in zip(regular, ends, strict=True):
+            parts[i] = ids[end - counts[i]:end]
+        for i, w in zip(special, whole, strict=True):
+            parts[i], counts[i] = np.array(w, np.int32), len(w)
+        return np.concatenate(parts), counts
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -130,7 +177,7 @@ def default_tokenizer() -> str:
 
 
 def write_tokens(docs: DataFrame, path: str | None = None, tokenizer_path: str | None = None, end_id: int = END_ID,
-                 order_by: Sequence[str] = ("doc_id",)) -> str:
+                 order_by: Sequence[str | Column] = ("doc_id",)) -> str:
     """Write the token files of ``docs`` in the order of ``order_by`` and return their folder (``path``, or a new
     folder under the shared checkpoint folder)."""
     from pyspark import TaskContext
@@ -140,7 +187,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, tokenizer_path: str |
     path = path or scratch_path(spark, "tokens")
     vocabulary = tokenizer_path or default_tokenizer()
     order = [f"order_{i}" for i in range(len(order_by))] + ["tie"]
-    rows = docs.select(*[F.col(c).alias(a) for c, a in zip(order_by, order, strict=False)],
+    rows = docs.select(*[(F.col(c) if isinstance(c, str) else c).alias(a) for c, a in zip(order_by, order, strict=False)],
                        F.xxhash64("text").alias("tie"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
@@ -148,14 +195,12 @@ def write_tokens(docs: DataFrame, path: str | None = None, tokenizer_path: str |
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(vocabulary).encode
         file_no, at, row = TaskContext.get().partitionId(), 0, 0
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            data = [ids + end for ids in encode_texts(batch.column("text").to_pylist())]
-            n = np.array([len(d) // 4 for d in data], np.int64)
+            values, counts = encode_texts(batch.column("text"))
+            n, m = counts + 1, len(counts)
             ends = np.cumsum(n)
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()),
-                                           pa.array(np.frombuffer(b"".join(data), "<i4"), pa.int32()))
-            m = len(data)
+                                           pa.array(np.insert(values, np.cumsum(counts), end_id), pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(m, file_no), pa.int32()), pa.array(np.arange(row, row + m), pa.int64()),
                  batch.column("doc_id"), pa.array(at + ends - n, pa.int64()), pa.array(n, pa.int64()), ids],

@@ -35,4 +35,4 @@ def got(df, key: str = "doc_id") -> list[dict]:
 
 
 AWKWARD = [None, "", " \n\t ", "one", "One two THREE", "a  b\n\n c d\x1ce 　x", "x" * 70_000,
-           "word " * 30_000, "é ß 漢字 \U0001F600 <|endoftext|>", "One two THREE", "it's  we'll\r\n\r\nok ", " lead", "trail "]
+           "word " * 30_000, "é ß 漢字 \U0001F600 <|endoftext|>", "One two THREE", "it's  we'll\r\n\r\nok ", " lead", "trail ", "a. b, c! \u00b2. x\u0301. 5. d.. \u4e2d\uff0c e\u2019. .", "A.\nB,\nC"]

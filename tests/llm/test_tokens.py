@@ -3,7 +3,10 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from smogline.llm import queries, tokens
@@ -54,4 +57,14 @@ def test_empty_table(spark):
 def test_cache_limit_keeps_ids(whole):
     e = tokens.PieceEncoder(tokens.default_tokenizer(), cache_pieces=1)
     for text in AWKWARD:
-        assert np.frombuffer(e.encode([text or ""])[0], "<u4").tolist() == whole(text)[:-1]
+        assert e.encode(pa.array([text or ""]))[0].tolist() == whole(text)[:-1]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("ab \n\t.,'Zé中\u00a0\u201c1")) | st.characters(codec="utf-8"), max_size=60), max_size=6))
+def test_any_texts(texts):
+    e = tokens.encoder(tokens.default_tokenizer())
+    ids, counts = e.encode(pa.array(texts, pa.string()))
+    want = [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
