@@ -1,5 +1,8 @@
 """Pfair schedule: windows, deviation, and the places of the documents against a plain simulation."""
 
+from collections import Counter
+from fractions import Fraction
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -82,3 +85,58 @@ def test_documents_come_in_the_order_of_the_mixture(spark):
     docs = docs_frame(spark, [f"t{i}" for i in range(90)])
     order = [r["doc_id"] for r in places(M.mix(docs, block_docs=4))]
     assert [r["doc_id"] for r in M.mixed_documents(docs, block_docs=4).collect()] == order
+
+
+def farthest(slots, weights, upto):
+    """The largest deviation, in blocks, from the given weights over the first ``upto`` slots."""
+    total = sum(map(Fraction, weights.values()))
+    share = {s: Fraction(w) / total for s, w in weights.items()}
+    seen, worst = dict.fromkeys(weights, 0), Fraction(0)
+    for t, s in enumerate(slots[:upto], 1):
+        seen[s] += 1
+        if t % 97 == 0 or t == upto:
+            worst = max(worst, *(abs(seen[x] - w * t) for x, w in share.items()))
+    return worst
+
+
+def test_skewed_sources_keep_to_the_given_weights():
+    sizes = {"big": 400_000} | {f"s{i:02}": 40_000 + i for i in range(19)}
+    weights = M.flattened_weights(sizes)
+    blocks = {s: n // M.BLOCK_DOCS for s, n in sizes.items()}
+    slots = list(M.turns(blocks, M.whole_weights(weights)))
+    assert Counter(slots) == blocks
+    upto = min(max(i for i, x in enumerate(slots) if x == s) for s in sizes) + 1  # the first source to end
+    assert upto > 50_000 and farthest(slots, weights, upto) < 1
+
+
+def test_more_than_a_thousand_sources_keep_to_the_given_weights(spark):
+    # 1,101 sources: one has half of the weight, the others share the rest unevenly
+    weights = {"big": 1100.0} | {f"s{i}": 0.5 + i % 2 for i in range(1100)}
+    docs = spark.range(3300).selectExpr(
+        "id AS doc_id", "concat('t', id) AS text", "'en' AS lang",
+        "CASE WHEN id < 1100 THEN 'big' ELSE concat('s', id % 1100) END AS source", "1L AS n_chars")
+    rows = places(M.mix(docs, weights, block_docs=1))
+    assert [r["slot"] for r in rows] == list(range(3300))
+    slots = [r["source"] for r in rows]
+    left, upto = Counter(slots), 0
+    for upto, s in enumerate(slots, 1):
+        left[s] -= 1
+        if not left[s]:
+            break
+    assert upto > 1000 and farthest(slots, weights, upto) < 1
+
+
+def test_sources_without_a_weight_come_last(spark):
+    docs = docs_frame(spark, [f"t{i}" for i in range(30)])
+    order = [r["source"] for r in places(M.mix(docs, {"src0": 2, "src1": 1, "src2": 0}, block_docs=1))]
+    assert order[20:] == ["src2"] * 10 and set(order[:20]) == {"src0", "src1"}
+
+
+def test_runs_of_the_written_schedule():
+    blocks, weights = {"a": 300, "b": 1, "c": 0}, {"a": 3, "b": 1, "c": 1}
+    rows = [r for b in M.dealt(blocks, weights) for r in b.to_pylist()]
+    slots = list(M.turns(blocks, weights))
+    for s in "ab":
+        own = sorted((r["run"], r["slots"]) for r in rows if r["name"] == s)
+        assert [at for _, run in own for at in run] == [i for i, x in enumerate(slots) if x == s]
+        assert [n for n, _ in own] == list(range(len(own))) and all(len(run) == M.RUN for _, run in own[:-1])
