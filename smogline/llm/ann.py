@@ -8,7 +8,8 @@ the nearest (of the nearest few, where the first hold less than ``k`` candidates
 every vector to the largest norm.
 
 Lists and the queries that visit them are cut into blocks of bounded length, so neither a hot vector nor a popular
-list is one task. The nearest lists are searched first; the k-th score found there bounds what the other lists report.
+list is one task. The nearest lists are searched first; the k-th score found there bounds what the other lists report. A block reports
+its k best distinct ids, each by its best row, so repeated rows take no other id's place.
 Scores are inner products of the original vectors in double precision.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do those
@@ -180,8 +181,9 @@ def search(embeddings: DataFrame, query_filter: Column, k: int = K, sample_rows:
                                                  ["vec_id", "vec", "lists"])
 
     placed, _ = written(rows.mapInArrow(place, "vec_id long, vec array<double>, lists array<int>"), "postings")
-    counts = placed.groupBy(F.element_at("lists", 1).alias("list")).agg(F.count(F.lit(1)).alias("n")).collect()
-    model.sizes = np.zeros(len(model.points), np.int64)  # first placements only: each vector counts once
+    once = placed.groupBy("vec_id").agg(F.min(F.element_at("lists", 1)).alias("list"))
+    counts = once.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()
+    model.sizes = np.zeros(len(model.points), np.int64)  # one first placement only: each id counts once
     for r in counts:
         model.sizes[r["list"]] = r["n"]
     walked = spark.sparkContext.broadcast(model)
@@ -207,6 +209,8 @@ def search(embeddings: DataFrame, query_filter: Column, k: int = K, sample_rows:
         ids, v = vectors.column("vec_id").to_numpy(), _matrix(vectors.column("vec"))
         order = np.argsort(ids, kind="stable")
         ids, v = ids[order], v[order]
+        starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))  # the rows of each distinct id
+        distinct = ids[starts]
         q_ids, least = questions.column("query_id").to_numpy(), questions.column("least").to_numpy()
         q_all = _matrix(questions.column("vec"))
         out_q, out_v, out_s = [], [], []
@@ -216,13 +220,18 @@ def search(embeddings: DataFrame, query_filter: Column, k: int = K, sample_rows:
             for i in range(len(q)):
                 mine = s[i]
                 others = ids != q_ids[at + i]
+                tops = mine if len(distinct) == len(ids) else np.maximum.reduceat(mine, starts)
+                tops = tops[distinct != q_ids[at + i]]
                 room = 1e-9 * max(1.0, float(np.abs(mine).max()))
                 floor = least[at + i]
-                if others.sum() > k:
-                    floor = max(floor, np.partition(mine[others], -k)[-k])
+                if len(tops) > k:
+                    floor = max(floor, np.partition(tops, -k)[-k])
                 near = np.flatnonzero(others & (mine >= floor - room))
                 exact = (v[near] * q[i]).sum(1)
-                best = np.lexsort((ids[near], -exact))[:k]
+                best = np.lexsort((ids[near], -exact))
+                if len(distinct) < len(ids):  # the best row of each id
+                    best = best[np.sort(np.unique(ids[near][best], return_index=True)[1])]
+                best = best[:k]
                 out_q.append(np.full(len(best), q_ids[at + i]))
                 out_v.append(ids[near][best])
                 out_s.append(exact[best])

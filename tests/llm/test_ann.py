@@ -75,3 +75,48 @@ def test_lists_are_balanced_and_reachable():
                 seen.add(j)
                 todo.append(j)
     assert len(seen) == len(c)
+
+
+#: Every vector in every list: what a block reports is all that its query gets.
+WIDE = {"ratio": 9.0, "boundary": 99.0, "replicas": 99}
+
+
+def brute_by_id(rows, step=20, k=20):
+    """As ``brute``, for ids with several rows: an id's score is the best one of its rows."""
+    out = {}
+    for i, q in rows:
+        if i % step == 0:
+            found = out.setdefault(i, {})
+            for j, v in rows:
+                if j != i:
+                    score = float((np.array(v, float) * np.array(q, float)).sum())
+                    found[j] = max(found.get(j, -np.inf), score)
+    return {i: sorted(found.items(), key=lambda x: (-x[1], x[0]))[:k] for i, found in out.items()}
+
+
+def same(found, want):
+    assert found.keys() == want.keys()
+    for i, near in want.items():
+        assert [j for j, _ in found[i]] == [j for j, _ in near]
+        assert [s for _, s in found[i]] == pytest.approx([s for _, s in near], abs=1e-9)
+
+
+def test_repeated_rows_take_no_place(spark):
+    rng = np.random.default_rng(4)
+    data = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(120)]
+    df = spark.createDataFrame([(i, v, 0, "x", "y") for i, v in data], SCHEMA)
+    want = brute_by_id(data)
+    for options in ({"ratio": 9.0}, {"ratio": 9.0, "block": 7}, WIDE):
+        same(lists(ann.search(df.union(df), F.col("vec_id") % 20 == 0, **options)), want)
+
+
+def test_an_id_with_many_rows_near_the_query(spark):
+    rng = np.random.default_rng(5)
+    data = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(120)]
+    near = np.array(data[20][1])  # 300 rows of one id around a query, closer than all others
+    data += [(121, (near * 1.5 + rng.normal(size=6) * 0.01).astype(np.float32).tolist()) for _ in range(300)]
+    df = spark.createDataFrame([(i, v, 0, "x", "y") for i, v in data], SCHEMA)
+    want = brute_by_id(data)
+    for options in ({"ratio": 9.0, "block": 50}, WIDE):
+        same(lists(ann.search(df, F.col("vec_id") % 20 == 0, **options)), want)
+    assert all(len(near) == 20 for near in lists(ann.search(df, F.col("vec_id") % 20 == 0)).values())
