@@ -169,20 +169,31 @@ def _incidence(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def block_pairs(rooted: DataFrame, block: int) -> DataFrame:
-    """The members (value, i, j, side, cid, root, n, held, prefix) of the block pairs to compare.
-
-    Only lists with two or more components count. Members of a list's largest component needn't meet each other:
-    the others, cut into blocks, meet one another and the pieces of the largest. A short list is one block.
-    """
+def block_sizes(rooted: DataFrame, block: int) -> DataFrame:
+    """Per list with two or more components: its largest component, whether it is short (one block), the blocks of
+    its other members, the pieces of the largest, and how many rows ``block_pairs`` makes of it."""
     sizes = (rooted.groupBy("value", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("value")
              .agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("members"), F.count(F.lit(1)).alias("roots"))
              .filter("roots > 1")
              .select("value", F.col("top.root").alias("largest"), (F.col("members") <= 2 * block).alias("short"),
+                     F.col("top.n").alias("most"), (F.col("members") - F.col("top.n")).alias("others"),
                      F.ceil((F.col("members") - F.col("top.n")) / block).alias("many"),
                      F.ceil(F.col("top.n") / block).alias("rest")))
-    sizes = sizes.select("value", "largest", "short", F.when(F.col("short"), 1).otherwise(F.col("many")).cast("int").alias("blocks"),
+    sizes = sizes.select("value", "largest", "short", "most", "others",
+                         F.when(F.col("short"), 1).otherwise(F.col("many")).cast("int").alias("blocks"),
                          F.when(F.col("short"), 0).otherwise(F.col("rest")).cast("int").alias("pieces"))
+    made = F.col("most") * F.col("blocks") + F.col("others") * (F.col("blocks") + F.col("pieces"))
+    return sizes.select("value", "largest", "short", "blocks", "pieces", made.alias("made"))
+
+
+def block_pairs(rooted: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The members (value, i, j, side, cid, root, n, held, prefix) of the block pairs to compare, one row per member
+    and pair, from the ``block_sizes`` of the lists.
+
+    Only lists with two or more components count. Members of a list's largest component needn't meet each other:
+    the others, cut into blocks, meet one another and the pieces of the largest. A short list is one block.
+    """
+    sizes = sizes.drop("made")
     large = (F.col("root") == F.col("largest")) & ~F.col("short")
     own = F.pmod(F.xxhash64("cid"), F.when(large, F.col("pieces")).otherwise(F.col("blocks"))).cast("int")
 
@@ -295,9 +306,9 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH, percent: int = PERCENT, sh
 
     rooted = (lists.join(found.withColumnRenamed("node", "cid"), "cid", "left")
               .withColumn("root", F.coalesce("root", "cid")))
-    placed = block_pairs(rooted, block)
-    n_rows = lists.count()
-    members, _ = written(rest_members(placed, k, percent, groups_for(spark, n_rows, 20_000)), "members")
+    sizes, _ = written(block_sizes(rooted, block), "sizes")
+    n_rows = sizes.agg(F.sum("made")).first()[0] or 0
+    members, _ = written(rest_members(block_pairs(rooted, sizes), k, percent, groups_for(spark, n_rows, 20_000)), "members")
     more = rest_links(members, texts, percent, shingle, groups_for(spark, members.count(), 1000))
     bridges, _ = written(more, "bridges")
     edges = found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(bridges)

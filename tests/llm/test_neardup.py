@@ -83,3 +83,24 @@ def test_sketch_estimate_and_bounds():
     true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     assert abs(N.union_estimate(np.sort(a)[:256], np.sort(b)[:256], 256) - true) < 0.15
     assert N.least_overlap(64) == 26
+
+
+def test_buckets_follow_the_rows_that_block_pairs_makes(spark, monkeypatch):
+    rng = random.Random(9)
+    line = " ".join(f"shared{i}" for i in range(60))  # over 40 and under 75 percent of each text
+    texts = [line + " " + " ".join(f"own{rng.randrange(10**9)}" for _ in range(40)) for _ in range(60)]
+    texts += near_group(rng, 30, 60, 2)
+    amounts, made = [], []
+    groups, pairs = N.groups_for, N.block_pairs
+
+    def counted(*args):
+        rows = pairs(*args)
+        made.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(N, "groups_for", lambda spark, amount, per: amounts.append((amount, per)) or groups(spark, amount, per))
+    monkeypatch.setattr(N, "block_pairs", counted)
+    docs = docs_frame(spark, texts)
+    rows = got(N.near_duplicates(docs, block=5))
+    assert rows == brute(list(enumerate(texts)))
+    assert made[0] > 1000 and (made[0], 20_000) in amounts
