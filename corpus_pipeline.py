@@ -25,9 +25,17 @@ def _ids(rows: DataFrame) -> DataFrame:
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id. Rows that share an id are one
-    document; a row without an id can't be a group's smallest and stays if it has no text."""
-    kept = _ids(neardup.near_duplicates(docs).filter("kept"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("found_id")), "left_semi")
+    document. Every row without an id is a document of its own that comes after all ids: it goes if its group has an
+    id, and of a group without any id one row (any) stays. Rows without text are no copies of each other and stay."""
+    largest, without = docs.agg(F.max(F.col("doc_id").cast("long")), F.count_if(F.col("doc_id").isNull())).first()
+    rows = docs.withColumn("stage_doc_id", F.col("doc_id").cast("long"))
+    if without:  # numbered where they lie and written, so that the numbers hold
+        after = F.lit(-1 if largest is None else largest).cast("long") + 1 + F.monotonically_increasing_id()
+        numbered, _ = written(docs.filter("doc_id IS NULL").withColumn("stage_doc_id", after), "without-id")
+        rows = rows.filter("doc_id IS NOT NULL").unionByName(numbered)
+    found = neardup.near_duplicates(rows.select(F.col("stage_doc_id").alias("doc_id"), "text"))
+    return (rows.join(_ids(found.filter("kept")), F.col("stage_doc_id") == F.col("found_id"), "left_semi")
+            .select(*docs.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,3 +69,21 @@ def test_awkward_documents_pass_every_stage(spark):
                 assert now.columns == frame.columns
         assert now.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert quality.THRESHOLD == 0.3
+
+
+def test_rows_without_an_id_are_copies_too(spark):
+    """An exact and a near copy of a document with an id go; of a group without any id one stays; empty ones stay."""
+    first, second = (" ".join(f"{c}{i}" for i in range(80)) for c in "ab")
+    rows = [(7, first), (None, first), (None, first + " more"), (None, second), (None, second), (None, second + " x"),
+            (None, None), (None, ""), (9, "alone here"), (None, "no copy of this anywhere")]
+    docs = spark.createDataFrame([(i, t, "en", f"s{n}", 1) for n, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    left = P.dedup_stage(spark, docs, SF)
+    assert left.columns == docs.columns
+    stays = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str)
+    seconds = [x for x in stays if x[1] and x[1].startswith("b0 ")]
+    assert len(seconds) == 1
+    assert [x for x in stays if x not in seconds] == sorted(
+        [(7, first), (None, None), (None, ""), (9, "alone here"), (None, "no copy of this anywhere")], key=str)
+    nameless = P.dedup_stage(spark, docs.filter("doc_id IS NULL"), SF)
+    assert sorted(str(r["text"])[:3] for r in nameless.collect()) == sorted(["Non", "", "no ", "a0 ", "b0 "])
