@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm import ann, decontaminate, html, langid, mixing, neardup, quality, substrings, tokens, toxicity
+from smogline.llm import (ann, decontaminate, html, langid, mixing, neardup, quality, simhash, substrings, tokens, toxicity,
+                          walsh, whitening)
 from smogline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +115,18 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_pfair_mixing")
 def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "block", "slot", "place")
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_digest(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
+@query("op12_simhash_dedup")
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op13_walsh_clusters")
+def op13_walsh_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return walsh.cluster_report(*walsh.cluster(table(spark, sf_dir, "embeddings")))
