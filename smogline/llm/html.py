@@ -11,8 +11,10 @@ lies inside and in no part that names itself navigation, advert and the like is
 for parts that such a sample may lack.
 
 Defined cases: a null or empty page gives an empty text; unclosed and misnested tags are closed as a browser would
-(a new paragraph ends the open one); comments, scripts, styles, form controls and markup never reach the text;
-character references are decoded; ``<br>`` is white space; a page without block elements is all content; repeated rows are extracted each; without any page that
+(a new paragraph ends the open one); comments, scripts, styles, form controls, drawings and markup never reach the text;
+formulas and fallback text of objects do; a script, style or the like that is never closed takes the rest of the page, a
+button, select or drawing only what stands directly in it up to the end of the element around it; a page is read in one
+forward pass, so that its time grows with its length whatever its markup; character references are decoded; ``<br>`` is white space; a page without block elements is all content; repeated rows are extracted each; without any page that
 marks its article the seeds alone are learned from; only ``page_id``, ``url`` and ``html`` are read.
 """
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 import html as references
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,12 +38,15 @@ SAMPLE_PAGES = 2000
 SIGNS = 4096
 OUTSIDE, CONTENT, PART = range(3)
 
-#: Fixed values of HTML: elements without content, elements whose content is no text of the page, inline elements,
-#: and the open elements that a start tag ends.
+#: Fixed values of HTML: elements without content, elements whose content is raw text and no text of the page, others
+#: whose content is no text of the page, inline elements, and the open elements that a start tag ends.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style title textarea noscript template iframe svg math select button object".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var".split())
+RAW = frozenset("script style title textarea noscript iframe noembed noframes".split())
+HIDDEN = frozenset("template svg select button annotation annotation-xml".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark object q rp rt ruby s samp "
+                   "small span strike strong sub sup time tt u var "
+                   "math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms "
+                   "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}}
 KEEPS_PARAGRAPH = INLINE | VOID - {"hr"}
@@ -52,13 +58,32 @@ PART_WORDS = frozenset("ad ads advert advertisement banner breadcrumb breadcrumb
                        "pagination popup promo recommended related share sharing sidebar signup social sponsor "
                        "sponsored subscribe toolbar widget".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
-                    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*>", re.S)
+#: Elements nested deeper are children of the element at this depth, as in browsers.
+MAX_DEPTH = 512
+#: Characters of a tag's attributes that are read for names.
+ATTRIBUTES = 1 << 16
+
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)|<!--|<[!?/]")
+_ATTRIBUTE = re.compile(r"""(>)|=\s*(["'])""")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
 _SENTENCE = re.compile(r"[.!?](?:\s|\Z)")
 
 
+@dataclass
+class Hidden:
+    """An open element whose text doesn't count: open elements around it, where its text begins (in the running text, or, once
+    that was ended, in the blocks), the nodes before it, and the linked characters before it."""
+
+    tag: str
+    depth: int
+    text: int
+    blocks: int
+    nodes: int
+    linked: int
+
+
 @dataclass
 class Page:
     """Block elements (parent before child) and the pieces of text in page order."""
@@ -69,63 +94,149 @@ class Page:
     blocks: list[tuple[int, str, int]] = field(default_factory=list)  # node, text, characters inside links
 
 
-def parse(source: str) -> Page:
-    page, stack, at = Page(), [0], 0
-    text: list[str] = []
-    linked = links = 0
-
-    def flush() -> None:
-        nonlocal linked
-        if text:
-            joined = " ".join(references.unescape("".join(text)).split())
-            if joined:
-                page.blocks.append((stack[-1], joined, linked))
-            text.clear()
-        linked = 0
-
-    while at < len(source):
-        m = _TOKEN.search(source, at)
-        piece = source[at:m.start() if m else len(source)]
-        if piece:
-            text.append(piece)
-            linked += len(piece) if links else 0
+def tag_end(source: str, at: int) -> int:
+    """The position after the tag whose name ends at ``at``. A quote opens a value only after an equals sign; one
+    that is never closed doesn't, and the tag then ends at the next ``>``."""
+    while True:
+        m = _ATTRIBUTE.search(source, at)
         if not m:
-            break
-        at = m.end()
-        close, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        if not tag:
-            continue
-        tag = tag.lower()
+            return len(source)  # a tag that never ends
+        if m[1]:
+            return m.end()
+        closing = source.find(m[2], m.end())
+        if closing < 0:
+            return (source.find(">", m.end()) + 1) or len(source)
+        at = closing + 1
+
+
+class Parser:
+    """One forward pass over a page: every character is looked at a bounded number of times."""
+
+    def __init__(self) -> None:
+        self.page = Page()
+        self.stack = [0]
+        self.open: Counter[str] = Counter()
+        self.text: list[str] = []
+        self.linked = self.links = 0
+        self.hidden: list[Hidden] = []
+
+    def parse(self, source: str) -> Page:
+        at, last = 0, source.rfind(">")
+        while at < len(source):
+            m = _TAG.search(source, at)
+            if m and m.start() > last and not m[0].startswith("<!"):
+                m = None  # no tag ends from here on: text
+            self.add(source[at:m.start() if m else len(source)])
+            if not m:
+                break
+            if m[0] == "<!--":
+                end = source.find("-->", m.end())
+                at = end + 3 if end >= 0 else len(source)
+            elif not m[2]:
+                at = (source.find(">", m.end()) + 1) or len(source)
+            else:
+                at = tag_end(source, m.end())
+                at = self.tag(m[1], m[2].lower(), source, m.end(), at)
+        self.flush()
+        return self.page
+
+    def add(self, piece: str) -> None:
+        if piece:
+            self.text.append(piece)
+            self.linked += len(piece) if self.links else 0
+
+    def flush(self) -> None:
+        """End the running text as a block of the innermost element."""
+        for h in self.hidden:  # what stands directly in a hidden element goes; blocks inside stay until it is closed
+            if h.blocks < 0:
+                del self.text[h.text:]
+        if self.text:
+            joined = " ".join(references.unescape("".join(self.text)).split())
+            if joined:
+                self.page.blocks.append((self.stack[-1], joined, self.linked))
+            self.text.clear()
+        for h in self.hidden:
+            if h.blocks < 0:
+                h.blocks, h.text = len(self.page.blocks), 0
+        self.linked = 0
+
+    def close(self, depth: int) -> None:
+        """Pop open elements down to ``depth``; hidden elements that began inside them end too."""
+        for n in self.stack[depth:]:
+            self.open[self.page.tags[n]] -= 1
+        del self.stack[depth:]
+        while self.hidden and self.hidden[-1].depth > depth:
+            self.hidden.pop()
+
+    def tag(self, close: str, tag: str, source: str, name_end: int, end: int) -> int:
+        """Handle the tag that ends before ``end``; returns where to go on."""
+        page, itself = self.page, source[end - 2:end] == "/>"
+        if tag in RAW:
+            self.add(" ")
+            if close or itself:
+                return end
+            m = _RAW_END[tag].search(source, end)
+            return (source.find(">", m.end()) + 1) or len(source) if m else len(source)
         if tag in HIDDEN:
-            if not close and not rest.endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
-                at = end.end() if end else len(source)
-            text.append(" ")
+            self.hide(close, tag, itself)
         elif tag in INLINE or tag in VOID and tag != "hr":
-            links = max(0, links + (-1 if close else 1)) if tag == "a" else links
+            self.links = max(0, self.links + (-1 if close else 1)) if tag == "a" else self.links
             if tag == "br":
-                text.append(" ")
+                self.add(" ")
         elif close:
-            flush()
-            links = 0
-            open_tags = [page.tags[n] for n in stack]
-            if tag in open_tags[1:]:
-                del stack[len(open_tags) - 1 - open_tags[::-1].index(tag):]
+            self.flush()
+            self.links = 0
+            if self.open[tag] > 0:
+                depth = len(self.stack) - 1
+                while page.tags[self.stack[depth]] != tag:
+                    depth -= 1
+                self.close(depth)
         else:
-            flush()
-            links = 0
-            ends = ENDS.get(tag, ()) or (() if tag in KEEPS_PARAGRAPH else {"p"})
-            while page.tags[stack[-1]] in ends or page.tags[stack[-1]] == "p":
-                stack.pop()
-            if tag == "hr" or rest.endswith("/"):
-                continue
+            self.flush()
+            self.links = 0
+            ends, depth = ENDS.get(tag, ()), len(self.stack)
+            floor = self.hidden[-1].depth if self.hidden else 1  # a hidden element is only left by an end tag
+            while depth > floor and (page.tags[self.stack[depth - 1]] in ends or page.tags[self.stack[depth - 1]] == "p"):
+                depth -= 1
+            if depth < len(self.stack):
+                self.close(depth)
+            if tag == "hr" or itself:
+                return end
+            rest = source[name_end:min(end - 1, name_end + ATTRIBUTES)]
             words = tuple(w for a in _NAMES.findall(rest) for w in _WORDS.findall("".join(a).lower())) if rest else ()
             page.tags.append(tag)
             page.names.append(words)
-            page.parents.append(stack[-1])
-            stack.append(len(page.tags) - 1)
-    flush()
-    return page
+            page.parents.append(self.stack[min(len(self.stack), MAX_DEPTH) - 1])
+            self.stack.append(len(page.tags) - 1)
+            self.open[tag] += 1
+        return end
+
+    def hide(self, close: str, tag: str, itself: bool) -> None:
+        if not close:
+            self.add(" ")
+            if not itself and len(self.hidden) < MAX_DEPTH:
+                self.hidden.append(Hidden(tag, len(self.stack), len(self.text), -1, len(self.page.tags), self.linked))
+            return
+        at = len(self.hidden) - 1
+        while at >= 0 and self.hidden[at].tag != tag:
+            at -= 1
+        if at < 0:
+            return
+        h = self.hidden[at]
+        del self.hidden[at:]
+        if h.blocks < 0:
+            del self.text[h.text:]
+        else:  # it held blocks: they go with their elements
+            self.text.clear()
+            del self.page.blocks[h.blocks:]
+        self.close(h.depth)
+        for column in (self.page.tags, self.page.names, self.page.parents):
+            del column[h.nodes:]
+        self.linked = h.linked if h.blocks < 0 else 0
+
+
+def parse(source: str) -> Page:
+    return Parser().parse(source)
 
 
 def names_a_part(tag: str, words: tuple[str, ...]) -> bool:
@@ -211,7 +322,8 @@ class PageModel:
         up = np.zeros((len(parents), len(self.start)))
         np.add.at(up, rows, self.sign[own])
         sent = np.zeros_like(up)
-        levels = [np.flatnonzero(depths == d) for d in range(int(depths.max(initial=0)) + 1)]
+        by_depth = np.argsort(depths, kind="stable")
+        levels = np.split(by_depth, np.cumsum(np.bincount(depths))[:-1])
         for level in levels[:0:-1]:  # leaves to root
             sent[level] = _log_sum(up[level][:, None, :] + self.step)
             np.add.at(up, parents[level], sent[level])

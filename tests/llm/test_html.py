@@ -3,8 +3,10 @@
 import html
 import itertools
 import re
+import time
 
 import numpy as np
+import pytest
 
 from smogline.llm import html as H
 from smogline.llm import queries
@@ -65,6 +67,46 @@ def test_parser_on_awkward_markup():
     assert blocks("<div>" * 3000 + "deep") == ["deep"]
 
 
+def test_hidden_elements_open_closed_and_nested():
+    blocks = lambda s: [t for _, t, _ in H.parse(s).blocks]
+    three = "<p>Three and four.</p><p>Five.</p>"
+    for tag in ("button", "svg", "select", "template"):
+        assert blocks(f"<p>One two.</p><{tag}>x{three}") == ["One two.", "Three and four.", "Five."]
+        assert blocks(f"<div><p>One.</p><{tag}>x</div>{three}") == ["One.", "Three and four.", "Five."]
+        assert blocks(f"<p>One <{tag}>x<p>y</p>z</{tag}> two.") == ["One", "two."]
+        assert blocks(f"<p>One <{tag}>x <{tag}>inner</{tag}> y</{tag}>two.") == ["One two."]
+        assert blocks(f"<p>One <{tag} a='>'/>two </{tag}>three") == ["One two three"]
+    assert blocks("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p>") == ["Let x=1 be."]
+    assert blocks("<p>See <object data=x>the <b>film</b></object> here</p><object>open<p>on</p>") == ["See the film here", "open", "on"]
+    assert blocks("<p>a<script>b</p><p>c") == ["a"] and blocks("<p>a<SCRIPT>b</script\n>c<textarea><p>x</textarea>d") == ["a c d"]
+    assert blocks("<svg><button>x</svg>y</button>z") == ["yz"]
+    page = H.parse("<div><button><div><ul><li>x</ul></button><p>y")
+    assert page.tags == ["#page", "div", "p"] and page.parents == [-1, 0, 1]
+
+
+def test_attributes_and_tags_that_never_end():
+    blocks = lambda s: [t for _, t, _ in H.parse(s).blocks]
+    assert blocks("<p title = 'a>b' class=\"c>\">1<p x=it's>2<p \" >3") == ["1", "2", "3"]
+    assert blocks("a < b <c") == ["a < b <c"] and blocks("<p>a</p><p title='x'") == ["a", "<p title='x'"]
+    assert blocks("<!doctype html><?php x ?></ >a") == ["a"]
+
+
+@pytest.mark.parametrize("piece", ["<b ", "<a \"", "<p title=\"x", "<div>", "<p>", "</div><div>", "<a x=\">\"", "<a ='>", "<script ",
+                                   "<button>", "<svg><div>", "</svg>", "<!--", "<![", "</", "&amp", "= ", "<li><ul>", "<select>x</select>",
+                                   "<script>x</script ", "<div class='", "<p class=a id=b>x "])
+def test_time_grows_with_the_length(piece):
+    began = time.process_time()
+    for end in ("", ">"):
+        H.parse(piece * (5_000_000 // len(piece)) + end)
+    assert time.process_time() - began < 60
+
+
+def test_many_and_deep_elements_in_time():
+    model, began = seeds(), time.process_time()
+    texts = H.extract_texts(["<div>" * 100_000 + "deep", "<article>" + "<p>Some prose, a sentence.</p>" * 30_000], model)
+    assert len(texts[1]) == 30_000 * 25 - 2 and time.process_time() - began < 60
+
+
 def test_nulls_repeats_long_and_empty_tables(spark):
     long = "<body><article>" + "<p>Prose of the article, a sentence.</p>" * 5000 + "</article><footer>end</footer></body>"
     pages = spark.createDataFrame([(0, None, None, 1), (1, "u", "", 2), (1, "u", long, 3), (1, "u", long, 3), (None, "v", "plain &lt; text", 4)],
