@@ -5,17 +5,19 @@ every window of ``window`` consecutive item words is one pattern (an item with f
 The automaton reads each document once and reports all, also overlapping, occurrences; word positions map
 back to character offsets of the original text.
 
-The benchmark is split into blocks of a bounded number of words; each block's automaton is a broadcast of
-known size, and the per-block findings of a document are united by an aggregation, so a benchmark of any
-size is handled (a normal one is a single block and needs no shuffle at all).
-
-Defined cases: a null or empty text has no words and no hits; an item without words has no windows; equal
-windows of several items report every item; repeated document rows each get their row; an empty benchmark
-hits nothing; only ``doc_id``/``text`` and ``item_id``/``text`` are read, so further columns never clash.
+The benchmark is cut into pieces (a long item into several that share window - 1 words; equal pieces of one item count
+once), and these are dealt to blocks of a bounded number of words. Each block is a broadcast of known size, its
+automaton is built once per worker process, and the per-block findings of a document are united by an
+aggregation, so a benchmark of any size is handled (a normal one is a single block and needs no shuffle at all).
+
+Defined cases: a null or empty text has no words and no hits; a long text is scanned whole, in memory of a few times its
+size; an item without words has no windows; equal windows of several items report every item; all items without an
+id are reported as one item, null; repeated document rows each get their row; an empty benchmark hits nothing; only ``doc_id``/``text`` and ``item_id``/``text`` are read, so further columns never clash.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import prepare, texts_of
+from smogline.llm.common import prepare, texts_of, written
 
 WINDOW = 10
 #: Words of benchmark text in one automaton (about 100 bytes of automaton per word and window).
 BLOCK_WORDS = 200_000
+#: A block's words are at least this many pieces, so that dealing pieces by hash fills blocks evenly.
+PIECES = 20
 
 #: Bytes of UTF-8 text to normalised bytes: A-Z to a-z, other ASCII that is no word byte to a space.
 _NORMAL = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20
@@ -40,11 +44,15 @@ def normal_words(text: bytes) -> list[bytes]:
     return text.translate(_NORMAL).split()
 
 
-def build_automaton(items: list[tuple[int, bytes]], window: int):
+def item_order(item_id: int | None) -> tuple[bool, int]:
+    return item_id is None, item_id or 0
+
+
+def build_automaton(items: list[tuple[int | None, bytes]], window: int):
     """An automaton whose patterns are the items' windows; values are (words in the pattern, item ids)."""
     import ahocorasick
 
-    patterns: dict[bytes, set[int]] = {}
+    patterns: dict[bytes, set[int | None]] = {}
     for item_id, text in items:
         words = normal_words(text)
         for i in range(max(1, len(words) - window + 1) if words else 0):
@@ -54,7 +62,7 @@ def build_automaton(items: list[tuple[int, bytes]], window: int):
     found = ahocorasick.Automaton()
     for text, ids in patterns.items():
         # a latin-1 view of the bytes: one character per byte, spaces on both sides hold word boundaries
-        found.add_word(f" {text.decode('latin-1')} ", (text.count(b" ") + 1, tuple(sorted(ids))))
+        found.add_word(f" {text.decode('latin-1')} ", (text.count(b" ") + 1, tuple(sorted(ids, key=item_order))))
     found.make_automaton()
     return found
 
@@ -65,7 +73,7 @@ def scan(text: bytes, automaton) -> tuple[int, np.ndarray, list[int]]:
     if automaton is None or not words:
         return len(words), np.empty(0, np.int32), []
     normal = f" {b' '.join(words).decode('latin-1')} "
-    items: set[int] = set()
+    items: set[int | None] = set()
     ends: list[tuple[int, int]] = []
     for end, (n, ids) in automaton.iter(normal):
         ends.append((end, n))
@@ -77,7 +85,7 @@ def scan(text: bytes, automaton) -> tuple[int, np.ndarray, list[int]]:
     depth = np.zeros(len(words) + 1, np.int64)
     np.add.at(depth, last - np.array([n for _, n in ends]), 1)
     np.add.at(depth, last, -1)
-    return len(words), np.flatnonzero(np.cumsum(depth[:-1]) > 0).astype(np.int32), sorted(items)
+    return len(words), np.flatnonzero(np.cumsum(depth[:-1]) > 0).astype(np.int32), sorted(items, key=item_order)
 
 
 def _char_spans(text: bytes, hits: np.ndarray) -> list[dict[str, int]]:
@@ -94,6 +102,34 @@ def _char_spans(text: bytes, hits: np.ndarray) -> list[dict[str, int]]:
     return [{"start": int(chars[begin[a]]), "end": int(chars[stop[b]])} for a, b in zip(first, last, strict=True)]
 
 
+def item_pieces(items: DataFrame, window: int, piece_words: int) -> DataFrame:
+    """(item_id, piece, n): the distinct pieces of the items' normalised texts and their words. Every window lies in a piece."""
+    step = max(1, piece_words - window + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item_id, text in zip(batch.column("item_id").to_pylist(), texts_of(batch), strict=True):
+                words = normal_words(text)
+                cuts = range(0, max(1, len(words) - window + 1), step) if words else ()
+                pieces = [words[at:at + step + window - 1] for at in cuts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([item_id] * len(pieces), pa.int64()), pa.array([b" ".join(p) for p in pieces], pa.binary()),
+                     pa.array([len(p) for p in pieces], pa.int64())], ["item_id", "piece", "n"])
+
+    return items.mapInArrow(run, "item_id long, piece binary, n long").distinct()
+
+
+_AUTOMATA: dict[str, object] = {}
+
+
+def automaton_of(key: str, items: list[tuple[int | None, bytes]], window: int):
+    """The automaton of a block, one per worker process (the last one used is kept)."""
+    if key not in _AUTOMATA:
+        _AUTOMATA.clear()
+        _AUTOMATA[key] = build_automaton(items, window)
+    return _AUTOMATA[key]
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per document row: n_words, hit_words (positions), item_ids (items with occurring windows) and spans
@@ -101,19 +137,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     spark = docs.sparkSession
     prepare(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    n_words = F.size(F.split(F.coalesce("text", F.lit("")), r"\s+")).cast("long")
-    blocks = max(1, -(-int(items.agg(F.sum(n_words)).first()[0] or 0) // block_words))
+    pieces, _ = written(item_pieces(items, window, max(window, block_words // PIECES)), "benchmark")
+    blocks = max(1, -(-int(pieces.agg(F.sum("n")).first()[0] or 0) // block_words))
     texts = docs.select("doc_id", "text")
     if blocks > 1:  # a row number for each document row, so that per-block findings of equal ids stay apart
         texts = texts.withColumn("copy", F.xxhash64("text"))
     found = None
     for k in range(blocks):
-        part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        rows = [(r["item_id"], (r["text"] or "").encode()) for r in part.collect()]
-        shared = spark.sparkContext.broadcast(rows)
+        part = pieces if blocks == 1 else pieces.filter(F.pmod(F.xxhash64("item_id", "piece"), F.lit(blocks)) == k)
+        rows = [(r["item_id"], bytes(r["piece"])) for r in part.collect()]
+        shared, key = spark.sparkContext.broadcast(rows), uuid.uuid4().hex
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            automaton = build_automaton(shared.value, window)
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
+            automaton = automaton_of(key, shared.value, window)
             for batch in batches:
                 data = texts_of(batch)
                 got = [scan(t, automaton) for t in data]

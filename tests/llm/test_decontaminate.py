@@ -33,7 +33,7 @@ def brute(docs, items):
                 if ids := windows.get(tuple(w[i:i + n])):
                     hit.update(range(i, i + n))
                     found |= ids
-        ids = ",".join(sorted(map(str, found)))
+        ids = ",".join(sorted(str(f) for f in found if f is not None))
         out.append({"doc_id": doc_id, "n_words": len(w), "n_hit": len(hit), "n_items": len(found),
                     "items_sha256": hashlib.sha256(ids.encode()).hexdigest(), "contaminated": bool(hit)})
     return out
@@ -80,3 +80,15 @@ def test_repeated_rows_and_empty_tables(spark):
     assert [r["n_items"] for r in got(twice)] == [2, 2]
     assert [r["contaminated"] for r in got(D.contamination_report(D.find_contamination(docs, bench.limit(0))))] == [False]
     assert D.find_contamination(docs.limit(0), bench).collect() == []
+
+
+def test_items_without_an_id_and_long_items(spark):
+    long = " ".join(f"w{i % 700}" for i in range(3000))
+    items = [(None, "short item here"), (2, "short item here"), (None, ITEM), (7, long), (7, long), (8, long)]
+    texts = [*TEXTS, long, " ".join(f"w{i}" for i in range(300, 340)), " ".join(long.split()[695:705])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(list(enumerate(texts)), items)
+    for words in (D.BLOCK_WORDS, 400):
+        assert got(D.contamination_report(D.find_contamination(docs_frame(spark, texts), bench, block_words=words))) == want
+    pieces = D.item_pieces(bench, 10, 50).collect()
+    assert max(r["n"] for r in pieces) == 50 and len({(r["item_id"], bytes(r["piece"])) for r in pieces}) == len(pieces)
