@@ -19,8 +19,9 @@ Links feed distributed connected components. Only class representatives move; te
 classes in lists.
 
 Defined cases: texts without words (null, empty, white space) have n_shingles 0 and are their own component;
-fewer words than a shingle are one shingle; rows with equal ids share a component; an empty table gives an
-empty result; only ``doc_id`` and ``text`` are read.
+fewer words than a shingle are one shingle; rows that share an id are one document with several texts: they share a
+component, and so does what any of them reaches; rows without an id take part, and carry the smallest id reached; long
+texts are hashed in pieces, and their sets fit a task's memory; an empty table gives an empty result; only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -311,13 +312,28 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH, percent: int = PERCENT, sh
     members, _ = written(rest_members(block_pairs(rooted, sizes), k, percent, groups_for(spark, n_rows, 20_000)), "members")
     more = rest_links(members, texts, percent, shingle, groups_for(spark, members.count(), 1000))
     bridges, _ = written(more, "bridges")
-    edges = found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(bridges)
+    repeated, same = repeated_ids(signed, classes)
+    edges = found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(bridges).unionByName(same)
     roots = components(edges)
 
     by_class = (classes.select(F.col("n").alias("n_shingles"), "key1", "key2", "cid")
                 .join(roots.withColumnRenamed("node", "cid"), "cid", "left")
                 .select("n_shingles", "key1", "key2", F.coalesce("root", "cid").alias("root")))
     joined = signed.select("doc_id", "n_shingles", "key1", "key2").join(by_class, ["n_shingles", "key1", "key2"], "left")
-    component = F.coalesce("root", "doc_id")
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"),
-                         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    out = joined.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    if not repeated.isEmpty():  # also an empty text shares the component of its id
+        own = out.join(repeated, "doc_id").groupBy("doc_id").agg(F.min("component_id").alias("of_id"))
+        out = (out.join(own, "doc_id", "left")
+               .select("doc_id", "n_shingles", F.coalesce("of_id", "component_id").alias("component_id")))
+    return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
+
+
+def repeated_ids(signed: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the ids with different texts, edges (u, v) from each of their classes to the smallest one)."""
+    key = F.struct("n_shingles", "key1", "key2")
+    ids, _ = written(signed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+                     .filter("low <> high").select("doc_id"), "repeated")
+    of = classes.select(F.col("n").alias("n_shingles"), "key1", "key2", "cid")
+    own = signed.join(ids, "doc_id").join(of, ["n_shingles", "key1", "key2"]).select("doc_id", "cid").distinct()
+    least = own.groupBy("doc_id").agg(F.min("cid").alias("v"))
+    return ids, own.join(least, "doc_id").filter("cid <> v").select(F.col("cid").alias("u"), "v").distinct()

@@ -76,6 +76,18 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert N.near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_ids_with_different_texts_share_a_component(spark):
+    rng = random.Random(4)
+    a, b, c, d = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(40)) for x in "abcd")
+    near = c.rsplit(" ", 2)[0] + " other end"
+    rows = [(3, a), (5, a), (5, b), (7, b), (8, near), (9, c), (9, d), (9, None), (11, d), (2, ""), (12, ""), (12, "one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {2: 2, 3: 3, 5: 3, 7: 3, 8: 8, 9: 8, 11: 8, 12: 12}
+    found = N.near_duplicates(docs).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in found) == sorted((i, want[i], want[i] == i) for i, _ in rows)
+    assert sorted((r["doc_id"], r["n_shingles"]) for r in found) == sorted((i, len(shingles(t))) for i, t in rows)
+
+
 def test_sketch_estimate_and_bounds():
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 2**63, 4000).astype(np.uint64))
