@@ -13,8 +13,8 @@ source in Spark: a hash of the id spreads each source over many small buckets, b
 within a bucket complete the place; no source is ever one task.
 
 Defined cases: a null source is a source of its own; sources without a weight (or with weight 0) come after all
-others, in equal shares; the last block of a source may be shorter; equal ids are ordered by their text; an empty table gives an empty
-result.
+others, in equal shares; the last block of a source may be shorter; equal ids are ordered by their text; texts are
+only hashed, whatever their length; further columns may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -218,7 +218,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block_docs:
 def mixed_documents(docs: DataFrame, weights: Mapping[str, float] | None = None, **options) -> DataFrame:
     """The rows of ``docs`` with all their columns, sorted (across partitions too) in the order of the mixture."""
     order = mix(docs, weights, **options).groupBy("doc_id", "tie").agg(F.min(F.struct("slot", "place")).alias("turn"))
-    order = order.select(F.col("doc_id").alias("order_id"), F.col("tie").alias("order_tie"), "turn")
-    there = docs["doc_id"].eqNullSafe(F.col("order_id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("order_tie"))
-    return (docs.join(order, there).repartitionByRange("turn", "doc_id").sortWithinPartitions("turn", "doc_id")
-            .select(*[docs[c] for c in docs.columns]))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("tie"))  # columns of any name
+    there = rows["doc_id"].eqNullSafe(order["doc_id"]) & (rows["tie"] == order["tie"])
+    return (rows.join(order, there).select("row", "turn", rows["doc_id"]).repartitionByRange("turn", "doc_id")
+            .sortWithinPartitions("turn", "doc_id").select("row.*"))
