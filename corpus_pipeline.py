@@ -1,4 +1,7 @@
-"""The corpus pipeline: five stages over ``documents``, each written as Parquet and read again by the next."""
+"""The corpus pipeline: five stages over ``documents``, each written as Parquet and read again by the next.
+
+Long texts pass every stage whole; further columns of any name are kept as they are up to the last stage.
+"""
 
 from __future__ import annotations
 
@@ -19,29 +22,37 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows packed apart from their id, so that columns of any name clash with nothing. Every row without an id
+    is a document of its own: it gets a number after all ids."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), "text")
+    largest, without = rows.agg(F.max("id"), F.count_if(F.col("id").isNull())).first()
+    if without:  # numbered where they lie and written, so that the numbers hold
+        after = F.lit(-1 if largest is None else largest).cast("long") + 1 + F.monotonically_increasing_id()
+        numbered, _ = written(rows.filter("id IS NULL").withColumn("id", after), "without-id")
+        rows = rows.filter("id IS NOT NULL").unionByName(numbered)
+    return rows
+
+
 def _ids(rows: DataFrame) -> DataFrame:
-    return rows.select(F.col("doc_id").alias("found_id")).distinct()
+    return rows.select(F.col("doc_id").alias("id")).distinct()
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id. Rows that share an id are one
     document. Every row without an id is a document of its own that comes after all ids: it goes if its group has an
     id, and of a group without any id one row (any) stays. Rows without text are no copies of each other and stay."""
-    largest, without = docs.agg(F.max(F.col("doc_id").cast("long")), F.count_if(F.col("doc_id").isNull())).first()
-    rows = docs.withColumn("stage_doc_id", F.col("doc_id").cast("long"))
-    if without:  # numbered where they lie and written, so that the numbers hold
-        after = F.lit(-1 if largest is None else largest).cast("long") + 1 + F.monotonically_increasing_id()
-        numbered, _ = written(docs.filter("doc_id IS NULL").withColumn("stage_doc_id", after), "without-id")
-        rows = rows.filter("doc_id IS NOT NULL").unionByName(numbered)
-    found = neardup.near_duplicates(rows.select(F.col("stage_doc_id").alias("doc_id"), "text"))
-    return (rows.join(_ids(found.filter("kept")), F.col("stage_doc_id") == F.col("found_id"), "left_semi")
-            .select(*docs.columns))
+    rows = _keyed(docs)
+    found = neardup.near_duplicates(rows.select(F.col("id").alias("doc_id"), "text"))
+    return rows.join(_ids(found.filter("kept")), "id", "left_semi").select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of the benchmark."""
-    hits = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(_ids(hits.filter(F.size("hit_words") > 0)), docs["doc_id"].eqNullSafe(F.col("found_id")), "left_anti")
+    """Documents without any window of the benchmark. Rows that share an id are one document and go together; every row
+    without an id is one of its own."""
+    rows = _keyed(docs)
+    found = decontaminate.find_contamination(rows.select(F.col("id").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return rows.join(_ids(found.filter(F.size("hit_words") > 0)), "id", "left_anti").select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
