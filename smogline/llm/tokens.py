@@ -8,12 +8,12 @@ only one sum per file, never a pass over the ids in one task.
 
 Encoding: the byte-level vocabulary encodes a text piecewise. A space between two non-space characters (and
 likewise a line feed) always begins a piece, so the distinct pieces of a batch are found by array operations on the
-UTF-8 bytes, looked up in a bounded cache, and only unseen ones go through the tokenizer; texts with runs of white
-space or white space of another kind go through it whole.
+UTF-8 bytes, looked up in a bounded table, and only unseen ones go through the tokenizer; texts with runs of white
+space, white space of another kind or the string of an added token go through it whole. The tokenizer is used as it is.
 
-Defined cases: a null text is an empty one (only the end id); special tokens' strings are ordinary text; rows
-with equal ids are ordered by a hash of their text; an empty table gives an empty output; only the id and
-``text`` (and the given order columns) are read.
+Defined cases: a null text is an empty one (only the end id); strings of special tokens get the ids that the library gives
+them; a long text is encoded whole, in memory of a few times its size; rows with equal ids are ordered by a hash of their
+text; an empty table gives an empty output; only the id and ``text`` (and the given order columns) are read.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from smogline.llm.hashing import mix
 from smogline.session import scratch_path
 
 END_ID = 0
-#: Pieces kept in a worker's cache (about 200 bytes each).
-CACHE_PIECES = 800_000
+#: Pieces kept in a worker's table (about 60 bytes each).
+CACHE_PIECES = 2_000_000
 ROW_STRIDE = 1000
 STRIPE_BYTES = 16 << 20
 
@@ -53,44 +53,80 @@ _KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 class PieceEncoder:
-    """ids of whole texts, from a bounded cache of pieces (keys hold the space or line feed before a word)."""
+    """ids of whole texts, from a bounded table of pieces (a piece holds the space or line feed before its word).
+
+    The table is sorted by a 64-bit hash of the piece; a second one tells pieces with equal first hashes apart. Pieces
+    longer than ``KEY_BYTES`` are kept by their text.
+    """
 
     def __init__(self, tokenizer_path: str, cache_pieces: int = CACHE_PIECES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.encode() for t in added if t.content]
+        self.marks = dict(zip(sorted(_MARKS), self._whole(sorted(_MARKS)), strict=True))
         self.limit = cache_pieces
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}  # piece -> row of starts/lengths
-        self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.pool = np.empty(0, np.int32)
+        self.known, self.second = np.empty(0, np.uint64), np.empty(0, np.uint64)  # sorted hashes, and their seconds
+        self.row = np.empty(0, np.int64)  # the piece's row of starts and lengths
+        self.long: dict[str, int] = {}
+        self.rows = self.used = 0
+        self.starts, self.lengths, self.pool = np.empty(1024, np.int64), np.empty(1024, np.int64), np.empty(4096, np.int32)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        """Put unseen pieces into the cache. A final punctuation mark after a letter is a piece of its own to
-        the vocabulary, so such pieces are put together from the word without it."""
-        ends = {p for p in new if p[-1] in _MARKS and p[-2:-1].isalpha()} if new else set()
-        stems = dict.fromkeys(p[:-1] if p in ends else p for p in new)
-        whole = dict(zip(stems, self._whole(list(stems)), strict=True))
-        marks = dict(zip(_MARKS, self._whole(list(_MARKS)), strict=True))
-        ids = [whole[p[:-1]] + marks[p[-1]] if p in ends else whole[p] for p in new]
-        lengths = np.array([len(x) for x in ids], np.int64)
-        self.place.update(zip(new, range(len(self.lengths), len(self.lengths) + len(new)), strict=True))
-        self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(lengths) - lengths))
-        self.lengths = np.concatenate((self.lengths, lengths))
-        self.pool = np.concatenate((self.pool, np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))))
-
-    def _rows(self, pieces: list[str]) -> np.ndarray:
-        """The cache rows of pieces, learned where unseen."""
-        if len(self.place) > self.limit:
+    @staticmethod
+    def _with_room(array: np.ndarray, size: int) -> np.ndarray:
+        return array if size <= len(array) else np.concatenate((array, np.empty(max(size, 2 * len(array)) - len(array), array.dtype)))
+
+    def _learn(self, new: list[str]) -> np.ndarray:
+        """Rows of unseen pieces. A final punctuation mark after a letter is a piece of its own to the vocabulary, so
+        such pieces are put together from the word without it."""
+        ends = [p[-1:] in _MARKS and p[-2:-1].isalpha() for p in new]
+        place: dict[str, int] = {}
+        stems = [place.setdefault(p[:-1] if e else p, len(place)) for p, e in zip(new, ends, strict=True)]
+        whole = self._whole(list(place))
+        ids = [whole[i] + self.marks[p[-1]] if e else whole[i] for i, p, e in zip(stems, new, ends, strict=True)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        total, n = int(lengths.sum()), len(new)
+        self.starts, self.lengths = (self._with_room(x, self.rows + n) for x in (self.starts, self.lengths))
+        self.pool = self._with_room(self.pool, self.used + total)
+        self.starts[self.rows:self.rows + n] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[self.rows:self.rows + n] = lengths
+        self.pool[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.int32, total)
+        self.rows, self.used = self.rows + n, self.used + total
+        return np.arange(self.rows - n, self.rows)
+
+    def _rows(self, first: np.ndarray, second: np.ndarray, long: np.ndarray, piece) -> np.ndarray:
+        """The rows of distinct pieces in the order of ``first``; ``piece(i)`` are the texts of some of them."""
+        if self.rows > self.limit:
             self._forget()
-        self._learn([p for p in dict.fromkeys(pieces) if p and p not in self.place])
-        return np.array([self.place[p] if p else -1 for p in pieces], np.int64)
+        at = np.searchsorted(self.known, first)
+        near = np.minimum(at, max(len(self.known) - 1, 0))
+        there = np.zeros(len(first), bool)
+        if len(self.known):
+            there = (self.known[near] == first) & (self.second[near] == second) & ~long
+        rows = np.full(len(first), -1)
+        rows[there] = self.row[near[there]]
+        if long.any():
+            at_long = np.flatnonzero(long)
+            texts = piece(at_long)
+            unseen = [p for p in dict.fromkeys(texts) if p not in self.long]
+            self.long.update(zip(unseen, self._learn(unseen).tolist(), strict=True))
+            rows[at_long] = [self.long[p] for p in texts]
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            rows[new] = self._learn(piece(new))
+            add = new[np.concatenate(([True], first[new][1:] != first[new][:-1]))]
+            if len(self.known):
+                add = add[self.known[near[add]] != first[add]]
+            self.known, self.second, self.row = (np.insert(old, at[add], x[add]) for old, x in (
+                (self.known, first), (self.second, second), (self.row, rows)))
+        return rows
 
     def _regular(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per text) of texts whose only white space is single spaces and line feeds."""
@@ -107,23 +143,29 @@ class PieceEncoder:
         size = stop - start
         loads = np.ndarray(len(data) + KEY_BYTES - 7, "<u8", padded.data, strides=(1,))
         keys = [loads[np.minimum(start + 8 * i, len(data))] & _KEEP[np.clip(size - 8 * i, 0, 8)] for i in range(KEY_BYTES // 8)]
-        mixed = mix(keys[0] + kind.astype(np.uint64)) ^ mix(keys[1] * np.uint64(3) + size.astype(np.uint64)) ^ keys[2]
-        mixed[size > KEY_BYTES] = np.flatnonzero(size > KEY_BYTES)
-        by = np.argsort(mixed)
-        new = size[by] > KEY_BYTES
-        new[:1] = True
-        for x in (*keys, kind, size):
-            new[1:] |= x[by][1:] != x[by][:-1]
+        about = kind.astype(np.uint64) | (size.astype(np.uint64) << np.uint64(8))
+        one = mix(mix(mix(keys[0] + about) + keys[1]) + keys[2])
+        two = mix(keys[2] * np.uint64(0x9E3779B97F4A7C15) + mix(keys[1] ^ mix(keys[0] * np.uint64(3) + about)))
+        wide = np.flatnonzero(size > KEY_BYTES)
+        one[wide] = wide  # never equal to one another
+        by = np.argsort(one)
+        sorted_one, sorted_two = one[by], two[by]
+        new = np.ones(len(by), bool)
+        new[1:] = (sorted_one[1:] != sorted_one[:-1]) | (sorted_two[1:] != sorted_two[:-1]) | (size[by][1:] > KEY_BYTES)
         some = by[new]  # one occurrence of each distinct piece
         raw = data.tobytes()
         space = {0: "", 0x20: " ", 0x0A: "\n"}
-        pieces = [space[k] + raw[a:b].decode() for k, a, b in
-                  zip(kind[some].tolist(), start[some].tolist(), stop[some].tolist(), strict=True)]
+
+        def piece(i: np.ndarray) -> list[str]:
+            x = some[i]
+            return [space[k] + raw[a:b].decode() for k, a, b in
+                    zip(kind[x].tolist(), start[x].tolist(), stop[x].tolist(), strict=True)]
+
         row = np.empty(len(by), np.int64)
-        row[by] = self._rows(pieces)[np.cumsum(new) - 1]
-        lengths = np.where(row < 0, 0, self.lengths[row]) if len(self.lengths) else np.zeros(len(row), np.int64)
+        row[by] = self._rows(one[some], two[some], size[some] > KEY_BYTES, piece)[np.cumsum(new) - 1]
+        lengths = self.lengths[row]
         before = np.cumsum(lengths) - lengths
-        at = np.repeat((self.starts[row] if len(self.starts) else before) - before, lengths) + np.arange(lengths.sum())
+        at = np.repeat(self.starts[row] - before, lengths) + np.arange(lengths.sum())
         return self.pool[at], np.add.reduceat(lengths, np.flatnonzero(first))
 
     def encode(self, column: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,6 +181,12 @@ class PieceEncoder:
         odd[1:] |= blank[1:] & blank[:-1]
         for a, b in _ODD_PAIRS:
             odd[:-1] |= (data[:-1] == a) & (data[1:] == b)
+        raw = data.tobytes()
+        for token in self.added:  # texts that hold an added token's string
+            found = raw.find(token)
+            while found >= 0:
+                odd[found] = True
+                found = raw.find(token, found + 1)
         special = np.unique(np.searchsorted(offsets, np.flatnonzero(odd), "right") - 1)
         regular = np.setdiff1d(np.arange(len(column)), special)
         counts = np.zeros(len(column), np.int64)

@@ -16,7 +16,6 @@ from tests.llm.fixtures import AWKWARD, SF, docs_frame, got, rows_of
 @pytest.fixture(scope="module")
 def whole():
     t = Tokenizer.from_file(tokens.default_tokenizer())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [0]
 
 
@@ -54,6 +53,33 @@ def test_empty_table(spark):
     assert tokens.token_digest(tokens.read_tokens(spark, path)).collect() == []
 
 
+MARKED = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\ny", "<|endoftext", "a<|endoftext|>", " <|endoftext|> "]
+
+
+def test_strings_of_special_tokens_are_encoded_as_the_library_does(spark, whole):
+    assert len(whole("a <|endoftext|> b")) == 5  # with the end id
+    e = tokens.PieceEncoder(tokens.default_tokenizer())
+    texts = ["plain words", *MARKED, "plain words again"]
+    ids, counts = e.encode(pa.array(texts))
+    want = [whole(t)[:-1] for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    path = tokens.write_tokens(docs_frame(spark, texts))
+    assert got(tokens.token_digest(tokens.read_tokens(spark, path))) == expected(list(enumerate(texts)), whole)
+
+
+def test_table_of_pieces_over_many_batches(whole):
+    rng = np.random.default_rng(8)
+    words = ["w" * int(n) + str(i) for i, n in enumerate(rng.integers(0, 40, 300))]  # also longer than KEY_BYTES
+    for limit in (10 ** 6, 100):
+        e = tokens.PieceEncoder(tokens.default_tokenizer(), cache_pieces=limit)
+        for _ in range(12):
+            texts = [" ".join(rng.choice(words, 30)) + rng.choice([".", "!", "", "\n"]) for _ in range(8)]
+            ids, counts = e.encode(pa.array(texts))
+            want = [whole(t)[:-1] for t in texts]
+            assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+        assert (np.diff(e.known.astype(object)) > 0).all()
+
+
 def test_cache_limit_keeps_ids(whole):
     e = tokens.PieceEncoder(tokens.default_tokenizer(), cache_pieces=1)
     for text in AWKWARD:
