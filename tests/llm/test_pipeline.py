@@ -44,7 +44,6 @@ def test_all_stages(spark, stages):
         assert all(r.asDict() == docs[r["doc_id"]] for r in df.collect())
     # the token files follow the mixture
     tokenizer, at, want = Tokenizer.from_file(tokens.default_tokenizer()), 0, []
-    tokenizer.encode_special_tokens = True
     for i in order:
         t = [*tokenizer.encode(docs[i]["text"], add_special_tokens=False).ids, 0]
         want.append({"doc_id": i, "start": at, "n_tokens": len(t), "ids_crc32": zlib.crc32(np.array(t, "<u4").tobytes())})
@@ -60,6 +59,8 @@ def test_run_is_all_stages(spark, stages):
 def test_awkward_documents_pass_every_stage(spark):
     """Nulls, empty and long texts, repeated rows and clashing columns reach the end or are left out by a decision."""
     docs = docs_frame(spark, AWKWARD, extra=True)
+    for c in ("turn", "order_id", "order_tie", "found_id", "stage_doc_id", "row", "id", "slot", "place", "name", "bucket"):
+        docs = docs.selectExpr("*", f"'x' AS {c}")
     odd = docs.union(docs.limit(3)).union(docs.selectExpr("CAST(NULL AS LONG) AS doc_id", *docs.columns[1:]).limit(2))
     for frame in (odd, docs.limit(0)):
         now = frame
@@ -87,3 +88,13 @@ def test_rows_without_an_id_are_copies_too(spark):
         [(7, first), (None, None), (None, ""), (9, "alone here"), (None, "no copy of this anywhere")], key=str)
     nameless = P.dedup_stage(spark, docs.filter("doc_id IS NULL"), SF)
     assert sorted(str(r["text"])[:3] for r in nameless.collect()) == sorted(["Non", "", "no ", "a0 ", "b0 "])
+
+
+def test_a_hit_in_a_row_without_an_id_leaves_the_others(spark):
+    item = rows_of("benchmark")[0]["text"]
+    rows = [(1, "clean words"), (None, f"lead {item} tail"), (None, "other clean words"), (None, None), (5, item), (5, "same id")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    left = P.decontamination_stage(spark, docs, SF)
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(
+        [(1, "clean words"), (None, "other clean words"), (None, None)], key=str)
