@@ -45,8 +45,8 @@ def _numeric_at(df: DataFrame, path: str) -> Column:
 
 
 def flatten_reading(docs: DataFrame, source: str = "api", ingested_at: str | None = None,
-                    ok_only: bool = True) -> DataFrame:
-    """API document (``status``, ``data`` struct, path columns) -> one fact row of scalars."""
+                    ok_only: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """API document (``status``, ``data`` struct, path columns) -> one fact row of scalars (and the ``keep`` columns)."""
     d = docs.filter(F.col("status") == "ok") if ok_only and "status" in docs.columns else docs
     measures = [_numeric_at(d, f"data.iaqi.{k}.v").alias(v) for k, v in IAQI_FIELDS.items()]
     ts = F.try_to_timestamp(F.col("data.time.iso"))
@@ -64,6 +64,7 @@ def flatten_reading(docs: DataFrame, source: str = "api", ingested_at: str | Non
         F.col("data.city.url").alias("url"),
         F.get(F.col("data.city.geo"), 0).cast("double").alias("lat"),
         F.get(F.col("data.city.geo"), 1).cast("double").alias("lon"),
+        *keep,
     )
     return out.withColumn("year", year_text("measured_at")).withColumn("month", month_text("measured_at"))
 

@@ -15,7 +15,7 @@ from smogline.plans.sql_views import READINGS, STATIONS, hourly_cte, with_views,
 from smogline.session import scratch_path
 from smogline.sources import files
 from smogline.sources.testdata import api_documents, readings, readings_dirty, stations
-from smogline.streaming import ingest
+from smogline.streaming import event_time, hourly, ingest
 
 RUN1, RUN2 = "2024-02-01T00:00:00", "2024-02-02T06:00:00"
 
@@ -87,8 +87,52 @@ def q_stream_hourly(spark, sf_dir):
     root = scratch_path(spark, "stream-hourly")
     src = f"{root}/bronze"
     _write_docs(api_documents(spark, sf_dir), src)
-    ingest.hourly_stream(spark, src, f"{root}/hourly", f"{root}/_checkpoint")
-    return ingest.read_hourly(spark, f"{root}/hourly")
+    hourly.hourly_stream(spark, src, f"{root}/hourly", f"{root}/_checkpoint")
+    return hourly.read_hourly(spark, f"{root}/hourly")
+
+
+def corrected_documents(docs):
+    """A second delivery of every third station's documents: aqi one higher, every other one in the next city."""
+    later = docs.filter("pmod(data.idx, 3) = 0").withColumn(
+        "data", F.col("data").withField("aqi", (F.col("data.aqi").try_cast("double") + 1).cast("string")))
+    return later.withColumn("queried_city", F.when(F.expr("pmod(data.idx, 2) = 0"), F.lit("moved"))
+                            .otherwise(F.col("queried_city")))
+
+
+@query("stream_hourly_redelivered", with_views(READINGS, """
+f AS (SELECT * REPLACE (CASE WHEN waqi_idx % 6 = 0 THEN 'moved' ELSE queried_city END AS queried_city),
+        CASE WHEN event_id % 11 = 0 THEN NULL WHEN waqi_idx % 3 = 0 THEN aqi + 1 ELSE aqi END AS aqi_api
+      FROM readings WHERE event_id % 43 <> 0)""") + f"""
+SELECT queried_city, date_trunc('hour', measured_at) AS hour_start, {xavg('aqi_api')} AS aqi, {xavg('pm25')} AS pm25,
+  {xavg('pm10')} AS pm10, {xavg('humidity')} AS humidity, {xavg('temperature')} AS temperature, COUNT(*) AS n
+FROM f GROUP BY 1, 2""")
+def q_stream_hourly_redelivered(spark, sf_dir):
+    """Readings delivered again, some corrected and some in another city: each counts once, as last delivered."""
+    root = scratch_path(spark, "stream-redelivered")
+    src = f"{root}/bronze"
+    docs = api_documents(spark, sf_dir)
+    _write_docs(docs, src)
+    hourly.hourly_stream(spark, src, f"{root}/hourly", f"{root}/_checkpoint")
+    _write_docs(docs.filter("pmod(data.idx, 3) <> 0"), src)
+    _write_docs(corrected_documents(docs), src)
+    hourly.hourly_stream(spark, src, f"{root}/hourly", f"{root}/_checkpoint", max_files=200)
+    return hourly.read_hourly(spark, f"{root}/hourly")
+
+
+@query("stream_late", with_views(READINGS, """
+f AS (SELECT * FROM readings WHERE event_id % 43 <> 0 AND event_id % 11 <> 0 AND dominant_pollutant IS NOT NULL)""") + """
+SELECT waqi_idx, measured_at, aqi, dominant_pollutant, queried_city, day(measured_at) <= 15 AS late FROM f""")
+def q_stream_late(spark, sf_dir):
+    """The month's second half first; then the first half, behind the watermark, with the second half again."""
+    root = scratch_path(spark, "stream-late")
+    src = f"{root}/bronze"
+    docs = api_documents(spark, sf_dir)
+    _write_docs(docs.filter(F.col("day").cast("int") > 15), src)
+    event_time.event_time_stream(spark, src, f"{root}/tables", ingested_at=RUN1)
+    _write_docs(docs, src)
+    event_time.event_time_stream(spark, src, f"{root}/tables", ingested_at=RUN2)
+    return event_time.read_event_time(spark, f"{root}/tables").select(
+        "waqi_idx", "measured_at", "aqi", "dominant_pollutant", "queried_city", "late")
 
 
 _CSV_MAP = {"station_id": "Station ID", "aqi_index": "AQI index", "location": "Location",

@@ -7,9 +7,9 @@ a backlog is cut into batches (``max_files`` bounds a batch):
 * ``ingest_new``: flatten, required fields, optional staleness filter, dedup within the batch, and anti-join against
   the months of the target that the batch touches, so retries and re-delivered readings never duplicate a
   (station, time) key; new stations go to the dimension; a run-log row counts what came, was rejected, was new.
-* ``hourly_stream``: exact partial sums per (city, hour), one folder per batch (a retried batch replaces its own);
-  ``read_hourly`` adds them up, so late data and the newest hours count too.
 * ``dedup_stream``: like ``ingest_new`` without the required fields.
+
+See ``hourly`` for hourly means and ``event_time`` for deduplication under a watermark.
 """
 
 from __future__ import annotations
@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from smogline import schemas
-from smogline.functions.columns import exact_mean, scaled
 from smogline.operators.clean import REQUIRED, drop_stale, flatten_reading
 from smogline.operators.dedup import latest_per_key, new_keys
 from smogline.sources.files import existing_paths, observed_counts
 
 KEYS = ["waqi_idx", "measured_at"]
+#: Folder name of a null partition value (readings without time).
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 # the silver table written by ``ingest_new`` (partition columns stay text on read)
 SINK_SCHEMA = StructType(schemas.FACT_AQI.fields + [
@@ -48,7 +49,7 @@ def _append_new(spark: SparkSession, rows: DataFrame, sink: str, name: str):
     if not months:
         return None
     # only folders that exist are read: a month's first readings find none, the others are still compared
-    paths = existing_paths(spark, [f"{sink}/queried_city=*/year={y}/month={m}" for y, m in months if y and m])
+    paths = existing_paths(spark, [f"{sink}/queried_city=*/year={y or NO_VALUE}/month={m or NO_VALUE}" for y, m in months])
     if paths:
         stored = spark.read.schema(SINK_SCHEMA).option("basePath", sink).parquet(*paths)
         rows = new_keys(rows, stored, KEYS)
@@ -97,7 +98,7 @@ def _upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sink: st
     log.coalesce(1).write.mode("append").json(sink.rstrip("/") + "_runlog")
 
 
-def _run(stream: DataFrame, checkpoint: str, each) -> None:
+def run_available(stream: DataFrame, checkpoint: str, each) -> None:
     (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
      .trigger(availableNow=True).start().awaitTermination())
 
@@ -107,37 +108,14 @@ def ingest_new(spark: SparkSession, source: str, sink: str, checkpoint: str, ing
                max_files: int | None = None, stations: str | None = None) -> None:
     """Process the documents that arrived since the last run; blocks until done. ``stations`` is the dimension table
     that new stations are appended to."""
-    _run(document_stream(spark, source, multi_line, max_files), checkpoint,
+    run_available(document_stream(spark, source, multi_line, max_files), checkpoint,
          lambda b, i: _upsert_batch(spark, b, i, sink, ingested_at, now, stale_hours, stations))
 
 
-HOURLY_MEASURES = ("aqi", "pm25", "pm10", "humidity", "temperature")
-
-
-def hourly_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, multi_line: bool = False,
-                  max_files: int | None = None) -> None:
-    """Partial sums per (city, hour) of each batch as documents arrive; see ``read_hourly``."""
-
-    def add(batch: DataFrame, batch_id: int) -> None:
-        flat = flatten_reading(batch, ingested_at="stream")
-        sums = flat.groupBy("queried_city", F.date_trunc("hour", "measured_at").alias("hour_start")).agg(
-            *[F.sum(scaled(c)).alias(f"sum_{c}") for c in HOURLY_MEASURES],
-            *[F.count(c).alias(f"n_{c}") for c in HOURLY_MEASURES], F.count(F.lit(1)).alias("n"))
-        sums.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-
-    _run(document_stream(spark, source, multi_line, max_files), checkpoint, add)
-
-
-def read_hourly(spark: SparkSession, sink: str) -> DataFrame:
-    """Hourly means per city over all batches so far."""
-    parts = spark.read.parquet(sink)
-    return parts.groupBy("queried_city", "hour_start").agg(
-        *[exact_mean(F.sum(f"sum_{c}"), F.sum(f"n_{c}")).alias(c) for c in HOURLY_MEASURES], F.sum("n").alias("n"))
-
-
 def dedup_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, ingested_at: str,
                  multi_line: bool = False, max_files: int | None = None) -> None:
-    """Readings deduplicated by (station, time) against the batch and the table, appended as they arrive."""
+    """Readings deduplicated by (station, time) against the batch and the table, appended as they arrive; of the readings
+    of a station without time, one is kept."""
 
     def add(batch: DataFrame, batch_id: int) -> None:
         fresh = latest_per_key(flatten_reading(batch, ingested_at=ingested_at), KEYS, ["ingested_at"]).persist()
@@ -146,4 +124,4 @@ def dedup_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, i
         finally:
             fresh.unpersist()
 
-    _run(document_stream(spark, source, multi_line, max_files), checkpoint, add)
+    run_available(document_stream(spark, source, multi_line, max_files), checkpoint, add)

@@ -5,7 +5,9 @@ import pyspark.sql.functions as F
 from smogline.plans.q_stream import shifted_documents
 from smogline.session import scratch_path
 from smogline.sources.testdata import api_documents
-from smogline.streaming import ingest
+from smogline.operators import windows as W
+from smogline.operators.clean import flatten_reading
+from smogline.streaming import event_time, hourly, ingest
 from tests.conftest import SF_SMALL
 
 
@@ -65,10 +67,10 @@ def test_streams_do_not_depend_on_the_batches(spark):
     rows = []
     for files in (None, 3):
         out = f"{root}/{files}"
-        ingest.hourly_stream(spark, src, f"{out}/hourly", f"{out}/_h", max_files=files)
+        hourly.hourly_stream(spark, src, f"{out}/hourly", f"{out}/_h", max_files=files)
         ingest.dedup_stream(spark, src, f"{out}/fact", f"{out}/_d", ingested_at="x", max_files=files)
         ingest.ingest_new(spark, src, f"{out}/new", f"{out}/_n", ingested_at="x", max_files=files)
-        rows.append([sorted(map(str, ingest.read_hourly(spark, f"{out}/hourly").collect())),
+        rows.append([sorted(map(str, hourly.read_hourly(spark, f"{out}/hourly").collect())),
                      *[sorted(map(str, spark.read.schema(ingest.SINK_SCHEMA).parquet(f"{out}/{t}").select(
                          "waqi_idx", "measured_at", "aqi", "queried_city").collect())) for t in ("fact", "new")]])
     assert rows[0] == rows[1] and all(rows[0])
@@ -104,10 +106,85 @@ def test_streams_rerun_add_nothing(spark):
     docs.filter(F.col("day").cast("int") % 2 == 0).write.mode("append").partitionBy(
         "queried_city", "year", "month", "day").json(src)  # re-delivered copies
     for _ in range(2):
-        ingest.hourly_stream(spark, src, f"{root}/hourly", f"{root}/_ck_hourly")
+        hourly.hourly_stream(spark, src, f"{root}/hourly", f"{root}/_ck_hourly")
         ingest.dedup_stream(spark, src, f"{root}/fact", f"{root}/_ck_fact", ingested_at="2024-02-01T00:00:00")
-    hourly = ingest.read_hourly(spark, f"{root}/hourly")
-    assert hourly.groupBy("queried_city", "hour_start").count().filter("count > 1").count() == 0
+    means = hourly.read_hourly(spark, f"{root}/hourly")
+    assert means.groupBy("queried_city", "hour_start").count().filter("count > 1").count() == 0
     fact = spark.read.schema(ingest.SINK_SCHEMA).parquet(f"{root}/fact")
     assert fact.count() == docs.filter(F.col("status") == "ok").count()
     assert fact.select("waqi_idx", "measured_at").distinct().count() == fact.count()
+
+
+def _timeless(docs):
+    return docs.filter("pmod(data.idx, 4) = 0").withColumn("data", F.col("data").withField("time.iso", F.lit(None).cast("string")))
+
+
+def test_hourly_means_of_redelivered_readings_equal_the_batch(spark):
+    """One delivery, then changed, moved, time-less and identical ones; as one batch each, as a few and as one a file."""
+    root = scratch_path(spark, "t-redelivered")
+    src = f"{root}/bronze"
+    docs = api_documents(spark, SF_SMALL)
+    moved = docs.filter("pmod(data.idx, 6) = 0").withColumn("queried_city", F.lit("moved"))
+    deliveries = [docs.unionByName(_timeless(docs)), docs, _timeless(docs), moved]
+    write = lambda d: d.coalesce(1).write.mode("append").partitionBy("queried_city").json(src)
+    write(deliveries[0])
+    tables = {files: f"{root}/{files}" for files in (None, 6, 1)}
+    for files, out in tables.items():
+        hourly.hourly_stream(spark, src, f"{out}/hourly", f"{out}/_h", max_files=files)
+    for d in deliveries[1:]:
+        write(d)
+    got = []
+    for files, out in tables.items():
+        hourly.hourly_stream(spark, src, f"{out}/hourly", f"{out}/_h", max_files=files)
+        got.append(sorted(map(str, hourly.read_hourly(spark, f"{out}/hourly").collect())))
+    last = flatten_reading(docs, ingested_at="x").withColumn(
+        "queried_city", F.when(F.expr("pmod(waqi_idx, 6) = 0"), F.lit("moved")).otherwise(F.col("queried_city")))
+    timed = [r for r in got[0] if "hour_start=None" not in r]
+    want = last.groupBy("queried_city", F.date_trunc("hour", "measured_at").alias("hour_start")).agg(
+        *[W.exact_avg(c).alias(c) for c in hourly.HOURLY_MEASURES], F.count(F.lit(1)).alias("n"))
+    assert timed == sorted(map(str, want.collect())) and len(timed) < len(got[0])
+    assert got[0] == got[1] == got[2]
+    stations = flatten_reading(_timeless(docs), ingested_at="x").select("waqi_idx").distinct().count()
+    assert hourly.read_hourly(spark, f"{tables[1]}/hourly").filter("hour_start IS NULL").agg(F.sum("n")).first()[0] == stations
+
+
+def test_a_retried_hourly_batch_counts_once(spark):
+    root = scratch_path(spark, "t-retry")
+    docs = api_documents(spark, SF_SMALL)
+    docs.coalesce(2).write.partitionBy("queried_city").json(f"{root}/src")
+    hourly.hourly_stream(spark, f"{root}/src", f"{root}/out", f"{root}/_a")
+    once = sorted(map(str, hourly.read_hourly(spark, f"{root}/out").collect()))
+    hourly.hourly_stream(spark, f"{root}/src", f"{root}/out", f"{root}/_b")  # as after a lost checkpoint: batch 0 again
+    assert sorted(map(str, hourly.read_hourly(spark, f"{root}/out").collect())) == once
+
+
+def test_main_and_late_hold_every_reading_once(spark):
+    root = scratch_path(spark, "t-late")
+    src = f"{root}/bronze"
+    docs = api_documents(spark, SF_SMALL)
+    day = F.col("day").cast("int")
+    write = lambda d: d.coalesce(1).write.mode("append").partitionBy("queried_city").json(src)
+    out = {files: f"{root}/{files}" for files in (None, 2)}
+    for part in (docs.filter(day > 20), docs.filter(day > 10).unionByName(_timeless(docs)), docs, docs.filter(day < 5)):
+        write(part)
+        for files, tables in out.items():
+            event_time.event_time_stream(spark, src, tables, ingested_at="x", max_files=files)
+    flat = flatten_reading(docs, ingested_at="x").filter("measured_at IS NOT NULL AND aqi IS NOT NULL AND dominant_pollutant IS NOT NULL")
+    want = sorted(map(str, flat.select("waqi_idx", "measured_at", "aqi").collect()))
+    for files, tables in out.items():
+        rows = event_time.read_event_time(spark, tables)
+        assert sorted(map(str, rows.select("waqi_idx", "measured_at", "aqi").collect())) == want
+        assert {r["late"] for r in rows.collect()} == {True, False}
+        assert spark.read.parquet(f"{tables}/rejected").filter("measured_at IS NULL").count() > 0
+
+
+def test_readings_without_time_are_stored_once(spark):
+    root = scratch_path(spark, "t-timeless")
+    src = f"{root}/bronze"
+    docs = _timeless(api_documents(spark, SF_SMALL))
+    counts = []
+    for _ in range(3):
+        docs.write.mode("append").partitionBy("queried_city").json(src)
+        ingest.dedup_stream(spark, src, f"{root}/fact", f"{root}/_d", ingested_at="x")
+        counts.append(spark.read.schema(ingest.SINK_SCHEMA).parquet(f"{root}/fact").count())
+    assert counts[0] > 0 and counts == counts[:1] * 3
