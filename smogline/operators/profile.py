@@ -1,10 +1,13 @@
 """Profiling and analysis aggregates (the notebook/dashboard tables, as Spark jobs).
 
-Exact quantiles are computed from a (key, value) -> count table: map-side partial
-aggregation shrinks the data to distinct values, and a running count over that table
-locates the order statistics. The running count is split: approximate quantiles cut each
-key's values into buckets, bucket totals are summed, and only the rows of one bucket are
-ever ordered in one task, so near-unique values (prices, derived doubles) spread as well.
+Exact quantiles are a selection in two passes. The first keeps one mergeable quantile sketch per key, whose rank error is
+known, so that it gives an interval per probability that surely holds the wanted order statistics. The second
+counts the rows below each interval and the rows per value inside; only these few values are ever ordered. Both passes
+aggregate map-side: raw rows are neither shuffled nor sorted.
+
+Ranks of all values (``running_count``) come from a range partitioning: each partition counts its rows, prefix sums over the
+partitions of a key give the rows before, and only the rows of one partition are ever ordered in one task. Partitions
+hold about equally many distinct values, however they are spread.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smogline.functions.columns import exact_avg, round_half
+from smogline.session import stored
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -30,52 +34,85 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
 
 
-def running_count(vc: DataFrame, keys: Sequence[str], value: str, buckets: int = 64) -> DataFrame:
-    """A value-count table with ``_before`` (rows of the key with a smaller value) and ``_n`` (rows of the key).
-
-    The bucket borders only decide how the work is dealt out; the counts are exact. Null keys are keys.
-    """
-    # without keys: a computed 0, since a literal would turn the joins below into nested loops
-    vc = vc.withColumn("_key", F.struct(*keys) if keys else F.pmod(F.xxhash64(value), F.lit(1)))
-    points = [i / buckets for i in range(1, buckets)]
-    borders = vc.groupBy("_key").agg(F.percentile_approx(value, points, 1000).alias("_borders"), F.sum("_c").alias("_n"))
-    dealt = vc.join(borders, "_key").withColumn(
-        "_bucket", F.size(F.filter("_borders", lambda b: b < F.col(value)))).drop("_borders")
-    totals = dealt.groupBy("_key", "_bucket").agg(F.sum("_c").alias("_total"))
-    earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("_key", "_bucket", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_skip"))
-    smaller = Window.partitionBy("_key", "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    placed = dealt.withColumn("_in", F.coalesce(F.sum("_c").over(smaller), F.lit(0)))
-    return placed.join(totals, ["_key", "_bucket"]).withColumn("_before", F.col("_skip") + F.col("_in")).drop(
-        "_key", "_bucket", "_skip", "_in")
-
-
-def quantiles_from_counts(vc: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                          names: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
-    """Linear-interpolated quantiles (pandas/SQL ``quantile_cont``) from a value-count table."""
-    keys = list(keys)
-    names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    vc = running_count(vc, keys, value).withColumns({"_lo": F.col("_before"), "_hi": F.col("_before") + F.col("_c") - 1})
-    aggs: list[Column] = [F.first("_n").alias("_n")]
-    for p, nm in zip(probs, names):
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        aggs.append(F.max(F.when((F.col("_lo") <= lo) & (lo <= F.col("_hi")), F.col(value))).alias(f"_{nm}_a"))
-        aggs.append(F.max(F.when((F.col("_lo") <= hi) & (hi <= F.col("_hi")), F.col(value))).alias(f"_{nm}_b"))
-    g = vc.groupBy(*keys).agg(*aggs)
-    outs = []
-    for p, nm in zip(probs, names):
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        frac = pos - F.floor(pos)
-        a, b = F.col(f"_{nm}_a"), F.col(f"_{nm}_b")
-        outs.append(round_half(a + (b - a) * frac, digits).alias(nm))
-    return g.select(*keys, *outs)
+def running_count(vc: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
+    """A value-count table with ``_before`` (rows of the key with a smaller value) and ``_n`` (rows of the key). Null keys
+    are keys."""
+    key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
+    n = partitions or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (vc.withColumn("_key", key).repartitionByRange(n, "_key", value).sortWithinPartitions("_key", value)
+              .withColumn("_piece", F.shiftright(F.monotonically_increasing_id(), 33)))
+    ranged = stored(ranged, "value-ranges")  # read twice below
+    pieces = ranged.groupBy("_key", "_piece").agg(F.sum("_c").alias("_rows"))
+    by_key = Window.partitionBy("_key")
+    earlier = by_key.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select("_key", "_piece", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_skip"),
+                           F.sum("_rows").over(by_key).alias("_n"))
+    smaller = Window.partitionBy("_key", "_piece").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("_in", F.coalesce(F.sum("_c").over(smaller), F.lit(0)))
+    return (placed.join(pieces, ["_key", "_piece"]).withColumn("_before", F.col("_skip") + F.col("_in"))
+            .drop("_key", "_piece", "_skip", "_in"))
+
+
+#: Rank error of the first pass' sketch, as one part in so many of a key's rows.
+ACCURACY = 20_000
+#: Keys with fewer rows than ACCURACY have exact sketches; from this many rows on, the interval is this share on either side.
+SMALL, SMALL_SHARE = 200, 0.01
+
+
+def quantile_intervals(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+                       accuracy: int = ACCURACY) -> DataFrame:
+    """(keys..., _n, _at): per key its rows, and per probability (p, low, high), values that the order statistics around the
+    quantile surely lie between."""
+    points = sorted({0.0, 1.0, *(min(1.0, max(0.0, p + s)) for p in probs for s in
+                                 (-2 / accuracy, 2 / accuracy, -SMALL_SHARE, SMALL_SHARE))})
+    at = {p: i for i, p in enumerate(points)}
+
+    def edge(p: float, sign: int) -> Column:
+        inside = lambda share: F.col("_points")[at[min(1.0, max(0.0, p + sign * share))]]
+        return (F.when(F.col("_n") >= accuracy, inside(2 / accuracy)).when(F.col("_n") >= SMALL, inside(SMALL_SHARE))
+                .otherwise(F.col("_points")[at[0.0 if sign < 0 else 1.0]]))
+
+    found = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx(value, points, accuracy).alias("_points"))
+    return found.filter("_n > 0").select(*keys, "_n", F.array(*[
+        F.struct(F.lit(i).alias("i"), edge(p, -1).alias("low"), edge(p, 1).alias("high")) for i, p in enumerate(probs)]).alias("_at"))
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
-    """Exact linear-interpolated quantiles per key (via the value-count table)."""
-    return quantiles_from_counts(value_counts(df, keys, value), keys, value, probs, names, digits)
+                    names: Sequence[str] | None = None, digits: int | None = 6, accuracy: int = ACCURACY) -> DataFrame:
+    """Exact linear-interpolated quantiles per key (pandas/SQL ``quantile_cont``); rounded unless ``digits`` is None."""
+    keys, names = list(keys), list(names or [f"q{int(round(p * 100))}" for p in probs])
+    intervals = stored(quantile_intervals(df, keys, value, probs, accuracy), "quantile-intervals")  # broadcast if small
+    rows, v = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v")), F.col("_v")
+    if keys:
+        there = intervals.select(*[F.col(k).alias(f"_{k}") for k in keys], "_n", "_at")
+        rows = rows.join(there, [rows[k].eqNullSafe(there[f"_{k}"]) for k in keys])
+    else:
+        one = intervals.first()  # the only row, as literals
+        if one is None:
+            return df.agg(*[F.max(F.lit(None).cast("double")).alias(name) for name in names])
+        at = F.array(*[F.struct(*[F.lit(a[c]).alias(c) for c in ("i", "low", "high")]) for a in one["_at"]])
+        rows = rows.select("_v", F.lit(one["_n"]).alias("_n"), at.alias("_at"))
+    each = rows.select(*keys, "_n", "_v", F.explode("_at").alias("_at")).filter(v <= F.col("_at.high"))
+    each = each.select(*keys, "_n", F.col("_at.i").alias("_i"), F.when(v >= F.col("_at.low"), v).alias("_v"))  # null: below
+    counted = each.groupBy(*keys, "_n", "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    so_far = Window.partitionBy(*keys, "_i").orderBy(F.asc_nulls_first("_v"))
+    upto = F.sum("_c").over(so_far.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.withColumn("_upto", upto).filter("_v IS NOT NULL")
+    result: list[Column] = []
+    for i, (p, name) in enumerate(zip(probs, names, strict=True)):
+        mine, pos = F.col("_i") == i, (F.col("_n") - 1) * F.lit(float(p))
+
+        def at_rank(rank: Column, mine: Column = mine) -> Column:
+            here = (F.col("_upto") - F.col("_c") <= rank) & (rank < F.col("_upto"))
+            return F.max(F.when(mine & here, F.col("_v")))
+
+        lower, upper = at_rank(F.floor(pos)), at_rank(F.ceil(pos))
+        share = F.max(F.when(mine, pos - F.floor(pos)))
+        quantile = lower + (upper - lower) * share
+        quantile = F.when(lower.isNull() | upper.isNull(), F.raise_error(F.lit(f"no interval for {name}")).cast("double")).otherwise(quantile)
+        result.append((quantile if digits is None else round_half(quantile, digits)).alias(name))
+    return ranked.groupBy(*keys).agg(*result)
 
 
 def city_stats(df: DataFrame, key: str = "queried_city", value: str = "aqi", threshold: float = 100.0) -> DataFrame:
@@ -95,22 +132,22 @@ def city_stats(df: DataFrame, key: str = "queried_city", value: str = "aqi", thr
 def box_stats(df: DataFrame, key: str = "queried_city", value: str = "aqi") -> DataFrame:
     """Quartiles, 1.5 IQR fences, whiskers (extreme values inside the fences), outlier count.
 
-    Everything comes from the (key, value) -> count table; the raw rows are read once
-    and never joined back.
+    The quartiles take two passes and the rest a third one, in which the rows meet the fences of their key.
     """
-    vc = value_counts(df, [key], value)
-    q = quantiles_from_counts(vc, [key], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    q = exact_quantiles(df, [key], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr")) \
          .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr"))
+    q = stored(q, "fences")  # broadcast if small
     v = F.col(value)
     inside = (v >= F.col("lower_fence")) & (v <= F.col("upper_fence"))
-    agg = vc.join(q.select(key, "lower_fence", "upper_fence"), key).groupBy(key).agg(
+    fences = q.select(F.col(key).alias("_key"), "lower_fence", "upper_fence")
+    agg = df.join(fences, F.col(key).eqNullSafe(F.col("_key"))).groupBy(key).agg(
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
-        F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).cast("long").alias("n_outliers"),
+        F.count_if(v.isNotNull() & ~inside).alias("n_outliers"),
     )
-    return q.join(agg, key, "left")
+    return q.join(agg, q[key].eqNullSafe(agg[key]), "left").drop(agg[key])
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -130,15 +130,19 @@ def regularize(df: DataFrame, key: str = KEY, ts: str = TS, step: str = "1 hour"
     key (``lead``), so the input is evaluated once and no join is needed; the window
     shares the key partitioning of the windows that usually follow.
     """
-    w = _w(key, ts)
-    nxt = F.lead(ts, 1).over(w)
-    gap_end = F.coalesce(nxt - F.expr(f"INTERVAL {step}"), F.col(ts))
     values = [c for c in df.columns if c not in (key, ts)]
+    return explode_gaps(df.withColumn("_next", F.lead(ts, 1).over(_w(key, ts))), values, key, ts, step)
+
+
+def explode_gaps(df: DataFrame, values: Sequence[str], key: str = KEY, ts: str = TS, step: str = "1 hour") -> DataFrame:
+    """Each row and the empty steps up to its ``_next`` one (null: none)."""
+    gap_end = F.coalesce(F.col("_next") - F.expr(f"INTERVAL {step}"), F.col(ts))
     stamped = df.select(key, ts, F.struct(*values).alias("_v"), gap_end.alias("_end"))
     filled = stamped.select(key, F.col(ts).alias("_first"), "_v",
                             F.explode(F.sequence(F.col(ts), F.col("_end"), F.expr(f"INTERVAL {step}"))).alias(ts))
-    out = filled.select(key, ts, *[F.when(F.col(ts) == F.col("_first"), F.col(f"_v.{c}")).alias(c) for c in values])
-    return out
+    return filled.select(key, ts, *[F.when(F.col(ts) == F.col("_first"), F.col(f"_v.{c}")).alias(c) for c in values])
+
+
 def interpolate(df: DataFrame, cols: Sequence[str], key: str = KEY, ts: str = TS, limit: int = 6,
                 digits: int = 6) -> DataFrame:
     """Linear-in-time interpolation of null runs, filling at most ``limit`` steps of a run.
@@ -220,7 +224,7 @@ def zscore_anomalies(df: DataFrame, col: str = "aqi", mean: str = "aqi_roll_mean
 
 
 def sequences(df: DataFrame, features: Sequence[str], length: int = 72, horizon: int = 24,
-              key: str = KEY, ts: str = TS) -> DataFrame:
+              key: str | Sequence[str] = KEY, ts: str = TS, keep: Sequence[str] = ()) -> DataFrame:
     """Sliding windows of ``length`` steps ending at each row, target ``horizon`` steps after
     the end; windows with any null feature or no target are skipped.
 
@@ -231,7 +235,7 @@ def sequences(df: DataFrame, features: Sequence[str], length: int = 72, horizon:
     complete = F.least(*[F.col(f).isNotNull().cast("int") for f in features]) if len(features) > 1 \
         else F.col(features[0]).isNotNull().cast("int")
     out = df.select(
-        key, F.col(ts).alias("end_at"), F.lead("aqi", horizon).over(w).alias("target"),
+        *(keep or [key]), F.col(ts).alias("end_at"), F.lead("aqi", horizon).over(w).alias("target"),
         F.count(F.lit(1)).over(frame).alias("_n"),
         F.min(complete).over(frame).alias("_ok"),
         *[F.collect_list(F.col(f).cast("double")).over(frame).alias(f"seq_{f}") for f in features],

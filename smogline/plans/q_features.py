@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from smogline import constants as K
+from smogline.operators import segments as S
 from smogline.operators import windows as W
-from smogline.plans.registry import query
+from smogline.plans.registry import ORACLE, query
 from smogline.plans.sql_views import READINGS, TWO_PI, hourly_cte, r6, roll_sql, scaled, with_views, xavg, xmean
 from smogline.sources.testdata import readings
 
@@ -216,3 +217,39 @@ FROM gi {WIN}"""
 def q_feature_table_grid(spark, sf_dir):
     """Grid mode, computed on 10-day buckets with a 7-day overlap (several buckets per city)."""
     return W.grid_features(_hourly(spark, sf_dir), bucket_steps=240)
+
+
+# --- the same tables from series cut into segments of rows (any one city may hold most rows) ---
+#: Rows of a segment here: several per city already on the small tables.
+_SEGMENT = 240
+
+
+@query("feature_table_split", ORACLE["feature_table"])
+def q_feature_table_split(spark, sf_dir):
+    return S.hourly_features(_hourly(spark, sf_dir), rows=_SEGMENT)
+
+
+@query("zscore_split", ORACLE["zscore_anomalies"])
+def q_zscore_split(spark, sf_dir):
+    return S.zscore_anomalies(_hourly(spark, sf_dir).select("queried_city", "measured_at", "aqi"), rows=_SEGMENT)
+
+
+@query("sequences_split", ORACLE["sequences"])
+def q_sequences_split(spark, sf_dir):
+    return S.sequences(_hourly(spark, sf_dir), _SEQ_FEATS, length=72, horizon=24, rows=_SEGMENT)
+
+
+@query("regularize_split", ORACLE["regularize"])
+def q_regularize_split(spark, sf_dir):
+    return S.regularize(_hourly(spark, sf_dir), rows=_SEGMENT)
+
+
+@query("interpolate_split", ORACLE["interpolate"])
+def q_interpolate_split(spark, sf_dir):
+    return S.interpolate(S.regularize(_hourly(spark, sf_dir), rows=_SEGMENT), K.HOURLY_MEASURES, limit=6, rows=_SEGMENT)
+
+
+@query("fill_gaps_split", ORACLE["fill_gaps"])
+def q_fill_gaps_split(spark, sf_dir):
+    grid = S.regularize(_hourly(spark, sf_dir).select("queried_city", "measured_at", "pm10", "aqi"), rows=_SEGMENT)
+    return S.fill(grid, ["pm10", "aqi"], rows=_SEGMENT)
