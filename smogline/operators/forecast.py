@@ -1,16 +1,25 @@
 """Gradient-boosted forecast (MLlib) and per-row tree contributions.
 
 Training uses MLlib's distributed ``GBTRegressor`` with a validation indicator
-column (early stopping on the validation split). Contributions follow the
-decision path of every tree: each split adds ``weight * (child mean - node mean)``
-to the split feature, so ``base + sum(contributions) == prediction`` exactly.
+column (early stopping on the validation split). Contributions are exact Shapley values of
+the trees: a feature that is left out follows both branches of its splits, weighted by
+their training rows. They add up: ``base + sum(contributions) == prediction``.
+
+On the way to a leaf, feature g has a share z_g (of training rows that its splits let through) and a bit o_g (the row's
+value passes all of them). The leaf's value times (o_f - z_f) times the weighted coefficients of the polynomial
+prod (z_g + o_g y) over the other features on the way is its part of f's contribution, with weight
+k! (d - k - 1)! / d! for y^k and d features: polynomial time in place of all subsets. A leaf has few distinct bit
+patterns, so a batch of rows computes one small table per leaf and looks its rows up.
+
 The trees are read from the model's saved node table (MLlib's own persistence
 format), collected once (bounded by iterations x nodes per tree) and broadcast.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,7 +43,7 @@ def train_gbt(df: DataFrame, features: Sequence[str], label: str = "aqi_target",
 
 
 class TreeEnsemble:
-    """Flattened trees: per node feature, threshold, children, mean; per tree weight and root."""
+    """Flattened trees: per node feature, threshold, children, mean and training rows; per tree weight and root."""
 
     def __init__(self, nodes: pd.DataFrame, weights: Sequence[float]):
         nodes = nodes.sort_values(["treeID", "id"]).reset_index(drop=True)
@@ -51,34 +60,78 @@ class TreeEnsemble:
         self.feature = nodes["featureIndex"].to_numpy(np.int64)
         self.threshold = nodes["threshold"].to_numpy(float)
         self.mean = nodes["prediction"].to_numpy(float)
-        self.base = float(np.sum(self.tree_weight * self.mean[self.roots]))
+        self.cover = nodes["cover"].to_numpy(float)
+        self.leaves = [leaf for r, w in zip(self.roots, self.tree_weight, strict=True) for leaf in self._leaves(int(r), float(w))]
+        self.base = float(sum(leaf.value * np.prod(leaf.share) for leaf in self.leaves))
+
+    def _leaves(self, root: int, weight: float) -> list[Leaf]:
+        """The leaves of a tree with the features on the way to them."""
+        found, waiting = [], [(root, ())]
+        while waiting:
+            node, way = waiting.pop()
+            if self.left[node] < 0:
+                names = sorted({int(self.feature[n]) for n, _ in way})
+                share, splits = np.ones(len(names)), [[] for _ in names]
+                for n, left in way:
+                    i = names.index(int(self.feature[n]))
+                    child = self.left[n] if left else self.right[n]
+                    share[i] *= self.cover[child] / self.cover[n]
+                    splits[i].append((float(self.threshold[n]), left))
+                found.append(Leaf(weight * float(self.mean[node]), names, share, splits))
+            else:
+                waiting += [(int(self.left[node]), (*way, (node, True))), (int(self.right[node]), (*way, (node, False)))]
+        return found
 
     def contributions(self, x: np.ndarray) -> np.ndarray:
-        m, k = x.shape
-        out = np.zeros((m, k))
-        rows = np.arange(m)
-        for root, w in zip(self.roots, self.tree_weight):
-            node = np.full(m, root)
-            while True:
-                inner = self.left[node] >= 0
-                if not inner.any():
-                    break
-                f = np.where(inner, self.feature[node], 0)
-                xv = x[rows, f]
-                nxt = np.where(xv <= self.threshold[node], self.left[node], self.right[node])
-                nxt = np.where(inner, nxt, node)
-                delta = np.where(inner, w * (self.mean[nxt] - self.mean[node]), 0.0)
-                np.add.at(out, (rows, f), delta)
-                node = nxt
+        """The Shapley values (rows, features) of a batch."""
+        out = np.zeros(x.shape)
+        for leaf in self.leaves:
+            code = np.zeros(len(x), np.int64)
+            for i, (name, splits) in enumerate(zip(leaf.features, leaf.splits, strict=True)):
+                passed = np.ones(len(x), bool)
+                for threshold, left in splits:
+                    passed &= (x[:, name] <= threshold) == left
+                code |= passed.astype(np.int64) << i
+            patterns, of = np.unique(code, return_inverse=True)
+            bits = (patterns[:, None] >> np.arange(len(leaf.features))) & 1
+            out[:, leaf.features] += leaf.value * shapley_table(leaf.share, bits.astype(float))[of]
         return out
 
 
+@dataclass
+class Leaf:
+    """A leaf's weighted value, and per feature on the way to it: the share of training rows its splits let through, and
+    the splits (threshold, whether the way goes left)."""
+
+    value: float
+    features: list[int]
+    share: np.ndarray
+    splits: list[list[tuple[float, bool]]]
+
+
+def shapley_table(share: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Shapley values (patterns, features) of a leaf of value 1 for each pattern of passed features."""
+    d = len(share)
+    weights = np.array([math.factorial(k) * math.factorial(d - k - 1) / math.factorial(d) for k in range(d)])
+    out = np.zeros(bits.shape)
+    for f in range(d):
+        terms = np.zeros((len(bits), d))  # coefficients of the polynomial over the other features
+        terms[:, 0] = 1
+        for g in range(d):
+            if g != f:
+                raised = np.concatenate((np.zeros((len(bits), 1)), terms[:, :-1]), 1)
+                terms = share[g] * terms + bits[:, g:g + 1] * raised
+        out[:, f] = (bits[:, f] - share[f]) * (terms @ weights)
+    return out
+
+
 def load_ensemble(spark: SparkSession, model: PipelineModel) -> TreeEnsemble:
     gbt = model.stages[-1]
     path = scratch_path(spark, "gbt-model")
     gbt.write().overwrite().save(path)
     data = spark.read.parquet(f"{path}/data").select(
         "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild",
+        F.col("nodeData.rawCount").alias("cover"),
         F.col("nodeData.split.featureIndex").alias("featureIndex"),
         F.get(F.col("nodeData.split.leftCategoriesOrThreshold"), 0).alias("threshold"))
     return TreeEnsemble(data.toPandas(), list(gbt.treeWeights))

@@ -169,8 +169,13 @@ def profile_by(df: DataFrame, keys: Sequence[str | Column], value: str = "aqi")
     return df.groupBy(*keys).agg(exact_avg(value).alias(f"avg_{value}"), F.count(value).alias("n"))
 
 
-def pivot_mean(df: DataFrame, row: str | Column, col: str, values: Sequence, value: str = "aqi") -> DataFrame:
-    """Row x column table of means with the column values given (no discovery job)."""
+def pivot_mean(df: DataFrame, row: str | Column, col: str, values: Sequence, value: str = "aqi",
+               other: str | None = None) -> DataFrame:
+    """Row x column table of means with the column values given (no discovery job). Rows of further values (and of null)
+    count in the column ``other``, if one is named; else only their rows' labels show."""
+    if other is not None:
+        known = F.coalesce(F.col(col).isin(*values), F.lit(False))
+        df, values = df.withColumn(col, F.when(known, F.col(col)).otherwise(F.lit(other))), [*values, other]
     return df.groupBy(row).pivot(col, list(values)).agg(exact_avg(value))
 
 

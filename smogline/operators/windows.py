@@ -244,9 +244,14 @@ def sequences(df: DataFrame, features: Sequence[str], length: int = 72, horizon:
 
 
 def decompose(df: DataFrame, col: str = "aqi", period: int = 7, key: str = KEY, ts: str = TS,
-              digits: int = 6) -> DataFrame:
+              digits: int = 6, step: str = "1 day", limit: int = 5) -> DataFrame:
     """Classical additive split: centred moving average trend, mean seasonal by phase
-    (centred to sum 0), residual = x - trend - seasonal."""
+    (centred to sum 0), residual = x - trend - seasonal.
+
+    The series is put on a grid of ``step`` first and gaps of ``col`` are interpolated linearly, up to ``limit`` steps of
+    a run: a missing day shifts neither the frame nor the phases after it. Steps still without a value are left out.
+    """
+    df = interpolate(regularize(df, key, ts, step), [col], key, ts, limit, digits)
     w = _w(key, ts)
     half = period // 2
     frame = w.rowsBetween(-half, half)
@@ -258,7 +263,7 @@ def decompose(df: DataFrame, col: str = "aqi", period: int = 7, key: str = KEY,
     phase_mean = t.groupBy(key, "_phase").agg(F.avg("_detr").alias("_pm"))
     centred = phase_mean.withColumn("seasonal", round_half(
         F.col("_pm") - F.avg("_pm").over(Window.partitionBy(key)), digits)).drop("_pm")
-    out = t.join(centred, [key, "_phase"], "left")
+    out = t.filter(F.col(col).isNotNull()).join(centred, [key, "_phase"], "left")
     return out.withColumn("resid", round_half(F.col(col) - F.col("trend") - F.col("seasonal"), digits)).drop(
         "_phase", "_detr")
 

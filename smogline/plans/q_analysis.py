@@ -74,10 +74,12 @@ def _pivot_sql(row_expr: str, row_name: str, col: str, values, src: str) -> str:
 
 
 @query("weekday_pivot", with_views(READINGS) + "\n" + _pivot_sql(
-    "CAST((dayofweek(measured_at) + 6) % 7 AS INTEGER)", "weekday", "queried_city", K.EXPECTED_CITIES, "readings"))
+    "CAST((dayofweek(measured_at) + 6) % 7 AS INTEGER)", "weekday", "queried_city", [*K.EXPECTED_CITIES, "other"],
+    f"(SELECT * REPLACE (CASE WHEN queried_city IN ({', '.join(map(repr, K.EXPECTED_CITIES))}) THEN queried_city ELSE 'other' END "
+    "AS queried_city) FROM readings) r"))
 def q_weekday_pivot(spark, sf_dir):
     r = readings(spark, sf_dir)
-    return profile.pivot_mean(r, weekday_mon0("measured_at").alias("weekday"), "queried_city", K.EXPECTED_CITIES)
+    return profile.pivot_mean(r, weekday_mon0("measured_at").alias("weekday"), "queried_city", K.EXPECTED_CITIES, other="other")
 
 
 _MONTHS = list(range(1, 13))

@@ -172,15 +172,17 @@ def q_zscore_anomalies(spark, sf_dir):
     return W.zscore_anomalies(f)
 
 
-@query("decompose", with_views(READINGS, hourly_cte("d", "day"), f"""
-t AS (SELECT *, (ROW_NUMBER() OVER w - 1) % 7 AS _phase,
+@query("decompose", with_views(READINGS, hourly_cte("h", "day"), _GRID_SQL.replace("1 HOUR", "1 DAY"), """
+gn AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY queried_city ORDER BY measured_at) AS _rn FROM gh)""", f"""
+d AS (SELECT * REPLACE ({_interp_sql('aqi', 5)}) FROM gn {WIN})""", f"""
+t AS (SELECT * EXCLUDE (_rn), (_rn - 1) % 7 AS _phase,
         CASE WHEN COUNT(aqi) OVER (w ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) = 7 THEN
           {r6(xmean(f"SUM({scaled('aqi')}) OVER (w ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)", "CAST(7 AS DOUBLE)"))}
         END AS trend FROM d {WIN}),
 pm AS (SELECT queried_city, _phase, AVG(aqi - trend) AS m FROM t GROUP BY 1, 2),
 sc AS (SELECT queried_city, _phase, {r6("m - AVG(m) OVER (PARTITION BY queried_city)")} AS seasonal FROM pm)""") + f"""
 SELECT t.* EXCLUDE (_phase), sc.seasonal, {r6("aqi - trend - seasonal")} AS resid
-FROM t LEFT JOIN sc USING (queried_city, _phase)""")
+FROM t LEFT JOIN sc USING (queried_city, _phase) WHERE aqi IS NOT NULL""")
 def q_decompose(spark, sf_dir):
     return W.decompose(W.daily_means(readings(spark, sf_dir)))
 

@@ -97,16 +97,19 @@ def q_latest_per_key(spark, sf_dir):
 
 
 @query("upsert_station", with_views(READINGS, STATIONS, """
-existing AS (SELECT * FROM stations WHERE lat < 16),
-incoming AS (SELECT waqi_idx, 'Station ' || CAST(waqi_idx AS VARCHAR) AS station_name, queried_city,
+existing AS (SELECT * FROM stations),
+incoming AS (SELECT CASE WHEN waqi_idx % 7 = 0 THEN waqi_idx + 100000000 ELSE waqi_idx END AS waqi_idx, 'Station ' || CAST(waqi_idx AS VARCHAR) AS station_name, queried_city,
                     CAST(8 + waqi_idx % 16 AS DOUBLE) AS lat, CAST(102 + waqi_idx % 8 AS DOUBLE) AS lon
              FROM readings GROUP BY ALL)
 SELECT * FROM existing
 UNION ALL
 SELECT * FROM incoming WHERE waqi_idx NOT IN (SELECT waqi_idx FROM existing)"""))
 def q_upsert_station(spark, sf_dir):
-    existing = stations(spark, sf_dir).filter(F.col("lat") < 16)
-    flat = clean.flatten_reading(api_documents(spark, sf_dir), ok_only=False, ingested_at="x")
+    """All stations are there already, but for every seventh one of the readings, which comes under a new number."""
+    existing = stations(spark, sf_dir)
+    number = F.when(F.expr("data.idx % 7 = 0"), F.col("data.idx") + 100_000_000).otherwise(F.col("data.idx"))
+    docs = api_documents(spark, sf_dir).withColumn("data", F.col("data").withField("idx", number.cast("int")))
+    flat = clean.flatten_reading(docs, ok_only=False, ingested_at="x")
     incoming = flat.select("waqi_idx", "station_name", "queried_city", "lat", "lon")
     return dedup.upsert_new(existing, incoming, ["waqi_idx"], order_by=["station_name"])
 

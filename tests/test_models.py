@@ -78,3 +78,41 @@ def test_overlap_shares(spark):
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 1), (1, 1), (None, 0)], "a int, b int")
     assert ml.overlap(df, "a", "b").first().asDict() == {"n_a": 3, "n_b": 3, "n_both": 2, "share_of_a": 2 / 3, "share_of_b": 2 / 3}
     assert ml.overlap(df.limit(0), "a", "b").first().share_of_a is None
+
+
+def test_contributions_equal_subset_enumeration(spark):
+    """Shapley values by their definition on a model of six features: every subset, left-out features by training rows."""
+    from itertools import combinations
+    from math import factorial
+
+    from smogline.operators import forecast
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(500, 6))
+    y = 3 * x[:, 0] * (x[:, 1] > 0) - 2 * np.abs(x[:, 2]) + x[:, 3] * x[:, 4] + rng.normal(scale=0.1, size=500)
+    feats = [f"f{i}" for i in range(6)]
+    rows = [(i, *map(float, r), float(t), i % 5 == 0) for i, (r, t) in enumerate(zip(x, y, strict=True))]
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{f} double" for f in feats) + ", aqi_target double, is_val boolean")
+    model = forecast.train_gbt(df, feats, max_iter=6, max_depth=4)
+    ens = forecast.load_ensemble(spark, model)
+
+    def expected(row, subset, node):
+        if ens.left[node] < 0:
+            return ens.mean[node]
+        left, right = int(ens.left[node]), int(ens.right[node])
+        if int(ens.feature[node]) in subset:
+            return expected(row, subset, left if row[ens.feature[node]] <= ens.threshold[node] else right)
+        return sum(ens.cover[c] * expected(row, subset, c) for c in (left, right)) / ens.cover[node]
+
+    def value(row, subset):
+        return sum(w * expected(row, subset, int(r)) for r, w in zip(ens.roots, ens.tree_weight, strict=True))
+
+    got = ens.contributions(x[:12])
+    for row, mine in zip(x[:12], got, strict=True):
+        for f in range(6):
+            others = [g for g in range(6) if g != f]
+            want = sum(factorial(k) * factorial(5 - k) / factorial(6) * (value(row, {*s, f}) - value(row, set(s)))
+                       for k in range(6) for s in combinations(others, k))
+            assert mine[f] == pytest.approx(want, abs=1e-9)
+        assert ens.base + mine.sum() == pytest.approx(value(row, set(range(6))), abs=1e-9)
+    assert ens.base == pytest.approx(value(x[0], set()), abs=1e-9)

@@ -221,3 +221,31 @@ def test_top_k_per_group_with_hot_group_matches_plain_rank(spark):
     want = sorted((r.g, r.id, r.rank) for r in df.withColumn("rank", F.row_number().over(w))
                   .filter("rank <= 5").collect())
     assert got == want
+
+
+def test_decomposition_keeps_its_phase_over_missing_days(spark):
+    """A series of pure weekday means: days that are missing (one, a run within the limit and a longer one) shift nothing."""
+    import datetime as dt
+
+    from smogline.operators import windows as W
+
+    start, weekday = dt.datetime(2024, 1, 1), [50.0, 52.0, 54.0, 60.0, 54.0, 52.0, 35.0]
+    days = [d for d in range(140) if d not in (9, 30, 31, 32, *range(60, 69))]
+    df = spark.createDataFrame([("a", start + dt.timedelta(days=d), weekday[d % 7]) for d in days],
+                               "queried_city string, measured_at timestamp, aqi double")
+    got = {(r["measured_at"] - start).days: r for r in W.decompose(df).collect()}
+    assert set(got) == set(range(140)) - set(range(65, 69))  # five steps of the long run are filled
+    mean = sum(weekday) / 7
+    for d in range(100, 137):  # far from any gap
+        assert abs(got[d]["trend"] - mean) < 1e-6
+    phases = {d % 7: got[d]["seasonal"] for d in got}
+    assert all(got[d]["seasonal"] == phases[d % 7] for d in got)
+    assert max(phases, key=phases.get) == 3 and min(phases, key=phases.get) == 6
+
+
+def test_pivot_counts_further_values_as_other(spark):
+    from smogline.operators import profile
+
+    df = spark.createDataFrame([(0, "a", 1.0), (0, "x", 3.0), (0, None, 5.0), (1, "b", 2.0)], "r int, c string, aqi double")
+    rows = {r["r"]: r for r in profile.pivot_mean(df, "r", "c", ["a", "b"], other="other").collect()}
+    assert rows[0]["a"] == 1.0 and rows[0]["other"] == 4.0 and rows[1]["b"] == 2.0 and rows[1]["other"] is None
