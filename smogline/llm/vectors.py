@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smogline.llm.common import prepare, written
@@ -76,7 +76,7 @@ def id_lists(batch: pa.RecordBatch) -> list[pa.Array]:
     return [v.values for v in batch.column("ids")]
 
 
-def summed(parts: DataFrame, value: Column | None = None) -> list:
+def summed(parts: DataFrame) -> list:
     """The element-wise sum of the one array column ``part`` over all rows (empty without rows)."""
     each = parts.select(F.posexplode("part").alias("pos", "value"))
-    return [r["total"] for r in each.groupBy("pos").agg(F.sum("value").alias("total")).orderBy("pos").collect()]
+    return [total for _, total in sorted(map(tuple, each.groupBy("pos").agg(F.sum("value")).collect()))]  # one array's length
