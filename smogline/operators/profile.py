@@ -34,23 +34,30 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
 
 
-def running_count(vc: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
-    """A value-count table with ``_before`` (rows of the key with a smaller value) and ``_n`` (rows of the key). Null keys
-    are keys."""
+def running_counts(vc: DataFrame, keys: Sequence[str], value: str, counts: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """A table with one row per (key, value) and, for every count column c, ``_before_c`` (its sum over the key's smaller
+    values) and ``_n_c`` (its sum over the key). Null keys are keys."""
     key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
     n = partitions or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (vc.withColumn("_key", key).repartitionByRange(n, "_key", value).sortWithinPartitions("_key", value)
               .withColumn("_piece", F.shiftright(F.monotonically_increasing_id(), 33)))
     ranged = stored(ranged, "value-ranges")  # read twice below
-    pieces = ranged.groupBy("_key", "_piece").agg(F.sum("_c").alias("_rows"))
     by_key = Window.partitionBy("_key")
     earlier = by_key.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.select("_key", "_piece", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_skip"),
-                           F.sum("_rows").over(by_key).alias("_n"))
+    pieces = ranged.groupBy("_key", "_piece").agg(*[F.sum(c).alias(f"_rows_{c}") for c in counts])
+    pieces = pieces.select("_key", "_piece", *[
+        x for c in counts for x in (F.coalesce(F.sum(f"_rows_{c}").over(earlier), F.lit(0)).alias(f"_skip_{c}"),
+                                    F.sum(f"_rows_{c}").over(by_key).alias(f"_n_{c}"))])
     smaller = Window.partitionBy("_key", "_piece").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.withColumn("_in", F.coalesce(F.sum("_c").over(smaller), F.lit(0)))
-    return (placed.join(pieces, ["_key", "_piece"]).withColumn("_before", F.col("_skip") + F.col("_in"))
-            .drop("_key", "_piece", "_skip", "_in"))
+    placed = ranged.withColumns({f"_in_{c}": F.coalesce(F.sum(c).over(smaller), F.lit(0)) for c in counts})
+    joined = placed.join(pieces, ["_key", "_piece"])
+    return joined.withColumns({f"_before_{c}": F.col(f"_skip_{c}") + F.col(f"_in_{c}") for c in counts}).drop(
+        "_key", "_piece", *[f"{x}_{c}" for c in counts for x in ("_skip", "_in")])
+
+
+def running_count(vc: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
+    """A value-count table with ``_before`` (rows of the key with a smaller value) and ``_n`` (rows of the key)."""
+    return running_counts(vc, keys, value, ["_c"], partitions).withColumnsRenamed({"_before__c": "_before", "_n__c": "_n"})
 
 
 #: Rank error of the first pass' sketch, as one part in so many of a key's rows.

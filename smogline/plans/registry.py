@@ -28,4 +28,6 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     # importing the modules registers their queries
-    from smogline.plans import q_gold, q_silver, q_features, q_quality, q_analysis, q_ml, q_stream  # noqa: F401
+    from smogline.plans import (  # noqa: F401
+        q_analysis, q_drift, q_features, q_forest, q_gold, q_ml, q_quality, q_silver, q_stream,
+    )
