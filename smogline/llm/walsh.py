@@ -4,11 +4,11 @@ Components become integers floor(scale * x). The transform H has only +1 and -1
 integers and keeps squared distances times dim. Its rows are put in the order of their sign changes: the first
 coefficients are coarse sums over long stretches, the last ones fine differences.
 
-For a block of vectors the squared coefficient differences to all centroids are added up coarse to fine. A
-partial sum is a lower bound; the leader after the coarsest group is finished first and gives each vector an upper
-bound, which every later finished leader lowers. Centroids whose partial sum is strictly above it are given up;
-the others go on to the next group and in the end have all coefficients, so distances and ties are exact (the smaller
-number wins).
+For a block of vectors the squared coefficient differences to all centroids are added up coarse to fine, group by group. A
+partial sum is a lower bound; the leader after each group is finished at once and gives each vector an upper
+bound. Centroids whose partial sum is strictly above it are given up; the others go on to the next group (all at once by
+a matrix product while many are left, pair by pair once few are) and in the end have all coefficients, so
+distances and ties are exact (the smaller number wins).
 
 The blocks hold the transformed integers and are written once. A round is one pass: every task returns the exact sum and
 count of each cluster, and Spark adds them up. Sums of coefficients are transformed back on the driver (exactly, by
@@ -43,6 +43,8 @@ ROUNDS = 5
 SALT = "2:"
 #: Coefficients of the first, dense group; each later group doubles the coefficients seen.
 COARSE = 8
+#: Below one part in so many of all pairs, only the pairs left are looked at.
+FEW = 4
 
 ASSIGNED = "vec_id long, cluster int, distance decimal(38,0)"
 
@@ -85,41 +87,55 @@ def untransform(y: np.ndarray) -> np.ndarray:
 
 
 def _exact(*arrays: np.ndarray) -> list[np.ndarray]:
-    """The arrays in a type in which sums of squared differences can't overflow."""
-    small = all(a.dtype != object and (not a.size or max(abs(int(a.min())), abs(int(a.max()))) < 1 << 27) for a in arrays)
-    return [a.astype(np.int64 if small else object) for a in arrays]
+    """The arrays in the fastest type in which sums of squared differences are exact."""
+    most = max((max(abs(int(a.min())), abs(int(a.max()))) for a in arrays if a.size), default=0)
+    return [a.astype(np.float64 if most < 1 << 22 else np.int64 if most < 1 << 27 else object) for a in arrays]
+
+
+def _group_distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Squared differences of every row of ``x`` to every row of ``c``."""
+    if x.dtype == np.float64:  # whole numbers below 2^53: a matrix product is exact
+        return (x * x).sum(1)[:, None] + (c * c).sum(1) - 2 * (x @ c.T)
+    d = x[:, None, :] - c[None]
+    return (d * d).sum(2)
 
 
 def progressive_nearest(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """(nearest centroid, squared coefficient distance, coefficient differences looked at) of transformed rows."""
     x, c = _exact(x, centroids)
-    n, dim = x.shape
-    partial = np.zeros((n, len(c)), x.dtype)
-    for j in range(min(COARSE, dim)):
-        d = x[:, j, None] - c[None, :, j]
-        partial += d * d
-    at = min(COARSE, dim)
-    looked = n * len(c) * at
-    rows, cols = np.divmod(np.arange(n * len(c)), len(c))
-    part = partial.ravel()
+    (n, dim), k = x.shape, len(c)
+    whole = object if x.dtype == object else np.int64
+    partial, each, at, looked = np.zeros((n, k), x.dtype), np.arange(n), 0, 0
     upper = None
-    while True:
-        starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-        least = np.minimum.reduceat(part, starts)
-        lead = np.flatnonzero(part == np.repeat(least, np.diff(np.append(starts, len(part)))))
-        lead = cols[lead[np.concatenate(([True], np.diff(rows[lead]) > 0))]]  # the smallest number among equals
+    while True:  # most are still in the race: a group of coefficients for all of them
+        upto = min(dim, max(COARSE, 2 * at))
+        partial += _group_distances(x[:, at:upto], c[:, at:upto])
+        looked, at = looked + n * k * (upto - at), upto
+        lead = partial.argmin(1)  # the smallest number among equals
         if at == dim:
-            return lead.astype(np.int64), least, looked
+            return lead, partial[each, lead].astype(whole), looked
         rest = x[:, at:] - c[lead, at:]
-        finished = least + (rest * rest).sum(1)
+        finished = partial[each, lead] + (rest * rest).sum(1)
+        looked += rest.size
         upper = finished if upper is None else np.minimum(upper, finished)
-        keep = part <= upper[rows]  # strictly worse ones go
-        rows, cols, part = rows[keep], cols[keep], part[keep]
+        alive = partial <= upper[:, None]  # strictly worse ones go
+        if FEW * alive.sum() <= n * k:
+            break
+    rows, cols = np.nonzero(alive)
+    part = partial[rows, cols]
+    while True:  # a few per vector: only those
         upto = min(dim, 2 * at)
         d = x[rows, at:upto] - c[cols, at:upto]
         part = part + (d * d).sum(1)
-        looked += rest.size + d.size
-        at = upto
+        looked, at = looked + d.size, upto
+        starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+        least = np.minimum.reduceat(part, starts)
+        if at == dim:
+            lead = np.flatnonzero(part == np.repeat(least, np.diff(np.append(starts, len(part)))))
+            lead = lead[np.concatenate(([True], np.diff(rows[lead]) > 0))]  # the smallest number among equals
+            return cols[lead].astype(np.int64), least.astype(whole), looked
+        keep = part <= upper[rows]
+        rows, cols, part = rows[keep], cols[keep], part[keep]
 
 
 def first_centroids(blocks: DataFrame, count: int, dim: int, salt: str = SALT) -> np.ndarray:
