@@ -8,6 +8,7 @@ from smogline.operators import ml
 from smogline.operators import windows as W
 from smogline.operators.attach import attach_by_position
 from smogline.operators.drift import EMPTY, KS_COEFFICIENT, PSI_ALARM, distribution_drift
+from smogline.operators.neighbours import neighbour_mutual_info
 from smogline.plans.q_ml import TRAIN_END, VAL_END
 from smogline.plans.registry import query
 from smogline.plans.sql_views import READINGS, hourly_cte, r6, with_views
@@ -56,3 +57,33 @@ def q_attach_predictions(spark, sf_dir):
     out.select(F.round(F.col("aqi") * 1.1 + 1e-9, 6).alias("predicted_aqi")).write.csv(f"{root}/predictions")
     return attach_by_position(spark.read.parquet(f"{root}/features"),
                               spark.read.schema("predicted_aqi double").csv(f"{root}/predictions"))
+
+
+_MI_FEATURES = ["pm10", "humidity", "temperature", "wind"]
+_STEP = "CAST(CAST(epoch(measured_at) AS BIGINT) // 3600 * 7919 + length(queried_city) * 104729 AS BIGINT)"
+_PSI = "(ln(n) - 0.5 / n - (1 / (n * n)) * (1.0 / 12 - (1 / (n * n)) * (1.0 / 120 - (1 / (n * n)) / 252)))"
+
+
+def _psi_sql(n: str) -> str:
+    """Digamma of a whole number: the harmonic sum while small, then the series."""
+    return (f"CASE WHEN {n} <= 24 THEN coalesce((SELECT SUM(1.0 / j) FROM range(1, 24) r(j) WHERE j < {n}), 0) - 0.5772156649015329 "
+            f"ELSE {_PSI.replace('n)', f'CAST({n} AS DOUBLE))').replace('/ n', f'/ CAST({n} AS DOUBLE)').replace('(n ', f'(CAST({n} AS DOUBLE) ')} END")
+
+
+@query("neighbour_mutual_info", with_views(READINGS, hourly_cte(), f"""
+l AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, {c} AS a, aqi AS b, ({_STEP} % 1000003) / 1000003.0 * 1e-10 AS jitter FROM h WHERE {c} IS NOT NULL" for c in _MI_FEATURES)}),
+s AS (SELECT feature, {r6('stddev_pop(a)')} AS sa, {r6('stddev_pop(b)')} AS sb, COUNT(*) AS n FROM l GROUP BY 1),
+p AS (SELECT l.feature, ROW_NUMBER() OVER () AS id, CASE WHEN sa > 0 THEN a / sa ELSE 0 END + jitter AS x, CASE WHEN sb > 0 THEN b / sb ELSE 0 END + jitter AS y
+      FROM l JOIN s USING (feature)),
+d AS (SELECT p.feature, p.id, any_value(p.x) AS x, any_value(p.y) AS y, min(greatest(abs(q.x - p.x), abs(q.y - p.y)), 3)[3] * (1 - 1e-12) AS r
+      FROM p JOIN p q ON p.feature = q.feature AND p.id <> q.id GROUP BY 1, 2),
+c AS (SELECT d.feature, d.id, greatest(COUNT(*) FILTER (p.x > d.x - r AND p.x < d.x + r), 1) AS n_x,
+        greatest(COUNT(*) FILTER (p.y > d.y - r AND p.y < d.y + r), 1) AS n_y
+      FROM d JOIN p ON p.feature = d.feature GROUP BY 1, 2),
+t AS (SELECT feature, AVG({_psi_sql('n_x')} + {_psi_sql('n_y')}) AS m FROM c GROUP BY 1)""") + f"""
+SELECT s.feature, s.n, {r6(f"greatest({_psi_sql('s.n')} + {_psi_sql('3')} - m, 0.0)")} AS mutual_info FROM s JOIN t USING (feature)""")
+def q_neighbour_mutual_info(spark, sf_dir):
+    """Hourly features against aqi by three nearest neighbours."""
+    h = W.hourly(readings(spark, sf_dir))
+    step = F.floor(F.unix_seconds("measured_at") / 3600) * 7919 + F.length("queried_city") * 104729
+    return neighbour_mutual_info(h, _MI_FEATURES, "aqi", jitter=(step % 1000003) / F.lit(1000003.0) * F.lit(1e-10))
