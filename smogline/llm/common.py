@@ -54,14 +54,20 @@ def text_bytes(docs: DataFrame, col: str = "text") -> tuple[int, int]:
     return int(row[0]), int(row[1] or 0)
 
 
+def one_row_per(df: DataFrame, key: str) -> DataFrame:
+    """The least row of each key: copies of a key that holds many rows collapse inside the map tasks."""
+    rest = [c for c in df.columns if c != key]
+    return df.groupBy(key).agg(F.min(F.struct(*rest)).alias("least")).select(
+        *[F.col(key) if c == key else F.col(f"least.{c}").alias(c) for c in df.columns])
+
+
 def hash_sample(df: DataFrame, key: str, rows: int, total: int, salt: str) -> DataFrame:
-    """About ``rows`` of ``total`` rows, chosen by a hash of ``key`` (all of them when fewer): the bounded,
-    repeatable training sample of the classifiers."""
-    if total <= rows:
-        return df
-    share = rows / total
-    h = F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(1 << 30))
-    return df.filter(h < int(share * (1 << 30)))
+    """About ``rows`` of ``total`` rows, chosen by a hash of ``key`` (all of them when fewer), and one row per key: the
+    bounded, repeatable training sample of the classifiers."""
+    if total > rows:
+        h = F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(1 << 30))
+        df = df.filter(h < int(rows / total * (1 << 30)))
+    return one_row_per(df, key)
 
 
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:

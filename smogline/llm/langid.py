@@ -1,18 +1,17 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Document frequencies are counted over every learnable document; the weights are trained by
-follow-the-regularised-leader with an elastic net on a bounded sample of them (``sample_rows``, chosen by a hash
-of the id), of which a fifth is kept apart to fit the temperature that calibrates the scores. Every document is
+follow-the-regularised-leader with an elastic net on a bounded sample of them (about ``sample_rows`` in the table's
+proportions, but about ``LEAST_ROWS`` of every language, chosen by a hash of the id; one row per id), of which a fifth is kept apart to fit the temperature that calibrates the scores. Every document is
 then scored from its whole text. Only the model (2**bits x languages numbers) is broadcast.
 
-Defined cases: a null text and a text without a letter are ``und`` with score 0, and so is everything when
+Defined cases: a null text and a text without a letter (``str.isalpha``) are ``und`` with score 0, and so is everything when
 nothing can be learned (no labelled row); a null id is held out; equal scores go to the language first in the
 alphabet; repeated rows are scored each; only ``doc_id``, ``text`` and ``lang`` are read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import hash_sample, id_crc, prepare, texts_of
+from smogline.llm.common import id_crc, one_row_per, prepare, texts_of
 from smogline.llm.features import codepoints, document_frequencies, idf, ngram_buckets, tf_idf
 from smogline.llm.ftrl import Ftrl, fit_temperature, softmax
 
@@ -31,7 +30,22 @@ SAMPLE_ROWS = 3000
 EPOCHS = 3
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: Rows of each language in the sample, at least (or all it has).
+LEAST_ROWS = 60
+
+
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
+def language_sample(rows: DataFrame, sample_rows: int) -> DataFrame:
+    """About ``sample_rows`` rows in the table's proportions, but about ``LEAST_ROWS`` of every language; one row per id."""
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
+    total, unit = sum(sizes.values()), 1 << 30
+    share = {lang: int(unit * min(1.0, max(sample_rows / total, LEAST_ROWS / n))) for lang, n in sizes.items()}
+    shares = F.create_map(*[F.lit(x) for pair in share.items() for x in pair]) if share else F.create_map()
+    h = F.pmod(F.xxhash64(F.lit("language"), F.col("doc_id")), F.lit(unit))
+    return one_row_per(rows.filter(h < F.element_at(shares, F.col("lang"))) if share else rows, "doc_id")
 
 
 @dataclass
@@ -82,7 +96,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, epochs: int = EPOCHS)
     if not n:
         return None
     weights = idf(n, frequency)
-    sample = _sample_vectors(hash_sample(rows, "doc_id", sample_rows, n, "language"), "lang")
+    sample = _sample_vectors(language_sample(rows, sample_rows), "lang")
     languages = sorted({r[1] for r in sample})
     vectors = []
     for _, lang, buckets, counts in sample:
@@ -116,7 +130,7 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
         for batch in batches:
             langs, best = [], []
             for text in texts_of(batch):
-                if m is None or not _LETTER.search(text.decode("utf-8", "replace")):
+                if m is None or not has_letter(text.decode("utf-8", "replace")):
                     langs.append(UNDETERMINED)
                     best.append(0.0)
                     continue

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.common import hash_sample, prepare, texts_of
+from smogline.llm.common import hash_sample, one_row_per, prepare, texts_of
 from smogline.llm.features import codepoints, document_frequencies, idf, ngram_buckets, shapes, tf_idf
 from smogline.llm.langid import held_out_column
 
@@ -63,10 +63,10 @@ def _buckets(text: bytes) -> np.ndarray:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
-    """(doc_id, text, label): one label per id, the largest of several."""
+    """(doc_id, text, label): one row per id, with the largest of several labels and the least of several texts."""
     one = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label"))
            .filter("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label")))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(one, "doc_id")
+    return one_row_per(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(one, "doc_id"), "doc_id")
 
 
 def leading_axes(x: np.ndarray, dims: int, rounds: int = 4) -> np.ndarray:

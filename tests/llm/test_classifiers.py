@@ -117,3 +117,31 @@ def test_counterfactual_penalty_spares_neutral_mentions(spark):
     fair = toxicity.train(docs, labels, fairness=20.0)
     assert toxicity.score_texts(neutral, fair).mean() < toxicity.score_texts(neutral, free).mean() - 0.1
     assert (toxicity.score_texts([text("idiot").encode() for _ in range(50)], fair) > 0.7).mean() > 0.9
+
+
+def test_samples_are_bounded_whatever_an_id_holds(spark):
+    """An id with a third of all rows gives one row to a sample, and every language gets into it."""
+    from pyspark.sql import functions as F
+
+    from smogline.llm import langid
+    from smogline.llm.common import hash_sample
+    from smogline.llm.quality import labelled
+
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"),
+        F.when(F.col("id") % 2000 == 1, F.lit("rare")).when(F.col("id") % 2 == 0, F.lit("x")).otherwise(F.lit("y")).alias("lang"))
+    for salt in ("a", "b", "c", "d"):
+        sample = hash_sample(rows, "doc_id", 3000, 60_000, salt)
+        assert sample.count() < 4000 and sample.groupBy("doc_id").count().filter("count > 1").count() == 0
+    own = langid.language_sample(rows, 600)
+    by = {r["lang"]: r["count"] for r in own.groupBy("lang").count().collect()}
+    assert set(by) == {"rare", "x", "y"} and by["rare"] >= 15 and sum(by.values()) < 1500
+    labels = spark.createDataFrame([(7, 1), (7, 0), (8, 0)], "doc_id long, quality int")
+    assert sorted((r["doc_id"], r["label"]) for r in labelled(rows, labels, "quality").collect()) == [(7, 1), (8, 0)]
+    assert hash_sample(rows.limit(0), "doc_id", 10, 0, "a").collect() == []
+
+
+def test_letters():
+    from smogline.llm.langid import has_letter
+
+    assert has_letter("1 x") and has_letter("\u4e2d") and not has_letter("") and not has_letter("1 \u00b2 \u00bd \u2167 _ .")
