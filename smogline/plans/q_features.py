@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from smogline import constants as K
+from smogline.operators import robust as R
 from smogline.operators import segments as S
 from smogline.operators import windows as W
 from smogline.plans.registry import ORACLE, query
@@ -255,3 +256,46 @@ def q_interpolate_split(spark, sf_dir):
 def q_fill_gaps_split(spark, sf_dir):
     grid = S.regularize(_hourly(spark, sf_dir).select("queried_city", "measured_at", "pm10", "aqi"), rows=_SEGMENT)
     return S.fill(grid, ["pm10", "aqi"], rows=_SEGMENT)
+
+
+def _line_sql(source: str, value: str, name: str, reach: int = R.REACH) -> list[str]:
+    """The local line in SQL: lags, moments, value."""
+    near = list(range(-reach, reach + 1))
+    at = lambda c, d: f"coalesce({f'LEAD({c}, {d}) OVER w' if d > 0 else f'LAG({c}, {-d}) OVER w' if d else c}, 0.0)"
+    lags = ", ".join(f"{at(s, d)} * CAST({R.tricube(d, reach)!r} AS DOUBLE) AS _{c}{i}" for i, d in enumerate(near)
+                     for c, s in (("a", "weight"), ("b", f"(weight * coalesce({value}, 0.0))")))
+    moment = lambda c, p: "0.0 + " + " + ".join(f"_{c}{i} * CAST({float(d ** p)!r} AS DOUBLE)" if p else f"_{c}{i}"
+                                               for i, d in enumerate(near) if not p or d)
+    line = "CASE WHEN s0 * s2 - s1 * s1 > 1e-6 * s0 * s0 THEN (t0 * s2 - t1 * s1) / (s0 * s2 - s1 * s1) ELSE t0 / NULLIF(s0, 0.0) END"
+    return [f"{name}_l AS (SELECT *, {lags} FROM {source} {WIN})",
+            f"{name}_m AS (SELECT *, {moment('a', 0)} AS s0, {moment('a', 1)} AS s1, {moment('a', 2)} AS s2, {moment('b', 0)} AS t0, "
+            f"{moment('b', 1)} AS t1 FROM {name}_l)",
+            f"{name} AS (SELECT queried_city, measured_at, aqi, _phase, weight, seasonal, {r6(line)} AS trend FROM {name}_m)"]
+
+
+def _robust_sql() -> str:
+    parts = [READINGS, hourly_cte("h", "day"), _GRID_SQL.replace("1 HOUR", "1 DAY"),
+             "gn AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY queried_city ORDER BY measured_at) AS _rn FROM gh)",
+             f"gi AS (SELECT queried_city, measured_at, _rn, {_interp_sql('aqi', 5)} FROM gn {WIN})",
+             "d0 AS (SELECT queried_city, measured_at, aqi, (_rn - 1) % 7 AS _phase, CASE WHEN aqi IS NOT NULL THEN 1.0::DOUBLE ELSE 0.0 END AS weight, "
+             "0.0::DOUBLE AS seasonal FROM gi)", *_line_sql("d0", "aqi", "t0r")]
+    last = "t0r"
+    for i in range(1, R.ROUNDS + 1):
+        parts += [
+            f"p{i} AS (SELECT queried_city, _phase, {r6('SUM(weight * (aqi - trend)) / NULLIF(SUM(weight), 0.0)')} AS m FROM {last} GROUP BY 1, 2)",
+            f"s{i} AS (SELECT queried_city, _phase, {r6('coalesce(m, 0.0) - AVG(coalesce(m, 0.0)) OVER (PARTITION BY queried_city)')} AS seasonal FROM p{i})",
+            f"j{i} AS (SELECT q.queried_city, q.measured_at, q.aqi, q._phase, q.weight, s{i}.seasonal FROM {last} q JOIN s{i} USING (queried_city, _phase))",
+            *_line_sql(f"j{i}", "(aqi - seasonal)", f"t{i}r"),
+            f"r{i} AS (SELECT *, {r6('aqi - trend - seasonal')} AS resid FROM t{i}r)",
+            f"c{i} AS (SELECT queried_city, 6.0 * median(abs(resid)) AS scale FROM r{i} GROUP BY 1)",
+            f"w{i} AS (SELECT r{i}.* EXCLUDE (weight), CASE WHEN aqi IS NULL THEN 0.0 WHEN abs(resid) / NULLIF(scale, 0.0) IS NULL THEN 1.0 "
+            f"WHEN abs(resid) / NULLIF(scale, 0.0) >= 1 THEN 0.0 ELSE {r6('pow(1 - (abs(resid) / scale) * (abs(resid) / scale), 2.0)')} END AS weight "
+            f"FROM r{i} JOIN c{i} USING (queried_city))"]
+        last = f"w{i}"
+    return with_views(*parts) + f"\nSELECT queried_city, measured_at, aqi, trend, seasonal, resid, weight FROM {last} WHERE aqi IS NOT NULL"
+
+
+@query("robust_decompose", _robust_sql())
+def q_robust_decompose(spark, sf_dir):
+    """Daily means of every city: trend, weekday effect, residual, and the weight each day was given."""
+    return R.robust_decompose(W.daily_means(readings(spark, sf_dir), measures=["aqi"]))
