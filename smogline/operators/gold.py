@@ -94,8 +94,7 @@ def station_summary(fact: DataFrame, dim: DataFrame, digits: int = 2, check_uniq
 
     The fact is aggregated to (station, city, month) first and only then joined to
     the dimension, so the join sees stations x months rows instead of readings.
-    The dimension is broadcast only after a row-count check; above the limit the
-    planner keeps a shuffle join.
+    The planner chooses the join from the sizes it sees.
     """
     f = fact.select("waqi_idx", "queried_city", year_text("measured_at").alias("year"),
                     month_text("measured_at").alias("month"),

@@ -37,6 +37,17 @@ def fact_metrics(fact: DataFrame, now: dt.datetime | str, freshness_hours: int =
         "invalid_source_list", F.array_join("invalid_sources", ","))
 
 
+def value_rows(df: DataFrame, column: str, expected: Sequence[str]) -> DataFrame:
+    """(column, value, n, status) as rows, however many values there are: every expected value, ``missing`` if it has no rows, and
+    every other non-null value, ``unexpected``. Nothing is collected into one row."""
+    found = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    known = df.sparkSession.createDataFrame([(v, True) for v in expected], "value string, known boolean")
+    n, known_ = F.coalesce("n", F.lit(0)), F.coalesce("known", F.lit(False))
+    return found.join(known, "value", "full").select(
+        F.lit(column).alias("column"), "value", n.alias("n"),
+        F.when(known_ & (n > 0), "present").when(known_, "missing").otherwise("unexpected").alias("status"))
+
+
 def dim_metrics(dim: DataFrame) -> DataFrame:
     return dim.agg(F.count(F.lit(1)).alias("total_stations"),
                    F.array_sort(F.collect_set("queried_city")).alias("cities"))

@@ -125,19 +125,41 @@ fj AS (SELECT *, '2024-02-01T00:00:00' AS ingested_at FROM readings)""", metrics
 SELECT * FROM daily WHERE (SELECT bool_and(passed) FROM chk)"""
 
 
-@query("gold_job_daily", _gold_job_sql())
-def q_gold_job_daily(spark, sf_dir):
-    """The gated gold job end to end: when every check passes the tables are written and
-    the daily table is read back; when a check fails nothing is written (empty result)."""
+def _gold_job(spark, sf_dir):
+    """The gated gold job: (folder of its tables, the fact table it was run on)."""
     from smogline.plans import jobs
     from smogline.session import scratch_path
 
     path = scratch_path(spark, "gold-job")
     fact = readings(spark, sf_dir).withColumn("ingested_at", F.lit("2024-02-01T00:00:00"))
     jobs.gold_build(spark, fact, stations(spark, sf_dir), path, now="2024-02-02 00:00:00")
-    schema = gold.daily_summary(fact).schema
+    return path, fact
+
+
+@query("gold_job_daily", _gold_job_sql())
+def q_gold_job_daily(spark, sf_dir):
+    """The gated gold job end to end: when every check passes the tables are written and
+    the daily table is read back; when a check fails nothing is written (empty result)."""
     from smogline.sources.files import path_exists
 
+    path, fact = _gold_job(spark, sf_dir)
+    schema = gold.daily_summary(fact).schema
     if not path_exists(spark, f"{path}/gold_aqi_daily_summary"):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{path}/gold_aqi_daily_summary")
+
+
+@query("gold_job_stamps", with_views(READINGS, STATIONS) + """
+SELECT 'gold_aqi_daily_summary' AS name, TIMESTAMP '2024-02-02 00:00:00' AS aggregated_at,
+  COUNT(DISTINCT (queried_city, CAST(measured_at AS DATE))) AS n FROM readings
+UNION ALL
+SELECT 'gold_aqi_city_ranking', TIMESTAMP '2024-02-02 00:00:00', COUNT(DISTINCT (queried_city, date_trunc('month', measured_at))) FROM readings
+UNION ALL
+SELECT 'gold_station_summary', TIMESTAMP '2024-02-02 00:00:00', COUNT(DISTINCT (waqi_idx, queried_city, date_trunc('month', measured_at))) FROM readings""")
+def q_gold_job_stamps(spark, sf_dir):
+    """Every row of the gold job's three tables carries the time of its run."""
+    path, _ = _gold_job(spark, sf_dir)
+    tables = ["gold_aqi_daily_summary", "gold_aqi_city_ranking", "gold_station_summary"]
+    stamps = [spark.read.parquet(f"{path}/{t}").groupBy(F.col("_aggregated_at").alias("aggregated_at")).agg(F.count(F.lit(1)).alias("n"))
+              .select(F.lit(t).alias("name"), "aggregated_at", "n") for t in tables]
+    return stamps[0].unionByName(stamps[1]).unionByName(stamps[2])

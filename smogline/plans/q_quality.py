@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from smogline import constants as K
 from smogline.operators import quality
 from smogline.plans.registry import query
 from smogline.plans.sql_views import READINGS, READINGS_DUP, STATIONS, with_views
@@ -94,19 +95,37 @@ bad_readings AS (SELECT * REPLACE (
 bad_stations AS (SELECT * FROM stations WHERE queried_city <> 'gia-lai')"""
 
 
-@query("dq_checks_failing", with_views(READINGS, READINGS_DUP, STATIONS, BAD_READINGS, metrics_cte("bad_readings"),
-                                       checks_cte("bad_stations")) + "\nSELECT * FROM chk")
-def q_dq_checks_failing(spark, sf_dir):
-    """The checks on a table that breaks all of them but the row counts."""
+def _bad_readings(spark, sf_dir):
     r, n = readings_dup(spark, sf_dir).filter("queried_city <> 'cao-bang'"), F.col("event_id")
-    bad = r.withColumns({
+    return r.withColumns({
         "aqi": F.when(n % 10 == 0, None).when(n % 101 == 0, 900.0).otherwise(F.col("aqi")),
         "measured_at": F.when(n % 12 != 0, F.col("measured_at")),
         "dominant_pollutant": F.when(n % 3 != 0, F.col("dominant_pollutant")),
         "queried_city": F.when(n % 15 != 0, F.col("queried_city")),
         "source": F.when(n % 7 == 0, "manual").otherwise(F.col("source")),
         "ingested_at": F.lit("2024-01-01T00:00:00")})
-    return quality.run_checks(bad, stations(spark, sf_dir).filter("queried_city <> 'gia-lai'"), NOW)
+
+
+@query("dq_checks_failing", with_views(READINGS, READINGS_DUP, STATIONS, BAD_READINGS, metrics_cte("bad_readings"),
+                                       checks_cte("bad_stations")) + "\nSELECT * FROM chk")
+def q_dq_checks_failing(spark, sf_dir):
+    """The checks on a table that breaks all of them but the row counts."""
+    return quality.run_checks(_bad_readings(spark, sf_dir), stations(spark, sf_dir).filter("queried_city <> 'gia-lai'"), NOW)
+
+
+def _value_rows_sql(column: str, expected) -> str:
+    known = ", ".join(f"('{v}')" for v in expected)
+    return (f"SELECT '{column}' AS \"column\", coalesce(k.v, g.v) AS value, coalesce(n, 0) AS n, CASE WHEN k.v IS NULL THEN 'unexpected' "
+            f"WHEN n IS NULL THEN 'missing' ELSE 'present' END AS status FROM (SELECT {column} AS v, COUNT(*) AS n FROM bad_readings "
+            f"WHERE {column} IS NOT NULL GROUP BY 1) g FULL JOIN (VALUES {known}) k(v) ON k.v = g.v")
+
+
+@query("dq_value_rows", with_views(READINGS, READINGS_DUP, STATIONS, BAD_READINGS) + "\n"
+       + _value_rows_sql("queried_city", K.EXPECTED_CITIES) + "\nUNION ALL\n" + _value_rows_sql("source", K.VALID_SOURCES))
+def q_dq_value_rows(spark, sf_dir):
+    """Cities and sources of the failing table, a row each: present, missing or unexpected."""
+    bad = _bad_readings(spark, sf_dir)
+    return quality.value_rows(bad, "queried_city", K.EXPECTED_CITIES).unionByName(quality.value_rows(bad, "source", K.VALID_SOURCES))
 
 
 @query("dq_gate", "WITH c AS (" + _CHECKS_SQL + """)

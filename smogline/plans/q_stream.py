@@ -58,6 +58,26 @@ def q_stream_ingest(spark, sf_dir):
     return _fact_rows(spark, sink)
 
 
+@query("stream_runlog", with_views(READINGS, """
+f AS (SELECT event_id % 11 = 0 OR dominant_pollutant IS NULL AS bad, day(measured_at) <= 15 AS early FROM readings WHERE event_id % 43 <> 0)""") + f"""
+SELECT CAST(0 AS BIGINT) AS batch_id, COUNT(*) FILTER (early) AS rows_in, COUNT(*) FILTER (early AND bad) AS rejected,
+  CAST(0 AS BIGINT) AS stale, COUNT(*) FILTER (early AND NOT bad) AS new_rows, '{RUN1}' AS ingested_at FROM f
+UNION ALL
+SELECT 1, COUNT(*), COUNT(*) FILTER (bad), 0, COUNT(*) FILTER (NOT early AND NOT bad), '{RUN2}' FROM f""")
+def q_stream_runlog(spark, sf_dir):
+    """The log of two runs, of which the second gets the first one's documents again, and of a third without any."""
+    root = scratch_path(spark, "stream-runlog")
+    src, sink, ckpt = f"{root}/bronze", f"{root}/fact_aqi", f"{root}/_checkpoint"
+    docs = api_documents(spark, sf_dir)
+    first = docs.filter(F.col("day").cast("int") <= 15)
+    _write_docs(first, src)
+    ingest.ingest_new(spark, src, sink, ckpt, ingested_at=RUN1)
+    _write_docs(docs, src)
+    for run in (RUN2, "never-used"):
+        ingest.ingest_new(spark, src, sink, ckpt, ingested_at=run)
+    return spark.read.schema("batch_id long, rows_in long, rejected long, stale long, new_rows long, ingested_at string").json(f"{sink}_runlog")
+
+
 def shifted_documents(docs, days: int):
     """The same documents measured some days later (their bronze folder doesn't matter to the ingest)."""
     later = F.to_timestamp("data.time.iso") + F.make_dt_interval(F.lit(days))
