@@ -6,8 +6,8 @@ coefficients are coarse sums over long stretches, the last ones fine differences
 
 For a block of vectors the squared coefficient differences to all centroids are added up coarse to fine, group by group. A
 partial sum is a lower bound; the leader after each group is finished at once and gives each vector an upper
-bound. Centroids whose partial sum is strictly above it are given up; the others go on to the next group (all at once by
-a matrix product while many are left, pair by pair once few are) and in the end have all coefficients, so
+bound. Centroids whose partial sum is strictly above it are given up; the others go on to the next group (by a matrix
+product for the vectors with many left, pair by pair for those with few) and in the end have all coefficients, so
 distances and ties are exact (the smaller number wins).
 
 The blocks hold the transformed integers and are written once. A round is one pass: every task returns the exact sum and
@@ -43,7 +43,7 @@ ROUNDS = 5
 SALT = "2:"
 #: Coefficients of the first, dense group; each later group doubles the coefficients seen.
 COARSE = 8
-#: Below one part in so many of all pairs, only the pairs left are looked at.
+#: A row with at most one part in so many of the centroids left is finished pair by pair.
 FEW = 4
 
 ASSIGNED = "vec_id long, cluster int, distance decimal(38,0)"
@@ -104,36 +104,47 @@ def progressive_nearest(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarra
     """(nearest centroid, squared coefficient distance, coefficient differences looked at) of transformed rows."""
     x, c = _exact(x, centroids)
     (n, dim), k = x.shape, len(c)
-    whole = object if x.dtype == object else np.int64
-    partial, each, at, looked = np.zeros((n, k), x.dtype), np.arange(n), 0, 0
-    upper = None
-    while True:  # most are still in the race: a group of coefficients for all of them
-        upto = min(dim, max(COARSE, 2 * at))
-        partial += _group_distances(x[:, at:upto], c[:, at:upto])
-        looked, at = looked + n * k * (upto - at), upto
+    nearest, far = np.zeros(n, np.int64), np.zeros(n, object if x.dtype == object else np.int64)
+    own, partial, upper, at, looked = np.arange(n), np.zeros((n, k), x.dtype), None, 0, 0
+    while True:  # rows with many centroids in the race: a group of coefficients for all of them
+        upto, each = min(dim, max(COARSE, 2 * at)), np.arange(len(own))
+        partial += _group_distances(x[own, at:upto], c[:, at:upto])
+        looked, at = looked + len(own) * k * (upto - at), upto
         lead = partial.argmin(1)  # the smallest number among equals
         if at == dim:
-            return lead, partial[each, lead].astype(whole), looked
-        rest = x[:, at:] - c[lead, at:]
+            nearest[own], far[own] = lead, partial[each, lead]
+            return nearest, far, looked
+        rest = x[own, at:] - c[lead, at:]
         finished = partial[each, lead] + (rest * rest).sum(1)
         looked += rest.size
         upper = finished if upper is None else np.minimum(upper, finished)
         alive = partial <= upper[:, None]  # strictly worse ones go
-        if FEW * alive.sum() <= n * k:
-            break
+        few = FEW * alive.sum(1) <= k
+        if few.any():
+            done = own[few]
+            nearest[done], far[done], more = _finish_pairs(x[done], c, alive[few], partial[few], upper[few], at)
+            looked += more
+            own, partial, upper = own[~few], partial[~few], upper[~few]
+        if not len(own):
+            return nearest, far, looked
+
+
+def _finish_pairs(x: np.ndarray, c: np.ndarray, alive: np.ndarray, partial: np.ndarray, upper: np.ndarray,
+                  at: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The race of the ``alive`` centroids of each row, from coefficient ``at`` on."""
+    dim, looked = x.shape[1], 0
     rows, cols = np.nonzero(alive)
     part = partial[rows, cols]
-    while True:  # a few per vector: only those
+    while True:
         upto = min(dim, 2 * at)
         d = x[rows, at:upto] - c[cols, at:upto]
         part = part + (d * d).sum(1)
         looked, at = looked + d.size, upto
         starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-        least = np.minimum.reduceat(part, starts)
         if at == dim:
+            least = np.minimum.reduceat(part, starts)
             lead = np.flatnonzero(part == np.repeat(least, np.diff(np.append(starts, len(part)))))
-            lead = lead[np.concatenate(([True], np.diff(rows[lead]) > 0))]  # the smallest number among equals
-            return cols[lead].astype(np.int64), least.astype(whole), looked
+            return cols[lead[np.concatenate(([True], np.diff(rows[lead]) > 0))]], least, looked  # the smallest number among equals
         keep = part <= upper[rows]
         rows, cols, part = rows[keep], cols[keep], part[keep]
 
