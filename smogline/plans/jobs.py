@@ -52,15 +52,19 @@ def read_fact(spark: SparkSession, silver: str) -> DataFrame:
 
 def gold_build(spark: SparkSession, fact: DataFrame, dim: DataFrame, gold_path: str,
                now: dt.datetime | str) -> DataFrame:
-    """Quality gate, then daily summary, monthly ranking and station summary.
+    """Quality gate, then the gold tables. Returns the check table; nothing is written when a check fails."""
+    checks = quality.run_checks(fact, dim, now)
+    if quality.gate(checks):
+        gold_tables(spark, fact, dim, gold_path, now)
+    return checks
+
 
-    Returns the check table; nothing is written when a check fails. The daily table
-    feeds the monthly one, so it is written first and the monthly roll-up reads the
+def gold_tables(spark: SparkSession, fact: DataFrame, dim: DataFrame, gold_path: str, now: dt.datetime | str) -> None:
+    """Daily summary, monthly ranking and station summary, every row stamped with ``now``.
+
+    The daily table feeds the monthly one, so it is written first and the monthly roll-up reads the
     written partitions instead of recomputing them.
     """
-    checks = quality.run_checks(fact, dim, now)
-    if not quality.gate(checks):
-        return checks
     daily = gold.daily_summary(fact)
 
     def stamped(df: DataFrame) -> DataFrame:
@@ -73,7 +77,6 @@ def gold_build(spark: SparkSession, fact: DataFrame, dim: DataFrame, gold_path:
                       mode="overwrite")
     files.write_table(stamped(gold.station_summary(fact, dim)), f"{gold_path}/gold_station_summary", ["year", "month"],
                       mode="overwrite", dynamic=True)
-    return checks
 
 
 def features_build(spark: SparkSession, fact: DataFrame, path: str, grid: bool = False) -> None:

@@ -1,13 +1,18 @@
 """End-to-end jobs: CSV history load once, API ingest, gate, gold build, features."""
 
+import datetime as dt
+
+import duckdb
 import pyspark.sql.functions as F
 
 from smogline import schemas
-from smogline.plans import jobs
+from smogline.plans import jobs, q_gold
+from smogline.plans.registry import ORACLE
 from smogline.plans.q_stream import _CSV_MAP
 from smogline.session import scratch_path
 from smogline.sources.testdata import api_documents, readings_dirty
 from tests.conftest import SF_SMALL
+from tests.oracle import canon, rows_of_spark, rows_of_sql
 
 
 def test_silver_gold_features(spark):
@@ -48,3 +53,22 @@ def test_gate_blocks_gold_writes(spark):
     from smogline.sources.files import path_exists
 
     assert not path_exists(spark, f"{root}/gold/gold_aqi_daily_summary")
+
+
+def test_stamps_of_a_job_that_the_gate_blocks_equal_the_sql(spark):
+    """One value off the scale: the job writes nothing, its daily query is empty, the stamps are those of the SQL."""
+    root = scratch_path(spark, "t-stamps")
+    types = ["click", "view", "purchase", "signup", "error"]
+    events = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * i), i % 9, types[i % 5], 700.0 if i == 3 else 10.0 + i, '{"k": %d}' % i)
+              for i in range(200)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(f"{root}/events.parquet")
+    spark.createDataFrame([(i, f"Customer {i}") for i in range(9)], "c_custkey long, c_name string") \
+        .write.parquet(f"{root}/customer.parquet")
+    assert q_gold.q_gold_job_daily(spark, root).count() == 0
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for t in ("events", "customer"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{root.removeprefix('file:')}/{t}.parquet/*.parquet')")
+    cols, got = rows_of_spark(q_gold.q_gold_job_stamps(spark, root))
+    assert len(got) == 3 and canon(got) == canon(rows_of_sql(con, ORACLE["gold_job_stamps"], cols))
