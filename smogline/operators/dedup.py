@@ -31,6 +31,18 @@ def new_keys(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFra
     return rows.join(there, same, "left_anti")
 
 
+def new_keys_in_place(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``new_keys`` for a cached result of ``latest_per_key``: plain equality fits the layout that its rows have by key, so only
+    the stored keys are shuffled and sorted, and never broadcast; rows with a null part in their key are compared by ``new_keys``."""
+    full = F.lit(True)
+    for k in keys:
+        full = full & F.col(k).isNotNull()
+    there = stored.filter(full).select(*[F.col(k).alias(f"_stored_{k}") for k in keys]).hint("merge")
+    known = rows.filter(full)
+    fresh = known.join(there, [known[k] == there[f"_stored_{k}"] for k in keys], "left_anti")
+    return fresh.unionByName(new_keys(rows.filter(~full), stored.filter(~full), keys))
+
+
 def upsert_new(existing: DataFrame | None, new: DataFrame, keys: Sequence[str],
                order_by: Sequence[str] | None = None) -> DataFrame:
     """Existing rows kept; new keys appended once. A missing target means 'create'."""

@@ -21,13 +21,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from smogline import schemas
+from smogline.functions.columns import month_text, year_text
 from smogline.operators.clean import REQUIRED, drop_stale, flatten_reading
-from smogline.operators.dedup import latest_per_key, new_keys
+from smogline.operators.dedup import latest_per_key, new_keys, new_keys_in_place
 from smogline.sources.files import existing_paths, observed_counts
 
 KEYS = ["waqi_idx", "measured_at"]
 #: Folder name of a null partition value (readings without time).
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+#: Equal in a whole batch or given by the key: they decide between no copies, so only the rows that are stored get them.
+ADDED = ["source", "ingested_at", "year", "month"]
 
 # the silver table written by ``ingest_new`` (partition columns stay text on read)
 SINK_SCHEMA = StructType(schemas.FACT_AQI.fields + [
@@ -42,18 +45,27 @@ def document_stream(spark: SparkSession, path: str, multi_line: bool = False, ma
     return r.json(path)
 
 
-def _append_new(spark: SparkSession, rows: DataFrame, sink: str, name: str):
-    """Append the rows whose key is in none of the months of ``sink`` that they touch; the count of appended rows,
-    or None for an empty batch."""
-    months = [tuple(r) for r in rows.select("year", "month").distinct().collect()]  # bounded: months
+def reading_stream(spark: SparkSession, path: str, ingested_at: str, multi_line: bool = False,
+                   max_files: int | None = None) -> DataFrame:
+    """The documents as flat rows without ``ADDED``: flattened by the stream itself, so only the fields in use are parsed and
+    no nested document is handed to the batch."""
+    return flatten_reading(document_stream(spark, path, multi_line, max_files), ingested_at=ingested_at).drop(*ADDED)
+
+
+def _append_new(spark: SparkSession, rows: DataFrame, sink: str, name: str, ingested_at: str):
+    """Append the rows (cached, one per key) whose key is in none of the months of ``sink`` that they touch; the count of
+    appended rows, or None for an empty batch."""
+    year, month = year_text("measured_at").alias("year"), month_text("measured_at").alias("month")
+    months = [tuple(r) for r in rows.select(year, month).distinct().collect()]  # bounded: months
     if not months:
         return None
     # only folders that exist are read: a month's first readings find none, the others are still compared
     paths = existing_paths(spark, [f"{sink}/queried_city=*/year={y or NO_VALUE}/month={m or NO_VALUE}" for y, m in months])
     if paths:
         stored = spark.read.schema(SINK_SCHEMA).option("basePath", sink).parquet(*paths)
-        rows = new_keys(rows, stored, KEYS)
-    rows, written = observed_counts(rows, name)
+        rows = new_keys_in_place(rows, stored, KEYS)
+    rows = rows.withColumns({"source": F.lit("api"), "ingested_at": F.lit(ingested_at)}).select("*", year, month)
+    rows, written = observed_counts(rows.select(*[f.name for f in SINK_SCHEMA.fields]), name)
     rows.write.mode("append").partitionBy("queried_city", "year", "month").parquet(sink)
     return int(written.get.get("rows", 0))
 
@@ -73,17 +85,16 @@ def _upsert_batch(spark: SparkSession, batch: DataFrame, batch_id: int, sink: st
     complete = F.lit(True)
     for c in REQUIRED:
         complete = complete & F.col(c).isNotNull()
-    flat, seen = observed_counts(flatten_reading(batch, ingested_at=ingested_at), f"ingest-batch-{batch_id}",
-                                 rejected=~complete)
+    flat, seen = observed_counts(batch, f"ingest-batch-{batch_id}", rejected=~complete)
     valid, kept = observed_counts(flat.filter(complete), f"ingest-valid-{batch_id}")
     if now is not None:
         valid = drop_stale(valid, now, stale_hours)
     valid, current = observed_counts(valid, f"ingest-current-{batch_id}")
     # the batch's files are parsed once: the deduplicated batch is cached for the
     # partition list, the anti-join and the writes
-    fresh = latest_per_key(valid, KEYS, ["ingested_at"]).persist()
+    fresh = latest_per_key(valid, KEYS, []).persist()
     try:
-        new_rows = _append_new(spark, fresh, sink, f"ingest-new-{batch_id}")
+        new_rows = _append_new(spark, fresh, sink, f"ingest-new-{batch_id}", ingested_at)
         if stations and new_rows is not None:
             upsert_stations(spark, fresh.withColumn("source", F.lit("api")), stations)
     finally:
@@ -108,7 +119,7 @@ def ingest_new(spark: SparkSession, source: str, sink: str, checkpoint: str, ing
                max_files: int | None = None, stations: str | None = None) -> None:
     """Process the documents that arrived since the last run; blocks until done. ``stations`` is the dimension table
     that new stations are appended to."""
-    run_available(document_stream(spark, source, multi_line, max_files), checkpoint,
+    run_available(reading_stream(spark, source, ingested_at, multi_line, max_files), checkpoint,
          lambda b, i: _upsert_batch(spark, b, i, sink, ingested_at, now, stale_hours, stations))
 
 
@@ -118,10 +129,10 @@ def dedup_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, i
     of a station without time, one is kept."""
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        fresh = latest_per_key(flatten_reading(batch, ingested_at=ingested_at), KEYS, ["ingested_at"]).persist()
+        fresh = latest_per_key(batch, KEYS, []).persist()
         try:
-            _append_new(spark, fresh, sink, f"dedup-{batch_id}")
+            _append_new(spark, fresh, sink, f"dedup-{batch_id}", ingested_at)
         finally:
             fresh.unpersist()
 
-    run_available(document_stream(spark, source, multi_line, max_files), checkpoint, add)
+    run_available(reading_stream(spark, source, ingested_at, multi_line, max_files), checkpoint, add)

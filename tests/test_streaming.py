@@ -7,6 +7,7 @@ from smogline.session import scratch_path
 from smogline.sources.testdata import api_documents
 from smogline.operators import windows as W
 from smogline.operators.clean import flatten_reading
+from smogline.operators.dedup import latest_per_key, new_keys, new_keys_in_place
 from smogline.streaming import event_time, hourly, ingest
 from tests.conftest import SF_SMALL
 
@@ -188,3 +189,27 @@ def test_readings_without_time_are_stored_once(spark):
         ingest.dedup_stream(spark, src, f"{root}/fact", f"{root}/_d", ingested_at="x")
         counts.append(spark.read.schema(ingest.SINK_SCHEMA).parquet(f"{root}/fact").count())
     assert counts[0] > 0 and counts == counts[:1] * 3
+
+
+def test_batches_come_flat_and_known_rows_stay_where_they_lie(spark, monkeypatch):
+    """The stream hands no nested document to a batch; the anti-join shuffles the stored keys only, null parts included."""
+    root = scratch_path(spark, "t-flat")
+    api_documents(spark, SF_SMALL).coalesce(1).write.partitionBy("queried_city").json(f"{root}/src")
+    seen = []
+    monkeypatch.setattr(ingest, "_upsert_batch", lambda spark, batch, *args: seen.append(batch.columns))
+    ingest.ingest_new(spark, f"{root}/src", f"{root}/fact", f"{root}/_c", ingested_at="x")
+    assert seen and not {"data", *ingest.ADDED} & set(seen[0]) and {"aqi", "url", *ingest.KEYS} <= set(seen[0])
+
+    ids = [None, *range(40)]
+    rows = spark.createDataFrame([(i, j, f"{i}-{j}-{c}") for i in ids for j in (None, 1, 2) for c in "ab"], "a int, b int, v string")
+    stored = spark.createDataFrame([(i, j) for i in ids[:20] for j in (None, 1)] * 2, "a int, b int")
+    fresh = latest_per_key(rows, ["a", "b"], []).persist()
+    try:
+        assert fresh.count() == 41 * 3
+        got = new_keys_in_place(fresh, stored, ["a", "b"])
+        assert sorted(map(str, got.collect())) == sorted(map(str, new_keys(fresh, stored, ["a", "b"]).collect()))
+        assert got.count() == 41 * 3 - 40
+        plan = got._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[1].split("InMemoryTableScan")[0]
+        assert "Exchange" not in plan and "Sort " not in plan
+    finally:
+        fresh.unpersist()
